@@ -19,7 +19,7 @@ from ..functions.nulls import filter_out, is_true, not_in, ratio
 from ..functions.text import count_label, normalize_search
 from ..operators.lookup import literal_frame, recode, step_frame
 from ..operators.quantiles import exact_quantiles
-from ..operators.reshape import long_to_wide_periods
+from ..operators.reshape import long_to_wide, long_to_wide_periods, wide_to_long
 from ..operators.topn import top_n_per_group
 from ..operators.window_ops import lead_within
 from .periods import classify_period, max_event_date, period_interval
@@ -87,13 +87,16 @@ def period_kpi(events: DataFrame, params: Params) -> DataFrame:
              .agg(F.count("*").alias("n_sessions"), F.sum("c").cast("bigint").alias("n_completed"),
                   F.sum("s").alias("_smart"), F.sum("g").alias("_gig")))
     people = ev.groupBy("period").agg(F.count_distinct("distinct_id").alias("n_applicants"))
-    done = ev.where(completed).select("period", F.col("flow_started_minutes_ago").alias("v"))
-    dur = exact_quantiles(done, ["period"], "v", {"duration_complete": 0.5}, with_stats=False)
-    syn = exact_quantiles(ev.select("period", "sync_duration_seconds"), ["period"], "sync_duration_seconds",
-                          {"duration_sync": 0.5}, with_stats=False)
+    # Both medians in one quantile pass, keyed by (period, measure).
+    timed = ev.select("period", F.when(completed, F.col("flow_started_minutes_ago")).alias("duration_complete"),
+                      F.col("sync_duration_seconds").alias("duration_sync"))
+    timed = wide_to_long(timed, ["period"], ["duration_complete", "duration_sync"], "measure", "v",
+                         drop_null=True)
+    med = exact_quantiles(timed, ["period", "measure"], "v", {"median": 0.5}, with_stats=False)
+    med = long_to_wide(med, ["period"], "measure", "median", ["duration_complete", "duration_sync"])
     base = ev.select("period").distinct()
     out = (base.join(flows, "period", "left").join(people, "period", "left")
-           .join(dur, "period", "left").join(syn, "period", "left"))
+           .join(med, "period", "left"))
     return out.select(
         "period",
         F.coalesce("n_sessions", F.lit(0)).cast("bigint").alias("n_sessions"),

@@ -32,17 +32,28 @@ ROLES = tuple(dict.fromkeys(to for _, to in C.WEEKLY_LOOKUP))
 
 
 class PilotContext:
-    """Scalar facts of a run, as plan expressions (no driver action)."""
+    """Scalar facts of a run as plan expressions (no driver action).
+
+    All four facts come from one scalar subquery: the latest event that falls
+    in a pilot gives the latest pilot, its state and the latest week reached
+    (weeks only grow with time inside a pilot); the pilot calendar, joined to
+    that single row, gives the previous pilot of the same state."""
 
     def __init__(self, events: DataFrame, pilots: DataFrame):
-        piloted = events.where(F.col("pilot").isNotNull())
-        self.latest: Column = piloted.agg(F.max_by("pilot", "timestamp")).scalar()
-        self.state: Column = piloted.agg(F.max_by("pilot_state", "timestamp")).scalar()
-        self.week: Column = events.where(F.col("pilot") == self.latest).agg(F.max("pilot_wk")).scalar()
+        last = (events.where(F.col("pilot").isNotNull())
+                .agg(F.max_by(F.struct("pilot", "pilot_state", "pilot_wk"), "timestamp").alias("_l"))
+                .select(F.col("_l.pilot").alias("latest"), F.col("_l.pilot_state").alias("state"),
+                        F.col("_l.pilot_wk").alias("week")))
         w = Window.partitionBy("state").orderBy("start_date")
-        cal = pilots.select("state", "pilot", F.lag("pilot").over(w).alias("prior"))
-        self.prior: Column = cal.where((F.col("pilot") == self.latest) & (F.col("state") == self.state)) \
-            .agg(F.max("prior")).scalar()
+        cal = pilots.select(F.col("state").alias("_c_state"), F.col("pilot").alias("_c_pilot"),
+                            F.lag("pilot").over(w).alias("prior"))
+        facts = last.join(F.broadcast(cal), (F.col("latest") == F.col("_c_pilot")) &
+                          (F.col("state") == F.col("_c_state")), "left")
+        one = facts.select(F.struct("latest", "state", "week", "prior").alias("f")).scalar()
+        self.latest: Column = one.getField("latest")
+        self.state: Column = one.getField("state")
+        self.week: Column = one.getField("week")
+        self.prior: Column = one.getField("prior")
 
     def relation(self, pilot: Column) -> Column:
         return F.when(pilot == self.latest, F.lit("curr")).when(pilot == self.prior, F.lit("prior"))

@@ -21,8 +21,8 @@ from .operators.lookup import recode
 from .plans import frames, masking, periods, report, weekly
 from .session import ensure_checkpoint_dir, shared_table_path
 from .sources import tables
-from .sources.driver_events import adapt_driver_events, load_event_log, read_driver_events
-from .sources.export import REPORT_PROPERTIES, WEEKLY_PROPERTIES, normalise, parse_export_lines, to_export_lines
+from .sources import landing
+from .sources.export import REPORT_PROPERTIES, WEEKLY_PROPERTIES, flatten_export, normalise
 from .sources.pilots import pilot_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +32,7 @@ WEEK = Params(pilots=C.TEST_PILOTS, report_type="week")
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_event_log(spark, sf_dir)
+    return landing.event_log(spark, sf_dir)
 
 
 def _piloted(spark: SparkSession, sf_dir: str, params: Params = MONTH) -> DataFrame:
@@ -44,25 +44,26 @@ def _ctx(spark: SparkSession, sf_dir: str, params: Params = MONTH) -> tuple[Data
     return ev, weekly.PilotContext(ev, pilot_frame(spark, params.pilots))
 
 
-def _export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_export_lines(adapt_driver_events(read_driver_events(spark, sf_dir)))
+def _export(spark: SparkSession, sf_dir: str, properties, **kw) -> DataFrame:
+    """Scan the landed export files (S1/S3) with the chosen property keys."""
+    return flatten_export(landing.export_files(spark, sf_dir), properties, **kw)
 
 
 # -- sources / projections -------------------------------------------------------
 def q_scan_props(spark, sf_dir):
-    ev = normalise(parse_export_lines(_export_lines(spark, sf_dir), REPORT_PROPERTIES))
+    ev = normalise(_export(spark, sf_dir, REPORT_PROPERTIES))
     return ev.select("event_id", "event", "timestamp", "distinct_id", "cbv_flow_id", "pilot_state",
                      "sync_duration_seconds", "flow_started_minutes_ago", "device_type", "employment_type",
                      "employer_name", "query")
 
 
 def q_applicant_only(spark, sf_dir):
-    ev = parse_export_lines(_export_lines(spark, sf_dir), WEEKLY_PROPERTIES, applicant_only=True)
+    ev = _export(spark, sf_dir, WEEKLY_PROPERTIES, applicant_only=True)
     return ev.select("event_id", "event", "distinct_id", "origin")
 
 
 def q_cast_units(spark, sf_dir):
-    ev = normalise(parse_export_lines(_export_lines(spark, sf_dir), WEEKLY_PROPERTIES))
+    ev = normalise(_export(spark, sf_dir, WEEKLY_PROPERTIES))
     ev = ev.where(F.col("event").isin(C.FINISHED_SYNC, C.SHARED_INCOME_SUMMARY))
     return ev.select("event_id", "cbv_flow_id", "sync_duration_seconds", "flow_started_minutes_ago")
 
