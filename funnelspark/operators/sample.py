@@ -4,10 +4,14 @@ Keys are ordered by ``md5(key || seed)`` (ties by key) and the first
 ``floor(share * n)`` are taken.  The order is a pure function of the key, so
 the sample is identical under any partitioning or executor loss.
 
-No global sort or single-partition window is needed: keys are bucketed by the
-first four hex digits of their hash (65,536 buckets, a bound fixed in code), the
-bucket counts give the bucket holding the cut, and only that one bucket's keys
-are ranked.
+The sample is represented by its *cutoff*: the last chosen (hash, key) pair.
+A row belongs to the sample iff its (hash, key) is not greater, which is a
+plain predicate -- no join against the (large) set of chosen keys.
+
+Finding the cutoff needs no global sort or single-partition window over the
+keys: keys are bucketed by the first four hex digits of their hash (65,536
+buckets, a bound fixed in code), bucket counts locate the bucket holding the
+cut, and only that bucket's keys are ranked.
 """
 
 from __future__ import annotations
@@ -22,10 +26,10 @@ def hash_order(key: Column, seed: str) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(seed)))
 
 
-def sample_keys(keys: DataFrame, key: str, share: float, seed: str) -> DataFrame:
-    """Return the sampled subset of ``keys`` (one column ``key``, distinct,
-    non-NULL)."""
-    k = keys.select(key).where(F.col(key).isNotNull()).distinct() \
+def sample_cutoff(df: DataFrame, key: str, share: float, seed: str) -> DataFrame:
+    """At most one row ``_h, _k``: the last key in the sample (none when the
+    sample is empty)."""
+    k = df.select(key).where(F.col(key).isNotNull()).distinct() \
         .withColumn("_h", hash_order(F.col(key), seed)) \
         .withColumn("_b", F.substring("_h", 1, HASH_PREFIX))
     take = F.floor(k.agg(F.count("*")).scalar().cast("double") * F.lit(float(share)))
@@ -33,9 +37,23 @@ def sample_keys(keys: DataFrame, key: str, share: float, seed: str) -> DataFrame
     # <= 65,536 rows: the running total over buckets is a bounded window.
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn("_before", F.col("_cum") - F.col("_c"))
-    tagged = k.join(F.broadcast(hist), "_b")
-    whole = tagged.where(F.col("_cum") <= take)
-    edge = tagged.where((F.col("_before") < take) & (F.col("_cum") > take))
+    edge = hist.where((F.col("_before") < take) & (F.col("_cum") >= take)).select("_b", "_before")
+    # Only the keys of the one bucket holding the cut are ranked.
+    cand = k.join(F.broadcast(edge), "_b")
     wr = Window.partitionBy("_b").orderBy("_h", key)
-    part = edge.withColumn("_r", F.row_number().over(wr)).where(F.col("_before") + F.col("_r") <= take)
-    return whole.select(key).unionByName(part.select(key))
+    return (cand.withColumn("_r", F.row_number().over(wr))
+            .where(F.col("_before") + F.col("_r") == take)
+            .select("_h", F.col(key).alias("_k")))
+
+
+def in_sample(key: Column, cutoff: DataFrame, seed: str) -> Column:
+    """Predicate: ``key`` is in the sample whose cutoff is ``cutoff``."""
+    cut = cutoff.select(F.struct("_h", "_k").alias("c")).scalar()
+    h = hash_order(key, seed)
+    return key.isNotNull() & ((h < cut["_h"]) | ((h == cut["_h"]) & (key.cast("string") <= cut["_k"])))
+
+
+def sample_keys(df: DataFrame, key: str, share: float, seed: str) -> DataFrame:
+    """The sampled distinct keys (one column ``key``)."""
+    cutoff = sample_cutoff(df, key, share, seed)
+    return df.select(key).distinct().where(in_sample(F.col(key), cutoff, seed))

@@ -1,11 +1,19 @@
 """Order-dependent operators inside a group: next value (W4) and bidirectional
-fill (W5).
+fill (W5), safe for groups of any size.
 
-Both use one window specification per call (same partition and order for all
-columns, so Spark sorts once).  Rows whose group key is NULL are not a real
-group for ``lead`` (a NULL flow id mixes unrelated people, Q7): they are kept
-out of the window entirely, which also keeps that potentially huge bucket from
-landing in a single task.
+Plain path: one window per group key (one shuffle, one sort; all columns share
+the window specification).
+
+Hot keys: a key holding a large share of the rows would put all of them in one
+task.  Keys whose row count (estimated from a deterministic hash sample of the
+rows, so the split is identical on every re-execution) reaches ``hot_rows`` go
+through a chunked path instead: rows are cut into chunks that follow the
+window order (e.g. person and minute of the event), the operator runs inside
+each chunk, and only the rows at chunk borders are completed from a per-chunk
+summary (first / last values), whose size is the number of chunks, not rows.
+
+Rows whose group key is NULL are not a real group for ``lead`` (a NULL flow id
+mixes unrelated people, Q7): they get no next value.
 """
 
 from __future__ import annotations
@@ -15,25 +23,93 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import join_null_safe
+
+HOT_ROWS = 2_000_000          # a key with this many rows takes the chunked path
+SAMPLE_PER_MILLE = 10          # rows sampled to estimate key sizes (1%)
+
+
+def _hot_split(df: DataFrame, keys: Sequence[str], hot_rows: int, sample_per_mille: int,
+               row_id: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """(cold rows, hot rows).  The sample is a hash of row identity columns, so
+    it is the same under any partitioning or task retry."""
+    keys = list(keys)
+    pick = F.pmod(F.xxhash64(*row_id), F.lit(1000)) < sample_per_mille
+    est = (df.where(pick).groupBy(*keys).agg(F.count("*").alias("_sampled"))
+           .where(F.col("_sampled") * F.lit(1000.0 / sample_per_mille) >= hot_rows)
+           .select(*keys, F.lit(True).alias("_hot")))
+    # Size bound: a hot key accounts for >= hot_rows * rate sampled rows, so
+    # there are at most (all rows) / hot_rows of them (~5e5 at 1e12 rows).
+    tagged = join_null_safe(df, F.broadcast(est), keys, "left")
+    cold = tagged.where(F.col("_hot").isNull()).drop("_hot")
+    hot = tagged.where(F.col("_hot")).drop("_hot")
+    return cold, hot
+
 
 def lead_within(df: DataFrame, key: str, order: Sequence[Column], value: str, out: str,
-                keep: Column | None = None) -> DataFrame:
+                keep: Column | None = None, *, chunks: Sequence[Column] | None = None,
+                row_id: Sequence[Column] | None = None, hot_rows: int = HOT_ROWS,
+                sample_per_mille: int = SAMPLE_PER_MILLE) -> DataFrame:
     """``out`` = ``value`` of the next row of the same ``key`` in ``order``;
     NULL for the last row and for rows with a NULL key.  ``keep`` filters the
-    rows returned (after the next value is known)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    with_key = df.where(F.col(key).isNotNull()).withColumn(out, F.lead(value).over(w))
+    rows returned (after the next value is known).
+
+    ``chunks``: expressions, ascending with NULLs last, that are a prefix of
+    ``order`` (their order agrees with it); they enable the hot-key path."""
     dtype = df.schema[value].dataType
+    with_key = df.where(F.col(key).isNotNull())
     without = df.where(F.col(key).isNull()).withColumn(out, F.lit(None).cast(dtype))
+    w = Window.partitionBy(key).orderBy(*order)
+    if chunks is None:
+        led = with_key.withColumn(out, F.lead(value).over(w))
+    else:
+        cold, hot = _hot_split(with_key, [key], hot_rows, sample_per_mille, row_id or [F.col(key)])
+        led = cold.withColumn(out, F.lead(value).over(w)).unionByName(
+            _chunked_lead(hot, key, chunks, order, value, out))
     if keep is not None:
-        with_key, without = with_key.where(keep), without.where(keep)
-    return with_key.unionByName(without)
+        led, without = led.where(keep), without.where(keep)
+    return led.unionByName(without)
 
 
-def fill_updown(df: DataFrame, keys: Sequence[str], order: Sequence[Column], cols: Sequence[str]) -> DataFrame:
+def _with_chunks(df: DataFrame, chunks: Sequence[Column]) -> tuple[DataFrame, list[str], list[Column]]:
+    names = [f"_chunk{i}" for i in range(len(chunks))]
+    return (df.withColumns(dict(zip(names, chunks))), names,
+            [F.col(n).asc_nulls_last() for n in names])
+
+
+def _chunked_lead(hot: DataFrame, key: str, chunks: Sequence[Column], order: Sequence[Column], value: str,
+                  out: str) -> DataFrame:
+    cols = hot.columns
+    h, names, chunk_order = _with_chunks(hot, chunks)
+    ck = [key, *names]
+    wc = Window.partitionBy(*ck).orderBy(*order)
+    h = (h.withColumn("_lead", F.lead(value).over(wc))
+          .withColumn("_has_next", F.lead(F.lit(1)).over(wc).isNotNull())
+          .withColumn("_rn", F.row_number().over(wc)))
+    # One row per chunk: its first value, and the first value of the next chunk.
+    firsts = h.where(F.col("_rn") == 1).select(*ck, F.col(value).alias("_first"))
+    nexts = firsts.withColumn("_next_first", F.lead("_first").over(
+        Window.partitionBy(key).orderBy(*chunk_order))).drop("_first")
+    inner = h.where(F.col("_has_next")).withColumn(out, F.col("_lead"))
+    border = join_null_safe(h.where(~F.col("_has_next")), nexts, ck, "left").withColumn(out, F.col("_next_first"))
+    return inner.select(*cols, out).unionByName(border.select(*cols, out))
+
+
+def fill_updown(df: DataFrame, keys: Sequence[str], order: Sequence[Column], cols: Sequence[str], *,
+                chunks: Sequence[Column] | None = None, row_id: Sequence[Column] | None = None,
+                hot_rows: int = HOT_ROWS, sample_per_mille: int = SAMPLE_PER_MILLE) -> DataFrame:
     """tidyr ``fill(.direction = "updown")``: a NULL takes the next non-NULL
     value of its group (in ``order``), else the previous one.  NULL keys form a
-    group, as in R's ``group_by``."""
+    group, as in R's ``group_by``.  ``chunks`` enables the hot-key path (see
+    the module notes)."""
+    keys = list(keys)
+    if chunks is None:
+        return _fill_plain(df, keys, order, cols)
+    cold, hot = _hot_split(df, keys, hot_rows, sample_per_mille, row_id or [F.col(k) for k in keys])
+    return _fill_plain(cold, keys, order, cols).unionByName(_fill_chunked(hot, keys, chunks, order, cols))
+
+
+def _fill_plain(df: DataFrame, keys: list[str], order: Sequence[Column], cols: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -41,3 +117,35 @@ def fill_updown(df: DataFrame, keys: Sequence[str], order: Sequence[Column], col
         c: F.coalesce(F.col(c), F.first(c, ignorenulls=True).over(after), F.last(c, ignorenulls=True).over(before))
         for c in cols
     })
+
+
+def _fill_chunked(hot: DataFrame, keys: list[str], chunks: Sequence[Column], order: Sequence[Column],
+                  cols: Sequence[str]) -> DataFrame:
+    out_cols = hot.columns
+    h, names, chunk_order = _with_chunks(hot, chunks)
+    ck = [*keys, *names]
+    wc = Window.partitionBy(*ck).orderBy(*order)
+    after = wc.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    before = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = h.withColumns({**{f"_n_{c}": F.first(c, ignorenulls=True).over(after) for c in cols},
+                       **{f"_p_{c}": F.last(c, ignorenulls=True).over(before) for c in cols},
+                       "_rn": F.row_number().over(wc),
+                       "_last": F.lead(F.lit(1)).over(wc).isNull()})
+    # Per chunk: first and last non-NULL value of each column.
+    summary = h.groupBy(*ck).agg(
+        *[F.max(F.when(F.col("_rn") == 1, F.col(f"_n_{c}"))).alias(f"_cf_{c}") for c in cols],
+        *[F.max(F.when(F.col("_last"), F.col(f"_p_{c}"))).alias(f"_cl_{c}") for c in cols])
+    wk = Window.partitionBy(*keys).orderBy(*chunk_order)
+    later = wk.rowsBetween(1, Window.unboundedFollowing)
+    earlier = wk.rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select(
+        *ck, *[F.first(f"_cf_{c}", ignorenulls=True).over(later).alias(f"_nf_{c}") for c in cols],
+        *[F.last(f"_cl_{c}", ignorenulls=True).over(earlier).alias(f"_pl_{c}") for c in cols])
+    local = {c: F.coalesce(F.col(c), F.col(f"_n_{c}")) for c in cols}
+    needs = None
+    for c in cols:
+        needs = local[c].isNull() if needs is None else (needs | local[c].isNull())
+    done = h.where(~needs).withColumns({c: F.coalesce(local[c], F.col(f"_p_{c}")) for c in cols})
+    fix = join_null_safe(h.where(needs), summary, ck, "left").withColumns({
+        c: F.coalesce(local[c], F.col(f"_nf_{c}"), F.col(f"_p_{c}"), F.col(f"_pl_{c}")) for c in cols})
+    return done.select(*out_cols).unionByName(fix.select(*out_cols))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Params
-from ..operators.sample import sample_keys
+from ..operators.sample import in_sample, sample_cutoff
 
 CLONE_SUFFIX = "-c"
 CLONE_FLOW_OFFSET = 1_000_000
@@ -17,8 +17,9 @@ CLONE_FLOW_OFFSET = 1_000_000
 def mask_copies(events: DataFrame, params: Params) -> DataFrame:
     """``events`` must carry ``pilot``/``pilot_wk``.  NULL persons are never
     sampled (they are not one applicant)."""
-    chosen = sample_keys(events, "distinct_id", params.mask_share, params.mask_seed)
-    copies = events.join(chosen, "distinct_id", "left_semi").withColumns({
+    # The sample is a predicate against a one-row cutoff: cloning needs no join.
+    cutoff = sample_cutoff(events, "distinct_id", params.mask_share, params.mask_seed)
+    copies = events.where(in_sample(F.col("distinct_id"), cutoff, params.mask_seed)).withColumns({
         "distinct_id": F.concat(F.col("distinct_id"), F.lit(CLONE_SUFFIX)),
         "cbv_flow_id": F.col("cbv_flow_id") + F.lit(CLONE_FLOW_OFFSET),
     })

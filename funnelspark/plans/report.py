@@ -227,8 +227,11 @@ def search_lead(events: DataFrame, params: Params) -> DataFrame:
     ev = ev.withColumn("_prio", prio.cast("int"))
     order = [F.col("distinct_id").asc_nulls_last(), F.col("timestamp").asc_nulls_last(), F.col("_prio"),
              F.col("event").asc_nulls_last(), F.col("event_id")]
+    # Hot flows are cut into (person, minute) chunks, which follow this order.
     led = lead_within(ev, "cbv_flow_id", order, "event_clean", "lead_event",
-                      keep=F.col("event") == C.SEARCHED_EMPLOYER)
+                      keep=F.col("event") == C.SEARCHED_EMPLOYER,
+                      chunks=[F.col("distinct_id"), F.date_trunc("minute", "timestamp")],
+                      row_id=[F.col("event_id")])
     return led.select("event_id", "distinct_id", "cbv_flow_id", "timestamp", "query", "lead_event",
                       normalize_search(F.col("query")).alias("query_clean"))
 

@@ -112,3 +112,51 @@ def test_join_null_safe_matches_null_keys(spark):
     b = spark.createDataFrame([(None, 10), ("x", 20)], "k string, b int")
     got = sorted(((r["k"], r["a"], r["b"]) for r in join_null_safe(a, b, ["k"]).collect()), key=str)
     assert got == sorted([(None, 1, 10), ("x", 2, 20)], key=str)
+
+
+def _random_events(spark, seed=3, n=400):
+    import datetime as dt
+    rnd = random.Random(seed)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(n):
+        flow = rnd.choice([1, 2, 3, None])
+        person = rnd.choice(["a", "b", None]) if flow is None else ("p" if rnd.random() < 0.9 else "q")
+        t = base + dt.timedelta(seconds=rnd.randint(0, 600))       # ~10 one-minute chunks
+        v = rnd.choice([None, None, "x", "y", "z"])
+        w = rnd.choice([None, "u", "v"])
+        rows.append((i, person, flow, t, v, w))
+    return spark.createDataFrame(rows, "id long, pid string, flow long, ts timestamp_ntz, v string, w string")
+
+
+def test_chunked_lead_equals_plain(spark):
+    df = _random_events(spark)
+    order = [F.col("pid").asc_nulls_last(), F.col("ts").asc_nulls_last(), F.col("id")]
+    plain = lead_within(df, "flow", order, "v", "nxt")
+    hot = lead_within(df, "flow", order, "v", "nxt", chunks=[F.col("pid"), F.date_trunc("minute", "ts")],
+                      row_id=[F.col("id")], hot_rows=1, sample_per_mille=1000)
+    a = sorted((r["id"], r["nxt"]) for r in plain.collect())
+    b = sorted((r["id"], r["nxt"]) for r in hot.collect())
+    assert a == b and len(a) == 400
+
+
+def test_chunked_fill_equals_plain(spark):
+    df = _random_events(spark, seed=11)
+    order = [F.col("ts").asc_nulls_last(), F.col("id")]
+    plain = fill_updown(df, ["pid", "flow"], order, ["v", "w"])
+    hot = fill_updown(df, ["pid", "flow"], order, ["v", "w"], chunks=[F.date_trunc("minute", "ts")],
+                      row_id=[F.col("id")], hot_rows=1, sample_per_mille=1000)
+    a = sorted((r["id"], r["v"], r["w"]) for r in plain.collect())
+    b = sorted((r["id"], r["v"], r["w"]) for r in hot.collect())
+    assert a == b and len(a) == 400
+
+
+def test_hot_split_mixes_paths(spark):
+    # One big flow (hot) and many small ones (cold) in the same call.
+    df = _random_events(spark, seed=5, n=300).withColumn(
+        "flow", F.when(F.col("id") < 200, F.lit(7)).otherwise(F.col("id")))
+    order = [F.col("pid").asc_nulls_last(), F.col("ts").asc_nulls_last(), F.col("id")]
+    plain = lead_within(df, "flow", order, "v", "nxt")
+    mixed = lead_within(df, "flow", order, "v", "nxt", chunks=[F.col("pid"), F.date_trunc("minute", "ts")],
+                        row_id=[F.col("id")], hot_rows=50, sample_per_mille=1000)
+    assert sorted((r["id"], r["nxt"]) for r in plain.collect()) == sorted((r["id"], r["nxt"]) for r in mixed.collect())
