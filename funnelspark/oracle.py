@@ -514,6 +514,9 @@ def _sql_all() -> dict[str, str]:
 win AS (SELECT greatest((SELECT max(start_date) FROM pilots WHERE client_agency = 'tst'),
           CAST({_max_date()} - INTERVAL 1 MONTH AS DATE)) AS s, {_max_date()} AS e)""") + (
         "SELECT event_id, event, ts AS \"timestamp\", distinct_id FROM log, win WHERE CAST(ts AS DATE) BETWEEN s AND e")
+    out["stream_ingest"] = with_() + (
+        "SELECT event_id, event, ts AS \"timestamp\", distinct_id, cbv_flow_id, 'tst' AS client_agency, "
+        "CAST(ts AS DATE) AS event_date FROM log")
     out["pilot_week"] = with_() + "SELECT event_id, pilot_state, pilot, pilot_wk FROM plog"
     out["recode_events"] = with_() + (
         f"SELECT event, {_case('event', C.WEEKLY_LOOKUP)} AS event_ban, count(*) AS n FROM log GROUP BY 1, 2")

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import CUMULATIVE_WEEK, Params
+from ..config import CUMULATIVE_WEEK
 from ..functions.nulls import filter_out
 
 _UNITS = {"month": "MONTH", "week": "WEEK"}
@@ -42,14 +42,15 @@ def add_pilot_week(events: DataFrame, pilots: DataFrame, ts: str = "timestamp")
     """Attach ``pilot`` and ``pilot_wk`` (1 = first 7 days of the pilot) by a
     range join of the event date to the pilot calendar of the event's state.
 
-    The calendar has one row per pilot run; it is broadcast (equi-key: state,
+    The calendar has one row per pilot run and comes size-checked from
+    :mod:`funnelspark.sources.pilots` (broadcast when small; equi-key: state,
     residual: date range), so the event side is never shuffled."""
     p = pilots.select(F.col("state").alias("_p_state"), F.col("pilot").alias("_p_pilot"),
                       F.col("start_date").alias("_p_start"), F.col("end_date").alias("_p_end"))
     day = F.to_date(F.col(ts))
     base = events.drop("pilot", "pilot_wk")
     joined = base.join(
-        F.broadcast(p),
+        p,
         (base["pilot_state"] == p["_p_state"]) & day.between(p["_p_start"], p["_p_end"]),
         "left",
     )
@@ -59,30 +60,6 @@ def add_pilot_week(events: DataFrame, pilots: DataFrame, ts: str = "timestamp")
             .drop("_p_state", "_p_pilot", "_p_start", "_p_end"))
 
 
-def latest_pilot_col(events: DataFrame, ts: str = "timestamp") -> Column:
-    """T4: the pilot of the most recent event that belongs to a pilot."""
-    return events.where(F.col("pilot").isNotNull()).agg(F.max_by("pilot", ts)).scalar()
-
-
-def run_facts(events: DataFrame, pilots: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """One row: ``pilot_state, pilot_latest, pilot_prior, pilot_week``.
-
-    ``pilot_prior`` is the pilot before the latest one in the same state's
-    calendar (ordered by start date); ``pilot_week`` the latest week reached in
-    the latest pilot."""
-    latest = (events.where(F.col("pilot").isNotNull())
-              .agg(F.max_by("pilot", ts).alias("pilot_latest"),
-                   F.max_by("pilot_state", ts).alias("pilot_state")))
-    w = Window.partitionBy("state").orderBy("start_date")
-    cal = pilots.select("state", "pilot", F.lag("pilot").over(w).alias("pilot_prior"))
-    week = (events.join(latest.select("pilot_latest"), F.col("pilot") == F.col("pilot_latest"), "left_semi")
-            .agg(F.max("pilot_wk").alias("pilot_week")))
-    facts = (latest.join(F.broadcast(cal), (latest["pilot_state"] == cal["state"]) &
-                         (latest["pilot_latest"] == cal["pilot"]), "left")
-             .select("pilot_state", "pilot_latest", "pilot_prior"))
-    return facts.crossJoin(week)
-
-
 def with_cumulative_week(events: DataFrame, pilot_week: Column) -> DataFrame:
     """Every event of weeks 1..``pilot_week`` appears once more with
     ``pilot_wk = -1`` (the cumulative week).  One scan and an ``explode``
@@ -112,7 +89,7 @@ def lookback_window(pilots: DataFrame, agency: str, as_of: Column) -> DataFrame:
     """One row ``lookback_start, lookback_end`` = [max(latest pilot start of
     the agency, as_of - 1 month), as_of]."""
     latest_start = (pilots.where(F.col("client_agency") == agency)
-                    .agg(F.max_by("start_date", "start_date").alias("pilot_start")))
+                    .agg(F.max("start_date").alias("pilot_start")))
     return latest_start.select(
         F.greatest(F.col("pilot_start"), F.add_months(as_of, -1)).alias("lookback_start"),
         as_of.alias("lookback_end"))

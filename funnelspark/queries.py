@@ -68,6 +68,17 @@ def q_cast_units(spark, sf_dir):
     return ev.select("event_id", "cbv_flow_id", "sync_duration_seconds", "flow_started_minutes_ago")
 
 
+def q_stream_ingest(spark, sf_dir):
+    """Land the export files incrementally (file stream, de-duplicated by event
+    id) into a fresh landing table, then read the landed table."""
+    from .streaming import ingest_exports
+    ensure_checkpoint_dir(spark)
+    land, ckpt = shared_table_path(spark, "stream-landing"), shared_table_path(spark, "stream-checkpoint")
+    ingest_exports(spark, landing.export_dir(spark, sf_dir), land, ckpt, MONTH.agency)
+    return tables.read_table(spark, land).select("event_id", "event", "timestamp", "distinct_id", "cbv_flow_id",
+                                                 "client_agency", "event_date")
+
+
 def q_range_extract(spark, sf_dir):
     ev = _log(spark, sf_dir)
     pil = pilot_frame(spark, MONTH.pilots)
