@@ -30,14 +30,18 @@ SAMPLE_PER_MILLE = 10          # rows sampled to estimate key sizes (1%)
 
 
 def _hot_split(df: DataFrame, keys: Sequence[str], hot_rows: int, sample_per_mille: int,
-               row_id: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
-    """(cold rows, hot rows).  The sample is a hash of row identity columns, so
-    it is the same under any partitioning or task retry."""
+               row_id: Sequence[Column]) -> tuple[DataFrame, DataFrame | None]:
+    """(cold rows, hot rows or None when no key is hot).  The sample is a hash
+    of row identity columns, so it is the same under any partitioning or task
+    retry.  One small action decides whether the chunked branch is needed at
+    all; without hot keys the plan is the plain single-window plan."""
     keys = list(keys)
     pick = F.pmod(F.xxhash64(*row_id), F.lit(1000)) < sample_per_mille
     est = (df.where(pick).groupBy(*keys).agg(F.count("*").alias("_sampled"))
            .where(F.col("_sampled") * F.lit(1000.0 / sample_per_mille) >= hot_rows)
            .select(*keys, F.lit(True).alias("_hot")))
+    if est.limit(1).count() == 0:
+        return df, None
     # Size bound: a hot key accounts for >= hot_rows * rate sampled rows, so
     # there are at most (all rows) / hot_rows of them (~5e5 at 1e12 rows).
     tagged = join_null_safe(df, F.broadcast(est), keys, "left")
@@ -64,8 +68,9 @@ def lead_within(df: DataFrame, key: str, order: Sequence[Column], value: str, ou
         led = with_key.withColumn(out, F.lead(value).over(w))
     else:
         cold, hot = _hot_split(with_key, [key], hot_rows, sample_per_mille, row_id or [F.col(key)])
-        led = cold.withColumn(out, F.lead(value).over(w)).unionByName(
-            _chunked_lead(hot, key, chunks, order, value, out))
+        led = cold.withColumn(out, F.lead(value).over(w))
+        if hot is not None:
+            led = led.unionByName(_chunked_lead(hot, key, chunks, order, value, out))
     if keep is not None:
         led, without = led.where(keep), without.where(keep)
     return led.unionByName(without)
@@ -106,7 +111,8 @@ def fill_updown(df: DataFrame, keys: Sequence[str], order: Sequence[Column], col
     if chunks is None:
         return _fill_plain(df, keys, order, cols)
     cold, hot = _hot_split(df, keys, hot_rows, sample_per_mille, row_id or [F.col(k) for k in keys])
-    return _fill_plain(cold, keys, order, cols).unionByName(_fill_chunked(hot, keys, chunks, order, cols))
+    out = _fill_plain(cold, keys, order, cols)
+    return out if hot is None else out.unionByName(_fill_chunked(hot, keys, chunks, order, cols))
 
 
 def _fill_plain(df: DataFrame, keys: list[str], order: Sequence[Column], cols: Sequence[str]) -> DataFrame:
