@@ -123,8 +123,32 @@ def _pilot_values() -> str:
     return f"pilots(state, client_agency, pilot, start_date, end_date) AS (VALUES {rows})"
 
 
-def base_ctes() -> str:
+def _masked_plog_ctes() -> str:
+    """The masked demo event set under the name ``plog`` (original: ``plog0``),
+    and its pilot calendar (start = first masked date of each pilot)."""
+    p = C.Params()
+    return f"""
+m_ids AS (SELECT DISTINCT distinct_id FROM plog0 WHERE distinct_id IS NOT NULL),
+m_rk AS (SELECT distinct_id, row_number() OVER (ORDER BY md5(distinct_id || {_q(p.mask_seed)}), distinct_id) AS rn,
+           count(*) OVER () AS n FROM m_ids),
+m_chosen AS (SELECT distinct_id FROM m_rk WHERE rn <= floor(n::DOUBLE * {p.mask_share!r}::DOUBLE)),
+m_both AS (SELECT * FROM plog0 UNION ALL
+           SELECT * REPLACE (distinct_id || '-c' AS distinct_id, cbv_flow_id + 1000000 AS cbv_flow_id) FROM plog0
+           WHERE distinct_id IN (SELECT distinct_id FROM m_chosen)),
+m_sh AS (SELECT * REPLACE (ts + INTERVAL {p.mask_days} DAY + INTERVAL {p.mask_years} YEAR AS ts) FROM m_both),
+m_fd AS (SELECT pilot, strftime(min(CAST(ts AS DATE)), '%b %Y') AS label FROM m_sh WHERE pilot IS NOT NULL
+         GROUP BY pilot),
+plog AS (SELECT m_sh.* REPLACE (m_fd.label AS pilot, {_q(p.mask_state)} AS pilot_state)
+         FROM m_sh LEFT JOIN m_fd ON m_sh.pilot = m_fd.pilot),
+m_cal AS (SELECT {_q(p.mask_state)} AS state, pilot, min(CAST(ts AS DATE)) AS start_date FROM plog
+          WHERE pilot IS NOT NULL GROUP BY pilot)"""
+
+
+def base_ctes(masked: bool = False) -> str:
     texts = "[" + ", ".join(_q(t) for t in SEARCH_TEXTS) + "]"
+    plog_name = "plog0" if masked else "plog"
+    masked_ctes = ("," + _masked_plog_ctes()) if masked else ""
+    cal_src = "m_cal" if masked else "pilots"
     return f"""
 ev0 AS (
   SELECT event_id, ts, user_id, value, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
@@ -147,15 +171,15 @@ log AS (
       AS flow_started_minutes_ago
   FROM ev1),
 {_pilot_values()},
-plog AS (
+{plog_name} AS (
   SELECT l.*, p.pilot,
     CAST(CASE WHEN p.pilot IS NOT NULL
          THEN floor(datediff('day', p.start_date, CAST(l.ts AS DATE)) / 7) + 1 END AS INTEGER) AS pilot_wk
   FROM log l LEFT JOIN pilots p
-    ON l.pilot_state = p.state AND CAST(l.ts AS DATE) BETWEEN p.start_date AND p.end_date),
+    ON l.pilot_state = p.state AND CAST(l.ts AS DATE) BETWEEN p.start_date AND p.end_date){masked_ctes},
 facts AS (
   SELECT arg_max(pilot, ts) AS latest, arg_max(pilot_state, ts) AS state FROM plog WHERE pilot IS NOT NULL),
-cal AS (SELECT state, pilot, lag(pilot) OVER (PARTITION BY state ORDER BY start_date) AS prior FROM pilots),
+cal AS (SELECT state, pilot, lag(pilot) OVER (PARTITION BY state ORDER BY start_date) AS prior FROM {cal_src}),
 ctx AS (
   SELECT f.latest, f.state,
     (SELECT max(pilot_wk) FROM plog WHERE pilot = f.latest) AS week,
@@ -177,8 +201,8 @@ def per_cte(name: str, report_type: str, src: str = "log") -> str:
   FROM {src})"""
 
 
-def with_(*ctes: str) -> str:
-    return "WITH " + ",\n".join([base_ctes(), *ctes]) + "\n"
+def with_(*ctes: str, masked: bool = False) -> str:
+    return "WITH " + ",\n".join([base_ctes(masked), *ctes]) + "\n"
 
 
 def steps_cte() -> str:
@@ -617,6 +641,9 @@ SELECT CAST((SELECT week FROM ctx) AS VARCHAR) || ' (cum.)' AS week_disp, (SELEC
     || ' invitations were distributed. Comparisons are against the same week of the '
     || coalesce((SELECT prior FROM ctx), '(none)') || ' run.' AS sentence
 FROM inv"""
+    out["weekly_kpi_masked"] = with_(*weekly_kpi_ctes(), masked=True) + "SELECT * FROM wk"
+    out["report_funnel_labels"] = (f"SELECT *, event_clean || ' (' || {short_scale('n', 1, 0)} || ')' AS label "
+                                   f"FROM ({funnel_sql()})")
     out["funnel_labels"] = with_(*weekly_funnel_ctes()) + f"""
 SELECT event_clean, step_order, curr, curr_lag, {pct(ratio('curr', 'curr_lag') + ' - 1.0::DOUBLE')} AS loss_share,
   event_clean || ' (n = ' || {short_scale('curr', 1, 0)} || ')' AS label

@@ -11,6 +11,7 @@ from ..config import Params
 from ..functions import labels as L
 from ..functions.nulls import filter_out
 from ..operators.lookup import literal_frame
+from .report import funnel
 from .weekly import PilotContext, duration_stats, weekly_funnel, weekly_kpi
 
 
@@ -76,3 +77,10 @@ def duration_labels(events: DataFrame, ctx: PilotContext, week: int = C.CUMULATI
         F.concat(F.col("employment_type"), F.lit(" (n = "), L.comma("n"), F.lit(")")).alias("label"),
         L.number("median", 0, "s").alias("median_fmt"))
     return done.unionByName(sync)
+
+
+def report_funnel_labels(events: DataFrame, params: Params) -> DataFrame:
+    """Standard-report funnel rows with "step (1.2K)" labels."""
+    f = funnel(events, params)
+    return f.withColumn("label", F.concat(F.col("event_clean"), F.lit(" ("),
+                                          L.short_scale("n", 1, unscaled_digits=0), F.lit(")")))

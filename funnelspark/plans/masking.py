@@ -34,3 +34,13 @@ def mask_copies(events: DataFrame, params: Params) -> DataFrame:
                                  F.col("_first").alias("pilot_first_date"))
     out = shifted.join(F.broadcast(first_day), "pilot", "left")
     return out.withColumn("pilot", F.col("_label")).withColumn("pilot_state", F.lit(params.mask_state)).drop("_label")
+
+
+def masked_calendar(masked: DataFrame, params: Params) -> DataFrame:
+    """Pilot calendar of the masked set: one row per relabelled pilot, starting
+    on its first masked date, so pilots order by first appearance (the demo's
+    "first level is the prior pilot", Q21).  One row per pilot: bounded."""
+    return (masked.where(F.col("pilot").isNotNull()).groupBy("pilot")
+            .agg(F.min(F.to_date("timestamp")).alias("start_date"), F.max(F.to_date("timestamp")).alias("end_date"))
+            .select(F.lit(params.mask_state).alias("state"), F.lit(params.agency).alias("client_agency"),
+                    "pilot", "start_date", "end_date"))

@@ -291,6 +291,23 @@ def q_mask_copies(spark, sf_dir):
                     "pilot_state", "is_copy")
 
 
+def q_weekly_kpi_masked(spark, sf_dir):
+    """The demo path: weekly KPI table computed on the masked event set, pilots
+    ordered by their first masked date."""
+    # Masked once, written to the shared folder, then every table reads it
+    # (as the demo run does): this also cuts the long lineage.
+    ensure_checkpoint_dir(spark)
+    path = shared_table_path(spark, "masked-events")
+    tables.write_table(masking.mask_copies(_piloted(spark, sf_dir), MONTH), path)
+    m = tables.read_table(spark, path)
+    ctx = weekly.PilotContext(m, masking.masked_calendar(m, MONTH))
+    return weekly.weekly_kpi(m, ctx)
+
+
+def q_report_funnel_labels(spark, sf_dir):
+    return frames.report_funnel_labels(_piloted(spark, sf_dir), MONTH)
+
+
 def q_kpi_cards(spark, sf_dir):
     ev, ctx = _ctx(spark, sf_dir)
     return frames.kpi_cards(ev, ctx)
