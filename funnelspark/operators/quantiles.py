@@ -73,10 +73,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     keys = list(keys)
     values = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
-    # One row per group: tiny and read three times below, so cached (a lost
-    # block is recomputed from its lineage).
     stats = values.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_min"),
-                                      F.max("_v").alias("_max")).cache()
+                                      F.max("_v").alias("_max"))
+    # One scalar to the driver: does any group need the refinement path?
+    largest = stats.agg(F.max("_n")).first()[0] or 0
     ranks = []
     for p in probs.values():
         ranks += [F.floor(_h(F.col("_n"), p)) + 1, F.ceil(_h(F.col("_n"), p)) + 1]
@@ -93,7 +93,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
 
     # Large groups: histogram refinement, then rank inside the final candidates.
     big = targets.where(F.col("_n") > exact_rows)
-    if big.limit(1).count() > 0:
+    if largest > exact_rows:
         state = big.select(*keys, "_rank", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"),
                            F.lit(0).cast("bigint").alias("_below"), F.col("_n").alias("_cnt"))
         ensure_checkpoint_dir(df.sparkSession)

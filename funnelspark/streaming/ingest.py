@@ -43,7 +43,15 @@ def deduplicated(events: DataFrame, horizon: str = DEDUPE_HORIZON) -> DataFrame:
 def ingest_exports(spark: SparkSession, source_dir: str, landing_path: str, checkpoint_path: str, agency: str,
                    properties: Mapping[str, str] = REPORT_PROPERTIES, horizon: str = DEDUPE_HORIZON,
                    max_files_per_trigger: int | None = None) -> None:
-    """Land all export files that arrived since the last run, then stop."""
+    """Land all export files that arrived since the last run, then stop.
+
+    The de-duplication state holds every event id of the horizon (months of
+    events at full scale), so unless the session already chose a state store,
+    the RocksDB one (off-heap, spills to local disk, snapshots to the
+    checkpoint) is used rather than the in-memory default."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(key, None):
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     ev = deduplicated(export_stream(spark, source_dir, properties, max_files_per_trigger), horizon)
     ev = ev.withColumn("client_agency", F.lit(agency)).withColumn("event_date", F.to_date("timestamp"))
     q = (ev.writeStream.format("parquet").option("path", landing_path)
