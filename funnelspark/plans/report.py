@@ -17,12 +17,12 @@ from ..config import Params
 from ..functions import labels as L
 from ..functions.nulls import filter_out, is_true, not_in, ratio
 from ..functions.text import count_label, normalize_search
-from ..operators.lookup import literal_frame, recode, step_frame
+from ..operators.lookup import recode, step_frame
 from ..operators.quantiles import exact_quantiles
 from ..operators.reshape import long_to_wide, long_to_wide_periods, wide_to_long
 from ..operators.topn import top_n_per_group
 from ..operators.window_ops import lead_within
-from .periods import classify_period, max_event_date, period_interval
+from .periods import classify_period, max_event_date
 
 PERIODS = ("curr", "prior")
 

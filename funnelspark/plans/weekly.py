@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import Params
 from ..functions import labels as L
-from ..functions.nulls import fill_null, filter_out, n_distinct_keep_null, ratio
+from ..functions.nulls import fill_null, n_distinct_keep_null, ratio
 from ..functions.text import initiation_label
 from ..operators.keys import join_null_safe
-from ..operators.lookup import literal_frame, recode, step_frame
+from ..operators.lookup import recode, step_frame
 from ..operators.quantiles import exact_quantiles
 from ..operators.reshape import long_to_wide, wide_to_long
 from ..operators.window_ops import fill_updown
