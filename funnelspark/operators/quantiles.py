@@ -6,7 +6,9 @@ task's buffer; a group holding a third of the data would not fit.  Here the
 order statistics a quantile needs (ranks ``floor(h)+1`` and ``ceil(h)+1`` with
 ``h = (n-1)p``) are found instead:
 
-* groups with at most ``exact_rows`` values: one window sort per group;
+* groups with at most ``exact_rows`` values: one window sort per group (when
+  every group is that small -- the usual case -- the whole operator is one
+  shuffle: window rank, then an aggregate on the same partitioning);
 * larger groups: histogram refinement.  Each round counts the group's values
   in ``buckets`` equal-width bins over the current candidate range (a map-side
   combined aggregate: its size is bounded by targets x buckets, whatever the
@@ -64,6 +66,33 @@ def _refine(values: DataFrame, keys: list[str], state: DataFrame, exact_rows: in
     raise RuntimeError("quantile refinement did not converge")
 
 
+def _interpolate(n: Column, lo: Column, hi: Column, p: float) -> Column:
+    h = _h(n, p)
+    return lo + (hi - lo) * (h - F.floor(h))
+
+
+def _sorted_groups(values: DataFrame, keys: list[str], probs: Mapping[str, float], with_stats: bool) -> DataFrame:
+    """All groups small: one shuffle.  Rows are ranked inside their group by a
+    window, and the aggregate on the same keys (no further shuffle: the data is
+    already partitioned by them) picks the two order statistics per quantile."""
+    w = Window.partitionBy(*keys).orderBy("_v")
+    ranked = values.withColumn("_rn", F.row_number().over(w)).withColumn(
+        "_cnt", F.count("*").over(Window.partitionBy(*keys)))
+    picks = []
+    for name, p in probs.items():
+        h = _h(F.col("_cnt"), p)
+        picks += [F.max(F.when(F.col("_rn") == F.floor(h) + 1, F.col("_v"))).alias(f"_lo_{name}"),
+                  F.max(F.when(F.col("_rn") == F.ceil(h) + 1, F.col("_v"))).alias(f"_hi_{name}")]
+    agg = ranked.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_min"),
+                                    F.max("_v").alias("_max"), *picks)
+    cols = [F.col(k) for k in keys]
+    if with_stats:
+        cols += [F.col("_n").alias("n"), F.col("_min").alias("min"), F.col("_max").alias("max")]
+    cols += [_interpolate(F.col("_n"), F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), p).alias(name)
+             for name, p in probs.items()]
+    return agg.select(*cols)
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], *,
                     exact_rows: int = EXACT_ROWS, buckets: int = BUCKETS, max_rounds: int = 256,
                     with_stats: bool = True) -> DataFrame:
@@ -77,6 +106,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
                                       F.max("_v").alias("_max"))
     # One scalar to the driver: does any group need the refinement path?
     largest = stats.agg(F.max("_n")).first()[0] or 0
+    if largest <= exact_rows:
+        return _sorted_groups(values, keys, probs, with_stats)
     ranks = []
     for p in probs.values():
         ranks += [F.floor(_h(F.col("_n"), p)) + 1, F.ceil(_h(F.col("_n"), p)) + 1]

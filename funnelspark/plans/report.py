@@ -94,9 +94,9 @@ def period_kpi(events: DataFrame, params: Params) -> DataFrame:
                          drop_null=True)
     med = exact_quantiles(timed, ["period", "measure"], "v", {"median": 0.5}, with_stats=False)
     med = long_to_wide(med, ["period"], "measure", "median", ["duration_complete", "duration_sync"])
-    base = ev.select("period").distinct()
-    out = (base.join(flows, "period", "left").join(people, "period", "left")
-           .join(med, "period", "left"))
+    # ``people`` has a row for every period (NULL persons included), so it is
+    # the base the other per-period results attach to.
+    out = people.join(flows, "period", "left").join(med, "period", "left")
     return out.select(
         "period",
         F.coalesce("n_sessions", F.lit(0)).cast("bigint").alias("n_sessions"),
@@ -147,16 +147,20 @@ def ban_values(events: DataFrame, params: Params) -> DataFrame:
     ev = classify_period(events, params.report_type).where(F.col("event").isin(froms))
     started = F.col("event") == C.VIEWED_AGREEMENT
     completed = F.col("event") == C.SHARED_INCOME_SUMMARY
-    people = (ev.where(F.col("distinct_id").isNotNull() & (started | completed))
-              .groupBy("period", "distinct_id")
-              .agg(F.max(started.cast("int")).alias("s"), F.max(completed.cast("int")).alias("c"))
-              .groupBy("period").agg(F.sum("s").alias("_s"), F.sum("c").alias("_c")))
-    flags = ev.groupBy("period").agg(
-        F.sum((F.col("event") == C.SEARCHED_EMPLOYER).cast("long")).alias("_search"),
-        F.sum((F.col("event") == C.MISSING_RESULTS).cast("long")).alias("_missing"))
+    # One pass: per (period, person) whether they started / completed and how
+    # many searches / missing-result pages; NULL persons count for the event
+    # sums only (distinct counts ignore NULL).
+    per_person = ev.groupBy("period", "distinct_id").agg(
+        F.max(started.cast("int")).alias("s"), F.max(completed.cast("int")).alias("c"),
+        F.sum((F.col("event") == C.SEARCHED_EMPLOYER).cast("long")).alias("se"),
+        F.sum((F.col("event") == C.MISSING_RESULTS).cast("long")).alias("mi"))
+    known = F.col("distinct_id").isNotNull()
+    per_period = per_person.groupBy("period").agg(
+        F.sum(F.when(known, F.col("s"))).alias("_s"), F.sum(F.when(known, F.col("c"))).alias("_c"),
+        F.sum("se").alias("_search"), F.sum("mi").alias("_missing"))
     dur = exact_quantiles(ev.where(completed).select("period", F.col("flow_started_minutes_ago").alias("v")),
                           ["period"], "v", {"duration_complete": 0.5}, with_stats=False)
-    out = flags.join(people, "period", "left").join(dur, "period", "left")
+    out = per_period.join(dur, "period", "left")
     return out.select(
         "period",
         F.coalesce("_s", F.lit(0)).cast("double").alias("n_started"),
