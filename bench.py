@@ -27,7 +27,9 @@ def main() -> None:
     from funnelspark.queries import QUERIES
     from funnelspark.session import build_session
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus))
+    # local mode: the driver JVM is the whole cluster, so give it the memory.
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus),
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     names = [n for n in QUERIES if not only or n in only]
 
     def run(name: str) -> float:

@@ -17,6 +17,12 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # The driver keeps per-query plan graphs and job/stage records for the
+    # status store; report jobs run many multi-stage queries in one application,
+    # so keep that history short.
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
 }
 
 
