@@ -184,6 +184,11 @@ class Params:
     mask_years: int = 24
     mask_state: str = "North Grouchland"
     top_n: int = 10
+    # Opt-in sketches instead of exact distinct counts / quantiles (one pass,
+    # bounded memory); off by default so results match the reference exactly.
+    approx: bool = False
+    approx_accuracy: int = 10_000      # percentile_approx accuracy
+    approx_rsd: float = 0.05           # approx_count_distinct relative standard error
     # Cut-off above which a lookup/dimension is joined by shuffle, not broadcast.
     broadcast_max_rows: int = 100_000
     extra: dict = field(default_factory=dict)

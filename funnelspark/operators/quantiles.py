@@ -151,3 +151,24 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
         hi = F.element_at(F.col("_m"), (F.ceil(h) + 1).cast("bigint"))
         cols.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
     return out.select(*cols)
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], *,
+              approx: bool = False, accuracy: int = 10_000, with_stats: bool = True) -> DataFrame:
+    """:func:`exact_quantiles`, or with ``approx`` Spark's ``percentile_approx``
+    sketch (one map-side combined aggregate, bounded memory per group; returns
+    data values, relative rank error about 1/accuracy)."""
+    if not approx:
+        return exact_quantiles(df, keys, value, probs, with_stats=with_stats)
+    keys = list(keys)
+    v = F.col(value).cast("double")
+    values = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    names = list(probs)
+    agg = values.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"),
+        F.percentile_approx("_v", [float(probs[n]) for n in names], accuracy).alias("_q"))
+    cols = [F.col(k) for k in keys]
+    if with_stats:
+        cols += ["n", "min", "max"]
+    cols += [F.col("_q")[i].alias(n) for i, n in enumerate(names)]
+    return agg.select(*cols)

@@ -18,7 +18,7 @@ from ..functions import labels as L
 from ..functions.nulls import filter_out, is_true, not_in, ratio
 from ..functions.text import count_label, normalize_search
 from ..operators.lookup import recode, step_frame
-from ..operators.quantiles import exact_quantiles
+from ..operators.quantiles import quantiles
 from ..operators.reshape import long_to_wide, long_to_wide_periods, wide_to_long
 from ..operators.topn import top_n_per_group
 from ..operators.window_ops import lead_within
@@ -86,13 +86,16 @@ def period_kpi(events: DataFrame, params: Params) -> DataFrame:
              .groupBy("period")
              .agg(F.count("*").alias("n_sessions"), F.sum("c").cast("bigint").alias("n_completed"),
                   F.sum("s").alias("_smart"), F.sum("g").alias("_gig")))
-    people = ev.groupBy("period").agg(F.count_distinct("distinct_id").alias("n_applicants"))
+    n_people = (F.approx_count_distinct("distinct_id", params.approx_rsd) if params.approx
+                else F.count_distinct("distinct_id"))
+    people = ev.groupBy("period").agg(n_people.alias("n_applicants"))
     # Both medians in one quantile pass, keyed by (period, measure).
     timed = ev.select("period", F.when(completed, F.col("flow_started_minutes_ago")).alias("duration_complete"),
                       F.col("sync_duration_seconds").alias("duration_sync"))
     timed = wide_to_long(timed, ["period"], ["duration_complete", "duration_sync"], "measure", "v",
                          drop_null=True)
-    med = exact_quantiles(timed, ["period", "measure"], "v", {"median": 0.5}, with_stats=False)
+    med = quantiles(timed, ["period", "measure"], "v", {"median": 0.5}, with_stats=False,
+                    approx=params.approx, accuracy=params.approx_accuracy)
     med = long_to_wide(med, ["period"], "measure", "median", ["duration_complete", "duration_sync"])
     # ``people`` has a row for every period (NULL persons included), so it is
     # the base the other per-period results attach to.
@@ -158,8 +161,9 @@ def ban_values(events: DataFrame, params: Params) -> DataFrame:
     per_period = per_person.groupBy("period").agg(
         F.sum(F.when(known, F.col("s"))).alias("_s"), F.sum(F.when(known, F.col("c"))).alias("_c"),
         F.sum("se").alias("_search"), F.sum("mi").alias("_missing"))
-    dur = exact_quantiles(ev.where(completed).select("period", F.col("flow_started_minutes_ago").alias("v")),
-                          ["period"], "v", {"duration_complete": 0.5}, with_stats=False)
+    dur = quantiles(ev.where(completed).select("period", F.col("flow_started_minutes_ago").alias("v")),
+                    ["period"], "v", {"duration_complete": 0.5}, with_stats=False,
+                    approx=params.approx, accuracy=params.approx_accuracy)
     out = per_period.join(dur, "period", "left")
     return out.select(
         "period",

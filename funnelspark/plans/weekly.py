@@ -21,7 +21,7 @@ from ..functions.nulls import fill_null, n_distinct_keep_null, ratio
 from ..functions.text import initiation_label
 from ..operators.keys import join_null_safe
 from ..operators.lookup import recode, step_frame
-from ..operators.quantiles import exact_quantiles
+from ..operators.quantiles import quantiles
 from ..operators.reshape import long_to_wide, wide_to_long
 from ..operators.window_ops import fill_updown
 from .periods import with_cumulative_week
@@ -177,15 +177,15 @@ def device_mix(events: DataFrame, ctx: PilotContext) -> DataFrame:
 
 
 # -- C11 -----------------------------------------------------------------------
-def duration_stats(events: DataFrame, ctx: PilotContext) -> DataFrame:
+def duration_stats(events: DataFrame, ctx: PilotContext, approx: bool = False) -> DataFrame:
     """Five-number summary and count of sync seconds and minutes-to-complete
     per pilot, week, metric and employment type (exact, interpolated)."""
     ev = cumulative(events, ctx).where(F.col("event").isin(C.FINISHED_SYNC, C.SHARED_INCOME_SUMMARY))
     keys = ["pilot", "pilot_wk", "employment_type"]
     long = wide_to_long(ev.select(*keys, "sync_duration_seconds", "flow_started_minutes_ago"), keys,
                         ["sync_duration_seconds", "flow_started_minutes_ago"], drop_null=True)
-    return exact_quantiles(long, ["pilot", "pilot_wk", "metric", "employment_type"], "value",
-                           {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    return quantiles(long, ["pilot", "pilot_wk", "metric", "employment_type"], "value",
+                     {"q25": 0.25, "median": 0.5, "q75": 0.75}, approx=approx)
 
 
 # -- C12 -----------------------------------------------------------------------

@@ -139,3 +139,22 @@ def test_ban_kpi_missing_prior(spark):
     assert b["share_completed"]["curr_fmt"] == "100%"
     assert b["duration_complete"]["curr_fmt"] == "12.0m"
     assert b["share_missing_searches"]["curr"] is None
+
+
+def test_approx_mode_is_close_to_exact(spark):
+    import random
+    rnd = random.Random(1)
+    rows = []
+    for i in range(600):
+        day = 1 + i % 20
+        rows.append({"event": DONE if i % 3 else VIEW, "timestamp": f"2024-01-{day:02d} 0{i % 10}:00:00",
+                     "distinct_id": f"u{i % 97}", "cbv_flow_id": i % 150,
+                     "flow_started_minutes_ago": rnd.uniform(1, 60)})
+    ev = make_log(spark, rows)
+    exact = {r["period"]: r for r in report.period_kpi(ev, Params(report_type="week")).collect()}
+    approx = {r["period"]: r for r in report.period_kpi(ev, Params(report_type="week", approx=True)).collect()}
+    assert exact.keys() == approx.keys()
+    for p, r in exact.items():
+        # within three documented standard errors of the sketch
+        assert abs(approx[p]["n_applicants"] - r["n_applicants"]) <= 3 * Params().approx_rsd * r["n_applicants"]
+        assert abs(approx[p]["duration_complete"] - r["duration_complete"]) <= 3.0
