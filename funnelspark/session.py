@@ -49,6 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # Executors must see the folder and it must outlive them.
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder (HDFS/object store)")
         import tempfile
 
         configured = fallback or tempfile.mkdtemp(prefix="funnelspark-ckpt-")
