@@ -1,8 +1,12 @@
 """Registered queries: one per operator / metric of the survey's inventory.
 
-Each takes ``(spark, sf_dir)``, reads the test data's ``events`` table through
-the adapter, and returns a DataFrame (nothing is collected here, except the
-``roundtrip_parquet`` query, which writes a table in order to read it back).
+Each takes ``(spark, sf_dir)`` and reads the test data's ``events`` table.  The
+table is landed once per application (:mod:`funnelspark.sources.landing`): as
+export files for the scan queries and as a Parquet event log for the metrics.
+Nothing is collected here.  A few queries write a table in the shared
+checkpoint folder and read it back, because writing is what they test or
+because it cuts a long lineage: ``roundtrip_parquet``, ``stream_ingest`` and
+``weekly_kpi_masked``.
 """
 
 from __future__ import annotations
