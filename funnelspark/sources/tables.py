@@ -16,13 +16,18 @@ from pyspark.sql import functions as F
 LANDING_PARTITIONS = ("client_agency", "event_date")
 
 
-def land_events(events: DataFrame, path: str, agency: str, mode: str = "append") -> None:
+def land_events(events: DataFrame, path: str, agency: str, mode: str = "append",
+                max_records_per_file: int = 5_000_000) -> None:
     """Append an event batch to the landing table (one folder per agency/day).
-    Rows are clustered by day before writing so each task writes few files."""
+
+    No shuffle: a day of one agency can be a large share of all rows, so it is
+    not gathered into one task.  Each task sorts its own rows by day (one open
+    file at a time) and files are capped in size."""
     out = events.withColumn("client_agency", F.lit(agency)) \
                 .withColumn("event_date", F.to_date("timestamp"))
-    (out.repartition("client_agency", "event_date")
-        .write.mode(mode).partitionBy(*LANDING_PARTITIONS).parquet(path))
+    (out.sortWithinPartitions(*LANDING_PARTITIONS)
+        .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+        .partitionBy(*LANDING_PARTITIONS).parquet(path))
 
 
 def range_extract(spark: SparkSession, path: str, agency: str, start: dt.date, end: dt.date,
