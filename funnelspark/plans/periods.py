@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import CUMULATIVE_WEEK
 from ..functions.nulls import filter_out
+from ..operators.lookup import DEFAULT_BROADCAST_MAX_ROWS
 
 _UNITS = {"month": "MONTH", "week": "WEEK"}
 
@@ -38,22 +39,31 @@ def classify_period(events: DataFrame, report_type: str = "month", ts: str = "ti
     return events.withColumn("period", period)
 
 
-def add_pilot_week(events: DataFrame, pilots: DataFrame, ts: str = "timestamp") -> DataFrame:
+def add_pilot_week(events: DataFrame, pilots: DataFrame, ts: str = "timestamp", *,
+                   pilot_rows: int | None = None, broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
+                   ) -> DataFrame:
     """Attach ``pilot`` and ``pilot_wk`` (1 = first 7 days of the pilot) by a
     range join of the event date to the pilot calendar of the event's state.
 
-    The calendar has one row per pilot run and comes size-checked from
-    :mod:`funnelspark.sources.pilots` (broadcast when small; equi-key: state,
-    residual: date range), so the event side is never shuffled."""
+    The calendar has one row per pilot run: when its size (``pilot_rows`` if
+    known, else counted) is within ``broadcast_max_rows`` it is broadcast and
+    the event side is never shuffled.  Beyond that, calendar rows are expanded
+    to one row per day and joined on (state, day): an equi-join whose skewed
+    partitions (one busy day) AQE splits -- never a join on the state alone,
+    which would send a whole state's events to one task."""
     p = pilots.select(F.col("state").alias("_p_state"), F.col("pilot").alias("_p_pilot"),
                       F.col("start_date").alias("_p_start"), F.col("end_date").alias("_p_end"))
     day = F.to_date(F.col(ts))
     base = events.drop("pilot", "pilot_wk")
-    joined = base.join(
-        p,
-        (base["pilot_state"] == p["_p_state"]) & day.between(p["_p_start"], p["_p_end"]),
-        "left",
-    )
+    n = pilot_rows if pilot_rows is not None else p.limit(broadcast_max_rows + 1).count()
+    if n <= broadcast_max_rows:
+        joined = base.join(F.broadcast(p), (base["pilot_state"] == p["_p_state"]) &
+                           day.between(p["_p_start"], p["_p_end"]), "left")
+    else:
+        days = p.withColumn("_p_day", F.explode(F.sequence("_p_start", "_p_end")))
+        keyed = base.withColumn("_day", day)
+        joined = keyed.join(days, (keyed["pilot_state"] == days["_p_state"]) &
+                            (keyed["_day"] == days["_p_day"]), "left").drop("_day", "_p_day")
     wk = (F.floor(F.datediff(day, F.col("_p_start")) / F.lit(7)) + 1).cast("int")
     return (joined.withColumn("pilot", F.col("_p_pilot"))
             .withColumn("pilot_wk", F.when(F.col("_p_pilot").isNotNull(), wk))

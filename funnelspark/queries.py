@@ -40,7 +40,8 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _piloted(spark: SparkSession, sf_dir: str, params: Params = MONTH) -> DataFrame:
-    return periods.add_pilot_week(_log(spark, sf_dir), pilot_frame(spark, params.pilots))
+    return periods.add_pilot_week(_log(spark, sf_dir), pilot_frame(spark, params.pilots),
+                                  pilot_rows=len(params.pilots))
 
 
 def _ctx(spark: SparkSession, sf_dir: str, params: Params = MONTH) -> tuple[DataFrame, weekly.PilotContext]:

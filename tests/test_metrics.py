@@ -158,3 +158,13 @@ def test_approx_mode_is_close_to_exact(spark):
         # within three documented standard errors of the sketch
         assert abs(approx[p]["n_applicants"] - r["n_applicants"]) <= 3 * Params().approx_rsd * r["n_applicants"]
         assert abs(approx[p]["duration_complete"] - r["duration_complete"]) <= 3.0
+
+
+def test_pilot_week_day_join_equals_broadcast_join(spark):
+    rows = [{"event": VIEW, "timestamp": t, "distinct_id": "u"} for t in
+            ("2024-01-01 01:00:00", "2024-01-14 23:00:00", "2024-01-20 00:00:00", "2024-02-03 00:00:00")]
+    ev = make_log(spark, rows)
+    cal = pilot_frame(spark, PILOTS)
+    a = periods.add_pilot_week(ev, cal).select("event_id", "pilot", "pilot_wk").collect()
+    b = periods.add_pilot_week(ev, cal, broadcast_max_rows=0).select("event_id", "pilot", "pilot_wk").collect()
+    assert sorted(a, key=str) == sorted(b, key=str)
