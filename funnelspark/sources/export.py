@@ -8,7 +8,7 @@ Spark prunes the nested struct down to the keys actually selected.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,10 +73,11 @@ CORE_PROPERTIES: dict[str, str] = {
 
 
 def flatten_export(raw: DataFrame, properties: Mapping[str, str] = REPORT_PROPERTIES, *,
-                   drop_prop: bool = True, applicant_only: bool = False) -> DataFrame:
+                   drop_prop: bool = True, applicant_only: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Project ``properties.<key>`` to top-level columns (P1/P2) and optionally
-    keep applicant events only (S2)."""
-    cols: list[Column] = [F.col("event")]
+    keep applicant events only (S2); ``keep`` names top-level columns carried
+    through unchanged."""
+    cols: list[Column] = [F.col("event"), *[F.col(k) for k in keep]]
     for out, key in {**CORE_PROPERTIES, **properties}.items():
         cols.append(F.col("properties").getField(key).alias(out))
     if not drop_prop:
@@ -90,13 +91,18 @@ def flatten_export(raw: DataFrame, properties: Mapping[str, str] = REPORT_PROPER
 
 
 def read_export(spark: SparkSession, paths: str | list[str], properties: Mapping[str, str] = REPORT_PROPERTIES,
-                *, drop_prop: bool = True, applicant_only: bool = False) -> DataFrame:
+                *, drop_prop: bool = True, applicant_only: bool = False, with_source_file: bool = False) -> DataFrame:
     """Scan one file, a directory, or a list of export files.
 
     All files share the declared schema, so a directory read is the union of the
-    files; ``_metadata.file_path`` remains available for lineage."""
+    files.  ``with_source_file`` adds ``source_file`` (the file each event came
+    from, from the scan's ``_metadata`` column) for lineage."""
     raw = spark.read.schema(EXPORT_SCHEMA).json(paths)
-    return flatten_export(raw, properties, drop_prop=drop_prop, applicant_only=applicant_only)
+    keep: tuple[str, ...] = ()
+    if with_source_file:
+        raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
+        keep = ("source_file",)
+    return flatten_export(raw, properties, drop_prop=drop_prop, applicant_only=applicant_only, keep=keep)
 
 
 def parse_export_lines(lines: DataFrame, properties: Mapping[str, str] = REPORT_PROPERTIES, *,

@@ -38,3 +38,6 @@ def test_export_scan_of_mixed_files(spark):
     assert all_rows[1]["origin"] == "sms" and all_rows[2]["origin"] is None
     applicants = read_export(spark, d, WEEKLY_PROPERTIES, applicant_only=True).collect()
     assert [r["event_id"] for r in applicants] == [1]
+    lineage = {r["event_id"]: r["source_file"] for r in
+               read_export(spark, d, WEEKLY_PROPERTIES, with_source_file=True).collect()}
+    assert lineage[1].endswith("a.json") and lineage[2].endswith("b.json")
