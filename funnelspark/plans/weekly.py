@@ -101,7 +101,9 @@ def weekly_measures(events: DataFrame, ctx: PilotContext) -> DataFrame:
     """C8 before the curr/prior comparison: counts and shares per pilot week."""
     wide = weekly_events_applicants(events, ctx)
     multi = multi_employer(events, ctx)
-    j = join_null_safe(wide, multi, [*WEEK_KEYS, "denom"], "left")
+    # ``multi`` has at most one row per (state, pilot, week): bounded by the pilot
+    # calendar times the weeks of a pilot, so it is broadcast.
+    j = join_null_safe(wide, F.broadcast(multi), [*WEEK_KEYS, "denom"], "left")
     c = F.col
     shares = {
         "share_complete": ratio("completed", "started"),
