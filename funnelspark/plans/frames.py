@@ -25,8 +25,9 @@ def kpi_cards(events: DataFrame, ctx: PilotContext, week: int = C.CUMULATIVE_WEE
     spark = events.sparkSession
     spec = literal_frame(spark, [(d, m, t, i + 1) for i, (d, m, t) in enumerate(C.DASHBOARD_CARDS)],
                          "denom string, metric string, title string, card_order int")
+    # One week of the KPI table: at most 2 denominators x 10 metrics rows.
     k = weekly_kpi(events, ctx).where(F.col("pilot_wk") == week)
-    return spec.join(k, ["denom", "metric"], "left").select(
+    return spec.join(F.broadcast(k), ["denom", "metric"], "left").select(
         "card_order", "title", "denom", "metric", "val_fmt", "text_fmt", "direction")
 
 
