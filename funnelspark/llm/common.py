@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
     if n == 0:
         return
     arr = batch.column(batch.schema.get_field_index(column))
-    sizes = pa.compute.fill_null(pa.compute.binary_length(arr), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(arr), 0).to_pylist()
     lo, held = 0, 0
     for i, s in enumerate(sizes):
         if i > lo and held + s > limit:

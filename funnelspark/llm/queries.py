@@ -2,14 +2,43 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, topk
+from . import decontaminate, htmltext, langid, quality, sentencepiece, sharding, simhash, suffixdedup, topk, toxicity
 from .common import table
 
+#: The public tokenizer model of the queries; the operators take any path.
+TOKENIZER = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, radius=3)
+    return groups.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 8).select(
@@ -17,13 +46,29 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return topk.top_k(vectors, vectors.where(F.col("id") % 100 == 0), 10)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_language_id": op6_language_id,
     "op7_sharding": op7_sharding,
+    "op8_html_extraction": op8_html_extraction,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_top_k_search": op10_top_k_search,
 }
 
