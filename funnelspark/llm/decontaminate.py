@@ -40,15 +40,11 @@ BROADCAST_WINDOWS = 500_000
 def template_words(text: Column | str) -> Column:
     """array<string>: lower-case words without marks; a leading U+0002 marks a name."""
     c = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    c = F.regexp_replace(c, NAME, " ")
+    c = F.replace(c, F.lit(NAME), F.lit(" "))
     c = F.regexp_replace(c, r"([^.!?\s] )(\p{Lu}\p{Ll})", f"$1{NAME}$2")
     c = F.regexp_replace(c, r"([0-9])[.,]([0-9])", "$1_$2")
     c = F.trim(F.lower(F.regexp_replace(c, rf"[^\p{{L}}\p{{N}}_{NAME}]+", " ")))
-    return F.filter(F.split(c, " "), lambda w: w != "")
-
-
-def _digit(w: Column) -> Column:
-    return (w >= "0") & (w < ":")
+    return F.split(c, " ")  # words stand one space apart; an empty text gives one empty word
 
 
 def slot_types(words: str) -> Column:
@@ -67,7 +63,8 @@ def windows(texts: DataFrame, id_col: str, width: int) -> DataFrame:
     """id, words, types, place, window (a hash): one row per template window."""
     t = texts.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), template_words("text").alias("words"))
     t = t.where(F.size("words") >= width).select("id", "words", slot_types("words").alias("types"))
-    made = F.expr(f"transform(sequence(1, size(types) - {width - 1}), i -> xxhash64(slice(types, i, {width})))")
+    window = ", ".join(f"types[i + {k}]" for k in range(width))
+    made = F.expr(f"transform(sequence(0, size(types) - {width}), i -> xxhash64({window}))")
     return t.select("id", "words", "types", F.posexplode(made).alias("place", "window"))
 
 
@@ -105,4 +102,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: floa
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = SHARE) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item (rows without an id stay)."""
     bad = leaks(docs, benchmark, width, share).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("_bad"), "left_anti")
+    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
