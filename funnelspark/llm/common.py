@@ -30,8 +30,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def crc_mod(doc_id: str | Column, m: int) -> Column:
     """crc32 of the id as text, modulo ``m`` (NULL id: the empty text)."""
-    return F.pmod(F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id,
-                                     F.lit("")).cast("string").cast("binary")), F.lit(m))
+    c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")), F.lit(m))
 
 
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -79,7 +79,7 @@ def train(docs: DataFrame, used, per_lang: int = 400, centroids: int = 4) -> dic
     chosen = (docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & used)
               .select("doc_id", "lang").withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= per_lang)
               .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct())
-    rows = (docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
+    rows = (docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
             .where(F.col("text").isNotNull()).select("doc_id", "lang", "text").collect())
     rows = sorted((r.lang, r.doc_id, r.text) for r in rows)
     parts = [vectors([r[2] for r in rows[i:i + ROWS]]) for i in range(0, len(rows), ROWS)]

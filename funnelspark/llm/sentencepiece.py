@@ -194,8 +194,8 @@ class Encoder:
         count = hi - lo
         at = index.sa[spread(lo, count)]
         token, size = np.repeat(self.made_ids[which], count), np.repeat(self.made_len[which], count)
-        bare = np.array([c for c in index.code if c not in self.v.ids])  # characters without a piece
-        if len(bare):
+        bare = [c for c in index.code if c not in self.v.ids]  # characters without a piece
+        if bare:
             own = np.flatnonzero(np.isin(text, [ord(c) for c in bare]))
             at, token = np.concatenate([at, own]), np.concatenate([token, self.n + text[own].astype(np.int64)])
             size = np.concatenate([size, np.ones(len(own), np.int64)])

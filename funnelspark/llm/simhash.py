@@ -208,5 +208,5 @@ def keep_one(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
     kept = (near_duplicates(docs, size, radius).where(F.col("doc_id") == F.col("component_id"))
             .select(F.col("doc_id").alias("_kept")).distinct())
     named = docs.where(F.col("doc_id").isNotNull())
-    one = named.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    one = named.join(kept, named["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where(F.col("doc_id").isNull()))

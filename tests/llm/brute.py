@@ -38,7 +38,7 @@ def groups(fps, ids, radius=3):
 
 
 def repeats(rows, width=100):
-    """rows: (doc_id, text) in order of their ids -> (n_bytes, n_removed, n_spans, sha256) each."""
+    """rows: (doc_id, text) in order of their ids -> (n_bytes, n_removed, n_spans, sha256, kept bytes) each."""
     seen, out = set(), []
     for _, text in rows:
         b = (text or "").encode()
@@ -50,7 +50,7 @@ def repeats(rows, width=100):
             seen.add(s)
         kept = bytes(x for x, g in zip(b, gone) if not g)
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
-        out.append((len(b), len(b) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((len(b), len(b) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
     return out
 
 
