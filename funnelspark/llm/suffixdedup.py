@@ -39,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,9 @@ WIDTH, NAMED = 100, 44
 V, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 assert {(a - b) % V for a in COVER for b in COVER} == set(range(V)) and NAMED + V - 1 == WIDTH
 #: Packed text of a chunk, and text per sort bucket.
-CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 4 << 20
+CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
+#: Places named at once: a few arrays of them stay in a core's cache.
+TILE = 1 << 15
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 NO_ID = np.iinfo(np.int64).min
 
@@ -77,12 +80,20 @@ def block_names(data: bytes) -> np.ndarray:
     n = len(data) - NAMED + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    word = np.empty(len(data) - 7, np.uint64)  # the 8 bytes from each place on
-    for r in range(8):
-        k = (len(data) - r) // 8
-        word[r::8] = np.frombuffer(data, "<u8", k, r)[:len(word[r::8])]
-    # 16-byte blocks at 0, 14 and 28
-    return _mix(*(word[d:d + n] for d in (0, 8, 14, 22, 28, 36)))
+    word = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))  # the 8 bytes from each place on
+    out = np.empty(n, np.uint64)
+    for lo in range(0, n, TILE):
+        hi = min(n, lo + TILE)
+        w = word[lo:hi + NAMED - 8].copy()
+        out[lo:hi] = _mix(*(w[d:d + hi - lo] for d in (0, 8, 14, 22, 28, 36)))  # 16-byte blocks at 0, 14 and 28
+    return out
+
+
+def _firsts(values: np.ndarray) -> np.ndarray:
+    """Place of the first occurrence of each distinct value."""
+    order = np.argsort(values)
+    new = np.flatnonzero(np.diff(values[order], prepend=~values[order][:1]))
+    return np.minimum.reduceat(order, new) if len(values) else order
 
 
 class Chunk:
@@ -101,6 +112,7 @@ class Chunk:
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         return np.repeat(self.starts, n) + pattern[at]
 
+    @cached_property
     def level1(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The chunk's distinct sampled names by bucket: (names, bucket, whether
         it repeats within the chunk, places of all samples)."""
@@ -112,10 +124,10 @@ class Chunk:
 
     def level2(self, repeated: np.ndarray, copies: np.ndarray):
         """Places whose 100-byte names are to be merged.  ``repeated``: bits of
-        the level-1 names, in level1()'s order; ``copies``: texts to leave out.
+        the level-1 names, in the order of level1; ``copies``: texts to leave out.
         Returns (places, names, buckets, texts) of first occurrences by bucket,
         and the places that repeat an earlier one of this chunk."""
-        names, _, own, at = self.level1()
+        names, _, own, at = self.level1
         left = np.sort(names[repeated | own])
         n = len(self.data)
         near = np.zeros(n + 1, np.int32)
@@ -131,9 +143,8 @@ class Chunk:
         place = np.flatnonzero((np.cumsum(near[:-1]) > 0) & (np.cumsum(room[:-1]) > 0))
         parts = [self.names[place + d] for d in (0, 28, 56)]
         name = _mix(*parts)
-        _, first = np.unique(name, return_index=True)
         is_first = np.zeros(len(place), bool)
-        is_first[first] = True
+        is_first[_firsts(name)] = True
         again, place, name = place[~is_first], place[is_first], name[is_first]
         bucket = _mix(*(p[is_first] for p in parts), key=K2) % np.uint64(self.n_buckets)
         order = np.argsort(bucket.astype(np.uint16) if self.n_buckets <= 65536 else bucket, kind="stable")
@@ -219,7 +230,7 @@ def removals(docs: DataFrame, output: str) -> DataFrame:
     def send1(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, c in opened(batch):
-                names, bucket, _, _ = c.level1()
+                names, bucket, _, _ = c.level1
                 rest = names.astype(np.uint32)  # the bucket holds more of the name
                 runs = _runs(bucket)
                 yield pa.RecordBatch.from_arrays(
@@ -239,7 +250,7 @@ def removals(docs: DataFrame, output: str) -> DataFrame:
     def send2(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, c in opened(batch):
-                repeated = _unpack(row["first"], c.level1()[1])
+                repeated = _unpack(row["first"], c.level1[1])
                 _, name, bucket, text, _ = c.level2(repeated, np.array(row["later"] or [], np.int64))
                 out = [[], [], [], []]
                 for b, i, j in _runs(bucket):
@@ -258,7 +269,7 @@ def removals(docs: DataFrame, output: str) -> DataFrame:
         names = np.concatenate(parts)
         # Order of the suffixes: the id, then chunk and place in it (the order here).
         rank = (np.unique(ids, return_inverse=True)[1].astype(np.int64) << 32) + np.arange(len(ids))
-        order = np.argsort(names, kind="stable")
+        order = np.argsort(names)
         new = np.flatnonzero(np.diff(names[order], prepend=~names[order][:1]))
         least = np.minimum.reduceat(rank[order], new)
         later = np.empty(len(names), bool)
@@ -290,7 +301,7 @@ def removals(docs: DataFrame, output: str) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, (row, c) in enumerate(opened(batch)):
-                repeated, copies = _unpack(row["first"], c.level1()[1]), np.array(row["later"] or [], np.int64)
+                repeated, copies = _unpack(row["first"], c.level1[1]), np.array(row["later"] or [], np.int64)
                 place, _, bucket, _, again = c.level2(repeated, copies)
                 start = np.concatenate([place[_unpack(row["second"], bucket)], again])
                 cover = np.zeros(len(c.data) + 1, np.int32)
