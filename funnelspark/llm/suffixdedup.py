@@ -26,7 +26,7 @@ by chunk, so the texts are never shuffled.  A chunk sends each of its names
 once (its own repeats are settled in place, which keeps a passage that a third
 of all rows share from meeting in one task), packed into one binary row per
 bucket, and gets one bit per name back.  Rows that are whole copies of an
-earlier one are found by their SHA-256 and send nothing at level 2.
+earlier one are found by their SHA-256 first and send nothing.
 
 Defined results: NULL and empty texts have 0 bytes; texts under 100 bytes are
 never cut; "earlier" means the smaller id, a NULL id being the smallest, and
@@ -57,7 +57,7 @@ WIDTH, NAMED = 100, 44
 V, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 assert {(a - b) % V for a in COVER for b in COVER} == set(range(V)) and NAMED + V - 1 == WIDTH
 #: Packed text of a chunk, and text per sort bucket.
-CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
+CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
 #: Places named at once: a few arrays of them stay in a core's cache.
 TILE = 1 << 15
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -99,16 +99,18 @@ def _firsts(values: np.ndarray) -> np.ndarray:
 class Chunk:
     """A packed chunk: texts end to end in order of their ids."""
 
-    def __init__(self, data: bytes, lens: np.ndarray, ids: np.ndarray, n_buckets: int):
-        self.data, self.lens, self.ids, self.n_buckets = data, lens, ids, n_buckets
+    def __init__(self, data: bytes, lens: np.ndarray, ids: np.ndarray, copies: np.ndarray, n_buckets: int):
+        self.data, self.lens, self.ids, self.copies, self.n_buckets = data, lens, ids, copies, n_buckets
         self.starts = np.cumsum(lens) - lens
         self.names = block_names(data)
 
     def sampled(self) -> np.ndarray:
-        """Places of the cover, counted from each text's start, whose 44 bytes lie in the text."""
+        """Places of the cover, counted from each text's start, whose 44 bytes
+        lie in the text; none of whole copies."""
         top = int(self.lens.max()) if len(self.lens) else 0
         pattern = np.sort(np.concatenate([np.arange(c, max(top, 1), V) for c in COVER]))
         n = np.searchsorted(pattern, np.maximum(self.lens - NAMED + 1, 0))
+        n[self.copies] = 0
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         return np.repeat(self.starts, n) + pattern[at]
 
@@ -122,9 +124,9 @@ class Chunk:
         order = np.argsort(bucket, kind="stable")
         return names[order], bucket[order], counts[order] > 1, at
 
-    def level2(self, repeated: np.ndarray, copies: np.ndarray):
+    def level2(self, repeated: np.ndarray):
         """Places whose 100-byte names are to be merged.  ``repeated``: bits of
-        the level-1 names, in the order of level1; ``copies``: texts to leave out.
+        the level-1 names, in the order of level1.
         Returns (places, names, buckets, texts) of first occurrences by bucket,
         and the places that repeat an earlier one of this chunk."""
         names, _, own, at = self.level1
@@ -137,10 +139,13 @@ class Chunk:
             np.add.at(near, hit + 1, -1)
         room = np.zeros(n + 1, np.int32)  # places with 100 bytes of their text ahead
         fit = self.lens >= WIDTH
-        fit[copies] = False
+        fit[self.copies] = False
         np.add.at(room, self.starts[fit], 1)
         np.add.at(room, (self.starts + self.lens)[fit] - WIDTH + 1, -1)
-        place = np.flatnonzero((np.cumsum(near[:-1]) > 0) & (np.cumsum(room[:-1]) > 0))
+        np.cumsum(near, out=near)
+        np.cumsum(room, out=room)
+        place = np.flatnonzero((near[:n] > 0) & (room[:n] > 0))
+        del near, room
         parts = [self.names[place + d] for d in (0, 28, 56)]
         name = _mix(*parts)
         is_first = np.zeros(len(place), bool)
@@ -173,8 +178,8 @@ def _unpack(answers: list[dict] | None, bucket: np.ndarray) -> np.ndarray:
 
 
 def pack(docs: DataFrame) -> DataFrame:
-    """The chunk table: chunk, data (texts end to end as UTF-8), lens, sha, and
-    a list column ``c<i>`` for each other column of ``docs``; bucketed by chunk."""
+    """The chunk table: chunk, data (texts end to end as UTF-8), lens, sha (128
+    bits of the SHA-256 of each), and a list column ``c<i>`` for each other column of ``docs``; bucketed by chunk."""
     spark = docs.sparkSession
     others = [c for c in docs.columns if c != "text"]
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -192,7 +197,7 @@ def pack(docs: DataFrame) -> DataFrame:
                 order = pc.sort_indices(part.column(id_at), null_placement="at_start")
                 part = part.take(order)
                 texts = [t or b"" for t in part.column(0).to_pylist()]
-                one = [[number], [b"".join(texts)], [[len(t) for t in texts]], [[hashlib.sha256(t).digest() for t in texts]]]
+                one = [[number], [b"".join(texts)], [[len(t) for t in texts]], [[hashlib.sha256(t).digest()[:16] for t in texts]]]
                 lists = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), c) for c in part.columns[1:]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(one[0], pa.int64()), pa.array(one[1], pa.binary()), pa.array(one[2], pa.list_(pa.int32())),
@@ -201,7 +206,7 @@ def pack(docs: DataFrame) -> DataFrame:
 
     name = f"chunks_{uuid.uuid4().hex}"
     (source.mapInArrow(run, schema).write.bucketBy(max(8, min(4096, n_bytes // CHUNK_BYTES)), "chunk")
-     .option("compression", "zstd").option("path", shared_table_path(spark, "chunks")).saveAsTable(name))
+     .option("compression", "zstd").option("parquet.compression.codec.zstd.level", "6").option("path", shared_table_path(spark, "chunks")).saveAsTable(name))
     return spark.table(name)
 
 
@@ -224,8 +229,8 @@ def removals(docs: DataFrame, output: str) -> DataFrame:
     def opened(batch: pa.RecordBatch) -> Iterator[tuple[dict, Chunk]]:
         for i in range(batch.num_rows):
             row = {k: batch.column(k)[i].as_py() for k in batch.schema.names if k in ("chunk", "lens", "first", "second", "later")}
-            ids = _ids(batch.column(id_col)[i].as_py())
-            yield row, Chunk(batch.column("data")[i].as_py(), np.array(row["lens"], np.int64), ids, n_buckets)
+            ids, copies = _ids(batch.column(id_col)[i].as_py()), np.array(row["later"] or [], np.int64)
+            yield row, Chunk(batch.column("data")[i].as_py(), np.array(row["lens"], np.int64), ids, copies, n_buckets)
 
     def send1(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,7 +256,7 @@ def removals(docs: DataFrame, output: str) -> DataFrame:
         for batch in batches:
             for row, c in opened(batch):
                 repeated = _unpack(row["first"], c.level1[1])
-                _, name, bucket, text, _ = c.level2(repeated, np.array(row["later"] or [], np.int64))
+                _, name, bucket, text, _ = c.level2(repeated)
                 out = [[], [], [], []]
                 for b, i, j in _runs(bucket):
                     cut = np.append(np.flatnonzero(np.diff(text[i:j], prepend=-1)), j - i)
@@ -282,15 +287,16 @@ def removals(docs: DataFrame, output: str) -> DataFrame:
                 .agg(F.collect_list(F.struct("bucket", "bits")).alias(column)))
 
     base = chunks.select("chunk", "data", "lens", id_col)
-    first = answers(base.mapInArrow(send1, "chunk long, bucket int, names binary"), sort1, "first")
     # Whole copies: per SHA-256 the earliest row stays.
     rows = (chunks.select("chunk", F.posexplode(F.arrays_zip("sha", "lens", F.col(id_col).alias("id"))).alias("place", "x"))
-            .select("chunk", "place", "x.sha", F.coalesce(F.col("x.id").cast("long"), F.lit(NO_ID)).alias("id"), "x.lens")
-            .where(F.col("lens") >= WIDTH))
+            .where(F.col("x.lens") >= WIDTH)
+            .select("chunk", "place", "x.sha", F.coalesce(F.col("x.id").cast("long"), F.lit(NO_ID)).alias("id")))
     earliest = rows.groupBy("sha").agg(F.min(F.struct("id", "chunk", "place")).alias("e"), F.count("*").alias("n")).where("n > 1")
     later = (rows.join(earliest, "sha").where(F.struct("id", "chunk", "place") != F.col("e"))
              .groupBy("chunk").agg(F.collect_list("place").alias("later")))
-    with_first = base.join(first, "chunk", "left").join(later, "chunk", "left")
+    base = base.join(later, "chunk", "left")
+    first = answers(base.mapInArrow(send1, "chunk long, bucket int, names binary"), sort1, "first")
+    with_first = base.join(first, "chunk", "left")
     second = answers(with_first.mapInArrow(send2, "chunk long, bucket int, names binary, ids binary, runs binary"), sort2, "second")
 
     fields = [f for f in docs.schema.fields if f.name != "text"]
@@ -301,14 +307,14 @@ def removals(docs: DataFrame, output: str) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, (row, c) in enumerate(opened(batch)):
-                repeated, copies = _unpack(row["first"], c.level1[1]), np.array(row["later"] or [], np.int64)
-                place, _, bucket, _, again = c.level2(repeated, copies)
+                place, _, bucket, _, again = c.level2(_unpack(row["first"], c.level1[1]))
                 start = np.concatenate([place[_unpack(row["second"], bucket)], again])
                 cover = np.zeros(len(c.data) + 1, np.int32)
                 np.add.at(cover, start, 1)
                 np.add.at(cover, start + WIDTH, -1)
-                gone = np.cumsum(cover[:-1]) > 0
-                for k in copies:
+                np.cumsum(cover, out=cover)
+                gone = cover[:-1] > 0
+                for k in c.copies:
                     gone[c.starts[k]:c.starts[k] + c.lens[k]] = True
                 raw = np.frombuffer(c.data, np.uint8)
                 kept, spans = [], []
@@ -329,8 +335,8 @@ def removals(docs: DataFrame, output: str) -> DataFrame:
                         cols["n_chars"] = pa.array([len(t) for t in text]).cast(cols["n_chars"].type)
                     yield pa.RecordBatch.from_arrays([cols[f.name] for f in schema.fields], schema.fieldNames())
 
-    all_cols = chunks.drop("sha") if output == "rows" else base
-    return (all_cols.join(first, "chunk", "left").join(later, "chunk", "left").join(second, "chunk", "left").mapInArrow(cut, schema))
+    every = chunks.drop("sha").join(later, "chunk", "left") if output == "rows" else base
+    return every.join(first, "chunk", "left").join(second, "chunk", "left").mapInArrow(cut, schema)
 
 
 def dedup_digest(docs: DataFrame) -> DataFrame:
