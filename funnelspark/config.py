@@ -1,14 +1,14 @@
 """Run parameters and the event vocabularies the metrics are defined over.
 
-Everything a metric needs to know about the programme (which events form the
-funnel, which events play which role in a KPI, which pilots exist) is passed in
-through :class:`Params`; no operator hard-codes an event name.
+What a run may change (funnel steps, event dictionary, pilots, agency, period,
+dates) is passed in through :class:`Params`.  The event names, the roles events
+play in the cards, trend and weekly KPIs, and the titles are constants here.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values: event names of the verification flow ----------------------
 # These are the event names the report metrics are defined over; they must equal
@@ -35,8 +35,8 @@ BAN_LOOKUP: tuple[tuple[str, str], ...] = (
 # Standard report, daily trend: event -> series title (also the series order).
 TREND_LOOKUP: tuple[tuple[str, str], ...] = (
     ("CaseworkerInvitedApplicantToFlow", "Invitations Sent to Applicants"),
-    ("ApplicantViewedAgreement", "Emmy Sessions Started"),
-    ("ApplicantSharedIncomeSummary", "Emmy Sessions Completed"),
+    ("ApplicantViewedAgreement", "Sessions Started"),
+    ("ApplicantSharedIncomeSummary", "Sessions Completed"),
 )
 
 # Weekly dashboard: event -> KPI role (two events share the role "help").
@@ -146,7 +146,7 @@ DASHBOARD_CARDS: tuple[tuple[str, str, str], ...] = (
     ("applicants", "share_login_success", "Successful Account Logins"),
     ("applicants", "n_multi_employers", "Multi Employer Submissions"),
     ("events", "share_search_missing", "Missing Search Results"),
-    ("events", "n_copied_invite", "Copied Invitiation Link"),
+    ("events", "n_copied_invite", "Copied Invitation Link"),
 )
 
 NOT_CAPTURED = "[not captured]"
@@ -168,8 +168,9 @@ class Pilot:
 class Params:
     """Parameters of one report run.
 
-    ``as_of`` replaces the wall clock ("today"); when ``None`` the latest event
-    date in the data is used, so a rerun on the same data gives the same tables.
+    ``as_of`` replaces the wall clock ("today") in the trend and in the
+    extraction and lookback windows; when ``None`` the latest event date in the
+    data is used, so a rerun on the same data gives the same tables.
     """
 
     agency: str = "tst"
@@ -189,9 +190,6 @@ class Params:
     approx: bool = False
     approx_accuracy: int = 10_000      # percentile_approx accuracy
     approx_rsd: float = 0.05           # approx_count_distinct relative standard error
-    # Cut-off above which a lookup/dimension is joined by shuffle, not broadcast.
-    broadcast_max_rows: int = 100_000
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":
         from dataclasses import replace
@@ -199,7 +197,8 @@ class Params:
         return replace(self, **kw)
 
 
-# Pilot calendar of the driver's synthetic programme (see FIXTURES.md §4).
+# Agency and pilot calendar of the test data's programme (see FIXTURES.md §4).
+TEST_AGENCY = "tst"
 TEST_PILOTS: tuple[Pilot, ...] = (
     Pilot("Testland", "tst", "Pilot A", dt.date(2024, 1, 1), dt.date(2024, 1, 14)),
     Pilot("Testland", "tst", "Pilot B", dt.date(2024, 1, 16), dt.date(2024, 1, 29)),

@@ -36,11 +36,6 @@ def n_distinct_keep_null(col: Column | str) -> Column:
     return (F.count_distinct(c) + F.max(c.isNull().cast("int"))).cast("bigint")
 
 
-def count_distinct_when(cond: Column, col: Column | str) -> Column:
-    """Distinct count of ``col`` over rows where ``cond`` holds."""
-    return F.count_distinct(F.when(cond, _c(col)))
-
-
 def ratio(num: Column | str, den: Column | str) -> Column:
     """Ratio that is NULL (not an error, inf or NaN) when the denominator is
     zero or NULL (A16)."""
@@ -49,8 +44,3 @@ def ratio(num: Column | str, den: Column | str) -> Column:
 
 def fill_null(col: Column | str, value) -> Column:
     return F.coalesce(_c(col), F.lit(value))
-
-
-def if_else(cond: Column, yes: Column, no: Column) -> Column:
-    """R ``ifelse``: a NULL condition gives NULL rather than the else branch."""
-    return F.when(cond.isNull(), F.lit(None)).when(cond, yes).otherwise(no)

@@ -1,21 +1,21 @@
 """Exact grouped quantiles with linear interpolation (R type 7, DuckDB
-``quantile_cont``), safe for groups of any size.
+``quantile_cont``), one path for groups of any size.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 task's buffer; a group holding a third of the data would not fit.  Here the
 order statistics a quantile needs (ranks ``floor(h)+1`` and ``ceil(h)+1`` with
-``h = (n-1)p``) are found instead:
-
-* groups with at most ``exact_rows`` values: one window sort per group (when
-  every group is that small -- the usual case -- the whole operator is one
-  shuffle: window rank, then an aggregate on the same partitioning);
-* larger groups: histogram refinement.  Each round counts the group's values
-  in ``buckets`` equal-width bins over the current candidate range (a map-side
-  combined aggregate: its size is bounded by targets x buckets, whatever the
-  group size), keeps the bin that holds the wanted rank, and narrows the range
-  to that bin's actual [min, max].  The candidate set shrinks every round; once
-  it holds one distinct value, or at most ``exact_rows`` values, the rank is
-  read off directly.
+``h = (n-1)p``) are found in two passes:
+
+1. a histogram per group over bins of the value's logarithm (``BINS`` to a
+   factor of e, by sign): map-side combined, and as fine for seconds as for far
+   outliers.  Its running total tells the bin each wanted rank lies in;
+2. only the values of those bins (at most two per quantile and group) are
+   counted by distinct value, and a running total inside the bin gives the rank.
+
+The wanted bins, at most ``2 * len(probs)`` rows per group, are broadcast to the
+second pass, so values are never joined by shuffle; a run with more than
+``MAX_GROUPS`` groups is refused rather than broadcast.  No job runs while the
+frame is built, and there are no rounds.
 
 Interpolation is ``lo + (hi - lo) * (h - floor(h))``.
 """
@@ -27,124 +27,58 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 from .keys import join_null_safe
 
-EXACT_ROWS = 1_000_000
-BUCKETS = 1 << 16
+BINS = 512
+MAX_GROUPS = 1_000_000
 
 
 def _h(n: Column, p: float) -> Column:
     return (n - F.lit(1)).cast("double") * F.lit(float(p))
 
 
-def _pending(state: DataFrame, exact_rows: int) -> DataFrame:
-    return state.where((F.col("_hi") > F.col("_lo")) & (F.col("_cnt") > exact_rows))
-
-
-def _refine(values: DataFrame, keys: list[str], state: DataFrame, exact_rows: int, buckets: int,
-            max_rounds: int) -> DataFrame:
-    """Narrow ``state`` (keys, _rank, _lo, _hi, _below, _cnt) until every target
-    is a single value or a small candidate set."""
-    for _ in range(max_rounds):
-        pending = _pending(state, exact_rows)
-        if pending.limit(1).count() == 0:
-            return state
-        settled = join_null_safe(state, pending.select(*keys, "_rank"), [*keys, "_rank"], "left_anti")
-        rows = join_null_safe(values, pending, keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        b = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(buckets))),
-                    F.lit(buckets - 1)).cast("int")
-        hist = (rows.groupBy(*keys, "_rank", "_below", b.alias("_b"))
-                .agg(F.count("*").alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")))
-        w = Window.partitionBy(*keys, "_rank").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-        hist = hist.withColumn("_cum", F.sum("_c").over(w))
-        start = F.col("_below") + F.col("_cum") - F.col("_c")
-        chosen = hist.where((start < F.col("_rank")) & (F.col("_rank") <= F.col("_below") + F.col("_cum"))).select(
-            *keys, "_rank", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"), start.alias("_below"),
-            F.col("_c").alias("_cnt"))
-        state = settled.unionByName(chosen).checkpoint()
-    raise RuntimeError("quantile refinement did not converge")
-
-
-def _interpolate(n: Column, lo: Column, hi: Column, p: float) -> Column:
-    h = _h(n, p)
-    return lo + (hi - lo) * (h - F.floor(h))
-
-
-def _sorted_groups(values: DataFrame, keys: list[str], probs: Mapping[str, float], with_stats: bool) -> DataFrame:
-    """All groups small: one shuffle.  Rows are ranked inside their group by a
-    window, and the aggregate on the same keys (no further shuffle: the data is
-    already partitioned by them) picks the two order statistics per quantile."""
-    w = Window.partitionBy(*keys).orderBy("_v")
-    ranked = values.withColumn("_rn", F.row_number().over(w)).withColumn(
-        "_cnt", F.count("*").over(Window.partitionBy(*keys)))
-    picks = []
-    for name, p in probs.items():
-        h = _h(F.col("_cnt"), p)
-        picks += [F.max(F.when(F.col("_rn") == F.floor(h) + 1, F.col("_v"))).alias(f"_lo_{name}"),
-                  F.max(F.when(F.col("_rn") == F.ceil(h) + 1, F.col("_v"))).alias(f"_hi_{name}")]
-    agg = ranked.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_min"),
-                                    F.max("_v").alias("_max"), *picks)
-    cols = [F.col(k) for k in keys]
-    if with_stats:
-        cols += [F.col("_n").alias("n"), F.col("_min").alias("min"), F.col("_max").alias("max")]
-    cols += [_interpolate(F.col("_n"), F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), p).alias(name)
-             for name, p in probs.items()]
-    return agg.select(*cols)
+def _bin(v: Column) -> Column:
+    """Never falls as the value grows: sign and floor of the scaled logarithm."""
+    size = F.floor(F.least(F.log(F.abs(v)), F.lit(710.0)) * F.lit(float(BINS))) + F.lit(1_000_000)  # > 0 for every double
+    return F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size).cast("bigint")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], *,
-                    exact_rows: int = EXACT_ROWS, buckets: int = BUCKETS, max_rounds: int = 256,
                     with_stats: bool = True) -> DataFrame:
     """One row per group of ``keys``: ``n, min, max`` (if ``with_stats``) and
     one column per entry of ``probs``.  NULL/NaN values are ignored; groups with
     no value are absent."""
     keys = list(keys)
-    values = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    stats = values.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_min"),
-                                      F.max("_v").alias("_max"))
-    # One scalar to the driver: does any group need the refinement path?
-    largest = stats.agg(F.max("_n")).first()[0] or 0
-    if largest <= exact_rows:
-        return _sorted_groups(values, keys, probs, with_stats)
-    ranks = []
-    for p in probs.values():
-        ranks += [F.floor(_h(F.col("_n"), p)) + 1, F.ceil(_h(F.col("_n"), p)) + 1]
-    targets = stats.select(*keys, "_n", "_min", "_max",
-                           F.explode(F.array_distinct(F.array(*[r.cast("bigint") for r in ranks]))).alias("_rank"))
-
-    # Small groups: rank by a per-group sort.
-    small = targets.where(F.col("_n") <= exact_rows)
-    small_vals = join_null_safe(values, small.select(*keys).distinct(), keys, "left_semi")
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy("_v"))
-    small_ranked = small_vals.withColumn("_rn", rn.cast("bigint"))
-    found_small = join_null_safe(small_ranked, small.select(*keys, F.col("_rank").alias("_rn")), [*keys, "_rn"]) \
-        .select(*keys, F.col("_rn").alias("_rank"), "_v")
-
-    # Large groups: histogram refinement, then rank inside the final candidates.
-    big = targets.where(F.col("_n") > exact_rows)
-    if largest > exact_rows:
-        state = big.select(*keys, "_rank", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"),
-                           F.lit(0).cast("bigint").alias("_below"), F.col("_n").alias("_cnt"))
-        ensure_checkpoint_dir(df.sparkSession)
-        state = _refine(values, keys, state.checkpoint(), exact_rows, buckets, max_rounds)
-        single = state.where(F.col("_lo") == F.col("_hi")).select(*keys, "_rank", F.col("_lo").alias("_v"))
-        rest = state.where(F.col("_hi") > F.col("_lo"))
-        cand = join_null_safe(values, rest, keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        wr = Window.partitionBy(*keys, "_rank").orderBy("_v")
-        picked = cand.withColumn("_rn", F.row_number().over(wr) + F.col("_below")) \
-            .where(F.col("_rn") == F.col("_rank")).select(*keys, "_rank", "_v")
-        found = found_small.unionByName(single).unionByName(picked)
-    else:
-        found = found_small
-
-    by_group = found.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"))
-    out = join_null_safe(stats, by_group, keys)
+    v = F.col(value).cast("double")
+    values = df.select(*keys, F.when(v == 0, F.lit(0.0)).otherwise(v).alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v")).withColumn("_bin", _bin(F.col("_v")))
+    hist = values.groupBy(*keys, "_bin").agg(F.count("*").alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    w = Window.partitionBy(*keys)
+    upto = w.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumns({
+        "_n": F.sum("_c").over(w), "_lo": F.min("_min").over(w), "_hi": F.max("_max").over(w),
+        "_before": F.sum("_c").over(upto) - F.col("_c")})
+    ranks = F.array_distinct(F.array(*[r.cast("bigint") for p in probs.values()
+                                       for r in (F.floor(_h(F.col("_n"), p)) + 1, F.ceil(_h(F.col("_n"), p)) + 1)]))
+    inside = F.filter(ranks, lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_c")))
+    wanted = hist.withColumn("_ranks", inside).where(F.size("_ranks") > 0).select(
+        *keys, "_bin", "_before", "_n", "_lo", "_hi", "_ranks")
+    # The bound of the broadcast, checked where it is made (a few rows per group).
+    few = F.col("_rows") <= F.lit(MAX_GROUPS * 2 * len(probs))
+    wanted = wanted.withColumn("_rows", F.count("*").over(Window.partitionBy())).where(
+        F.assert_true(few, "too many groups for exact quantiles").isNull()).drop("_rows")
+
+    counts = join_null_safe(values, F.broadcast(wanted), [*keys, "_bin"]).groupBy(
+        *keys, "_bin", "_before", "_n", "_lo", "_hi", "_ranks", "_v").agg(F.count("*").alias("_c"))
+    wv = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("_upto", F.sum("_c").over(wv) + F.col("_before"))
+    hit = F.filter("_ranks", lambda r: (r > F.col("_upto") - F.col("_c")) & (r <= F.col("_upto")))
+    found = counts.select(*keys, "_n", "_lo", "_hi", "_v", F.explode(hit).alias("_rank"))
+    # Per group at most two entries for each quantile.
+    out = found.groupBy(*keys, "_n", "_lo", "_hi").agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"))
     cols = [F.col(k) for k in keys]
     if with_stats:
-        cols += [F.col("_n").alias("n"), F.col("_min").alias("min"), F.col("_max").alias("max")]
+        cols += [F.col("_n").alias("n"), F.col("_lo").alias("min"), F.col("_hi").alias("max")]
     for name, p in probs.items():
         h = _h(F.col("_n"), p)
         lo = F.element_at(F.col("_m"), (F.floor(h) + 1).cast("bigint"))

@@ -32,17 +32,19 @@ def sample_cutoff(df: DataFrame, key: str, share: float, seed: str) -> DataFrame
     k = df.select(key).where(F.col(key).isNotNull()).distinct() \
         .withColumn("_h", hash_order(F.col(key), seed)) \
         .withColumn("_b", F.substring("_h", 1, HASH_PREFIX))
-    take = F.floor(k.agg(F.count("*")).scalar().cast("double") * F.lit(float(share)))
     hist = k.groupBy("_b").agg(F.count("*").alias("_c"))
-    # <= 65,536 rows: the running total over buckets is a bounded window.
-    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn("_before", F.col("_cum") - F.col("_c"))
-    edge = hist.where((F.col("_before") < take) & (F.col("_cum") >= take)).select("_b", "_before")
+    # <= 65,536 rows: total and running total over buckets are bounded windows.
+    w = Window.orderBy("_b")
+    total = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    hist = hist.withColumn("_take", F.floor(total.cast("double") * F.lit(float(share)))) \
+        .withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))) \
+        .withColumn("_before", F.col("_cum") - F.col("_c"))
+    edge = hist.where((F.col("_before") < F.col("_take")) & (F.col("_cum") >= F.col("_take"))).select("_b", "_before", "_take")
     # Only the keys of the one bucket holding the cut are ranked.
     cand = k.join(F.broadcast(edge), "_b")
     wr = Window.partitionBy("_b").orderBy("_h", key)
     return (cand.withColumn("_r", F.row_number().over(wr))
-            .where(F.col("_before") + F.col("_r") == take)
+            .where(F.col("_before") + F.col("_r") == F.col("_take"))
             .select("_h", F.col(key).alias("_k")))
 
 

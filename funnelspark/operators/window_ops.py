@@ -8,7 +8,7 @@ Hot keys: a key holding a large share of the rows would put all of them in one
 task.  Keys whose row count (estimated from a deterministic hash sample of the
 rows, so the split is identical on every re-execution) reaches ``hot_rows`` go
 through a chunked path instead: rows are cut into chunks that follow the
-window order (e.g. person and minute of the event), the operator runs inside
+window order (e.g. person and second of the event), the operator runs inside
 each chunk, and only the rows at chunk borders are completed from a per-chunk
 summary (first / last values), whose size is the number of chunks, not rows.
 
@@ -29,14 +29,15 @@ HOT_ROWS = 2_000_000          # a key with this many rows takes the chunked path
 SAMPLE_PER_MILLE = 10          # rows sampled to estimate key sizes (1%)
 
 
-def _hot_split(df: DataFrame, keys: Sequence[str], hot_rows: int, sample_per_mille: int,
-               row_id: Sequence[Column]) -> tuple[DataFrame, DataFrame | None]:
+def _hot_split(df: DataFrame, keys: Sequence[str], hot_rows: int, sample_per_mille: int
+               ) -> tuple[DataFrame, DataFrame | None]:
     """(cold rows, hot rows or None when no key is hot).  The sample is a hash
-    of row identity columns, so it is the same under any partitioning or task
-    retry.  One small action decides whether the chunked branch is needed at
-    all; without hot keys the plan is the plain single-window plan."""
+    of the whole row, so it is the same under any partitioning or task retry and
+    does not depend on an id being there.  One small action decides whether the
+    chunked branch is needed at all; without hot keys the plan is the plain
+    single-window plan.  Either way gives the same rows."""
     keys = list(keys)
-    pick = F.pmod(F.xxhash64(*row_id), F.lit(1000)) < sample_per_mille
+    pick = F.pmod(F.xxhash64(*df.columns), F.lit(1000)) < sample_per_mille
     est = (df.where(pick).groupBy(*keys).agg(F.count("*").alias("_sampled"))
            .where(F.col("_sampled") * F.lit(1000.0 / sample_per_mille) >= hot_rows)
            .select(*keys, F.lit(True).alias("_hot")))
@@ -51,8 +52,7 @@ def _hot_split(df: DataFrame, keys: Sequence[str], hot_rows: int, sample_per_mil
 
 
 def lead_within(df: DataFrame, key: str, order: Sequence[Column], value: str, out: str,
-                keep: Column | None = None, *, chunks: Sequence[Column] | None = None,
-                row_id: Sequence[Column] | None = None, hot_rows: int = HOT_ROWS,
+                keep: Column | None = None, *, chunks: Sequence[Column] | None = None, hot_rows: int = HOT_ROWS,
                 sample_per_mille: int = SAMPLE_PER_MILLE) -> DataFrame:
     """``out`` = ``value`` of the next row of the same ``key`` in ``order``;
     NULL for the last row and for rows with a NULL key.  ``keep`` filters the
@@ -67,7 +67,7 @@ def lead_within(df: DataFrame, key: str, order: Sequence[Column], value: str, ou
     if chunks is None:
         led = with_key.withColumn(out, F.lead(value).over(w))
     else:
-        cold, hot = _hot_split(with_key, [key], hot_rows, sample_per_mille, row_id or [F.col(key)])
+        cold, hot = _hot_split(with_key, [key], hot_rows, sample_per_mille)
         led = cold.withColumn(out, F.lead(value).over(w))
         if hot is not None:
             led = led.unionByName(_chunked_lead(hot, key, chunks, order, value, out))
@@ -101,8 +101,7 @@ def _chunked_lead(hot: DataFrame, key: str, chunks: Sequence[Column], order: Seq
 
 
 def fill_updown(df: DataFrame, keys: Sequence[str], order: Sequence[Column], cols: Sequence[str], *,
-                chunks: Sequence[Column] | None = None, row_id: Sequence[Column] | None = None,
-                hot_rows: int = HOT_ROWS, sample_per_mille: int = SAMPLE_PER_MILLE) -> DataFrame:
+                chunks: Sequence[Column] | None = None, hot_rows: int = HOT_ROWS, sample_per_mille: int = SAMPLE_PER_MILLE) -> DataFrame:
     """tidyr ``fill(.direction = "updown")``: a NULL takes the next non-NULL
     value of its group (in ``order``), else the previous one.  NULL keys form a
     group, as in R's ``group_by``.  ``chunks`` enables the hot-key path (see
@@ -110,7 +109,7 @@ def fill_updown(df: DataFrame, keys: Sequence[str], order: Sequence[Column], col
     keys = list(keys)
     if chunks is None:
         return _fill_plain(df, keys, order, cols)
-    cold, hot = _hot_split(df, keys, hot_rows, sample_per_mille, row_id or [F.col(k) for k in keys])
+    cold, hot = _hot_split(df, keys, hot_rows, sample_per_mille)
     out = _fill_plain(cold, keys, order, cols)
     return out if hot is None else out.unionByName(_fill_chunked(hot, keys, chunks, order, cols))
 

@@ -9,8 +9,116 @@ functions (``round_even``, ``printf``, ``format``).
 
 from __future__ import annotations
 
-from . import config as C
-from .sources.driver_events import SEARCH_TEXTS
+
+class C:
+    """Fixed values of the test data's programme, written out here so that the
+    oracle does not share them with the code it checks."""
+
+    CASEWORKER_INVITED = 'CaseworkerInvitedApplicantToFlow'
+    VIEWED_AGREEMENT = 'ApplicantViewedAgreement'
+    SHARED_INCOME_SUMMARY = 'ApplicantSharedIncomeSummary'
+    SEARCHED_EMPLOYER = 'ApplicantSearchedForEmployer'
+    MISSING_RESULTS = 'ApplicantAccessedMissingResultsPage'
+    SELECTED_EMPLOYER = 'ApplicantSelectedEmployerOrPlatformItem'
+    FINISHED_SYNC = 'ApplicantFinishedSync'
+    CLICKED_INVITATION = 'ApplicantClickedCBVInvitationLink'
+    CLICKED_GENERIC = 'ApplicantClickedGenericLink'
+    BAN_LOOKUP = (('ApplicantViewedAgreement', 'n_started'),
+         ('ApplicantSharedIncomeSummary', 'n_completed'),
+         ('ApplicantSearchedForEmployer', 'n_searches'),
+         ('ApplicantAccessedMissingResultsPage', 'n_searches_missing'))
+    TREND_LOOKUP = (('CaseworkerInvitedApplicantToFlow', 'Invitations Sent to Applicants'),
+         ('ApplicantViewedAgreement', 'Sessions Started'),
+         ('ApplicantSharedIncomeSummary', 'Sessions Completed'))
+    WEEKLY_LOOKUP = (('ApplicantClickedCBVInvitationLink', 'initiation_token'),
+         ('ApplicantClickedGenericLink', 'initiation_generic'),
+         ('ApplicantRestartedWithGenericLinkOnTimeout', 'initiation_generic_restart'),
+         ('ApplicantViewedAgreement', 'started'),
+         ('ApplicantSharedIncomeSummary', 'completed'),
+         ('ApplicantAttemptedLogin', 'login_attempt'),
+         ('ApplicantSucceededWithLogin', 'login_success'),
+         ('ApplicantOpenedHelpModal', 'help'),
+         ('ApplicantViewedHelpTopic', 'help'),
+         ('ApplicantSearchedForEmployer', 'search'),
+         ('ApplicantAccessedMissingResultsPage', 'search_missing'),
+         ('ApplicantEncounteredError', 'error'),
+         ('CaseworkerInvitedApplicantToFlow', 'invitation'),
+         ('ApplicantFinishedSync', 'synced'),
+         ('ApplicantCopiedInvitationLink', 'copied_invite'))
+    SEARCH_IGNORED_EVENTS = ('ApplicantViewedHelpText', 'ApplicantOpenedHelpModal', 'ApplicantViewedHelpTopic')
+    SEARCH_TIE_PRIORITY = ('ApplicantSelectedEmployerOrPlatformItem', 'ApplicantBeganLinkingEmployer')
+    SEARCH_STOP_WORDS = ('inc', 'llc', 'ltd', 'co', 'corp', 'the')
+    DEVICE_KEEP = ('desktop', 'smartphone', 'unknown')
+    DEVICE_ORDER = ('desktop', 'other', 'unknown', 'smartphone')
+    EVENT_DICTIONARY = (('ApplicantClickedCBVInvitationLink', 'Clicked Invitation Link'),
+         ('ApplicantClickedGenericLink', 'Clicked Generic Link'),
+         ('ApplicantRestartedWithGenericLinkOnTimeout', 'Restarted After Timeout'),
+         ('ApplicantViewedAgreement', 'Agreed'),
+         ('ApplicantSearchedForEmployer', 'Searched Employer'),
+         ('ApplicantAccessedMissingResultsPage', 'Missing Results'),
+         ('ApplicantSelectedEmployerOrPlatformItem', 'Selected Employer'),
+         ('ApplicantBeganLinkingEmployer', 'Began Linking'),
+         ('ApplicantAttemptedLogin', 'Attempted Login'),
+         ('ApplicantSucceededWithLogin', 'Logged In'),
+         ('ApplicantFinishedSync', 'Finished Sync'),
+         ('ApplicantSharedIncomeSummary', 'Shared Income Summary'),
+         ('ApplicantOpenedHelpModal', 'Opened Help'),
+         ('ApplicantViewedHelpTopic', 'Viewed Help Topic'),
+         ('ApplicantViewedHelpText', 'Viewed Help Text'),
+         ('ApplicantEncounteredError', 'Encountered Error'),
+         ('ApplicantCopiedInvitationLink', 'Copied Invitation Link'),
+         ('CaseworkerInvitedApplicantToFlow', 'Invited Applicant'))
+    KEY_EVENTS = ('ApplicantViewedAgreement',
+         'ApplicantSearchedForEmployer',
+         'ApplicantSelectedEmployerOrPlatformItem',
+         'ApplicantBeganLinkingEmployer',
+         'ApplicantAttemptedLogin',
+         'ApplicantSucceededWithLogin',
+         'ApplicantFinishedSync',
+         'ApplicantSharedIncomeSummary')
+    STEP_RENAMES = (('Agreed', 'Consented'),)
+    ADDTL_NAMES = (('n_sessions', 'Number of Sessions'),
+         ('n_applicants', 'Distinct Applicants'),
+         ('n_completed', 'Number of Completed Sessions'),
+         ('duration_complete', 'Time to Complete (Median, Min.)'),
+         ('duration_sync', 'Payroll Provider Sync Time (Median, Sec.)'),
+         ('share_smartphone', 'Share Smartphones (Sessions)'),
+         ('share_gig', 'Share Gig (Sessions of Completed)'))
+    BAN_LABELS = (('n_started', 'Verifications\nStarted'),
+         ('share_completed', 'Completion\nRate'),
+         ('duration_complete', 'Time to\nComplete'),
+         ('share_missing_searches', 'Missing\nSearch Results'))
+    DASHBOARD_CARDS = (('applicants', 'n_started', 'Income Verification Started'),
+         ('applicants', 'share_complete', 'Completion Rate'),
+         ('events', 'share_tokenized', 'Tokenized Link Share'),
+         ('applicants', 'share_login_success', 'Successful Account Logins'),
+         ('applicants', 'n_multi_employers', 'Multi Employer Submissions'),
+         ('events', 'share_search_missing', 'Missing Search Results'),
+         ('events', 'n_copied_invite', 'Copied Invitation Link'))
+    NOT_CAPTURED = '[not captured]'
+    NO_PRIOR = 'No prior period'
+    NO_CHANGE = 'No change'
+    PILOTS = (("Testland", "tst", "Pilot A", "2024-01-01", "2024-01-14"),
+              ("Testland", "tst", "Pilot B", "2024-01-16", "2024-01-29"))
+    MASK_SEED, MASK_SHARE, MASK_DAYS, MASK_YEARS, MASK_STATE = "42", 0.6, 180, 24, "North Grouchland"
+    SIGNUP_EVENTS = ((20, 'ClickedCBVInvitationLink'),
+         (35, 'ClickedGenericLink'),
+         (40, 'RestartedWithGenericLinkOnTimeout'),
+         (50, None),
+         (None, 'ViewedAgreement'))
+    VIEW_EVENTS = ((60, 'SearchedForEmployer'),
+         (75, 'AccessedMissingResultsPage'),
+         (None, 'SelectedEmployerOrPlatformItem'))
+    CLICK_EVENTS = ((30, 'AttemptedLogin'),
+         (50, 'SucceededWithLogin'),
+         (60, 'OpenedHelpModal'),
+         (70, 'ViewedHelpTopic'),
+         (75, 'ViewedHelpText'),
+         (85, 'BeganLinkingEmployer'),
+         (None, 'CopiedInvitationLink'))
+    PURCHASE_EVENTS = ((50, 'FinishedSync'), (None, 'SharedIncomeSummary'))
+    SEARCH_TEXTS = ('  The  Red-Plate, Inc. ', 'red plate', 'Hot Ring LLC', 'hot   ring', 'Wal-Mart', 'The Co')
+
 
 # --------------------------------------------------------------------------- helpers
 
@@ -108,44 +216,42 @@ def _event_case() -> str:
             out.append(f"ELSE {_q(label)}" if bound is None else f"WHEN k < {bound} THEN {_q(label)}")
         return "CASE " + " ".join(out) + " END"
 
-    from .sources.driver_events import CLICK_EVENTS, PURCHASE_EVENTS, SIGNUP_EVENTS, VIEW_EVENTS
     return ("CASE event_type "
-            f"WHEN 'signup' THEN {ladder(SIGNUP_EVENTS)} "
-            f"WHEN 'view' THEN {ladder(VIEW_EVENTS)} "
-            f"WHEN 'click' THEN {ladder(CLICK_EVENTS)} "
-            f"WHEN 'purchase' THEN {ladder(PURCHASE_EVENTS)} "
+            f"WHEN 'signup' THEN {ladder(C.SIGNUP_EVENTS)} "
+            f"WHEN 'view' THEN {ladder(C.VIEW_EVENTS)} "
+            f"WHEN 'click' THEN {ladder(C.CLICK_EVENTS)} "
+            f"WHEN 'purchase' THEN {ladder(C.PURCHASE_EVENTS)} "
             "WHEN 'error' THEN 'ApplicantEncounteredError' END")
 
 
 def _pilot_values() -> str:
-    rows = ", ".join(f"({_q(p.state)}, {_q(p.client_agency)}, {_q(p.pilot)}, DATE '{p.start_date}', "
-                     f"DATE '{p.end_date}')" for p in C.TEST_PILOTS)
+    rows = ", ".join(f"({_q(state)}, {_q(agency)}, {_q(pilot)}, DATE '{start}', DATE '{end}')"
+                     for state, agency, pilot, start, end in C.PILOTS)
     return f"pilots(state, client_agency, pilot, start_date, end_date) AS (VALUES {rows})"
 
 
 def _masked_plog_ctes() -> str:
     """The masked demo event set under the name ``plog`` (original: ``plog0``),
     and its pilot calendar (start = first masked date of each pilot)."""
-    p = C.Params()
     return f"""
 m_ids AS (SELECT DISTINCT distinct_id FROM plog0 WHERE distinct_id IS NOT NULL),
-m_rk AS (SELECT distinct_id, row_number() OVER (ORDER BY md5(distinct_id || {_q(p.mask_seed)}), distinct_id) AS rn,
+m_rk AS (SELECT distinct_id, row_number() OVER (ORDER BY md5(distinct_id || {_q(C.MASK_SEED)}), distinct_id) AS rn,
            count(*) OVER () AS n FROM m_ids),
-m_chosen AS (SELECT distinct_id FROM m_rk WHERE rn <= floor(n::DOUBLE * {p.mask_share!r}::DOUBLE)),
+m_chosen AS (SELECT distinct_id FROM m_rk WHERE rn <= floor(n::DOUBLE * {C.MASK_SHARE!r}::DOUBLE)),
 m_both AS (SELECT * FROM plog0 UNION ALL
            SELECT * REPLACE (distinct_id || '-c' AS distinct_id, cbv_flow_id + 1000000 AS cbv_flow_id) FROM plog0
            WHERE distinct_id IN (SELECT distinct_id FROM m_chosen)),
-m_sh AS (SELECT * REPLACE (ts + INTERVAL {p.mask_days} DAY + INTERVAL {p.mask_years} YEAR AS ts) FROM m_both),
+m_sh AS (SELECT * REPLACE (ts + INTERVAL {C.MASK_DAYS} DAY + INTERVAL {C.MASK_YEARS} YEAR AS ts) FROM m_both),
 m_fd AS (SELECT pilot, strftime(min(CAST(ts AS DATE)), '%b %Y') AS label FROM m_sh WHERE pilot IS NOT NULL
          GROUP BY pilot),
-plog AS (SELECT m_sh.* REPLACE (m_fd.label AS pilot, {_q(p.mask_state)} AS pilot_state)
+plog AS (SELECT m_sh.* REPLACE (m_fd.label AS pilot, {_q(C.MASK_STATE)} AS pilot_state)
          FROM m_sh LEFT JOIN m_fd ON m_sh.pilot = m_fd.pilot),
-m_cal AS (SELECT {_q(p.mask_state)} AS state, pilot, min(CAST(ts AS DATE)) AS start_date FROM plog
+m_cal AS (SELECT {_q(C.MASK_STATE)} AS state, pilot, min(CAST(ts AS DATE)) AS start_date FROM plog
           WHERE pilot IS NOT NULL GROUP BY pilot)"""
 
 
 def base_ctes(masked: bool = False) -> str:
-    texts = "[" + ", ".join(_q(t) for t in SEARCH_TEXTS) + "]"
+    texts = "[" + ", ".join(_q(t) for t in C.SEARCH_TEXTS) + "]"
     plog_name = "plog0" if masked else "plog"
     masked_ctes = ("," + _masked_plog_ctes()) if masked else ""
     cal_src = "m_cal" if masked else "pilots"
@@ -171,20 +277,20 @@ log AS (
       AS flow_started_minutes_ago
   FROM ev1),
 {_pilot_values()},
+days AS (SELECT state, CAST(day AS DATE) AS day, arg_max(pilot, (start_date, pilot)) AS pilot FROM (
+  SELECT *, unnest(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS day FROM pilots) GROUP BY ALL),
 {plog_name} AS (
   SELECT l.*, p.pilot,
     CAST(CASE WHEN p.pilot IS NOT NULL
          THEN floor(datediff('day', p.start_date, CAST(l.ts AS DATE)) / 7) + 1 END AS INTEGER) AS pilot_wk
-  FROM log l LEFT JOIN pilots p
-    ON l.pilot_state = p.state AND CAST(l.ts AS DATE) BETWEEN p.start_date AND p.end_date){masked_ctes},
-facts AS (
-  SELECT arg_max(pilot, ts) AS latest, arg_max(pilot_state, ts) AS state FROM plog WHERE pilot IS NOT NULL),
-cal AS (SELECT state, pilot, lag(pilot) OVER (PARTITION BY state ORDER BY start_date) AS prior FROM {cal_src}),
+  FROM log l LEFT JOIN days d ON l.pilot_state = d.state AND CAST(l.ts AS DATE) = d.day
+    LEFT JOIN pilots p ON p.state = d.state AND p.pilot = d.pilot){masked_ctes},
+present AS (SELECT pilot, pilot_state AS state, max(pilot_wk) AS week FROM plog WHERE pilot IS NOT NULL GROUP BY ALL),
+cal AS (SELECT state, pilot, start_date, lag(pilot) OVER (PARTITION BY state ORDER BY start_date, pilot) AS prior
+        FROM {cal_src}),
 ctx AS (
-  SELECT f.latest, f.state,
-    (SELECT max(pilot_wk) FROM plog WHERE pilot = f.latest) AS week,
-    (SELECT max(c.prior) FROM cal c WHERE c.pilot = f.latest AND c.state = f.state) AS prior
-  FROM facts f),
+  SELECT c.pilot AS latest, c.state, p.week, c.prior FROM present p JOIN cal c ON p.pilot = c.pilot AND p.state = c.state
+  ORDER BY c.start_date DESC, c.pilot DESC, c.state DESC LIMIT 1),
 cum AS (
   SELECT * FROM plog
   UNION ALL
@@ -504,21 +610,20 @@ dtot2 AS (SELECT pilot, n, {short_scale('n', 0)} || ' cum. in ' || pilot AS pilo
 
 
 def mask_sql() -> str:
-    p = C.Params()
     return with_(f"""
 ids AS (SELECT DISTINCT distinct_id FROM plog WHERE distinct_id IS NOT NULL),
-rk AS (SELECT distinct_id, row_number() OVER (ORDER BY md5(distinct_id || {_q(p.mask_seed)}), distinct_id) AS rn,
+rk AS (SELECT distinct_id, row_number() OVER (ORDER BY md5(distinct_id || {_q(C.MASK_SEED)}), distinct_id) AS rn,
          count(*) OVER () AS n FROM ids),
-chosen AS (SELECT distinct_id FROM rk WHERE rn <= floor(n::DOUBLE * {p.mask_share!r}::DOUBLE)),
+chosen AS (SELECT distinct_id FROM rk WHERE rn <= floor(n::DOUBLE * {C.MASK_SHARE!r}::DOUBLE)),
 bothx AS (SELECT event_id, event, ts, distinct_id, cbv_flow_id, pilot, pilot_wk, false AS is_copy FROM plog
           UNION ALL
           SELECT event_id, event, ts, distinct_id || '-c', cbv_flow_id + 1000000, pilot, pilot_wk, true FROM plog
           WHERE distinct_id IN (SELECT distinct_id FROM chosen)),
-sh AS (SELECT * REPLACE (ts + INTERVAL {p.mask_days} DAY + INTERVAL {p.mask_years} YEAR AS ts) FROM bothx),
+sh AS (SELECT * REPLACE (ts + INTERVAL {C.MASK_DAYS} DAY + INTERVAL {C.MASK_YEARS} YEAR AS ts) FROM bothx),
 fd AS (SELECT pilot, strftime(min(CAST(ts AS DATE)), '%b %Y') AS label FROM sh WHERE pilot IS NOT NULL
        GROUP BY pilot)""") + f"""
 SELECT event_id, event, ts AS "timestamp", distinct_id, cbv_flow_id, fd.label AS pilot, pilot_wk,
-  {_q(p.mask_state)} AS pilot_state, is_copy
+  {_q(C.MASK_STATE)} AS pilot_state, is_copy
 FROM sh LEFT JOIN fd USING (pilot)"""
 
 
@@ -527,19 +632,19 @@ FROM sh LEFT JOIN fd USING (pilot)"""
 
 def _sql_all() -> dict[str, str]:
     out: dict[str, str] = {}
-    log_cols = ("event_id, event, ts AS \"timestamp\", distinct_id, cbv_flow_id, pilot_state, sync_duration_seconds, "
+    log_cols = ("CAST(event_id AS VARCHAR) AS event_id, event, ts AS \"timestamp\", distinct_id, cbv_flow_id, pilot_state, sync_duration_seconds, "
                 "flow_started_minutes_ago, device_type, employment_type, employer_name, query")
     out["scan_props"] = with_() + f"SELECT {log_cols} FROM log"
-    out["applicant_only"] = with_() + "SELECT event_id, event, distinct_id, origin FROM log WHERE starts_with(event, 'Applicant')"
+    out["applicant_only"] = with_() + "SELECT CAST(event_id AS VARCHAR) AS event_id, event, distinct_id, origin FROM log WHERE starts_with(event, 'Applicant')"
     out["cast_units"] = with_() + (
-        "SELECT event_id, cbv_flow_id, sync_duration_seconds, flow_started_minutes_ago FROM log "
+        "SELECT CAST(event_id AS VARCHAR) AS event_id, cbv_flow_id, sync_duration_seconds, flow_started_minutes_ago FROM log "
         f"WHERE event IN {_in([C.FINISHED_SYNC, C.SHARED_INCOME_SUMMARY])}")
     out["range_extract"] = with_(f"""
 win AS (SELECT greatest((SELECT max(start_date) FROM pilots WHERE client_agency = 'tst'),
-          CAST({_max_date()} - INTERVAL 1 MONTH AS DATE)) AS s, {_max_date()} AS e)""") + (
+          CAST({_max_date()} - INTERVAL 2 MONTH AS DATE)) AS s, {_max_date()} AS e)""") + (
         "SELECT event_id, event, ts AS \"timestamp\", distinct_id FROM log, win WHERE CAST(ts AS DATE) BETWEEN s AND e")
     out["stream_ingest"] = with_() + (
-        "SELECT event_id, event, ts AS \"timestamp\", distinct_id, cbv_flow_id, 'tst' AS client_agency, "
+        "SELECT CAST(event_id AS VARCHAR) AS event_id, event, ts AS \"timestamp\", distinct_id, cbv_flow_id, 'tst' AS client_agency, "
         "CAST(ts AS DATE) AS event_date FROM log")
     out["pilot_week"] = with_() + "SELECT event_id, pilot_state, pilot, pilot_wk FROM plog"
     out["recode_events"] = with_() + (
@@ -631,15 +736,12 @@ sw AS (SELECT pilot, denom, {piv} FROM sl2 GROUP BY pilot, denom)""") + (
     out["kpi_cards"] = with_(*weekly_kpi_ctes(), f"cards(denom, metric, title, card_order) AS (VALUES {cards})") + """
 SELECT CAST(c.card_order AS INTEGER) AS card_order, c.title, c.denom, c.metric, k.val_fmt, k.text_fmt, k.direction
 FROM cards c LEFT JOIN (SELECT * FROM wk WHERE pilot_wk = -1) k ON c.denom = k.denom AND c.metric = k.metric"""
-    out["narrative"] = with_(*weekly_kpi_ctes(), """
-inv AS (SELECT sum(curr) AS i FROM wk WHERE pilot_wk = -1 AND denom = 'events' AND metric = 'n_invitation')""") + f"""
+    out["narrative"] = with_(f"""
+inv AS (SELECT count(*) AS i FROM cum WHERE pilot_wk = -1 AND pilot = (SELECT latest FROM ctx)
+        AND event = {_q(C.CASEWORKER_INVITED)})""") + f"""
 SELECT CAST((SELECT week FROM ctx) AS VARCHAR) || ' (cum.)' AS week_disp, (SELECT state FROM ctx) AS pilot_state,
   (SELECT latest FROM ctx) AS pilot_latest, (SELECT prior FROM ctx) AS pilot_prior,
-  CAST(coalesce(i, 0.0) AS BIGINT) AS invitations, {comma('coalesce(i, 0.0)')} AS invitations_fmt,
-  'This report documents week ' || CAST((SELECT week FROM ctx) AS VARCHAR) || ' (cum.)' || ' of the '
-    || (SELECT state FROM ctx) || ' ' || (SELECT latest FROM ctx) || ' pilot. ' || {comma('coalesce(i, 0.0)')}
-    || ' invitations were distributed. Comparisons are against the same week of the '
-    || coalesce((SELECT prior FROM ctx), '(none)') || ' run.' AS sentence
+  i AS invitations, {comma('i')} AS invitations_fmt
 FROM inv"""
     out["weekly_kpi_masked"] = with_(*weekly_kpi_ctes(), masked=True) + "SELECT * FROM wk"
     out["report_funnel_labels"] = (f"SELECT *, event_clean || ' (' || {short_scale('n', 1, 0)} || ')' AS label "

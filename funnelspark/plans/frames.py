@@ -15,10 +15,6 @@ from .report import funnel
 from .weekly import PilotContext, duration_stats, weekly_funnel, weekly_kpi
 
 
-def display_week(ctx: PilotContext, week: int = C.CUMULATIVE_WEEK):
-    return F.lit(week)
-
-
 def kpi_cards(events: DataFrame, ctx: PilotContext, week: int = C.CUMULATIVE_WEEK) -> DataFrame:
     """The seven headline cards of the dashboard for the shown week (default:
     cumulative), each with its value and change text (J5)."""
@@ -39,21 +35,13 @@ def week_display(ctx: PilotContext, week: int = C.CUMULATIVE_WEEK):
 
 
 def narrative(events: DataFrame, ctx: PilotContext, week: int = C.CUMULATIVE_WEEK) -> DataFrame:
-    """Facts of the header sentence: week shown, state, pilot, invitations sent
-    in that week (events, latest pilot only: Q15), prior pilot."""
-    k = weekly_kpi(events, ctx).where((F.col("pilot_wk") == week) & (F.col("denom") == "events") &
-                                      (F.col("metric") == "n_invitation"))
-    inv = k.agg(F.sum("curr").alias("_inv"))
-    out = inv.select(
+    """Facts of the header: week shown, state, pilot, invitations sent in that
+    week (events, latest pilot only: Q15), prior pilot.  One filtered count."""
+    weeks = F.col("pilot_wk").between(F.lit(1), ctx.week) if week == C.CUMULATIVE_WEEK else F.col("pilot_wk") == week
+    sent = events.where((F.col("event") == C.CASEWORKER_INVITED) & (F.col("pilot") == ctx.latest) & weeks)
+    return sent.agg(F.count("*").alias("invitations")).select(
         week_display(ctx, week).alias("week_disp"), ctx.state.alias("pilot_state"), ctx.latest.alias("pilot_latest"),
-        ctx.prior.alias("pilot_prior"), F.coalesce(F.col("_inv"), F.lit(0.0)).cast("bigint").alias("invitations"),
-        L.comma(F.coalesce(F.col("_inv"), F.lit(0.0))).alias("invitations_fmt"))
-    sentence = F.concat(
-        F.lit("This report documents week "), F.col("week_disp"), F.lit(" of the "), F.col("pilot_state"),
-        F.lit(" "), F.col("pilot_latest"), F.lit(" pilot. "), F.col("invitations_fmt"),
-        F.lit(" invitations were distributed. Comparisons are against the same week of the "),
-        F.coalesce(F.col("pilot_prior"), F.lit("(none)")), F.lit(" run."))
-    return out.withColumn("sentence", sentence)
+        ctx.prior.alias("pilot_prior"), "invitations", L.comma("invitations").alias("invitations_fmt"))
 
 
 def funnel_labels(events: DataFrame, ctx: PilotContext, params: Params, week: int = C.CUMULATIVE_WEEK) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Params
 from ..operators.sample import in_sample, sample_cutoff
+from ..sources.tables import DAY
 
 CLONE_SUFFIX = "-c"
 CLONE_FLOW_OFFSET = 1_000_000
@@ -17,22 +18,26 @@ CLONE_FLOW_OFFSET = 1_000_000
 def mask_copies(events: DataFrame, params: Params) -> DataFrame:
     """``events`` must carry ``pilot``/``pilot_wk``.  NULL persons are never
     sampled (they are not one applicant)."""
-    # The sample is a predicate against a one-row cutoff: cloning needs no join.
+    # The sample is a predicate against a one-row cutoff, and a sampled row is
+    # doubled in place: cloning needs no join and no second scan.
     cutoff = sample_cutoff(events, "distinct_id", params.mask_share, params.mask_seed)
-    copies = events.where(in_sample(F.col("distinct_id"), cutoff, params.mask_seed)).withColumns({
-        "distinct_id": F.concat(F.col("distinct_id"), F.lit(CLONE_SUFFIX)),
-        "cbv_flow_id": F.col("cbv_flow_id") + F.lit(CLONE_FLOW_OFFSET),
-    })
-    both = events.withColumn("is_copy", F.lit(False)).unionByName(copies.withColumn("is_copy", F.lit(True)))
-    shifted = both.withColumn(
-        "timestamp", F.col("timestamp") + F.expr(f"INTERVAL {params.mask_days} DAY")
-        + F.expr(f"INTERVAL {params.mask_years} YEAR"))
-    # One row per pilot value present (bounded by the pilot calendar).
-    first_day = shifted.where(F.col("pilot").isNotNull()).groupBy("pilot").agg(
-        F.min(F.to_date("timestamp")).alias("_first"))
-    first_day = first_day.select("pilot", F.date_format("_first", "MMM yyyy").alias("_label"),
-                                 F.col("_first").alias("pilot_first_date"))
-    out = shifted.join(F.broadcast(first_day), "pilot", "left")
+    sampled = in_sample(F.col("distinct_id"), cutoff, params.mask_seed)
+    both = events.drop(DAY).withColumn(
+        "is_copy", F.explode(F.when(sampled, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    copy = F.col("is_copy")
+
+    def shifted(ts: str):
+        return F.col(ts) + F.expr(f"INTERVAL {params.mask_days} DAY") + F.expr(f"INTERVAL {params.mask_years} YEAR")
+
+    both = both.withColumns({
+        "distinct_id": F.when(copy, F.concat(F.col("distinct_id"), F.lit(CLONE_SUFFIX))).otherwise(F.col("distinct_id")),
+        "cbv_flow_id": F.when(copy, F.col("cbv_flow_id") + F.lit(CLONE_FLOW_OFFSET)).otherwise(F.col("cbv_flow_id")),
+        "timestamp": shifted("timestamp")})
+    # One row per pilot value present (bounded by the pilot calendar).  The
+    # shift keeps the order of times, so the first shifted day is that of the first event.
+    first_day = events.where(F.col("pilot").isNotNull()).groupBy("pilot").agg(F.min("timestamp").alias("_first"))
+    first_day = first_day.select("pilot", F.date_format(F.to_date(shifted("_first")), "MMM yyyy").alias("_label"))
+    out = both.join(F.broadcast(first_day), "pilot", "left")
     return out.withColumn("pilot", F.col("_label")).withColumn("pilot_state", F.lit(params.mask_state)).drop("_label")
 
 

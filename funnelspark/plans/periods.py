@@ -1,23 +1,28 @@
 """Time-period operators: report period class, pilot/week assignment, the run
 facts derived from the pilot calendar, and the cumulative week.
 
-Scalars that several metrics need (latest timestamp, latest pilot, latest week)
-stay in the plan as scalar subqueries / one-row frames, so no metric needs an
-early driver action and each is computed by a global two-phase aggregate.
+Day bounds are literals: the last day is read from the folder names of the
+landed table and pilot dates come from the calendar, so a report on a month of
+years of events reads that month.  The latest timestamp stays a scalar subquery
+(over the last day only).
 """
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import CUMULATIVE_WEEK
+from ..config import CUMULATIVE_WEEK, Pilot
 from ..functions.nulls import filter_out
 from ..operators.lookup import DEFAULT_BROADCAST_MAX_ROWS
+from ..sources.tables import DAY, between_days, last_day
 
 _UNITS = {"month": "MONTH", "week": "WEEK"}
+PERIODS = ("curr", "prior")
 
 
 def period_interval(report_type: str, n: int) -> Column:
@@ -27,47 +32,72 @@ def period_interval(report_type: str, n: int) -> Column:
     return F.expr(f"INTERVAL {n} {unit}")
 
 
-def classify_period(events: DataFrame, report_type: str = "month", ts: str = "timestamp") -> DataFrame:
+def days_before(day: dt.date, report_type: str, n: int) -> dt.date:
+    """``day`` minus n periods; months clamp to month end."""
+    if report_type == "week":
+        return day - dt.timedelta(days=7 * n)
+    y, m = divmod(day.year * 12 + day.month - 1 - n, 12)
+    return dt.date(y, m + 1, min(day.day, calendar.monthrange(y, m + 1)[1]))
+
+
+def classify_period(events: DataFrame, report_type: str = "month", ts: str = "timestamp",
+                    within: int | None = None) -> DataFrame:
     """``curr`` = within one period of the latest event, ``prior`` = the
     period before, else ``oob`` (also for NULL timestamps).  Month arithmetic
-    clamps to month end (Mar 31 - 1 month = Feb 29)."""
-    max_ts = events.agg(F.max(ts)).scalar()
+    clamps to month end (Mar 31 - 1 month = Feb 29).  ``within`` keeps only the
+    rows of the last ``within`` periods (1 or 2), and reads only their days."""
+    last = last_day(events) if DAY in events.columns else None
+    newest = events if last is None else between_days(events, last, last)
+    max_ts = newest.agg(F.max(ts)).scalar()
+    if within and last is not None:
+        events = between_days(events, days_before(last, report_type, within), last)
     t = F.col(ts)
     period = (F.when(t > max_ts - period_interval(report_type, 1), "curr")
               .when(t > max_ts - period_interval(report_type, 2), "prior")
               .otherwise("oob"))
-    return events.withColumn("period", period)
+    out = events.withColumn("period", period)
+    return out.where(F.col("period").isin(list(PERIODS[:within]))) if within else out
+
+
+def during_pilots(events: DataFrame, pilots: Iterable[Pilot]) -> DataFrame:
+    """Only the days the calendar spans: for tables that leave out events of no
+    pilot anyway."""
+    pilots = list(pilots)
+    if not pilots:
+        return events
+    return between_days(events, min(p.start_date for p in pilots), max(p.end_date for p in pilots))
+
+
+def pilot_days(pilots: DataFrame) -> DataFrame:
+    """The calendar by day: one row per state and day.  Where runs of a state
+    overlap, a day belongs to the run that started last (equal starts: to the
+    larger name), so no event is counted twice."""
+    days = pilots.select(F.col("state").alias("_p_state"), F.explode(F.sequence("start_date", "end_date")).alias("_p_day"),
+                         F.struct("start_date", "pilot").alias("_run"))
+    return days.groupBy("_p_state", "_p_day").agg(F.max("_run").alias("_run")).select(
+        "_p_state", "_p_day", F.col("_run.pilot").alias("_p_pilot"), F.col("_run.start_date").alias("_p_start"))
 
 
 def add_pilot_week(events: DataFrame, pilots: DataFrame, ts: str = "timestamp", *,
                    pilot_rows: int | None = None, broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
                    ) -> DataFrame:
-    """Attach ``pilot`` and ``pilot_wk`` (1 = first 7 days of the pilot) by a
-    range join of the event date to the pilot calendar of the event's state.
-
-    The calendar has one row per pilot run: when its size (``pilot_rows`` if
-    known, else counted) is within ``broadcast_max_rows`` it is broadcast and
-    the event side is never shuffled.  Beyond that, calendar rows are expanded
-    to one row per day and joined on (state, day): an equi-join whose skewed
-    partitions (one busy day) AQE splits -- never a join on the state alone,
-    which would send a whole state's events to one task."""
-    p = pilots.select(F.col("state").alias("_p_state"), F.col("pilot").alias("_p_pilot"),
-                      F.col("start_date").alias("_p_start"), F.col("end_date").alias("_p_end"))
-    day = F.to_date(F.col(ts))
-    base = events.drop("pilot", "pilot_wk")
-    n = pilot_rows if pilot_rows is not None else p.limit(broadcast_max_rows + 1).count()
-    if n <= broadcast_max_rows:
-        joined = base.join(F.broadcast(p), (base["pilot_state"] == p["_p_state"]) &
-                           day.between(p["_p_start"], p["_p_end"]), "left")
-    else:
-        days = p.withColumn("_p_day", F.explode(F.sequence("_p_start", "_p_end")))
-        keyed = base.withColumn("_day", day)
-        joined = keyed.join(days, (keyed["pilot_state"] == days["_p_state"]) &
-                            (keyed["_day"] == days["_p_day"]), "left").drop("_day", "_p_day")
-    wk = (F.floor(F.datediff(day, F.col("_p_start")) / F.lit(7)) + 1).cast("int")
+    """Attach ``pilot`` and ``pilot_wk`` (1 = first 7 days of the pilot) by
+    an equi-join of (state, day) to the calendar by day.
+
+    The calendar by day is broadcast when it is within ``broadcast_max_rows``
+    (``pilot_rows``: calendar rows if known, else its days are counted), so the
+    event side is never shuffled; a larger one joins by shuffle, where AQE
+    splits a busy day."""
+    p = pilot_days(pilots)
+    small = (pilot_rows is not None and pilot_rows * 366 <= broadcast_max_rows) or (
+        p.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows)
+    base = events.drop("pilot", "pilot_wk").withColumn("_day", F.to_date(F.col(ts)))
+    side = F.broadcast(p) if small else p
+    joined = base.join(side, (base["pilot_state"] == p["_p_state"]) & (base["_day"] == p["_p_day"]), "left")
+    wk = (F.floor(F.datediff("_day", F.col("_p_start")) / F.lit(7)) + 1).cast("int")
     return (joined.withColumn("pilot", F.col("_p_pilot"))
             .withColumn("pilot_wk", F.when(F.col("_p_pilot").isNotNull(), wk))
-            .drop("_p_state", "_p_pilot", "_p_start", "_p_end"))
+            .drop("_day", "_p_state", "_p_day", "_p_pilot", "_p_start"))
 
 
 def with_cumulative_week(events: DataFrame, pilot_week: Column) -> DataFrame:
@@ -95,15 +125,17 @@ def extract_window(pilots: DataFrame, as_of: dt.date | Column) -> DataFrame:
                                              "prior_path_dates")
 
 
-def lookback_window(pilots: DataFrame, agency: str, as_of: Column) -> DataFrame:
-    """One row ``lookback_start, lookback_end`` = [max(latest pilot start of
-    the agency, as_of - 1 month), as_of]."""
-    latest_start = (pilots.where(F.col("client_agency") == agency)
-                    .agg(F.max("start_date").alias("pilot_start")))
-    return latest_start.select(
-        F.greatest(F.col("pilot_start"), F.add_months(as_of, -1)).alias("lookback_start"),
-        as_of.alias("lookback_end"))
+def extract_bounds(pilots: Iterable[Pilot], as_of: dt.date) -> tuple[dt.date, dt.date] | None:
+    """First and last day of :func:`extract_window` for a literal calendar."""
+    begun = [p for p in pilots if p.start_date <= as_of]
+    if not begun:
+        return None
+    p = max(begun, key=lambda p: (p.start_date, p.pilot))
+    return p.start_date, min(as_of, p.end_date)
 
 
-def max_event_date(events: DataFrame, ts: str = "timestamp") -> Column:
-    return F.to_date(events.agg(F.max(ts)).scalar())
+def lookback_bounds(pilots: Iterable[Pilot], agency: str, as_of: dt.date, report_type: str) -> tuple[dt.date, dt.date]:
+    """[max(latest pilot start of the agency, as_of - 2 periods), as_of].
+    Two periods, so that the prior one is there to compare with (Q2)."""
+    back = days_before(as_of, report_type, 2)
+    return max([back, *(p.start_date for p in pilots if p.client_agency == agency)]), as_of

@@ -1,14 +1,16 @@
 """Standard (monthly/weekly) report tables, C1-C7.
 
 Every function takes the normalised event log and :class:`Params` and returns
-a DataFrame; nothing is collected.  Distinct counts over one group key (the
-period) are pre-aggregated to the flow or person level first, so the wide
-multi-distinct aggregate never ``Expand``s the raw rows, and the final
-aggregate over two or three periods is map-side combined.
+a DataFrame; only the last day's date reaches the driver.  Distinct counts over
+one group key (the period) are pre-aggregated to the flow and person level
+first, so a multi-distinct aggregate never ``Expand``s the raw rows, and the
+final aggregate over two periods is map-side combined.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,9 +24,8 @@ from ..operators.quantiles import quantiles
 from ..operators.reshape import long_to_wide, long_to_wide_periods, wide_to_long
 from ..operators.topn import top_n_per_group
 from ..operators.window_ops import lead_within
-from .periods import classify_period, max_event_date
-
-PERIODS = ("curr", "prior")
+from ..sources.tables import between_days, last_day
+from .periods import PERIODS, classify_period, days_before
 
 
 # -- C1 ------------------------------------------------------------------------
@@ -47,8 +48,8 @@ def funnel(events: DataFrame, params: Params) -> DataFrame:
     """Users reaching each funnel step in the current period, the previous
     step's count and the loss between them."""
     spark = events.sparkSession
-    ev = classify_period(events, params.report_type)
-    ev = ev.where((F.col("period") == "curr") & F.col("event").isin(list(params.key_events)))
+    ev = classify_period(events, params.report_type, within=1)
+    ev = ev.where(F.col("event").isin(list(params.key_events)))
     reached = ev.select("pilot", "distinct_id", "event").distinct()
     steps = step_frame(spark, params.key_events, params.event_dictionary)
     counted = (reached.join(steps, "event")
@@ -73,22 +74,28 @@ def period_kpi(events: DataFrame, params: Params) -> DataFrame:
     """Per period: sessions, applicants, completed sessions, median minutes to
     complete, median sync seconds, smartphone share of sessions, gig share of
     completed sessions (Q17: numerator is any gig flow)."""
-    ev = classify_period(events, params.report_type)
-    ev = filter_out(ev, F.col("period") == "oob")
+    ev = classify_period(events, params.report_type, within=2)
     ev = filter_out(ev, F.col("event") == C.CASEWORKER_INVITED)
     completed = F.col("event") == C.SHARED_INCOME_SUMMARY
 
-    flows = (ev.where(F.col("cbv_flow_id").isNotNull())
-             .groupBy("period", "cbv_flow_id")
-             .agg(F.max(completed.cast("int")).alias("c"),
-                  F.max(is_true(F.col("device_type") == "smartphone").cast("int")).alias("s"),
-                  F.max(is_true(F.col("employment_type") == "gig").cast("int")).alias("g"))
-             .groupBy("period")
-             .agg(F.count("*").alias("n_sessions"), F.sum("c").cast("bigint").alias("n_completed"),
-                  F.sum("s").alias("_smart"), F.sum("g").alias("_gig")))
-    n_people = (F.approx_count_distinct("distinct_id", params.approx_rsd) if params.approx
-                else F.count_distinct("distinct_id"))
-    people = ev.groupBy("period").agg(n_people.alias("n_applicants"))
+    # One scan for all counts: rows are first combined per (period, flow,
+    # person); each of these then stands once for its flow and once for its
+    # person, and flows and persons are counted by one more aggregate.
+    flags = {"c": completed, "s": is_true(F.col("device_type") == "smartphone"),
+             "g": is_true(F.col("employment_type") == "gig")}
+    pairs = ev.groupBy("period", "cbv_flow_id", "distinct_id").agg(
+        *[F.max(f.cast("int")).alias(k) for k, f in flags.items()])
+    kinds = F.array(F.struct(F.lit("flow").alias("kind"), F.col("cbv_flow_id").cast("string").alias("key")),
+                    F.struct(F.lit("person").alias("kind"), F.col("distinct_id").alias("key")))
+    units = (pairs.select("period", *flags, F.explode(kinds).alias("_u")).select("period", *flags, "_u.kind", "_u.key")
+             .groupBy("period", "kind", "key").agg(*[F.max(k).alias(k) for k in flags]))
+    known, flow = F.col("key").isNotNull(), (F.col("kind") == "flow") & F.col("key").isNotNull()
+    n_people = (F.approx_count_distinct(F.when(F.col("kind") == "person", F.col("key")), params.approx_rsd)
+                if params.approx else F.count_if(known & (F.col("kind") == "person")))
+    counts = units.groupBy("period").agg(
+        F.count_if(flow).alias("n_sessions"), n_people.alias("n_applicants"),
+        *[F.sum(F.when(flow, F.col(k))).cast("bigint").alias(a)
+          for k, a in (("c", "n_completed"), ("s", "_smart"), ("g", "_gig"))])
     # Both medians in one quantile pass, keyed by (period, measure).
     timed = ev.select("period", F.when(completed, F.col("flow_started_minutes_ago")).alias("duration_complete"),
                       F.col("sync_duration_seconds").alias("duration_sync"))
@@ -97,9 +104,8 @@ def period_kpi(events: DataFrame, params: Params) -> DataFrame:
     med = quantiles(timed, ["period", "measure"], "v", {"median": 0.5}, with_stats=False,
                     approx=params.approx, accuracy=params.approx_accuracy)
     med = long_to_wide(med, ["period"], "measure", "median", ["duration_complete", "duration_sync"])
-    # ``people`` has a row for every period (NULL persons included), so it is
-    # the base the other per-period results attach to.
-    out = people.join(flows, "period", "left").join(med, "period", "left")
+    # Two rows at most on the right.
+    out = counts.join(F.broadcast(med), "period", "left")
     return out.select(
         "period",
         F.coalesce("n_sessions", F.lit(0)).cast("bigint").alias("n_sessions"),
@@ -147,7 +153,7 @@ def ban_values(events: DataFrame, params: Params) -> DataFrame:
     """Per period: distinct starters, completers / starters, median minutes to
     complete, missing-result pages / searches."""
     froms = [f for f, _ in C.BAN_LOOKUP]
-    ev = classify_period(events, params.report_type).where(F.col("event").isin(froms))
+    ev = classify_period(events, params.report_type, within=2).where(F.col("event").isin(froms))
     started = F.col("event") == C.VIEWED_AGREEMENT
     completed = F.col("event") == C.SHARED_INCOME_SUMMARY
     # One pass: per (period, person) whether they started / completed and how
@@ -164,7 +170,7 @@ def ban_values(events: DataFrame, params: Params) -> DataFrame:
     dur = quantiles(ev.where(completed).select("period", F.col("flow_started_minutes_ago").alias("v")),
                     ["period"], "v", {"duration_complete": 0.5}, with_stats=False,
                     approx=params.approx, accuracy=params.approx_accuracy)
-    out = per_period.join(dur, "period", "left")
+    out = per_period.join(F.broadcast(dur), "period", "left")  # two rows at most
     return out.select(
         "period",
         F.coalesce("_s", F.lit(0)).cast("double").alias("n_started"),
@@ -203,10 +209,13 @@ def direction(delta: Column) -> Column:
 def trend(events: DataFrame, params: Params) -> DataFrame:
     """Daily counts of invitations, starts and completions over the month
     before ``as_of`` (default: the last event date)."""
-    as_of = F.lit(params.as_of) if params.as_of else max_event_date(events)
-    since = F.add_months(as_of, -1).cast("timestamp_ntz")
+    as_of = params.as_of or last_day(events)
+    if as_of is None:  # no events at all
+        as_of = dt.date.max
+    since = days_before(as_of, "month", 1)
     froms = [f for f, _ in C.TREND_LOOKUP]
-    ev = events.where(F.col("event").isin(froms) & (F.col("timestamp") >= since))
+    ev = between_days(events, since).where(
+        F.col("event").isin(froms) & (F.col("timestamp") >= F.lit(since).cast("timestamp_ntz")))
     return (ev.groupBy(recode("event", C.TREND_LOOKUP).alias("event"), F.to_date("timestamp").alias("date"))
             .agg(F.count("*").alias("n")))
 
@@ -235,11 +244,10 @@ def search_lead(events: DataFrame, params: Params) -> DataFrame:
     ev = ev.withColumn("_prio", prio.cast("int"))
     order = [F.col("distinct_id").asc_nulls_last(), F.col("timestamp").asc_nulls_last(), F.col("_prio"),
              F.col("event").asc_nulls_last(), F.col("event_id")]
-    # Hot flows are cut into (person, minute) chunks, which follow this order.
+    # Hot flows are cut into (person, second) chunks, which follow this order.
     led = lead_within(ev, "cbv_flow_id", order, "event_clean", "lead_event",
                       keep=F.col("event") == C.SEARCHED_EMPLOYER,
-                      chunks=[F.col("distinct_id"), F.date_trunc("minute", "timestamp")],
-                      row_id=[F.col("event_id")])
+                      chunks=[F.col("distinct_id"), F.date_trunc("second", "timestamp")])
     return led.select("event_id", "distinct_id", "cbv_flow_id", "timestamp", "query", "lead_event",
                       normalize_search(F.col("query")).alias("query_clean"))
 

@@ -2,8 +2,8 @@
 
 Input: the normalised event log annotated with ``pilot``/``pilot_wk``
 (:func:`funnelspark.plans.periods.add_pilot_week`).  The latest pilot, the
-previous pilot of the same state and the latest week reached are scalar
-subqueries over that log, evaluated once per query on the cluster.
+previous pilot of the same state and the latest week reached are one scalar
+subquery over that log, evaluated once per query on the cluster.
 
 Only the latest pilot and its immediate predecessor are compared (Q10): rows of
 older pilots, or of no pilot, do not enter the curr/prior pivots.
@@ -34,22 +34,22 @@ ROLES = tuple(dict.fromkeys(to for _, to in C.WEEKLY_LOOKUP))
 class PilotContext:
     """Scalar facts of a run as plan expressions (no driver action).
 
-    All four facts come from one scalar subquery: the latest event that falls
-    in a pilot gives the latest pilot, its state and the latest week reached
-    (weeks only grow with time inside a pilot); the pilot calendar, joined to
-    that single row, gives the previous pilot of the same state."""
+    The latest pilot is the one that started last among the pilots that have
+    events (equal starts: the larger name, then state), not the one of the last
+    event: an older pilot may still be running.  Its state, the latest week its
+    events reach, and the pilot before it in its state come from the same scalar
+    subquery: a few rows per pilot, joined to the calendar."""
 
     def __init__(self, events: DataFrame, pilots: DataFrame):
-        last = (events.where(F.col("pilot").isNotNull())
-                .agg(F.max_by(F.struct("pilot", "pilot_state", "pilot_wk"), "timestamp").alias("_l"))
-                .select(F.col("_l.pilot").alias("latest"), F.col("_l.pilot_state").alias("state"),
-                        F.col("_l.pilot_wk").alias("week")))
-        w = Window.partitionBy("state").orderBy("start_date")
+        present = (events.where(F.col("pilot").isNotNull()).groupBy("pilot", "pilot_state")
+                   .agg(F.max("pilot_wk").alias("week")))
+        w = Window.partitionBy("state").orderBy("start_date", "pilot")
         cal = pilots.select(F.col("state").alias("_c_state"), F.col("pilot").alias("_c_pilot"),
-                            F.lag("pilot").over(w).alias("prior"))
-        facts = last.join(F.broadcast(cal), (F.col("latest") == F.col("_c_pilot")) &
-                          (F.col("state") == F.col("_c_state")), "left")
-        one = facts.select(F.struct("latest", "state", "week", "prior").alias("f")).scalar()
+                            "start_date", F.lag("pilot").over(w).alias("prior"))
+        facts = present.join(cal, (F.col("pilot") == F.col("_c_pilot")) & (F.col("pilot_state") == F.col("_c_state")))
+        one = facts.agg(F.max_by(
+            F.struct(F.col("pilot").alias("latest"), F.col("pilot_state").alias("state"), "week", "prior"),
+            F.struct("start_date", "pilot", "pilot_state")).alias("f")).scalar()
         self.latest: Column = one.getField("latest")
         self.state: Column = one.getField("state")
         self.week: Column = one.getField("week")
@@ -147,7 +147,7 @@ def flow_filled(events: DataFrame) -> DataFrame:
     ev = events.withColumn("initiation", initiation_label(F.col("event")))
     ev = fill_updown(ev, ["distinct_id", "cbv_flow_id"], [F.col("timestamp").asc_nulls_last(), F.col("event_id")],
                      ["device_type", "origin", "initiation"],
-                     chunks=[F.date_trunc("minute", "timestamp")], row_id=[F.col("event_id")])
+                     chunks=[F.date_trunc("second", "timestamp")])
     ev = ev.withColumns({c: fill_null(c, "unknown") for c in ("device_type", "origin", "initiation")})
     return ev.withColumn("device_type", F.when(F.col("device_type").isin(list(C.DEVICE_KEEP)), F.col("device_type"))
                          .otherwise(F.lit("other")))

@@ -2,11 +2,12 @@
 
 Each takes ``(spark, sf_dir)`` and reads the test data's ``events`` table.  The
 table is landed once per application (:mod:`funnelspark.sources.landing`): as
-export files for the scan queries and as a Parquet event log for the metrics.
-Nothing is collected here.  A few queries write a table in the shared
-checkpoint folder and read it back, because writing is what they test or
-because it cuts a long lineage: ``roundtrip_parquet``, ``stream_ingest`` and
-``weekly_kpi_masked``.
+export files for the scan queries and as a Parquet event log, partitioned by
+agency and day, for the metrics.  While a frame is built, only the last day's
+date is read (from the folder names) and, for the two window operators, whether
+any flow is large enough to be split.  ``roundtrip_parquet`` and
+``stream_ingest`` write a table in the shared folder and read it back, because
+writing is what they show.
 """
 
 from __future__ import annotations
@@ -22,11 +23,11 @@ from .functions import labels as L
 from .functions.nulls import filter_out
 from .functions.text import initiation_label, normalize_search
 from .operators.lookup import recode
-from .plans import frames, masking, periods, report, weekly
+from .plans import frames, masking, periods, report, runs, weekly
 from .session import ensure_checkpoint_dir, shared_table_path
 from .sources import tables
 from .sources import landing
-from .sources.export import REPORT_PROPERTIES, WEEKLY_PROPERTIES, flatten_export, normalise
+from .sources.export import REPORT_PROPERTIES, WEEKLY_PROPERTIES, normalise, read_export
 from .sources.pilots import pilot_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,14 +45,19 @@ def _piloted(spark: SparkSession, sf_dir: str, params: Params = MONTH) -> DataFr
                                   pilot_rows=len(params.pilots))
 
 
-def _ctx(spark: SparkSession, sf_dir: str, params: Params = MONTH) -> tuple[DataFrame, weekly.PilotContext]:
+def _ctx(spark: SparkSession, sf_dir: str, params: Params = MONTH, pilots_only: bool = False
+         ) -> tuple[DataFrame, weekly.PilotContext]:
+    """The piloted log and its facts; ``pilots_only`` for tables that leave out
+    events of no pilot, which then read the calendar's days only."""
     ev = _piloted(spark, sf_dir, params)
-    return ev, weekly.PilotContext(ev, pilot_frame(spark, params.pilots))
+    pil = pilot_frame(spark, params.pilots)
+    during = periods.during_pilots(ev, params.pilots)
+    return (during if pilots_only else ev), weekly.PilotContext(during, pil)
 
 
 def _export(spark: SparkSession, sf_dir: str, properties, **kw) -> DataFrame:
     """Scan the landed export files (S1/S3) with the chosen property keys."""
-    return flatten_export(landing.export_files(spark, sf_dir), properties, **kw)
+    return read_export(spark, landing.export_dir(spark, sf_dir), properties, **kw)
 
 
 # -- sources / projections -------------------------------------------------------
@@ -74,21 +80,21 @@ def q_cast_units(spark, sf_dir):
 
 
 def q_stream_ingest(spark, sf_dir):
-    """Land the export files incrementally (file stream, de-duplicated by event
-    id) into a fresh landing table, then read the landed table."""
+    """Land the export files incrementally (file stream) into a fresh landing
+    table, then read the landed table, repeated events once."""
     from .streaming import ingest_exports
     ensure_checkpoint_dir(spark)
     land, ckpt = shared_table_path(spark, "stream-landing"), shared_table_path(spark, "stream-checkpoint")
     ingest_exports(spark, landing.export_dir(spark, sf_dir), land, ckpt, MONTH.agency)
-    return tables.read_table(spark, land).select("event_id", "event", "timestamp", "distinct_id", "cbv_flow_id",
-                                                 "client_agency", "event_date")
+    return tables.read_landed(spark, land).select("event_id", "event", "timestamp", "distinct_id", "cbv_flow_id",
+                                                  "client_agency", "event_date")
 
 
 def q_range_extract(spark, sf_dir):
-    ev = _log(spark, sf_dir)
-    pil = pilot_frame(spark, MONTH.pilots)
-    win = periods.lookback_window(pil, MONTH.agency, periods.max_event_date(ev))
-    return tables.extract_range(ev, win).select("event_id", "event", "timestamp", "distinct_id")
+    as_of = MONTH.as_of or tables.last_day(_log(spark, sf_dir))
+    start, end = periods.lookback_bounds(MONTH.pilots, MONTH.agency, as_of, MONTH.report_type)
+    return tables.range_extract(spark, landing.event_log_path(spark, sf_dir), MONTH.agency, start, end).select(
+        "event_id", "event", "timestamp", "distinct_id")
 
 
 def q_pilot_week(spark, sf_dir):
@@ -101,17 +107,16 @@ def q_recode_events(spark, sf_dir):
 
 
 def q_roundtrip_parquet(spark, sf_dir):
-    """Write the funnel table to the shared folder, read it back."""
+    """Publish one of the run's ten named tables, read it back."""
     ensure_checkpoint_dir(spark)
-    path = shared_table_path(spark, "report_dropoff")
-    tables.write_table(report.funnel(_piloted(spark, sf_dir), MONTH), path)
-    return tables.read_table(spark, path)
+    frames_ = runs.report_tables(_piloted(spark, sf_dir), MONTH)
+    paths = tables.publish(frames_, shared_table_path(spark, "published"), only=["report_dropoff"])
+    return tables.read_table(spark, paths["report_dropoff"])
 
 
 # -- filters / periods -----------------------------------------------------------
 def q_filter_out(spark, sf_dir):
-    ev = periods.classify_period(_log(spark, sf_dir), "week")
-    ev = filter_out(ev, F.col("period") == "oob")
+    ev = periods.classify_period(_log(spark, sf_dir), "week", within=2)
     ev = filter_out(ev, F.col("device_type") == "tablet")
     return ev.groupBy("period", "device_type").agg(F.count("*").alias("n"))
 
@@ -129,22 +134,24 @@ def q_latest_pilot(spark, sf_dir):
 
 
 def q_prior_pilot(spark, sf_dir):
-    ev, ctx = _ctx(spark, sf_dir)
+    ev, ctx = _ctx(spark, sf_dir, pilots_only=True)
     return ev.agg(F.count("*").alias("n_events")).select(
         ctx.state.alias("pilot_state"), ctx.latest.alias("pilot_latest"), ctx.prior.alias("pilot_prior"))
 
 
 def q_latest_week(spark, sf_dir):
-    ev, ctx = _ctx(spark, sf_dir)
+    ev, ctx = _ctx(spark, sf_dir, pilots_only=True)
     return ev.where(F.col("pilot") == ctx.latest).agg(F.count("*").alias("n_events")).select(
         ctx.latest.alias("pilot_latest"), ctx.week.alias("pilot_week"), "n_events")
 
 
 def q_extract_window(spark, sf_dir):
+    """The current pilot's window with the number of events of the data in it."""
     ev = _log(spark, sf_dir)
-    pil = pilot_frame(spark, MONTH.pilots)
-    win = periods.extract_window(pil, periods.max_event_date(ev))
-    return tables.count_in_window(ev, win)
+    as_of = MONTH.as_of or tables.last_day(ev)
+    win = periods.extract_window(pilot_frame(spark, MONTH.pilots), as_of)
+    bounds = periods.extract_bounds(MONTH.pilots, as_of)
+    return win.crossJoin(tables.count_between(ev, *bounds))  # one row each
 
 
 def q_cumulative_week(spark, sf_dir):
@@ -241,7 +248,7 @@ def q_multi_employer(spark, sf_dir):
 
 
 def q_weekly_kpi(spark, sf_dir):
-    ev, ctx = _ctx(spark, sf_dir)
+    ev, ctx = _ctx(spark, sf_dir, pilots_only=True)
     return weekly.weekly_kpi(ev, ctx)
 
 
@@ -266,27 +273,27 @@ def q_duration_stats(spark, sf_dir):
 
 
 def q_weekly_funnel(spark, sf_dir):
-    ev, ctx = _ctx(spark, sf_dir)
+    ev, ctx = _ctx(spark, sf_dir, pilots_only=True)
     return weekly.weekly_funnel(ev, ctx, MONTH)
 
 
 def q_initiations_daily(spark, sf_dir):
-    ev, ctx = _ctx(spark, sf_dir)
+    ev, ctx = _ctx(spark, sf_dir, pilots_only=True)
     return weekly.initiations_daily(ev, ctx)
 
 
 def q_initiations_daily_total(spark, sf_dir):
-    ev, ctx = _ctx(spark, sf_dir)
+    ev, ctx = _ctx(spark, sf_dir, pilots_only=True)
     return weekly.initiations_daily_total(ev, ctx)
 
 
 def q_initiations_caption(spark, sf_dir):
-    ev, ctx = _ctx(spark, sf_dir)
+    ev, ctx = _ctx(spark, sf_dir, pilots_only=True)
     return weekly.initiations_caption(ev, ctx)
 
 
 def q_submission_share(spark, sf_dir):
-    ev, ctx = _ctx(spark, sf_dir)
+    ev, ctx = _ctx(spark, sf_dir, pilots_only=True)
     return weekly.submission_share(ev, ctx)
 
 
@@ -299,12 +306,7 @@ def q_mask_copies(spark, sf_dir):
 def q_weekly_kpi_masked(spark, sf_dir):
     """The demo path: weekly KPI table computed on the masked event set, pilots
     ordered by their first masked date."""
-    # Masked once, written to the shared folder, then every table reads it
-    # (as the demo run does): this also cuts the long lineage.
-    ensure_checkpoint_dir(spark)
-    path = shared_table_path(spark, "masked-events")
-    tables.write_table(masking.mask_copies(_piloted(spark, sf_dir), MONTH), path)
-    m = tables.read_table(spark, path)
+    m = masking.mask_copies(_piloted(spark, sf_dir), MONTH)
     ctx = weekly.PilotContext(m, masking.masked_calendar(m, MONTH))
     return weekly.weekly_kpi(m, ctx)
 
@@ -314,17 +316,17 @@ def q_report_funnel_labels(spark, sf_dir):
 
 
 def q_kpi_cards(spark, sf_dir):
-    ev, ctx = _ctx(spark, sf_dir)
+    ev, ctx = _ctx(spark, sf_dir, pilots_only=True)
     return frames.kpi_cards(ev, ctx)
 
 
 def q_narrative(spark, sf_dir):
-    ev, ctx = _ctx(spark, sf_dir)
+    ev, ctx = _ctx(spark, sf_dir, pilots_only=True)
     return frames.narrative(ev, ctx)
 
 
 def q_funnel_labels(spark, sf_dir):
-    ev, ctx = _ctx(spark, sf_dir)
+    ev, ctx = _ctx(spark, sf_dir, pilots_only=True)
     return frames.funnel_labels(ev, ctx, MONTH)
 
 

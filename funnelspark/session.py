@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -65,9 +64,12 @@ def shared_table_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-def path_exists(p: str) -> bool:
-    return os.path.exists(local_path(p))
+def file_stamp(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """(length, modification time) of a file or folder in any store Hadoop
+    knows; None if there is none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    status = fs.getFileStatus(p)
+    return status.getLen(), status.getModificationTime()

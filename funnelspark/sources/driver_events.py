@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CASEWORKER_INVITED, FINISHED_SYNC, SEARCHED_EMPLOYER, SHARED_INCOME_SUMMARY
-from .export import normalise
 
 # --- fixed values: how the synthetic generator's codes map to event names ----
 SIGNUP_EVENTS = ((20, "ClickedCBVInvitationLink"), (35, "ClickedGenericLink"),
@@ -72,8 +71,3 @@ def adapt_driver_events(raw: DataFrame) -> DataFrame:
 
 def read_driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-
-
-def load_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event log with normalised types/units (no pilot annotation yet)."""
-    return normalise(adapt_driver_events(read_driver_events(spark, sf_dir)))

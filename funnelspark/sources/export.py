@@ -1,9 +1,9 @@
 """Analytics-export scan: line-delimited JSON events with a nested ``properties``
 object, flattened to one column per chosen property key.
 
-The schema is declared, never inferred: every file (and every mixed batch of
-files) parses to the same columns, keys absent from a file come back NULL, and
-Spark prunes the nested struct down to the keys actually selected.
+The schema is built from the property keys the caller asks for, never inferred:
+every file (and every mixed batch of files) parses to the same columns, and keys
+absent from a file come back NULL.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Property keys of the export, all kept as text: the exporter emits numbers as
-# strings in some versions, so numeric keys are converted leniently later.
+# Property keys that :func:`to_export_lines` writes.  A scan reads whatever keys
+# its caller names; these are not a limit on it.
 PROPERTY_FIELDS: tuple[str, ...] = (
     "event_id",
     "timestamp",
@@ -33,16 +33,6 @@ PROPERTY_FIELDS: tuple[str, ...] = (
     "flow_started_seconds_ago",
 )
 
-EXPORT_SCHEMA = T.StructType(
-    [
-        T.StructField("event", T.StringType()),
-        T.StructField(
-            "properties",
-            T.StructType([T.StructField(k, T.StringType()) for k in PROPERTY_FIELDS]),
-        ),
-    ]
-)
-
 # Output column -> property key.  The standard report and the weekly dashboard
 # pick slightly different keys; both are instances of this mapping.
 REPORT_PROPERTIES: dict[str, str] = {
@@ -72,19 +62,28 @@ CORE_PROPERTIES: dict[str, str] = {
 }
 
 
+def export_schema(properties: Mapping[str, str]) -> T.StructType:
+    """Read schema of the export for the requested property keys.  All values
+    are read as text: the exporter emits numbers as strings in some versions,
+    and ids may be any text; numeric keys are converted leniently later."""
+    keys = dict.fromkeys([*CORE_PROPERTIES.values(), *properties.values()])
+    return T.StructType([
+        T.StructField("event", T.StringType()),
+        T.StructField("properties", T.StructType([T.StructField(k, T.StringType()) for k in keys])),
+    ])
+
+
 def flatten_export(raw: DataFrame, properties: Mapping[str, str] = REPORT_PROPERTIES, *,
                    drop_prop: bool = True, applicant_only: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Project ``properties.<key>`` to top-level columns (P1/P2) and optionally
     keep applicant events only (S2); ``keep`` names top-level columns carried
-    through unchanged."""
+    through unchanged.  The event id stays text."""
     cols: list[Column] = [F.col("event"), *[F.col(k) for k in keep]]
     for out, key in {**CORE_PROPERTIES, **properties}.items():
         cols.append(F.col("properties").getField(key).alias(out))
     if not drop_prop:
         cols.append(F.col("properties"))
-    df = raw.select(*cols)
-    df = df.withColumn("event_id", F.col("event_id").try_cast("bigint")) \
-           .withColumn("timestamp", F.col("timestamp").try_cast("timestamp_ntz"))
+    df = raw.select(*cols).withColumn("timestamp", F.col("timestamp").try_cast("timestamp_ntz"))
     if applicant_only:
         df = df.where(F.col("event").startswith("Applicant"))
     return df
@@ -92,12 +91,13 @@ def flatten_export(raw: DataFrame, properties: Mapping[str, str] = REPORT_PROPER
 
 def read_export(spark: SparkSession, paths: str | list[str], properties: Mapping[str, str] = REPORT_PROPERTIES,
                 *, drop_prop: bool = True, applicant_only: bool = False, with_source_file: bool = False) -> DataFrame:
-    """Scan one file, a directory, or a list of export files.
+    """Scan one file, a directory, or a list of export files (S1/S3); the
+    property keys are chosen here, by the caller.
 
-    All files share the declared schema, so a directory read is the union of the
+    All files are read with one schema, so a directory read is the union of the
     files.  ``with_source_file`` adds ``source_file`` (the file each event came
     from, from the scan's ``_metadata`` column) for lineage."""
-    raw = spark.read.schema(EXPORT_SCHEMA).json(paths)
+    raw = spark.read.schema(export_schema(properties)).json(paths)
     keep: tuple[str, ...] = ()
     if with_source_file:
         raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
@@ -109,7 +109,7 @@ def parse_export_lines(lines: DataFrame, properties: Mapping[str, str] = REPORT_
                        drop_prop: bool = True, applicant_only: bool = False, column: str = "value") -> DataFrame:
     """Same as :func:`read_export` for export lines already in a DataFrame
     (e.g. from a message queue or a text table)."""
-    raw = lines.select(F.from_json(F.col(column), EXPORT_SCHEMA).alias("_e")).select("_e.*")
+    raw = lines.select(F.from_json(F.col(column), export_schema(properties)).alias("_e")).select("_e.*")
     return flatten_export(raw, properties, drop_prop=drop_prop, applicant_only=applicant_only)
 
 

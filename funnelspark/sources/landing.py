@@ -1,30 +1,31 @@
 """Landing of the test data, the way production data arrives.
 
 In production the analytics export arrives as line-delimited JSON files and is
-landed once as a Parquet event table (:func:`funnelspark.sources.tables.land_events`,
-partitioned by agency and day); every report reads the landed table.  The test
-data instead holds one generic ``events`` table, so for each data folder this
-module derives, once per Spark application:
+landed as a Parquet event table partitioned by agency and day
+(:func:`funnelspark.sources.tables.land_events`); every report reads the landed
+table.  The test data instead holds one generic ``events`` table, so for each
+data folder this module derives, once per Spark application:
 
 * ``export_dir``: the export files (NDJSON, one object per event) written from
   ``events`` through the adapter -- read back by the JSON-scan queries;
-* ``event_log``: the normalised event log as Parquet, sorted by event and time
-  so that event filters skip row groups -- read by every metric.
+* ``event_log``: the normalised event log, landed by ``land_events`` -- read by
+  every metric, which puts its day bounds on the scan.
 
-Both live under the shared checkpoint folder (never a machine-local one) and
-are keyed by the source file's size and modification time.
+Both live under the shared checkpoint folder (on a local master without one, in
+a temporary folder) and are keyed by the source's length and modification time.
 """
 
 from __future__ import annotations
 
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir, path_exists, shared_table_path
+from ..config import TEST_AGENCY
+from ..session import ensure_checkpoint_dir, file_stamp, shared_table_path
 from .driver_events import adapt_driver_events, read_driver_events
-from .export import EXPORT_SCHEMA, normalise, to_export_lines
+from .export import normalise, to_export_lines
+from .tables import land_events
 
 _LOCK = threading.Lock()
 _MEMO: dict[tuple, str] = {}
@@ -32,19 +33,14 @@ _MEMO: dict[tuple, str] = {}
 
 def _key(spark: SparkSession, sf_dir: str, kind: str) -> tuple:
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    try:
-        st = os.stat(src)
-        stamp = (st.st_size, int(st.st_mtime))
-    except OSError:
-        stamp = (None, None)
-    return (spark.sparkContext.applicationId, src, stamp, kind)
+    return (spark.sparkContext.applicationId, src, file_stamp(spark, src), kind)
 
 
 def _landed(spark: SparkSession, sf_dir: str, kind: str, build) -> str:
     key = _key(spark, sf_dir, kind)
     with _LOCK:
         path = _MEMO.get(key)
-        if path is None or not path_exists(path):
+        if path is None or file_stamp(spark, path) is None:
             ensure_checkpoint_dir(spark)
             path = shared_table_path(spark, f"landing-{kind}")
             build(path)
@@ -59,13 +55,11 @@ def export_dir(spark: SparkSession, sf_dir: str) -> str:
     return _landed(spark, sf_dir, "export", build)
 
 
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_log_path(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> None:
-        log = normalise(adapt_driver_events(read_driver_events(spark, sf_dir)))
-        log.sortWithinPartitions("event", "timestamp").write.mode("overwrite").parquet(path)
-    return spark.read.parquet(_landed(spark, sf_dir, "log", build))
+        land_events(normalise(adapt_driver_events(read_driver_events(spark, sf_dir))), path, TEST_AGENCY)
+    return _landed(spark, sf_dir, "log", build)
 
 
-def export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw export rows (``event``, ``properties``) of the landed files."""
-    return spark.read.schema(EXPORT_SCHEMA).json(export_dir(spark, sf_dir))
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(event_log_path(spark, sf_dir))

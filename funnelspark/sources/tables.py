@@ -9,11 +9,15 @@ pruning), and the time filter inside them is pushed to the Parquet reader.
 from __future__ import annotations
 
 import datetime as dt
+import re
+
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LANDING_PARTITIONS = ("client_agency", "event_date")
+DAY = "event_date"
+LANDING_PARTITIONS = ("client_agency", DAY)
 
 
 def land_events(events: DataFrame, path: str, agency: str, mode: str = "append",
@@ -22,40 +26,63 @@ def land_events(events: DataFrame, path: str, agency: str, mode: str = "append",
 
     No shuffle: a day of one agency can be a large share of all rows, so it is
     not gathered into one task.  Each task sorts its own rows by day (one open
-    file at a time) and files are capped in size."""
+    file at a time; inside a day by event and time, so that event filters skip
+    row groups) and files are capped in size."""
     out = events.withColumn("client_agency", F.lit(agency)) \
-                .withColumn("event_date", F.to_date("timestamp"))
-    (out.sortWithinPartitions(*LANDING_PARTITIONS)
+                .withColumn(DAY, F.to_date("timestamp"))
+    (out.sortWithinPartitions(*LANDING_PARTITIONS, "event", "timestamp")
         .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*LANDING_PARTITIONS).parquet(path))
 
 
+def distinct_events(events: DataFrame, key: str = "event_id") -> DataFrame:
+    """Each event once: rows that repeat an id are dropped (Q16), whatever the
+    age of the export that brought them; rows without an id are all kept (a
+    number of their own keeps them apart, and spreads them over the tasks)."""
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return events.withColumn("_own", own).dropDuplicates([key, "_own"]).drop("_own")
+
+
+def read_landed(spark: SparkSession, path: str, dedupe_key: str | None = "event_id") -> DataFrame:
+    """All landed events; overlapping exports repeat events, which
+    ``dedupe_key`` keeps once."""
+    df = spark.read.parquet(path)
+    return distinct_events(df, dedupe_key) if dedupe_key else df
+
+
 def range_extract(spark: SparkSession, path: str, agency: str, start: dt.date, end: dt.date,
                   dedupe_key: str | None = "event_id") -> DataFrame:
-    """Events of one agency between two dates (inclusive).  Overlapping
-    landed batches would repeat events; with ``dedupe_key`` each event is kept
-    once (Q16)."""
+    """Events of one agency between two dates (inclusive): only the folders of
+    these days are read, and only their events are de-duplicated."""
     df = spark.read.parquet(path).where(
-        (F.col("client_agency") == agency) & F.col("event_date").between(F.lit(start), F.lit(end)))
-    if dedupe_key:
-        df = df.dropDuplicates([dedupe_key])
-    return df
+        (F.col("client_agency") == agency) & F.col(DAY).between(F.lit(start), F.lit(end)))
+    return distinct_events(df, dedupe_key) if dedupe_key else df
 
 
-def extract_range(events: DataFrame, window: DataFrame) -> DataFrame:
-    """Events whose date falls in the one-row ``lookback_start, lookback_end``
-    window (a broadcast one-row frame, so the event side is not shuffled)."""
-    return events.join(F.broadcast(window), F.to_date("timestamp").between(
-        F.col("lookback_start"), F.col("lookback_end"))).drop("lookback_start", "lookback_end")
+def last_day(events: DataFrame) -> dt.date | None:
+    """Date of the last event.  For a landed table it is read from the names of
+    the day folders, so no job runs; else it is one aggregate."""
+    if DAY in events.columns:
+        days = {d for f in events.inputFiles() for d in re.findall(rf"/{DAY}=(\d{{4}}-\d\d-\d\d)/", f)}
+        if days:
+            return dt.date.fromisoformat(max(days))
+    return events.agg(F.max(F.to_date("timestamp"))).first()[0]
 
 
-def count_in_window(events: DataFrame, window: DataFrame) -> DataFrame:
-    """The extraction window with the number of events of the data inside it."""
-    w = window
-    inside = events.join(F.broadcast(w.select("start_date", "api_end")),
-                         F.to_date("timestamp").between(F.col("start_date"), F.col("api_end")))
-    n = inside.agg(F.count("*").alias("n_events"))
-    return w.crossJoin(n)
+def between_days(events: DataFrame, start: dt.date | None, end: dt.date | None = None) -> DataFrame:
+    """Literal day bounds on the scan (partition pruning); frames without the
+    day column are returned as they are, their callers filter by time."""
+    if DAY not in events.columns:
+        return events
+    if start is not None:
+        events = events.where(F.col(DAY) >= F.lit(start))
+    return events if end is None else events.where(F.col(DAY) <= F.lit(end))
+
+
+def count_between(events: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """One row: the number of events on the days from ``start`` to ``end``."""
+    inside = between_days(events, start, end).where(F.to_date("timestamp").between(F.lit(start), F.lit(end)))
+    return inside.agg(F.count("*").alias("n_events"))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -64,3 +91,12 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def publish(frames: Mapping[str, DataFrame], root: str, only: Sequence[str] | None = None) -> dict[str, str]:
+    """Write the named tables of a run below ``root``, each over its last
+    version; returns name -> path."""
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in frames if only is None or name in only}
+    for name, path in paths.items():
+        write_table(frames[name], path)
+    return paths

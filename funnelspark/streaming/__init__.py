@@ -1,3 +1,3 @@
 """Incremental ingestion of analytics export files into the landing table."""
 
-from .ingest import deduplicated, export_stream, ingest_exports  # noqa: F401
+from .ingest import export_stream, ingest_exports  # noqa: F401

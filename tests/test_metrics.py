@@ -125,9 +125,9 @@ def test_bad_numbers_become_null(spark):
         ('{"event": "ApplicantFinishedSync", "properties": {"event_id": "2", "timestamp": "2024-01-01 00:00:01", '
          '"cbv_flow_id": "12", "sync_duration_seconds": "3.5", "flow_started_seconds_ago": "90"}}',)], "value string")
     got = {r["event_id"]: r for r in normalise(parse_export_lines(lines, REPORT_PROPERTIES)).collect()}
-    assert got[1]["cbv_flow_id"] is None and got[1]["sync_duration_seconds"] is None
-    assert got[2]["cbv_flow_id"] == 12 and got[2]["sync_duration_seconds"] == 3.5
-    assert got[2]["flow_started_minutes_ago"] == 1.5
+    assert got["1"]["cbv_flow_id"] is None and got["1"]["sync_duration_seconds"] is None
+    assert got["2"]["cbv_flow_id"] == 12 and got["2"]["sync_duration_seconds"] == 3.5
+    assert got["2"]["flow_started_minutes_ago"] == 1.5
 
 
 def test_ban_kpi_missing_prior(spark):
@@ -168,3 +168,48 @@ def test_pilot_week_day_join_equals_broadcast_join(spark):
     a = periods.add_pilot_week(ev, cal).select("event_id", "pilot", "pilot_wk").collect()
     b = periods.add_pilot_week(ev, cal, broadcast_max_rows=0).select("event_id", "pilot", "pilot_wk").collect()
     assert sorted(a, key=str) == sorted(b, key=str)
+
+
+TWO_STATES = (Pilot("X", "tst", "X1", dt.date(2024, 1, 1), dt.date(2024, 12, 31)),
+              Pilot("Y", "tst", "Y1", dt.date(2024, 2, 1), dt.date(2024, 2, 14)),
+              Pilot("Y", "tst", "Y2", dt.date(2024, 2, 15), dt.date(2024, 2, 28)))
+
+
+def test_latest_pilot_is_the_last_started(spark):
+    rows = [{"event": VIEW, "timestamp": t, "pilot_state": s} for s, t in
+            (("X", "2024-01-05 00:00:00"), ("Y", "2024-02-03 00:00:00"), ("Y", "2024-02-16 00:00:00"),
+             ("Y", "2024-02-24 00:00:00"), ("X", "2024-05-01 00:00:00"), ("X", "2024-05-01 00:00:00"))]
+    ev, ctx = piloted(spark, rows, TWO_STATES)
+    r = ev.agg(F.count("*").alias("n")).select(ctx.latest.alias("l"), ctx.state.alias("s"), ctx.week.alias("w"),
+                                               ctx.prior.alias("p")).first()
+    assert (r["l"], r["s"], r["w"], r["p"]) == ("Y2", "Y", 2, "Y1")
+    # Y2 without events: the one before it is the latest; it has no prior.
+    ev, ctx = piloted(spark, rows[:2], TWO_STATES)
+    r = ev.agg(F.count("*").alias("n")).select(ctx.latest.alias("l"), ctx.prior.alias("p")).first()
+    assert (r["l"], r["p"]) == ("Y1", None)
+    # Equal starts: the larger name.
+    tie = (Pilot("X", "tst", "A", dt.date(2024, 1, 1), dt.date(2024, 1, 9)),
+           Pilot("Y", "tst", "B", dt.date(2024, 1, 1), dt.date(2024, 1, 9)))
+    ev, ctx = piloted(spark, [dict(r, timestamp="2024-01-02 00:00:00") for r in rows[:2]], tie)
+    assert ev.agg(F.count("*").alias("n")).select(ctx.latest.alias("l")).first()["l"] == "B"
+
+
+def test_overlapping_runs_count_an_event_once(spark):
+    cal = (Pilot("Testland", "tst", "long", dt.date(2024, 1, 1), dt.date(2024, 1, 31)),
+           Pilot("Testland", "tst", "short", dt.date(2024, 1, 10), dt.date(2024, 1, 12)))
+    rows = [{"event": VIEW, "timestamp": f"2024-01-{d:02d} 08:00:00"} for d in (9, 10, 12, 13)] + [{"event": VIEW, "timestamp": None}]
+    for limit in (100_000, 0):
+        ev = periods.add_pilot_week(make_log(spark, rows), pilot_frame(spark, cal), broadcast_max_rows=limit)
+        got = [(r["event_id"], r["pilot"], r["pilot_wk"]) for r in ev.orderBy("event_id").collect()]
+        assert got == [(0, "long", 2), (1, "short", 1), (2, "short", 1), (3, "long", 2), (4, None, None)]
+
+
+def test_lookback_takes_two_periods():
+    day = dt.date(2024, 3, 31)
+    assert periods.lookback_bounds((), "tst", day, "month") == (dt.date(2024, 1, 31), day)
+    assert periods.lookback_bounds((), "tst", day, "week") == (dt.date(2024, 3, 17), day)
+    assert periods.lookback_bounds(PILOTS, "tst", day, "month") == (dt.date(2024, 2, 1), day)
+    assert periods.lookback_bounds(PILOTS, "other", day, "month") == (dt.date(2024, 1, 31), day)
+    assert periods.days_before(dt.date(2024, 3, 31), "month", 1) == dt.date(2024, 2, 29)
+    assert periods.extract_bounds(PILOTS, dt.date(2024, 1, 20)) == (dt.date(2024, 1, 1), dt.date(2024, 1, 14))
+    assert periods.extract_bounds(PILOTS, dt.date(2023, 1, 1)) is None

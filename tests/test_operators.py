@@ -12,7 +12,7 @@ from funnelspark.operators.quantiles import exact_quantiles
 from funnelspark.operators.reshape import long_to_wide_periods
 from funnelspark.operators.sample import sample_keys
 from funnelspark.operators.topn import top_n_per_group
-from funnelspark.operators.window_ops import fill_updown, lead_within
+from funnelspark.operators.window_ops import _hot_split, fill_updown, lead_within
 
 
 def test_fill_updown_directions(spark):
@@ -43,7 +43,7 @@ def _type7(values, p):
     return float(np.percentile(np.array(values, dtype=float), p * 100, method="linear"))
 
 
-def _quantile_case(spark, exact_rows, buckets):
+def test_exact_quantiles(spark):
     rnd = random.Random(7)
     rows = []
     for g, n in (("a", 1), ("b", 2), ("c", 57), (None, 40)):
@@ -53,8 +53,7 @@ def _quantile_case(spark, exact_rows, buckets):
     rows.append(("c", float("nan")))
     df = spark.createDataFrame(rows, "g string, v double")
     probs = {"q25": 0.25, "median": 0.5, "q75": 0.75}
-    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", probs, exact_rows=exact_rows,
-                                              buckets=buckets).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", probs).collect()}
     for g in ("a", "b", "c", None):
         vals = [v for gg, v in rows if gg == g and v is not None and not math.isnan(v)]
         r = got[g]
@@ -65,22 +64,41 @@ def _quantile_case(spark, exact_rows, buckets):
         assert r["q25"] <= r["median"] <= r["q75"]
 
 
-def test_exact_quantiles_sort_path(spark):
-    _quantile_case(spark, exact_rows=1_000_000, buckets=1 << 16)
-
-
-def test_exact_quantiles_refinement_path(spark):
-    # Tiny limits force every group with more than 3 values through the
-    # histogram refinement (several rounds with 4 buckets).
-    _quantile_case(spark, exact_rows=3, buckets=4)
-
-
 def test_exact_quantiles_all_equal_values(spark):
     df = spark.createDataFrame([("k", 5.0)] * 50, "g string, v double")
-    r = exact_quantiles(df, ["g"], "v", {"median": 0.5}, exact_rows=2, buckets=4).first()
+    r = exact_quantiles(df, ["g"], "v", {"median": 0.5}).first()
     assert r["median"] == 5.0 and r["n"] == 50
 
 
+def test_exact_quantiles_outliers_signs_and_no_groups(spark):
+    rnd = random.Random(3)
+    vals = [rnd.lognormvariate(3, 1) for _ in range(3000)] + [1e300, -1e300, 0.0, -0.0, 5e-324, float("inf"), -7.5, -7.25]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(5)
+    probs = {f"p{i}": i / 20 for i in range(21)}
+    r = exact_quantiles(df, [], "v", probs).first()
+    for name, p in probs.items():
+        if p < 1:
+            assert math.isclose(r[name], _type7(sorted(vals)[:-1] + [1e308], p), rel_tol=1e-12, abs_tol=1e-12), name
+    assert r["max"] == float("inf") and r["min"] == -1e300
+
+
+def test_exact_quantiles_plan_joins_by_broadcast_and_starts_no_job(spark):
+    df = spark.range(10_000).selectExpr("id % 2 as g", "cast(id as double) as v")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tracker = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("quantile-build", "")
+        q = exact_quantiles(df, ["g"], "v", {"median": 0.5})
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert not tracker.getJobIdsForGroup("quantile-build")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert {r["g"]: r["median"] for r in q.collect()} == {0: 4999.0, 1: 5000.0}
+
+
 def test_sample_keys_exact_size_and_deterministic(spark):
     ids = [str(i) for i in range(1, 501)]
     df = spark.createDataFrame([(i,) for i in ids] + [(None,), ("7",)], "distinct_id string")
@@ -134,7 +152,7 @@ def test_chunked_lead_equals_plain(spark):
     order = [F.col("pid").asc_nulls_last(), F.col("ts").asc_nulls_last(), F.col("id")]
     plain = lead_within(df, "flow", order, "v", "nxt")
     hot = lead_within(df, "flow", order, "v", "nxt", chunks=[F.col("pid"), F.date_trunc("minute", "ts")],
-                      row_id=[F.col("id")], hot_rows=1, sample_per_mille=1000)
+                      hot_rows=1, sample_per_mille=1000)
     a = sorted((r["id"], r["nxt"]) for r in plain.collect())
     b = sorted((r["id"], r["nxt"]) for r in hot.collect())
     assert a == b and len(a) == 400
@@ -145,12 +163,22 @@ def test_chunked_fill_equals_plain(spark):
     order = [F.col("ts").asc_nulls_last(), F.col("id")]
     plain = fill_updown(df, ["pid", "flow"], order, ["v", "w"])
     hot = fill_updown(df, ["pid", "flow"], order, ["v", "w"], chunks=[F.date_trunc("minute", "ts")],
-                      row_id=[F.col("id")], hot_rows=1, sample_per_mille=1000)
+                      hot_rows=1, sample_per_mille=1000)
     a = sorted((r["id"], r["v"], r["w"]) for r in plain.collect())
     b = sorted((r["id"], r["v"], r["w"]) for r in hot.collect())
     assert a == b and len(a) == 400
 
 
+def test_hot_split_without_ids(spark):
+    df = _random_events(spark, seed=9).withColumn("event_id", F.lit(None).cast("string"))
+    order = [F.col("ts").asc_nulls_last(), F.col("id")]
+    cold, hot = _hot_split(df, ["flow"], 50, 1000)
+    assert hot is not None and hot.count() + cold.count() == 400
+    plain = fill_updown(df, ["flow"], order, ["v"])
+    split = fill_updown(df, ["flow"], order, ["v"], chunks=[F.date_trunc("second", "ts")], hot_rows=50, sample_per_mille=1000)
+    assert sorted((r["id"], r["v"]) for r in plain.collect()) == sorted((r["id"], r["v"]) for r in split.collect())
+
+
 def test_hot_split_mixes_paths(spark):
     # One big flow (hot) and many small ones (cold) in the same call.
     df = _random_events(spark, seed=5, n=300).withColumn(
@@ -158,5 +186,5 @@ def test_hot_split_mixes_paths(spark):
     order = [F.col("pid").asc_nulls_last(), F.col("ts").asc_nulls_last(), F.col("id")]
     plain = lead_within(df, "flow", order, "v", "nxt")
     mixed = lead_within(df, "flow", order, "v", "nxt", chunks=[F.col("pid"), F.date_trunc("minute", "ts")],
-                        row_id=[F.col("id")], hot_rows=50, sample_per_mille=1000)
+                        hot_rows=50, sample_per_mille=1000)
     assert sorted((r["id"], r["nxt"]) for r in plain.collect()) == sorted((r["id"], r["nxt"]) for r in mixed.collect())

@@ -2,11 +2,15 @@
 
 import json
 import os
+import re
 import tempfile
 
+import pytest
+
 from conftest import make_log
+from funnelspark.queries import QUERIES
 from funnelspark.sources.export import WEEKLY_PROPERTIES, read_export
-from funnelspark.sources.tables import land_events, range_extract
+from funnelspark.sources.tables import distinct_events, land_events, last_day, publish, range_extract, read_landed
 
 
 def test_range_extract_prunes_and_dedupes(spark):
@@ -19,6 +23,8 @@ def test_range_extract_prunes_and_dedupes(spark):
     import datetime as dt
     got = range_extract(spark, path, "tst", dt.date(2024, 1, 4), dt.date(2024, 1, 6))
     assert sorted(r["event_id"] for r in got.collect()) == [4, 5, 6]
+    assert last_day(spark.read.parquet(path)) == dt.date(2024, 1, 6)
+    assert read_landed(spark, path).count() == 6
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "event_date" in plan
     assert range_extract(spark, path, "other", dt.date(2024, 1, 1), dt.date(2024, 1, 9)).count() == 0
@@ -35,9 +41,42 @@ def test_export_scan_of_mixed_files(spark):
                             "properties": {"event_id": "2", "timestamp": "2024-01-02 00:00:00",
                                            "device_type": "smartphone", "unknown_key": 5}}) + "\n")
     all_rows = {r["event_id"]: r for r in read_export(spark, d, WEEKLY_PROPERTIES).collect()}
-    assert all_rows[1]["origin"] == "sms" and all_rows[2]["origin"] is None
+    assert all_rows["1"]["origin"] == "sms" and all_rows["2"]["origin"] is None
     applicants = read_export(spark, d, WEEKLY_PROPERTIES, applicant_only=True).collect()
-    assert [r["event_id"] for r in applicants] == [1]
+    assert [r["event_id"] for r in applicants] == ["1"]
     lineage = {r["event_id"]: r["source_file"] for r in
                read_export(spark, d, WEEKLY_PROPERTIES, with_source_file=True).collect()}
-    assert lineage[1].endswith("a.json") and lineage[2].endswith("b.json")
+    assert lineage["1"].endswith("a.json") and lineage["2"].endswith("b.json")
+    # A key nobody declared, chosen by the caller.
+    chosen = {r["event_id"]: r["other"] for r in read_export(spark, d, {"other": "unknown_key"}).collect()}
+    assert chosen == {"1": None, "2": "5"}
+
+
+def test_rows_without_an_id_are_all_kept(spark):
+    df = spark.createDataFrame([("a1", 1), ("a1", 1), ("b-2", 2), (None, 3), (None, 3), (None, 4)], "event_id string, x int")
+    got = sorted(((r["event_id"] or "", r["x"]) for r in distinct_events(df.repartition(3)).collect()))
+    assert got == [("", 3), ("", 3), ("", 4), ("a1", 1), ("b-2", 2)]
+
+
+def test_published_tables_are_overwritten(spark):
+    root = tempfile.mkdtemp(prefix="funnelspark-pub-")
+    for n in (3, 2):
+        paths = publish({"a": spark.range(n), "b": spark.range(n + 1)}, root)
+        assert {k: spark.read.parquet(p).count() for k, p in paths.items()} == {"a": n, "b": n + 1}
+    assert list(publish({"a": spark.range(1), "b": spark.range(1)}, root, only=["b"])) == ["b"]
+
+
+@pytest.mark.parametrize("name", ["funnel", "period_kpi", "ban_kpi", "trend", "weekly_kpi", "weekly_funnel", "narrative",
+                                  "range_extract", "extract_window", "initiations_daily"])
+def test_scans_are_bounded_by_day(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)", plan)
+    assert filters and all("event_date" in f for f in filters), filters
+
+
+@pytest.mark.parametrize("name, scans", [("period_kpi", 3), ("ban_kpi", 3), ("mask_copies", 2)])
+def test_scan_counts(spark, name, scans):
+    """Counts in one scan, exact medians in two; the masked set in two.  (Beside
+    them: the latest timestamp, over the last day, and the sample's cutoff.)"""
+    leaves = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().collectLeaves()
+    assert sum("parquet" in leaves.apply(i).toString() for i in range(leaves.size())) == scans
