@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate, htmltext, langid, quality, sentencepiece, sharding, simhash, suffixdedup, topk, toxicity
 from .common import table
+from .oracles import ORACLE_SQL  # noqa: F401
 
 #: The public tokenizer model of the queries; the operators take any path.
 TOKENIZER = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -71,19 +72,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_top_k_search": op10_top_k_search,
 }
-
-#: DuckDB twins.  A stated query set against all rows is a join there.
-ORACLE_SQL: dict[str, str] = {
-    "op10_top_k_search": """
-        with v as (
-            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v
-            from embeddings
-            where vec_id is not null and embedding is not null
-              and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
-        s as (
-            select q.vec_id as query_id, c.vec_id,
-                   list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
-            from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 100 = 0),
-        r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
-        select query_id, rank, vec_id, score from r where rank <= 10""",
-}

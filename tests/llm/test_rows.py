@@ -85,6 +85,17 @@ def test_top_k_of_odd_vectors(spark, monkeypatch):
     assert topk.top_k(v.limit(0), v.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["op4_benchmark_decontamination", "op9_suffix_array_dedup"])
+def test_queries_match_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as from '{SF}/{t}.parquet'")
+    expect = con.sql(ORACLE_SQL[name])
+    got = QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(expect.columns)
+    assert sorted(map(tuple, got.select(*expect.columns).collect())) == sorted(expect.fetchall())
+
+
 def test_main_text():
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
     <header><p>Site header with a slogan that is quite long really</p></header><nav><ul><li><a href=x>Home</a></ul></nav>
