@@ -2,7 +2,7 @@
 
 Texts are encoded in batches.  The batch's chunks (a run of spaces with what
 follows it, or a line feed: no piece of the vocabulary reaches across) that the
-task has not met before are laid end to end and indexed by a suffix array.
+worker has not met before are laid end to end and indexed by a suffix array.
 Every piece is looked up by binary search, which gives its range of suffixes,
 that is all its occurrences; these are the edges of a lattice over the text.
 The edges are sorted by position and relaxed in that order, all chunks at once:
@@ -33,8 +33,9 @@ from .common import blocks
 
 SPACE = "▁"
 CHUNK = re.compile(rf"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
-#: Chunks a task remembers, and text handled at once.
-REMEMBERED, BATCH_BYTES = 250_000, 4 << 20
+#: Chunks and pairs of tokens a worker remembers, and text handled at once.
+REMEMBERED, BATCH_BYTES = 600_000, 2 << 20
+PAIRS = 4_000_000
 SEPARATOR = 0x110000
 
 
@@ -88,36 +89,32 @@ def spread(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
 
 class _Index:
     """Suffix array of chunks laid end to end, ordered by ``depth`` characters
-    (no piece is longer), and binary search in it."""
+    (no piece is longer), and binary search in it.  Characters are coded from 1
+    up (0: separator and end) and packed into 64-bit words."""
 
     def __init__(self, text: np.ndarray, depth: int):
-        chars = np.unique(text[text != SEPARATOR])
-        self.code = {chr(c): i + 1 for i, c in enumerate(chars)}  # 0: separator and end
-        bits = max(1, int(len(chars)).bit_length())
-        self.per = 64 // bits
-        self.bits = bits
-        self.words = -(-depth // self.per)
-        codes = np.where(text == SEPARATOR, 0, np.searchsorted(chars, text) + 1).astype(np.uint64)
-        padded = np.concatenate([codes, np.zeros(self.words * self.per, np.uint64)])
-        n = len(text)
-        keys = []
-        for w in range(self.words):
-            key = np.zeros(n, np.uint64)
-            for i in range(self.per):
-                key = (key << np.uint64(bits)) | padded[w * self.per + i:w * self.per + i + n]
-            keys.append(key)
-        self.sa = np.lexsort(keys[::-1])
+        self.chars = np.unique(text[text != SEPARATOR])
+        bits = max(1, int(len(self.chars)).bit_length())
+        self.bits, self.per, n = bits, 64 // bits, len(text)
+        codes = np.where(text == SEPARATOR, 0, np.searchsorted(self.chars, text) + 1).astype(np.uint64)
+        padded = np.concatenate([codes, np.zeros(depth + self.per, np.uint64)])
+        words = -(-depth // self.per)
+        keys = [self._pack([padded[w * self.per + i:w * self.per + i + n] for i in range(self.per)]) for w in range(words)]
+        self.sa = np.argsort(keys[0])
+        # Suffixes that go on after the first word are ordered by the others too.
+        first = keys[0][self.sa]
+        longer = np.flatnonzero(first & np.uint64((1 << bits) - 1))
+        if words > 1 and len(longer):
+            part = self.sa[longer]
+            self.sa[longer] = part[np.lexsort([k[part] for k in keys[::-1]])]
         self.keys = [k[self.sa] for k in keys]
 
-    def _packed(self, pieces: list[list[int]], fill: int) -> list[np.ndarray]:
-        out = []
-        for w in range(self.words):
-            col = np.zeros(len(pieces), np.uint64)
-            for i in range(self.per):
-                at = w * self.per + i
-                col = (col << np.uint64(self.bits)) | np.array([p[at] if at < len(p) else fill for p in pieces], np.uint64)
-            out.append(col)
-        return out
+    def _pack(self, columns: list[np.ndarray]) -> np.ndarray:
+        key = np.zeros(len(columns[0]), np.uint64)
+        for c in columns:
+            key <<= np.uint64(self.bits)
+            key |= c
+        return key
 
     def _search(self, wanted: list[np.ndarray], after: bool) -> np.ndarray:
         """Number of suffixes before (or up to, if ``after``) each wanted key."""
@@ -126,22 +123,30 @@ class _Index:
             mid = np.minimum((lo + hi) // 2, len(self.sa) - 1)
             less, same = np.zeros(len(lo), bool), np.ones(len(lo), bool)
             for k, w in zip(self.keys, wanted):
-                less |= same & (k[mid] < w)
-                same &= k[mid] == w
+                own = k[mid]
+                less |= same & (own < w)
+                same &= own == w
             go = (less | same if after else less) & (lo < hi)
             lo, hi = np.where(go, mid + 1, lo), np.where(go, hi, np.minimum(mid, hi))
         return lo
 
-    def ranges(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(which of the pieces occur, start and end of their ranges)."""
-        which = [i for i, s in enumerate(pieces) if all(c in self.code for c in s)]
-        if not which:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        coded = [[self.code[c] for c in pieces[i]] for i in which]
-        lo = self._search(self._packed(coded, 0), False)
-        hi = self._search(self._packed(coded, (1 << self.bits) - 1), True)
-        some = hi > lo
-        return np.array(which)[some], lo[some], hi[some]
+    def ranges(self, pieces: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(which of the pieces occur, start and end of their ranges); pieces:
+        code points in rows, filled up with zeros."""
+        at = np.minimum(np.searchsorted(self.chars, pieces), len(self.chars) - 1)
+        inside = np.arange(pieces.shape[1]) < lens[:, None]
+        which = np.flatnonzero(((self.chars[at] == pieces) | ~inside).all(1))
+        if not len(which):
+            return which, which, which
+        codes, inside = (at[which] + 1).astype(np.uint64), inside[which]
+        bounds = []
+        for fill, after in ((0, False), ((1 << self.bits) - 1, True)):
+            c = np.where(inside, codes, np.uint64(fill))
+            c = np.concatenate([c, np.full((len(c), self.per), fill, np.uint64)], 1)
+            bounds.append(self._search([self._pack([c[:, w * self.per + i] for i in range(self.per)])
+                                        for w in range(len(self.keys))], after))
+        some = bounds[1] > bounds[0]
+        return which[some], bounds[0][some], bounds[1][some]
 
 
 class Encoder:
@@ -151,7 +156,11 @@ class Encoder:
         self.made_ids = np.array([vocabulary.ids[s] for s in vocabulary.made])
         self.made_len = np.array([len(s) for s in vocabulary.made])
         self.depth = int(self.made_len.max())
-        self.fits: dict[int, bool] = {}
+        self.made_points = np.zeros((len(self.made_ids), self.depth), np.uint32)
+        points = np.frombuffer("".join(vocabulary.made).encode("utf-32-le"), np.uint32)
+        self.made_points[np.arange(self.depth) < self.made_len[:, None]] = points
+        # Pairs of tokens judged so far: a sorted table, and those since it was made.
+        self.pairs, self.pair_fits, self.new_pairs = np.empty(0, np.int64), np.empty(0, bool), {}
         raw = self._raw()
         self.raw_len = np.array([len(b) for b in raw])
         self.raw_start = np.concatenate([[0], np.cumsum(self.raw_len)[:-1]])
@@ -171,17 +180,32 @@ class Encoder:
     def _text(self, token: int) -> str:
         return self.v.pieces[token] if token < self.n else chr(token - self.n)
 
-    def _fits(self, pair: int) -> bool:
-        """Whether merging the texts of two tokens gives back the two."""
-        got = self.fits.get(pair)
+    def _judge(self, pair: int) -> bool:
+        got = self.new_pairs.get(pair)
         if got is None:
             a, b = self._text(pair >> 32), self._text(pair & 0xFFFFFFFF)
-            got = self.v.merge(a + b) == [a, b]
-            if len(self.fits) > 2_000_000:
-                self.fits.clear()
-            self.fits[pair] = got
+            got = self.new_pairs[pair] = self.v.merge(a + b) == [a, b]
         return got
 
+    def _fit(self, pairs: np.ndarray) -> np.ndarray:
+        """Whether merging the texts of two tokens gives back the two, for each pair."""
+        some, inverse = np.unique(pairs, return_inverse=True)
+        ok = np.zeros(len(some), bool)
+        i = np.searchsorted(self.pairs, some)
+        old = i < len(self.pairs)
+        old[old] = self.pairs[i[old]] == some[old]
+        ok[old] = self.pair_fits[i[old]]
+        ok[~old] = [self._judge(p) for p in some[~old].tolist()]
+        return ok[inverse]
+
+    def _file_pairs(self):
+        if len(self.pairs) + len(self.new_pairs) > PAIRS:
+            self.pairs, self.pair_fits = np.empty(0, np.int64), np.empty(0, bool)
+        pairs = np.concatenate([self.pairs, np.fromiter(self.new_pairs, np.int64, len(self.new_pairs))])
+        fits = np.concatenate([self.pair_fits, np.fromiter(self.new_pairs.values(), bool, len(self.new_pairs))])
+        order = np.argsort(pairs)
+        self.pairs, self.pair_fits, self.new_pairs = pairs[order], fits[order], {}
+
     def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of the chunks end to end, and how many each has."""
         lens = np.array([len(c) for c in chunks])
@@ -190,13 +214,13 @@ class Encoder:
         points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
         text[spread(starts, lens)] = points
         index = _Index(text, self.depth)
-        which, lo, hi = index.ranges(self.v.made)
+        which, lo, hi = index.ranges(self.made_points, self.made_len)
         count = hi - lo
         at = index.sa[spread(lo, count)]
         token, size = np.repeat(self.made_ids[which], count), np.repeat(self.made_len[which], count)
-        bare = [c for c in index.code if c not in self.v.ids]  # characters without a piece
+        bare = [c for c in index.chars.tolist() if chr(c) not in self.v.ids]  # characters without a piece
         if bare:
-            own = np.flatnonzero(np.isin(text, [ord(c) for c in bare]))
+            own = np.flatnonzero(np.isin(text, bare))
             at, token = np.concatenate([at, own]), np.concatenate([token, self.n + text[own].astype(np.int64)])
             size = np.concatenate([size, np.ones(len(own), np.int64)])
         chunk_start = np.repeat(starts, lens + 1)
@@ -212,10 +236,10 @@ class Encoder:
             take = first.copy()
             if not first.all():
                 rest = np.flatnonzero(~first)
-                pairs, inverse = np.unique((last[s[rest]] << 32) | t[rest], return_inverse=True)
-                take[rest] = np.fromiter((self._fits(p) for p in pairs.tolist()), bool, len(pairs))[inverse]
+                take[rest] = self._fit((last[s[rest]] << 32) | t[rest])
             s, t, n = s[take], t[take], n[take]
             last[s + n], back[s + n] = t, s
+        self._file_pairs()
         on = np.zeros(len(text) + 1, bool)
         p = starts + lens
         while len(p):
@@ -263,13 +287,24 @@ class Encoder:
         return [t[1:] if t.startswith(" ") else t for t in out]
 
 
+#: The encoder of this worker process: tasks that follow on it go on with what
+#: it has met.  What it remembers is bounded and never changes a result.
+_kept: list[Encoder] = []
+
+
+def _encoder(vocabulary: Vocabulary) -> Encoder:
+    if not _kept or _kept[0].v is not vocabulary and _kept[0].v.score != vocabulary.score:
+        _kept[:] = [Encoder(vocabulary)]
+    return _kept[0]
+
+
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, ids, n_tokens, round_trip (decoding gives the text back, a
     literal U+2581 counting as a space) for every row."""
     held = docs.sparkSession.sparkContext.broadcast(Vocabulary(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(held.value)
+        encoder = _encoder(held.value)
         for batch in batches:
             for part in blocks(batch, "text", BATCH_BYTES):
                 texts = [t or "" for t in part.column(1).to_pylist()]
@@ -290,7 +325,7 @@ def decode(tokens: DataFrame, model_path: str) -> DataFrame:
     held = tokens.sparkSession.sparkContext.broadcast(Vocabulary(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(held.value)
+        encoder = _encoder(held.value)
         for batch in batches:
             rows = batch.column(1).to_pylist()
             counts = np.array([len(r or ()) for r in rows], np.int64)
