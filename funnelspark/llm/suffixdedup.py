@@ -132,18 +132,18 @@ class Chunk:
         names, _, own, at = self.level1
         left = np.sort(names[repeated | own])
         n = len(self.data)
-        near = np.zeros(n + 1, np.int32)
+        near = np.zeros(n + 1, np.int8)  # steps up and down; at most 8 samples in 57 bytes
         if len(left):
             hit = at[left[np.minimum(np.searchsorted(left, self.names[at]), len(left) - 1)] == self.names[at]]
             np.add.at(near, np.maximum(hit - (V - 1), 0), 1)
             np.add.at(near, hit + 1, -1)
-        room = np.zeros(n + 1, np.int32)  # places with 100 bytes of their text ahead
+        room = np.zeros(n + 1, np.int8)  # places with 100 bytes of their text ahead
         fit = self.lens >= WIDTH
         fit[self.copies] = False
         np.add.at(room, self.starts[fit], 1)
         np.add.at(room, (self.starts + self.lens)[fit] - WIDTH + 1, -1)
-        np.cumsum(near, out=near)
-        np.cumsum(room, out=room)
+        np.cumsum(near, dtype=np.int8, out=near)
+        np.cumsum(room, dtype=np.int8, out=room)
         place = np.flatnonzero((near[:n] > 0) & (room[:n] > 0))
         del near, room
         parts = [self.names[place + d] for d in (0, 28, 56)]
@@ -309,10 +309,10 @@ def removals(docs: DataFrame, output: str) -> DataFrame:
             for i, (row, c) in enumerate(opened(batch)):
                 place, _, bucket, _, again = c.level2(_unpack(row["first"], c.level1[1]))
                 start = np.concatenate([place[_unpack(row["second"], bucket)], again])
-                cover = np.zeros(len(c.data) + 1, np.int32)
+                cover = np.zeros(len(c.data) + 1, np.int8)  # steps up and down; at most 100 strings over a byte
                 np.add.at(cover, start, 1)
                 np.add.at(cover, start + WIDTH, -1)
-                np.cumsum(cover, out=cover)
+                np.cumsum(cover, dtype=np.int8, out=cover)
                 gone = cover[:-1] > 0
                 for k in c.copies:
                     gone[c.starts[k]:c.starts[k] + c.lens[k]] = True
