@@ -57,7 +57,7 @@ WIDTH, NAMED = 100, 44
 V, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 assert {(a - b) % V for a in COVER for b in COVER} == set(range(V)) and NAMED + V - 1 == WIDTH
 #: Packed text of a chunk, and text per sort bucket.
-CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
+CHUNK_BYTES, BUCKET_BYTES = 6 << 20, 16 << 20
 #: Places named at once: a few arrays of them stay in a core's cache.
 TILE = 1 << 15
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
