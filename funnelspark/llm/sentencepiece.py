@@ -22,7 +22,9 @@ with NULL ids and repeated rows are encoded like any other.
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -288,14 +290,29 @@ class Encoder:
 
 
 #: The encoder of this worker process: tasks that follow on it go on with what
-#: it has met.  What it remembers is bounded and never changes a result.
+#: it has met.  What it remembers is bounded and never changes a result; it is
+#: let go when no task has asked for it for a while, as workers are shared with
+#: other operators.
 _kept: list[Encoder] = []
-
-
-def _encoder(vocabulary: Vocabulary) -> Encoder:
-    if not _kept or _kept[0].v is not vocabulary and _kept[0].v.score != vocabulary.score:
-        _kept[:] = [Encoder(vocabulary)]
-    return _kept[0]
+_letting_go: list[threading.Timer] = []
+KEPT_SECONDS = 5
+
+
+@contextmanager
+def _encoder(vocabulary: Vocabulary) -> Iterator[Encoder]:
+    while _letting_go:
+        _letting_go.pop().cancel()
+    encoder = _kept.pop() if _kept else None
+    if encoder is None or encoder.v.score != vocabulary.score:
+        encoder = Encoder(vocabulary)
+    try:
+        yield encoder
+    finally:
+        _kept[:] = [encoder]
+        timer = threading.Timer(KEPT_SECONDS, _kept.clear)
+        timer.daemon = True
+        timer.start()
+        _letting_go.append(timer)
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
@@ -304,17 +321,17 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(Vocabulary(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(held.value)
-        for batch in batches:
-            for part in blocks(batch, "text", BATCH_BYTES):
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                ids, counts = encoder.encode(texts)
-                back = encoder.decode(ids, counts)
-                same = [a == b or a == b.replace(SPACE, " ") for a, b in zip(back, texts)]
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
-                     pa.array(counts, pa.int64()), pa.array(same)], ["doc_id", "ids", "n_tokens", "round_trip"])
+        with _encoder(held.value) as encoder:
+            for batch in batches:
+                for part in blocks(batch, "text", BATCH_BYTES):
+                    texts = [t or "" for t in part.column(1).to_pylist()]
+                    ids, counts = encoder.encode(texts)
+                    back = encoder.decode(ids, counts)
+                    same = [a == b or a == b.replace(SPACE, " ") for a, b in zip(back, texts)]
+                    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
+                         pa.array(counts, pa.int64()), pa.array(same)], ["doc_id", "ids", "n_tokens", "round_trip"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, ids array<int>, n_tokens long, round_trip boolean")
@@ -325,11 +342,12 @@ def decode(tokens: DataFrame, model_path: str) -> DataFrame:
     held = tokens.sparkSession.sparkContext.broadcast(Vocabulary(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(held.value)
-        for batch in batches:
-            rows = batch.column(1).to_pylist()
-            counts = np.array([len(r or ()) for r in rows], np.int64)
-            ids = np.fromiter((i for r in rows for i in r or ()), np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(encoder.decode(ids, counts), pa.string())], ["doc_id", "text"])
+        with _encoder(held.value) as encoder:
+            for batch in batches:
+                rows = batch.column(1).to_pylist()
+                counts = np.array([len(r or ()) for r in rows], np.int64)
+                ids = np.fromiter((i for r in rows for i in r or ()), np.int64)
+                text = pa.array(encoder.decode(ids, counts), pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0), text], ["doc_id", "text"])
 
     return tokens.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, text string")
