@@ -13,19 +13,22 @@ the columns of ``documents``:
 """
 
 from funnelspark.llm import decontaminate, langid, sentencepiece, simhash, suffixdedup
-from funnelspark.llm.common import table, written
+from funnelspark.llm.common import ship, table, written
 from funnelspark.llm.queries import TOKENIZER
 
 
 def language_id(spark, docs, sf_dir):
+    ship(spark)
     return langid.keep_identified(docs)
 
 
 def simhash_near_dedup(spark, docs, sf_dir):
+    ship(spark)
     return simhash.keep_one(docs, size=3, radius=3)
 
 
 def suffix_array_dedup(spark, docs, sf_dir):
+    ship(spark)
     return suffixdedup.remove_repeats(docs)
 
 
@@ -34,6 +37,7 @@ def benchmark_decontamination(spark, docs, sf_dir):
 
 
 def sentencepiece_encoding(spark, docs, sf_dir):
+    ship(spark)
     return sentencepiece.encode(docs, TOKENIZER)
 
 

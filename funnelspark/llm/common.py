@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,7 +19,30 @@ from funnelspark.session import shared_table_path
 BLOCK_BYTES = 2 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: they need
+    not have it installed, nor share the driver's working folder."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    import funnelspark
+
+    root = os.path.dirname(os.path.abspath(funnelspark.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="funnelspark-ship-"), "funnelspark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), os.path.dirname(root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -102,13 +102,13 @@ def train(docs: DataFrame, used, per_lang: int = 400, centroids: int = 4) -> dic
     return {"idf": idf, "centroids": np.concatenate(c), "lang": of, "radius": [radius[x] for x in of]}
 
 
-def _nearest(m: dict, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(centroid, cosine, rejected) of each text; no letter: cosine 0, rejected."""
+def _nearest(m: dict, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(centroid, cosine, rejected, has a letter) of each text; no letter: cosine 0, rejected."""
     x, letters = vectors(texts)
     cos = _unit(np.log1p(x) * m["idf"]) @ m["centroids"].T
     best, cos = cos.argmax(1), np.clip(cos.max(1), 0.0, 1.0)
     far = (1 - cos > np.array(m["radius"])[best]) & (letters >= MIN_LETTERS)
-    return best, np.where(letters > 0, cos, 0.0), far | (letters == 0)
+    return best, np.where(letters > 0, cos, 0.0), far | (letters == 0), letters > 0
 
 
 def predict(docs: DataFrame, model: dict | None) -> DataFrame:
@@ -124,8 +124,8 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
                     if m is None:
                         lang, cos, bad = ["und"] * part.num_rows, [0.0] * part.num_rows, [True] * part.num_rows
                     else:
-                        best, cos, bad = _nearest(m, part.column(1).to_pylist())
-                        lang = [m["lang"][b] if c > 0 else "und" for b, c in zip(best, cos)]
+                        best, cos, bad, has = _nearest(m, part.column(1).to_pylist())
+                        lang = [m["lang"][b] if h else "und" for b, h in zip(best, has)]
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0), pa.array(lang, pa.string()), pa.array(cos, pa.float64()), pa.array(bad, pa.bool_())],
                         ["doc_id", "lang_pred", "score", "rejected"])
