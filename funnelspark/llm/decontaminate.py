@@ -4,12 +4,12 @@ Texts of documents and benchmark items become templates: lower-case words
 without marks, in which numbers, numbers with a unit, units after a number, and
 names (a capitalised word inside a sentence) are typed placeholders.  Windows
 of ``width`` template words are hashed and hash-joined, so a question whose
-numbers, names or units were replaced still matches.  For each document, item
-and offset the slots of the matched windows are then laid against each other:
-one slot value of the item must always stand for the same value of the
-document and the other way round, else the windows of that offset do not
-count.  A document holds an item when windows over at least ``share`` of the
-item's places match.
+numbers, names or units were replaced still matches.  For each text, item and
+offset the slots of the matched windows are then laid against each other: one
+slot value of the item stands for one value of the text, the most frequent
+there (the first of equals), and windows with another value of it do not count.
+Windows that are equal word for word count whatever the slots say.  A document
+holds an item when windows over at least ``share`` of the item's places match.
 
 DataFrame expressions only: no Python runs on the executors.  The windows of
 the documents are joined where they are made, with the benchmark's windows as a
@@ -18,8 +18,9 @@ first); beyond that the same join shuffles.  Only matches are aggregated.
 
 Defined results: NULL and empty texts have no windows; items of fewer than
 ``width`` words never match (they are no passage); rows with a NULL id on
-either side are left out; rows that repeat an id count as one text each, and
-their matches are merged; empty tables give no rows.
+either side are left out; rows that repeat an id are judged text by text, and
+the text with the most matched places gives the result of the id; empty tables
+give no rows.
 """
 
 from __future__ import annotations
@@ -60,12 +61,42 @@ def slot_types(words: str) -> Column:
 
 
 def windows(texts: DataFrame, id_col: str, width: int) -> DataFrame:
-    """id, words, types, place, window (a hash): one row per template window."""
-    t = texts.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), template_words("text").alias("words"))
-    t = t.where(F.size("words") >= width).select("id", "words", slot_types("words").alias("types"))
+    """id, key (of the text), words, types, place, window (a hash): one row per template window."""
+    t = texts.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), F.xxhash64("text").alias("key"), template_words("text").alias("words"))
+    t = t.where(F.size("words") >= width).select("id", "key", "words", slot_types("words").alias("types"))
     window = ", ".join(f"types[i + {k}]" for k in range(width))
     made = F.expr(f"transform(sequence(0, size(types) - {width}), i -> xxhash64({window}))")
-    return t.select("id", "words", "types", F.posexplode(made).alias("place", "window"))
+    return t.select("id", "key", "words", "types", F.posexplode(made).alias("place", "window"))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _agreeing(wins: str) -> Column:
+    """The windows of one offset without those, not equal word for word, that
+    have a minority value of a slot."""
+    same = lambda a, b: (a["kind"] == b["kind"]) & (a["theirs"] == b["theirs"])
+    value = lambda s: F.struct(s["kind"].alias("kind"), s["theirs"].alias("theirs"), s["ours"].alias("ours"))
+
+    def votes(slots):
+        def one(v):
+            at = F.transform(F.filter(slots, lambda s: value(s) == v), lambda s: s["k"])
+            return _let(at, lambda a: F.struct(
+                v["kind"].alias("kind"), v["theirs"].alias("theirs"), v["ours"].alias("ours"), F.struct(
+                    F.size(a).alias("n"), (-F.array_min(a)).alias("first")).alias("rank")))
+
+        return F.transform(F.array_distinct(F.transform(slots, value)), one)
+
+    def without(lost):
+        return F.filter(wins, lambda w: w["literal"] | ~F.exists(w["slots"], lambda s: F.array_contains(lost, value(s))))
+
+    slots = F.array_distinct(F.flatten(F.transform(wins, lambda w: w["slots"])))
+    lost = _let(_let(slots, votes), lambda vs: F.transform(
+        F.filter(vs, lambda v: F.exists(vs, lambda o: same(o, v) & (o["rank"] > v["rank"]))), value))
+    return _let(lost, without)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = SHARE,
@@ -73,30 +104,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: floa
     """doc_id, item_id, matched (places of the item's windows found), places
     (all of them), reworded (some slot differs)."""
     items = windows(benchmark, "item_id", width).select(
-        F.col("id").alias("item_id"), F.col("place").alias("item_place"), F.col("window"),
+        F.col("id").alias("item_id"), F.col("key").alias("item_key"), F.col("place").alias("item_place"), F.col("window"),
         F.slice("types", F.col("place") + 1, width).alias("item_types"),
         F.slice("words", F.col("place") + 1, width).alias("item_words"),
         (F.size("types") - (width - 1)).alias("places"))
     if items.count() <= broadcast_windows:
         items = F.broadcast(items)
+    text = ["doc_id", "doc_key", "item_id", "item_key", "places"]
     found = windows(docs, "doc_id", width).join(items, "window").select(
-        F.col("id").alias("doc_id"), "item_id", "places", "item_place", (F.col("place") - F.col("item_place")).alias("shift"),
+        F.col("id").alias("doc_id"), F.col("key").alias("doc_key"), *text[2:], "item_place",
+        (F.col("place") - F.col("item_place")).alias("shift"),
         F.slice("types", F.col("place") + 1, width).alias("types"), F.slice("words", F.col("place") + 1, width).alias("words"),
         "item_types", "item_words").where(F.col("types") == F.col("item_types"))  # the windows themselves, not their hashes
-    # (type, item's value, document's value) of each slot of a window; the list is at most ``width`` long.
-    slots = F.expr("""filter(transform(sequence(0, size(types) - 1), i ->
-        struct(types[i] as kind, item_words[i] as theirs, words[i] as ours)), s -> s.kind between 1 and 4)""")
-    # Per offset: as many places and slot pairs as the item has at most.
-    offsets = (found.withColumn("slots", slots).groupBy("doc_id", "item_id", "places", "shift")
-               .agg(F.collect_set("item_place").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")))
-    pairs = F.size("slots")
-    fits = ((F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["theirs"])))) == pairs)
-            & (F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["ours"])))) == pairs))
-    whole = (offsets.where(fits).groupBy("doc_id", "item_id", "places")
-             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("matched"),
-                  F.max(F.exists("slots", lambda s: s["theirs"] != s["ours"])).alias("reworded")))
-    return whole.where(F.col("matched") >= F.lit(share) * F.col("places")).select(
-        "doc_id", "item_id", "matched", "places", "reworded")
+    # (item's place, type, item's value, text's value) of each slot of a window; the list is at most ``width`` long.
+    slots = F.expr("""filter(transform(sequence(0, size(types) - 1), i -> struct(item_place + i as k,
+        types[i] as kind, item_words[i] as theirs, words[i] as ours)), s -> s.kind between 1 and 4)""")
+    # Per offset: as many windows as the item has at most.
+    win = F.struct(F.col("item_place").alias("place"), (F.col("words") == F.col("item_words")).alias("literal"), slots.alias("slots"))
+    offsets = found.groupBy(*text, "shift").agg(F.collect_set(win).alias("wins")).select(*text, _agreeing("wins").alias("wins"))
+    whole = offsets.groupBy(*text).agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("wins.place")))).alias("matched"),
+        F.max(F.exists("wins", lambda w: ~w["literal"])).alias("reworded"))
+    # Of the texts of an id the one with the most places, the literal one of equals.
+    best = (whole.where(F.col("matched") >= F.lit(share) * F.col("places")).groupBy("doc_id", "item_id", "places")
+            .agg(F.max(F.struct("matched", (~F.col("reworded")).alias("literal"))).alias("best")))
+    return best.select("doc_id", "item_id", "best.matched", "places", (~F.col("best.literal")).alias("reworded"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = SHARE) -> DataFrame:

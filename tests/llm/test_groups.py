@@ -113,6 +113,25 @@ def test_rewritten_questions(spark):
     assert {(r.doc_id, r.item_id): r.reworded for r in shuffled.collect()} == got
 
 
+def test_conflicting_slots_take_only_their_own_windows(spark):
+    w = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    w[20] = w[40] = "12"
+    text = " ".join(w)
+    two = "one box holds 12 red balls and then " + " ".join(w[:20]) + " the other box holds 15 blue balls of the same kind"
+    items = spark.createDataFrame([(1, text), (2, two)], "item_id long, text string")
+    reworded = " ".join("77" if x == "12" else x for x in w)
+    docs = spark.createDataFrame([
+        (10, " ".join([*w[:40], "13", *w[41:]])),  # one of two equal numbers edited
+        (11, two.replace("12", "9").replace("15", "9")),  # two parameters became equal
+        (12, text), (12, reworded),  # two texts under one id
+        (13, " ".join(w[:32])), (13, " ".join(w[28:])),  # two halves: no text holds it
+        (14, reworded)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.matched, r.places, r.reworded) for r in decontaminate.leaks(docs, items).collect()}
+    n = len(two.split()) - 4
+    assert got == {(10, 1): (51, 56, False), (11, 2): (n, n, True), (12, 1): (56, 56, False), (14, 1): (56, 56, True)}
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()} == {13}
+
+
 def test_decontamination_of_odd_rows(odd, empty, spark):
     items = spark.createDataFrame([(1, PASSAGE), (1, PASSAGE)], "item_id long, text string")
     got = {r.doc_id for r in decontaminate.leaks(odd, items).collect()}
