@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks, written
@@ -63,16 +63,18 @@ def fingerprint(text: bytes | None, size: int = 3) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) for every row."""
+def fingerprints(docs: DataFrame, size: int = 3, *more: Column) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) and ``more`` (longs) for every row."""
+    names = ["doc_id", "fp", *(f"more{i}" for i in range(len(more)))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
                 fp = np.array([fingerprint(t.as_py(), size) for t in part.column(1)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp), *part.columns[2:]], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), *(c.alias(n) for c, n in zip(more, names[2:]))).mapInArrow(
+        run, ", ".join(f"{n} long" for n in names))
 
 
 class BKTree:
@@ -185,14 +187,19 @@ def links(nodes: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) -> Da
             .mapInArrow(run, "a long, b long"))
 
 
+def _rooted(fps: DataFrame, radius: int, shard_rows: int) -> DataFrame:
+    """fp, first (its smallest id), root (the same for all of a component) for every fingerprint."""
+    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprint-nodes")
+    roots = components(links(nodes.select("fp"), radius, shard_rows))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 3, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """doc_id, fp, component_id for every row; component_id is the smallest id
     reachable over links of ``radius`` bits or fewer."""
     fps = written(fingerprints(docs, size), "fingerprints")
-    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprint-nodes")
-    roots = components(links(nodes.select("fp"), radius, shard_rows))
-    of = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    of = _rooted(fps, radius, shard_rows)
     least = of.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = of.join(least, "root").select("fp", "component_id")
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
@@ -203,10 +210,18 @@ def hex_fingerprint(fp: str = "fp"):
 
 
 def keep_one(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
-    """One row of each group of near-duplicates: that of the smallest id (one
-    of them, if rows repeat).  Rows without an id are kept, as nothing names them."""
-    kept = (near_duplicates(docs, size, radius).where(F.col("doc_id") == F.col("component_id"))
-            .select(F.col("doc_id").alias("_kept")).distinct())
-    named = docs.where(F.col("doc_id").isNotNull())
-    one = named.join(kept, named["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    """One row of each group of near-duplicates: that of the smallest id, then
+    fingerprint, then hash of the text (one of them, if rows repeat); an id
+    with texts in several groups can stand for each of them.  Rows without an
+    id are kept, as nothing names them."""
+    key = F.xxhash64("text")
+    fps = written(fingerprints(docs, size, key).withColumnRenamed("more0", "key"), "fingerprints")
+    # Per fingerprint first: a large group is one row here.
+    of = _rooted(fps, radius, SHARD_ROWS).select("fp", "root")
+    least = (fps.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min(F.struct("doc_id", "fp", "key")).alias("least"))
+             .join(of, "fp").groupBy("root").agg(F.min("least").alias("least")))
+    kept = least.select(F.col("least.doc_id").alias("_kept"), F.col("least.key").alias("_kept_key"))
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn("_key", key)
+    one = (named.join(kept, (F.col("doc_id").cast("long") == F.col("_kept")) & (F.col("_key") == F.col("_kept_key")), "left_semi")
+           .dropDuplicates(["doc_id", "_key"]).drop("_key"))
     return one.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -32,6 +32,17 @@ def test_simhash_of_odd_rows(odd, empty):
     assert kept.where("doc_id is null").count() == 2
 
 
+def test_one_id_over_many_texts(spark):
+    """Every group keeps one row, also where its documents share an id."""
+    texts = [" ".join(f"{a}{(i * 31 + j * j) % 97}" for j in range(40)) for i, a in enumerate("abcdefghijkl")]
+    data = [(9, t) for t in texts] + [(9, texts[0]), (1, texts[1]), (20, texts[2]), (9, None)]
+    fps = [brute.simhash(t) for _, t in data]
+    assert len(set(brute.groups(fps, list(range(len(data)))))) == len(texts) + 1
+    kept = simhash.keep_one(spark.createDataFrame(data, "doc_id long, text string").repartition(3))
+    expect = [(1, texts[1]), (9, None)] + [(9, t) for t in texts if t != texts[1]]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(expect, key=str)
+
+
 def test_chains_and_hot_shards(spark):
     """A chain of 3-bit steps is one group, in whatever trees its shards are cut."""
     fps = [0]
