@@ -3,12 +3,15 @@
 The page is read as a stream of parser events (``html.parser``).  Text between
 two block-level tags is one line; each line counts its characters and the tags
 seen since the line before.  The text-to-tag ratio of the lines, smoothed with
-a Gaussian, is split into two clusters; lines in the upper cluster mark
-content.  Lines inside page furniture (menus, headers, footers, sidebars,
+a Gaussian and as it is, is split into two clusters on a bounded log scale (one
+very long line does not lift the border above ordinary ones); lines in the upper
+cluster of either mark content.  Lines inside page furniture (menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts, styles, by element, role or class)
 are never content.  A region is a run of lines between furniture, or all lines
-of the page's article elements where it has any; a region with a content line
-is kept whole, so short paragraphs beside long ones stay.
+of the page's article elements where it has any; furniture inside a container
+does not end a region of lines that lie in that container on both sides.  A
+region with a content line is kept whole, so short paragraphs beside long ones
+stay.
 
 Character references are decoded, white space inside a line becomes one space,
 and lines are joined by a line feed.  One pass over the pages, no shuffle.
@@ -43,19 +46,27 @@ MARKS = frozenset("""ad ads advert adverts advertisement advertising sponsor spo
     notices alert popup modal overlay newsletter subscribe subscription signup share sharing social comment comments
     disqus reply replies respond related recommended recommendations pagination pager toolbar login search form""".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+#: Elements whose content is one piece of text; a line lies in the nearest open element that is none of them.
+PIECES = BLOCK - {"article", "body", "div", "html", "main"}
+PAGE = frozenset(("", "html", "body"))
+RATIO_CAP = 100.0  # characters a tag from which a line is text without doubt
 #: Elements a start tag closes when they are open and nothing like a container lies between.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "option": {"option"},
           "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: (text, tags before it, is furniture, article number)."""
+    """Lines of a page: (text, tags before it, is furniture, article number);
+    ``holders`` has the container of each: its number and its element."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, bool, int]] = []
         self.open: list[tuple[str, bool, int]] = []  # element, furniture, article number
         self.held: list[str] = []
+        self.holders: list[tuple[int, str]] = []
+        self.numbers: list[int] = []  # of the open elements
+        self.started = 0
         self.tags = 0
         self.articles = 0
 
@@ -65,8 +76,16 @@ class _Lines(HTMLParser):
         if text:
             furniture, article = (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
             self.lines.append((text, self.tags, furniture, article))
+            self.holders.append(self._holder())
             self.tags = 0
 
+    def _holder(self) -> tuple[int, str]:
+        """Of a line its container; of furniture the container around all of it."""
+        for (name, furniture, _), number in zip(reversed(self.open), reversed(self.numbers)):
+            if not furniture and name in BLOCK and name not in PIECES:
+                return number, name
+        return 0, ""
+
     def _is_furniture(self, tag: str, attrs, article: int) -> bool:
         if tag in FURNITURE or tag == "header" and not article:
             return True
@@ -86,7 +105,7 @@ class _Lines(HTMLParser):
             for i in range(len(self.open) - 1, -1, -1):  # what this tag closes by itself
                 name = self.open[i][0]
                 if name in CLOSES.get(tag, ("p",) if tag in BLOCK else ()):
-                    del self.open[i:]
+                    del self.open[i:], self.numbers[i:]
                     furniture, article = (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
                     break
                 if name in BLOCK or name in FURNITURE:
@@ -103,6 +122,8 @@ class _Lines(HTMLParser):
         if own and not furniture and not block:  # furniture begins inside a line
             self._end_line()
         self.open.append((tag, own, article))
+        self.started += 1
+        self.numbers.append(self.started)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -116,7 +137,7 @@ class _Lines(HTMLParser):
                 outer = self.open[i - 1][1] if i else False
                 if tag in BLOCK or tag in FURNITURE or self.open[i][1] != outer:
                     self._end_line()
-                del self.open[i:]
+                del self.open[i:], self.numbers[i:]
                 return
             if self.open[i][0] in FURNITURE and self.open[i][0] != "label":
                 return  # a stray end tag does not leave furniture
@@ -150,6 +171,12 @@ def _threshold(x: np.ndarray) -> float:
     return (lo + hi) / 2
 
 
+def _same_container(before: tuple[int, str], between: list[tuple[int, str]], after: tuple[int, str]) -> bool:
+    if before == after:
+        return True
+    return any(x in (before, after) and x[1] not in PAGE for x in between)
+
+
 def main_text(html: str | None, sigma: float = 1.5) -> str:
     if not html:
         return ""
@@ -160,10 +187,12 @@ def main_text(html: str | None, sigma: float = 1.5) -> str:
     if not lines or all(x[2] for x in lines):
         return ""
     ratio = np.array([0.0 if x[2] else len(x[0]) / max(1, x[1]) for x in lines])
+    ratio = np.log1p(np.minimum(ratio, RATIO_CAP))
     smooth = _smooth(ratio, sigma)
-    cut = _threshold(smooth)
-    content = [not x[2] and s >= cut for x, s in zip(lines, smooth)]
-    regions, now, key = [], [], None
+    # By its surroundings or by itself: beside furniture and at the ends of a page smoothing lowers a line.
+    upper = (smooth >= _threshold(smooth)) | (ratio >= _threshold(ratio))
+    content = [not x[2] and bool(u) for x, u in zip(lines, upper)]
+    regions, now, key, between = [], [], None, []
     in_articles = any(x[3] and not x[2] for x in lines)
     for i, (_, _, furniture, article) in enumerate(lines):
         if in_articles:  # furniture inside an article does not end its region
@@ -172,9 +201,12 @@ def main_text(html: str | None, sigma: float = 1.5) -> str:
             k = article
         else:
             if furniture:
-                key = None
+                between.append(parser.holders[i])
                 continue
-            k = 0
+            # The region goes on when both sides, or furniture and one side, have the same container.
+            if now and between and not _same_container(parser.holders[now[-1]], between, parser.holders[i]):
+                key = None
+            between, k = [], 0
         if k != key:
             now = []
             regions.append(now)

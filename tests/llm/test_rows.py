@@ -114,6 +114,22 @@ def test_main_text():
     assert htmltext.main_text("just text") == "just text"
 
 
+def test_main_text_without_an_article():
+    """Furniture inside a container, very uneven and short paragraphs lose no line."""
+    ad = '<div class="ad">Buy now, this is a very good offer</div>'
+    five = [f"{i} " + "word " * 59 + "end" for i in range(5)]
+    for last in ("long " * 4000 + "end", "long " * 400 + "end", "A closing line of about forty characters"):
+        lines = ["Heading", *five, last]
+        for top in ("<body>{}</body>", "<body><div id=content>{}</div></body>", "<body><nav><a>x</a></nav><div>{}</div><footer>c</footer></body>"):
+            inner = "<h1>Heading</h1>" + "".join(f"<p>{x}</p>" for x in five) + ad + f"<p>{last}</p>"
+            assert htmltext.main_text(top.format(inner)) == "\n".join(lines)
+    # In a list, and in containers of their own around the advert.
+    inner = "".join(f"<p>{x}</p>" for x in five) + "<ul><li>one<li>two</ul>" + ad + "<section><p>Last words.</p></section>"
+    assert htmltext.main_text(f"<div>{inner}</div>") == "\n".join([*five, "one", "two", "Last words."])
+    parts = [f"<div><p>{five[0]}</p></div>", ad, "<div><p>" + "long " * 4000 + "</p></div>"]
+    assert htmltext.main_text("<body>" + "".join(parts) + "</body>") == five[0] + "\n" + ("long " * 4000).strip()
+
+
 def test_pages(spark):
     got = {r.page_id: r for r in QUERIES["op8_html_extraction"](spark, SF).collect()}
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
