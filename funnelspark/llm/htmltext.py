@@ -13,6 +13,11 @@ does not end a region of lines that lie in that container on both sides.  A
 region with a content line is kept whole, so short paragraphs beside long ones
 stay.
 
+Furniture by class or id, forms and buttons may be marked or closed wrongly:
+an article inside them counts where the page has no other, and where nine
+tenths of the text lie in them, those that hold over half of it are no
+furniture.
+
 Character references are decoded, white space inside a line becomes one space,
 and lines are joined by a line feed.  One pass over the pages, no shuffle.
 
@@ -40,6 +45,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 FURNITURE = frozenset("""nav footer aside form script style noscript template iframe object head title button select
     textarea svg canvas menu dialog search fieldset label audio video math""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
+#: Not sure to be furniture; end tags of elements around them close them.
+LOOSE = frozenset(("form", "button", "fieldset", "label"))
+SOFT, HARD = 1, 2
+#: A class or id with one of these words speaks of the page, not of its element.
+ABOUT = frozenset(("has", "with", "no", "without"))
 #: Words of a class or id that mark furniture; whole words only, split at marks and case changes.
 MARKS = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar
     navigation menu breadcrumb breadcrumbs sidebar aside widget footer masthead topbar cookie cookies consent gdpr notice
@@ -56,13 +66,17 @@ CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: (text, tags before it, is furniture, article number);
-    ``holders`` has the container of each: its number and its element."""
+    """Lines of a page: (text, tags before it, SOFT or HARD furniture or 0,
+    article number, below zero inside soft furniture); ``holders`` has the
+    container of each: its number and its element.  Elements of the numbers
+    ``cleared`` are no soft furniture."""
 
-    def __init__(self):
+    def __init__(self, cleared: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int]] = []
-        self.open: list[tuple[str, bool, int]] = []  # element, furniture, article number
+        self.cleared = cleared
+        self.soft: dict[int, int] = {}  # characters inside the elements that are soft furniture by themselves
+        self.lines: list[tuple[str, int, int, int]] = []
+        self.open: list[tuple[str, int, int]] = []  # element, furniture, article number
         self.held: list[str] = []
         self.holders: list[tuple[int, str]] = []
         self.numbers: list[int] = []  # of the open elements
@@ -74,7 +88,10 @@ class _Lines(HTMLParser):
         text = " ".join("".join(self.held).split())
         self.held.clear()
         if text:
-            furniture, article = (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
+            furniture, article = (self.open[-1][1], self.open[-1][2]) if self.open else (0, 0)
+            if furniture < HARD:
+                for n in self.soft.keys() & set(self.numbers):
+                    self.soft[n] += len(text)
             self.lines.append((text, self.tags, furniture, article))
             self.holders.append(self._holder())
             self.tags = 0
@@ -86,19 +103,25 @@ class _Lines(HTMLParser):
                 return number, name
         return 0, ""
 
-    def _is_furniture(self, tag: str, attrs, article: int) -> bool:
-        if tag in FURNITURE or tag == "header" and not article:
-            return True
+    def _furniture(self, tag: str, attrs, article: int) -> int:
+        if tag in FURNITURE and tag not in LOOSE or tag == "header" and not article:
+            return HARD
         if tag in ("html", "body", "main", "article"):
-            return False
+            return 0
         a = dict(attrs)
         if (a.get("role") or "").lower() in ROLES or "hidden" in a or a.get("aria-hidden") == "true":
-            return True
-        return any(w.lower() in MARKS for k in ("class", "id") for w in WORD.findall(a.get(k) or ""))
+            return HARD
+        if tag in LOOSE:
+            return SOFT
+        for token in f"{a.get('class') or ''} {a.get('id') or ''}".split():
+            words = {w.lower() for w in WORD.findall(token)}
+            if words & MARKS and not words & ABOUT:
+                return SOFT
+        return 0
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
-        furniture, article = (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
+        furniture, article = (self.open[-1][1], self.open[-1][2]) if self.open else (0, 0)
         block = tag in BLOCK or tag in FURNITURE
         if block:
             self._end_line()
@@ -106,7 +129,7 @@ class _Lines(HTMLParser):
                 name = self.open[i][0]
                 if name in CLOSES.get(tag, ("p",) if tag in BLOCK else ()):
                     del self.open[i:], self.numbers[i:]
-                    furniture, article = (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
+                    furniture, article = (self.open[-1][1], self.open[-1][2]) if self.open else (0, 0)
                     break
                 if name in BLOCK or name in FURNITURE:
                     break
@@ -115,10 +138,19 @@ class _Lines(HTMLParser):
         if tag in VOID:
             return
         if tag == "article" or tag == "main" or ("itemprop", "articleBody") in attrs or ("role", "main") in attrs:
-            if not article and not furniture:
+            if furniture == SOFT:
+                self.articles += 1
+                furniture, article = 0, -self.articles
+            elif not article and not furniture:
                 self.articles += 1
                 article = self.articles
-        own = furniture or self._is_furniture(tag, attrs, article)
+        own = self._furniture(tag, attrs, article)
+        if own == SOFT:
+            if self.started + 1 in self.cleared:
+                own = 0
+            else:
+                self.soft[self.started + 1] = 0
+        own = max(own, furniture)
         if own and not furniture and not block:  # furniture begins inside a line
             self._end_line()
         self.open.append((tag, own, article))
@@ -134,12 +166,12 @@ class _Lines(HTMLParser):
         self.tags += 1
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
-                outer = self.open[i - 1][1] if i else False
+                outer = self.open[i - 1][1] if i else 0
                 if tag in BLOCK or tag in FURNITURE or self.open[i][1] != outer:
                     self._end_line()
                 del self.open[i:], self.numbers[i:]
                 return
-            if self.open[i][0] in FURNITURE and self.open[i][0] != "label":
+            if self.open[i][0] in FURNITURE and (self.open[i][0] not in LOOSE or tag not in BLOCK and self.open[i][0] != "label"):
                 return  # a stray end tag does not leave furniture
 
     def handle_data(self, data):
@@ -171,6 +203,13 @@ def _threshold(x: np.ndarray) -> float:
     return (lo + hi) / 2
 
 
+def _parsed(html: str, cleared: frozenset[int] = frozenset()) -> _Lines:
+    parser = _Lines(cleared)
+    parser.feed(html)
+    parser.close()
+    return parser
+
+
 def _same_container(before: tuple[int, str], between: list[tuple[int, str]], after: tuple[int, str]) -> bool:
     if before == after:
         return True
@@ -180,10 +219,14 @@ def _same_container(before: tuple[int, str], between: list[tuple[int, str]], aft
 def main_text(html: str | None, sigma: float = 1.5) -> str:
     if not html:
         return ""
-    parser = _Lines()
-    parser.feed(html)
-    parser.close()
+    parser = _parsed(html)
+    rest = sum(len(x[0]) for x in parser.lines if not x[2])
+    whole = sum(len(x[0]) for x in parser.lines if x[2] < HARD)
+    if 10 * rest < whole:
+        parser = _parsed(html, frozenset(n for n, held in parser.soft.items() if 2 * held > whole))
     lines = parser.lines
+    if any(x[3] > 0 and not x[2] for x in lines):  # articles inside soft furniture are comments or teasers there
+        lines = [(text, tags, furniture or (SOFT if article < 0 else 0), article) for text, tags, furniture, article in lines]
     if not lines or all(x[2] for x in lines):
         return ""
     ratio = np.array([0.0 if x[2] else len(x[0]) / max(1, x[1]) for x in lines])

@@ -130,6 +130,22 @@ def test_main_text_without_an_article():
     assert htmltext.main_text("<body>" + "".join(parts) + "</body>") == five[0] + "\n" + ("long " * 4000).strip()
 
 
+def test_main_text_inside_marked_wrappers():
+    text = "Some words of the text that go on for a while. " * 8
+    body = f"<h1>Heading</h1><p>{text}</p><p>Short.</p>"
+    expect = f"Heading\n{text.strip()}\nShort."
+    for mark in ('id="page" class="has-sidebar"', 'class="content no-comments"', 'class="layout-with-sidebar"',
+                 'class="search-results"', 'class="post-form"'):
+        for inner in (body, f"<article>{body}</article>", f"<main><article>{body}</article></main>"):
+            page = f"<body><nav>a</nav><div {mark}>{inner}<div class=comments><p>A reader says so.</p></div></div><footer>c</footer></body>"
+            assert htmltext.main_text(page) == expect, (mark, inner[:9])
+    for start in ("<form><input>", "<button>Go"):  # never closed
+        assert htmltext.main_text(f"<body><div>{start}</div><div>{body}</div></body>") == expect
+    assert htmltext.main_text(f"<body><form id=all>{body}</form></body>") == expect
+    # Comments marked up as articles stay out beside the article itself.
+    assert htmltext.main_text(f"<article>{body}</article><div class=comments><article><p>{text}</p></article></div>") == expect
+
+
 def test_pages(spark):
     got = {r.page_id: r for r in QUERIES["op8_html_extraction"](spark, SF).collect()}
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
