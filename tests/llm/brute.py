@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import xxhash
@@ -99,3 +100,83 @@ def leaks(docs, items, units, width=5, share=0.8):
                 m[1] |= any(x[1] != x[2] for x in slots)
         out |= {(doc, i, len(m[0]), places[i], m[1]) for i, m in matched.items() if len(m[0]) >= share * places[i]}
     return out
+
+
+def runs(words):
+    """(start, length, period) of every run, by start and period: each period against the whole text."""
+    a, found = np.array([hash(w) for w in words], np.int64), {}
+    for q in range(1, len(a) // 4 + 1):
+        same = np.concatenate([[False], a[:-q] == a[q:], [False]])
+        edges = np.flatnonzero(same[1:] != same[:-1])
+        for s, e in zip(edges[::2].tolist(), (edges[1::2] + q).tolist()):
+            if e - s >= max(6, 4 * q):
+                found.setdefault((s, e), q)
+    return sorted(((s, e - s, q) for (s, e), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words):
+    gone = {i for s, n, q in runs(words) for i in range(s + q, s + n)}
+    return b" ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def planted(doc_id, words):
+    h, n = zlib.crc32(str("" if doc_id is None else doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def damage(rows):
+    """(conv, turn, role, text) rows -> the same after damage, by turn (none first), role and digest."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        k = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if k:
+            text = "" if k == 1 else re.sub("[.!?]", "", text) if k == 2 else text
+            out += [(conv, turn, "user" if k == 4 else role, text)] * (2 if k == 3 else 1)
+    digest = lambda r: hashlib.md5(f"{len(r[2])}:{r[2]}{r[3]}".encode()).hexdigest()
+    return sorted(out, key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), digest(r)))
+
+
+def conversation(rows):
+    """The nine values of a conversation (without its id): all edits of each row are tried, the least (cost, audit) is kept."""
+    turns = {r[1] for r in rows if r[1] is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    kinds, seen = [], set()
+    for _, _, role, text in rows:
+        body = text.strip(" \t\n\v\f\r")
+        kinds.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else "")
+        seen.add((role, text))
+    illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+
+    def after(state, initial):  # states: what the roles so far match
+        return {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}[state].get(initial)
+
+    best = {s: (0, "", ()) for s in ("", "a")}
+    for i in range(len(rows), -1, -1):
+        if i < len(rows):
+            _, _, role, text = rows[i]
+            more, now = 5 * (kinds[i] == "truncated"), {}
+            for s in ("", "s", "u", "a"):
+                options = [(2, "D", (), s)]
+                if kinds[i] in ("", "truncated"):
+                    options.append((more, "K", ((role, text),), after(s, role[:1])))
+                    options += [(1 + more, "R", ((r, text),), after(s, r[0])) for r in ("user", "assistant")]
+                options = [(best[t][0] + w, e + best[t][1], out + best[t][2]) for w, e, out, t in options if t in best]
+                if options:
+                    now[s] = min(options)
+            best = now
+        for _ in range(3):  # rows inserted here
+            for s in ("", "s", "u", "a"):
+                for r in ("user", "assistant"):
+                    t = after(s, r[0])
+                    if t in best:
+                        b = best[t]
+                        best[s] = min(best.get(s, (1 << 60, "", ())), (b[0] + 5, "I" + b[1], ((r, ""),) + b[2]))
+    cost, audit, out = best[""]
+    sha = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in out).encode()).hexdigest()
+    return (gaps, *(kinds.count(k) for k in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha)

@@ -2,7 +2,7 @@
 
 import brute
 import numpy as np
-from conftest import PASSAGE, SF, by_id, rows
+from support import PASSAGE, SF, by_id, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import by_id
+from support import by_id
 
 from funnelspark.llm import langid, quality, toxicity
 

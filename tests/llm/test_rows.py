@@ -11,7 +11,7 @@ import corpus_pipeline
 import duckdb
 import pytest
 import sentencepiece as sp
-from conftest import SF, by_id, rows
+from support import SF, by_id, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
