@@ -758,6 +758,15 @@ UNION ALL
 SELECT metric, pilot, employment_type, n, median, employment_type || ' (n = ' || {comma('n')} || ')' AS label,
   {number('median', 0, 's')} AS median_fmt
 FROM dur WHERE pilot_wk = -1 AND metric = 'sync_duration_seconds' AND employment_type IS NOT NULL"""
+    out["extract_once"] = with_("""
+span AS (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS b FROM log),
+every AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS event_date FROM span),
+n AS (SELECT CAST(ts AS DATE) AS event_date, count(*) AS n_events FROM log GROUP BY ALL)""") + """
+SELECT event_date, CAST(1 AS BIGINT) AS n_asked, coalesce(n_events, 0) AS n_events FROM every LEFT JOIN n USING (event_date)"""
+    out["late_keys"] = with_()[:-1] + """
+SELECT event_id, event, origin AS link_origin, CAST(cbv_flow_id AS VARCHAR) AS flow, CAST(NULL AS VARCHAR) AS never_sent FROM log"""
+    out["export_quarantine"] = with_()[:-1] + """
+SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 'unreadable' WHEN event_id % 89 = 1 THEN 'no timestamp' END AS reason FROM log"""
     return out
 
 

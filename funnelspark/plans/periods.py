@@ -1,10 +1,10 @@
 """Time-period operators: report period class, pilot/week assignment, the run
 facts derived from the pilot calendar, and the cumulative week.
 
-Day bounds are literals: the last day is read from the folder names of the
-landed table and pilot dates come from the calendar, so a report on a month of
-years of events reads that month.  The latest timestamp stays a scalar subquery
-(over the last day only).
+Day bounds are literals: the last day of the agency's events is read from the
+landed table's partitions and pilot dates come from the calendar, so a report on
+a month of years of events reads that month.  The latest timestamp stays a
+scalar subquery (over the last day only).
 """
 
 from __future__ import annotations
@@ -135,7 +135,8 @@ def extract_bounds(pilots: Iterable[Pilot], as_of: dt.date) -> tuple[dt.date, dt
 
 
 def lookback_bounds(pilots: Iterable[Pilot], agency: str, as_of: dt.date, report_type: str) -> tuple[dt.date, dt.date]:
-    """[max(latest pilot start of the agency, as_of - 2 periods), as_of].
-    Two periods, so that the prior one is there to compare with (Q2)."""
+    """[max(start of the agency's on-going pilot, as_of - 2 periods), as_of].
+    Two periods, so that the prior one is there to compare with (Q2).  Pilots
+    planned for later than ``as_of`` do not count."""
     back = days_before(as_of, report_type, 2)
-    return max([back, *(p.start_date for p in pilots if p.client_agency == agency)]), as_of
+    return max([back, *(p.start_date for p in pilots if p.client_agency == agency and p.start_date <= as_of)]), as_of

@@ -24,16 +24,17 @@ from ..operators.quantiles import quantiles
 from ..operators.reshape import long_to_wide, long_to_wide_periods, wide_to_long
 from ..operators.topn import top_n_per_group
 from ..operators.window_ops import lead_within
-from ..sources.tables import between_days, last_day
+from ..sources.tables import between_days, day_bounds, last_day
 from .periods import PERIODS, classify_period, days_before
 
 
 # -- C1 ------------------------------------------------------------------------
 def report_period(events: DataFrame, params: Params) -> DataFrame:
     """First/last event date, start of the last period, and the period text:
-    "January 01 - 30" inside one month, "January 10 - February 09" across."""
-    d = events.agg(F.min(F.to_date("timestamp")).alias("date_start"),
-                   F.max(F.to_date("timestamp")).alias("date_end"))
+    "January 01 - 30" inside one month, "January 10 - February 09" across.  The
+    two dates come from the landed table's partitions; no event is read."""
+    first, last = day_bounds(events)
+    d = events.sparkSession.range(1).select(F.lit(first).cast("date").alias("date_start"), F.lit(last).cast("date").alias("date_end"))
     start, end = F.col("date_start"), F.col("date_end")
     back = F.add_months(end, -1) if params.report_type == "month" else F.date_sub(end, 7)
     same_month = (F.year(start) == F.year(end)) & (F.month(start) == F.month(end))

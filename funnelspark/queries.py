@@ -3,9 +3,9 @@
 Each takes ``(spark, sf_dir)`` and reads the test data's ``events`` table.  The
 table is landed once per application (:mod:`funnelspark.sources.landing`): as
 export files for the scan queries and as a Parquet event log, partitioned by
-agency and day, for the metrics.  While a frame is built, only the last day's
-date is read (from the folder names) and, for the two window operators, whether
-any flow is large enough to be split.  ``roundtrip_parquet`` and
+agency and day, for the metrics.  While a frame is built, only the first and last
+day are read, from the table's partitions, and, for the two window operators,
+whether any flow is large enough to be split.  ``roundtrip_parquet`` and
 ``stream_ingest`` write a table in the shared folder and read it back, because
 writing is what they show.
 """
@@ -25,8 +25,7 @@ from .functions.text import initiation_label, normalize_search
 from .operators.lookup import recode
 from .plans import frames, masking, periods, report, runs, weekly
 from .session import ensure_checkpoint_dir, shared_table_path
-from .sources import tables
-from .sources import landing
+from .sources import extract, landing, tables
 from .sources.export import REPORT_PROPERTIES, WEEKLY_PROPERTIES, normalise, read_export
 from .sources.pilots import pilot_frame
 
@@ -97,6 +96,59 @@ def q_range_extract(spark, sf_dir):
         "event_id", "event", "timestamp", "distinct_id")
 
 
+def _source(spark, sf_dir):
+    """The export files of an agency's days, as the extract asks for them."""
+    def lines(agency, start, end):
+        files = spark.read.schema("value string, agency string, day date").text(landing.export_by_day(spark, sf_dir))
+        files = files.where((F.col("agency") == agency) & F.col("day").between(F.lit(start), F.lit(end)))
+        return files.select("value", F.col("_metadata.file_path").alias("source_file"))
+    return lines
+
+
+def _extracted(spark, sf_dir, source) -> str:
+    """An extract of all days in three overlapping runs, of which the last finds nothing to do."""
+    first, last = tables.day_bounds(_log(spark, sf_dir))
+    root, middle = shared_table_path(spark, "extract"), first + (last - first) * 0.6
+    for a, b in ((first, middle), (first + (last - first) * 0.3, last), (first, last)):
+        extract.extract(spark, root, MONTH.agency, a, b, source, buckets=2)
+    return root
+
+
+def q_extract_once(spark, sf_dir):
+    """Overlapping extracts: events of each day, and how often it was asked for."""
+    root = _extracted(spark, sf_dir, _source(spark, sf_dir))
+    asked = extract.ledger(spark, root).select(F.explode(F.sequence("first_day", "last_day")).alias("event_date"))
+    asked = asked.groupBy("event_date").agg(F.count("*").alias("n_asked"))  # one row a day
+    n = tables.read_table(spark, f"{root}/events").groupBy("event_date").agg(F.count("*").alias("n_events"))
+    return asked.join(n, "event_date", "left").select("event_date", "n_asked", F.coalesce("n_events", F.lit(0)).alias("n_events"))
+
+
+def q_late_keys(spark, sf_dir):
+    """Property keys chosen when the landed extract is read."""
+    root = landing.extract_root(spark, sf_dir, lambda: _extracted(spark, sf_dir, _source(spark, sf_dir)))
+    days = tables.day_bounds(tables.read_table(spark, f"{root}/events"))
+    ev = extract.read_extract(spark, root, MONTH.agency, *days, {"link_origin": "origin", "flow": "cbv_flow_id", "never_sent": "provider"})
+    return ev.select(F.col("event_id").cast("bigint").alias("event_id"), "event", "link_origin", "flow", "never_sent")
+
+
+def q_export_quarantine(spark, sf_dir):
+    """Every line of an export in which some are cut short and some have no
+    time: landed (no reason) or set aside."""
+    whole = _source(spark, sf_dir)
+    number = F.regexp_extract("value", r'"event_id":"(\d+)"', 1).cast("bigint")
+
+    def spoilt(agency, start, end):
+        cut = F.expr("substring(value, 1, cast(length(value) * 2 / 3 as int))")
+        timeless = F.regexp_replace("value", r'"timestamp":"[^"]*",', "")
+        value = F.when(number % 97 == 0, cut).when(number % 89 == 1, timeless).otherwise(F.col("value"))
+        return whole(agency, start, end).select(value.alias("value"), "source_file")
+
+    root = _extracted(spark, sf_dir, spoilt)
+    landed = tables.read_table(spark, f"{root}/events").select(
+        extract.property_text("event_id").cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("reason"))
+    return landed.unionByName(extract.quarantined(spark, root).select(number.alias("event_id"), "reason"))
+
+
 def q_pilot_week(spark, sf_dir):
     return _piloted(spark, sf_dir).select("event_id", "pilot_state", "pilot", "pilot_wk")
 

@@ -129,9 +129,10 @@ def normalise(df: DataFrame) -> DataFrame:
     return out
 
 
-def to_export_lines(events: DataFrame) -> DataFrame:
+def to_export_lines(events: DataFrame, beside: Sequence[Column] = ()) -> DataFrame:
     """Serialise a flat event log back to export lines (one JSON object per
-    event); the inverse of :func:`parse_export_lines` for the declared keys."""
+    event); the inverse of :func:`parse_export_lines` for the declared keys.
+    ``beside``: columns that stand beside the line."""
     present = [k for k in PROPERTY_FIELDS if k in events.columns or k == "employment_employer_name"]
     fields = []
     for k in present:
@@ -140,5 +141,5 @@ def to_export_lines(events: DataFrame) -> DataFrame:
             continue
         fields.append(F.col(src).cast("string").alias(k))
     return events.select(
-        F.to_json(F.struct(F.col("event"), F.struct(*fields).alias("properties"))).alias("value")
+        F.to_json(F.struct(F.col("event"), F.struct(*fields).alias("properties"))).alias("value"), *beside
     )

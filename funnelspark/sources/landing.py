@@ -20,6 +20,7 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import TEST_AGENCY
 from ..session import ensure_checkpoint_dir, file_stamp, shared_table_path
@@ -55,6 +56,23 @@ def export_dir(spark: SparkSession, sf_dir: str) -> str:
     return _landed(spark, sf_dir, "export", build)
 
 
+def export_by_day(spark: SparkSession, sf_dir: str) -> str:
+    """The export files by agency and day, as a source delivers them on request."""
+    def build(path: str) -> None:
+        events = adapt_driver_events(read_driver_events(spark, sf_dir))
+        lines = to_export_lines(events, [F.lit(TEST_AGENCY).alias("agency"), F.to_date("timestamp").alias("day")])
+        lines.write.partitionBy("agency", "day").text(path)
+    return _landed(spark, sf_dir, "export-by-day", build)
+
+
+def extract_root(spark: SparkSession, sf_dir: str, build) -> str:
+    """The extract that ``build`` makes, made once."""
+    key = _key(spark, sf_dir, "extract")
+    if key not in _MEMO or file_stamp(spark, _MEMO[key]) is None:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
 def event_log_path(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> None:
         land_events(normalise(adapt_driver_events(read_driver_events(spark, sf_dir))), path, TEST_AGENCY)

@@ -9,9 +9,8 @@ pruning), and the time filter inside them is pushed to the Parquet reader.
 from __future__ import annotations
 
 import datetime as dt
-import re
-
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,14 +58,32 @@ def range_extract(spark: SparkSession, path: str, agency: str, start: dt.date, e
     return distinct_events(df, dedupe_key) if dedupe_key else df
 
 
+@contextmanager
+def _partitions_only(spark: SparkSession) -> Iterator[None]:
+    """Aggregates of partition columns are answered from the table's partitions:
+    the optimizer puts their values in place of the scan."""
+    name = "spark.sql.optimizer.metadataOnly"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def day_bounds(events: DataFrame) -> tuple[dt.date | None, dt.date | None]:
+    """Date of the first and of the last event.  Of a landed table, under
+    whatever filter of agency and days the frame has, they come from its
+    partitions and no data file is read (a filter on other columns, as the
+    pilot's state, does read those); of other frames it is one aggregate."""
+    if DAY not in events.columns:
+        return tuple(events.agg(F.min(F.to_date("timestamp")), F.max(F.to_date("timestamp"))).first())
+    with _partitions_only(events.sparkSession):
+        return tuple(events.agg(F.min(DAY), F.max(DAY)).first())
+
+
 def last_day(events: DataFrame) -> dt.date | None:
-    """Date of the last event.  For a landed table it is read from the names of
-    the day folders, so no job runs; else it is one aggregate."""
-    if DAY in events.columns:
-        days = {d for f in events.inputFiles() for d in re.findall(rf"/{DAY}=(\d{{4}}-\d\d-\d\d)/", f)}
-        if days:
-            return dt.date.fromisoformat(max(days))
-    return events.agg(F.max(F.to_date("timestamp"))).first()[0]
+    return day_bounds(events)[1]
 
 
 def between_days(events: DataFrame, start: dt.date | None, end: dt.date | None = None) -> DataFrame:

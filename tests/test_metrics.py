@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import make_log
+from logs import make_log
 from funnelspark import config as C
 from funnelspark.config import Params, Pilot
 from funnelspark.plans import periods, report, weekly

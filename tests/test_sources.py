@@ -7,7 +7,7 @@ import tempfile
 
 import pytest
 
-from conftest import make_log
+from logs import make_log
 from funnelspark.queries import QUERIES
 from funnelspark.sources.export import WEEKLY_PROPERTIES, read_export
 from funnelspark.sources.tables import distinct_events, land_events, last_day, publish, range_extract, read_landed
@@ -80,3 +80,47 @@ def test_scan_counts(spark, name, scans):
     them: the latest timestamp, over the last day, and the sample's cutoff.)"""
     leaves = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().collectLeaves()
     assert sum("parquet" in leaves.apply(i).toString() for i in range(leaves.size())) == scans
+
+
+def test_each_agency_has_periods_of_its_own(spark):
+    """One agency's events end 18 days before the other's: its report is that of its events alone."""
+    import datetime as dt
+
+    from funnelspark.config import SEARCHED_EMPLOYER, SHARED_INCOME_SUMMARY, VIEWED_AGREEMENT, Params, Pilot
+    from funnelspark.plans import periods, report
+    from funnelspark.sources.pilots import pilot_frame
+
+    def log(last, n):
+        rows = []
+        for i in range(n):
+            day = last - dt.timedelta(days=i % 12)
+            for h, e in enumerate((VIEWED_AGREEMENT, SEARCHED_EMPLOYER, SHARED_INCOME_SUMMARY)):
+                rows.append({"event_id": 10 * i + h, "event": e, "timestamp": f"{day} {h + i % 9:02d}:30:00", "distinct_id": f"u{i % 17}",
+                             "cbv_flow_id": i, "device_type": "smartphone" if i % 2 else "desktop", "flow_started_minutes_ago": float(i)})
+        return make_log(spark, rows)
+
+    path = os.path.join(tempfile.mkdtemp(prefix="funnelspark-land-"), "events")
+    early, late = dt.date(2024, 3, 12), dt.date(2024, 3, 30)
+    land_events(log(early, 40), path, "aaa")
+    land_events(log(late, 30), path, "bbb")
+    cal = pilot_frame(spark, [Pilot("Testland", "aaa", "P", dt.date(2024, 3, 1), dt.date(2024, 3, 31))])
+    run = Params(agency="aaa", report_type="week")
+    tables = {"period_kpi": report.period_kpi, "ban_kpi": report.ban_kpi, "trend": report.trend, "period": report.report_period,
+              "funnel": lambda ev, p: report.funnel(periods.add_pilot_week(ev, cal), p)}
+    for agency, last, n in (("aaa", early, 40), ("bbb", late, 30)):
+        landed = spark.read.parquet(path).where(f"client_agency = '{agency}'")
+        cut = range_extract(spark, path, agency, last - dt.timedelta(days=13), last)
+        for name, table in tables.items():
+            alone = sorted(map(tuple, table(log(last, n), run).collect()), key=str)
+            assert alone and sorted(map(tuple, table(landed, run).collect()), key=str) == alone, (agency, name)
+            assert sorted(map(tuple, table(cut, run).collect()), key=str) == alone, (agency, name, "extract")
+    assert sorted(r["period"] for r in report.period_kpi(spark.read.parquet(path).where("client_agency = 'aaa'"), run).collect()) == ["curr", "prior"]
+
+
+def test_planned_pilots_do_not_move_the_lookback():
+    import datetime as dt
+
+    from funnelspark.config import Pilot
+    from funnelspark.plans.periods import lookback_bounds
+    runs = [Pilot("X", "tst", "now", dt.date(2024, 1, 3), dt.date(2024, 1, 31)), Pilot("X", "tst", "next", dt.date(2024, 3, 1), dt.date(2024, 3, 31))]
+    assert lookback_bounds(runs, "tst", dt.date(2024, 1, 15), "month") == (dt.date(2024, 1, 3), dt.date(2024, 1, 15))
