@@ -767,6 +767,13 @@ SELECT event_date, CAST(1 AS BIGINT) AS n_asked, coalesce(n_events, 0) AS n_even
 SELECT event_id, event, origin AS link_origin, CAST(cbv_flow_id AS VARCHAR) AS flow, CAST(NULL AS VARCHAR) AS never_sent FROM log"""
     out["export_quarantine"] = with_()[:-1] + """
 SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 'unreadable' WHEN event_id % 89 = 1 THEN 'no timestamp' END AS reason FROM log"""
+    for name in ("weekly_kpi", "weekly_funnel", "trend", "submission_share"):  # from the rollup: the same tables
+        out[f"rollup_{name}"] = out[name]
+    published = {"report_period": out["report_period"], "report_dropoff": out["funnel"], "report_addtl": kpi_table_fmt_sql("month"),
+                 "report_ban": out["ban_kpi_month"], "report_trend": out["trend"], "report_searches": out["top_searches"],
+                 "wkly_ban": out["weekly_kpi"], "wkly_device_origin": out["device_mix"], "wkly_duration": out["duration_stats"],
+                 "wkly_dropoff": out["weekly_funnel"]}
+    out.update({f"published_{name}": sql for name, sql in published.items()})
     return out
 
 

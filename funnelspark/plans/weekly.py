@@ -84,8 +84,12 @@ def multi_employer(events: DataFrame, ctx: PilotContext) -> DataFrame:
     where nobody qualifies are absent (their value is NULL after the join)."""
     ev = cumulative(events, ctx).where(F.col("event") == C.FINISHED_SYNC)
     ev = ev.withColumn("employer_name", fill_null("employer_name", C.NOT_CAPTURED))
-    per_person = (ev.select(*WEEK_KEYS, "distinct_id", "employer_name").distinct()
-                  .groupBy(*WEEK_KEYS, "distinct_id").agg(F.count("*").alias("submissions")))
+    return multi_employer_of_pairs(ev.select(*WEEK_KEYS, "distinct_id", "employer_name").distinct())
+
+
+def multi_employer_of_pairs(pairs: DataFrame) -> DataFrame:
+    """C9 from the distinct (person, employer) pairs of each pilot week."""
+    per_person = pairs.groupBy(*WEEK_KEYS, "distinct_id").agg(F.count("*").alias("submissions"))
     return (per_person.where(F.col("submissions") > 1).groupBy(*WEEK_KEYS)
             .agg(F.count("*").alias("multi_employers"))
             .select(*WEEK_KEYS, F.lit("applicants").alias("denom"), "multi_employers"))
@@ -99,8 +103,11 @@ KPI_METRICS = tuple(KPI_COUNTS.values()) + KPI_SHARES
 
 def weekly_measures(events: DataFrame, ctx: PilotContext) -> DataFrame:
     """C8 before the curr/prior comparison: counts and shares per pilot week."""
-    wide = weekly_events_applicants(events, ctx)
-    multi = multi_employer(events, ctx)
+    return measures(weekly_events_applicants(events, ctx), multi_employer(events, ctx))
+
+
+def measures(wide: DataFrame, multi: DataFrame) -> DataFrame:
+    """Counts and shares from the counts by role and the multi-employer persons."""
     # ``multi`` has at most one row per (state, pilot, week): bounded by the pilot
     # calendar times the weeks of a pilot, so it is broadcast.
     j = join_null_safe(wide, F.broadcast(multi), [*WEEK_KEYS, "denom"], "left")
@@ -119,7 +126,12 @@ def weekly_measures(events: DataFrame, ctx: PilotContext) -> DataFrame:
 def weekly_kpi(events: DataFrame, ctx: PilotContext) -> DataFrame:
     """One row per state x week x denominator x metric: latest pilot (curr)
     against the previous pilot (prior), absolute and relative change, labels."""
-    m = weekly_measures(events, ctx).withColumn("pilot_rel", ctx.relation(F.col("pilot")))
+    return compare_pilots(weekly_measures(events, ctx), ctx)
+
+
+def compare_pilots(measured: DataFrame, ctx: PilotContext) -> DataFrame:
+    """The weekly measures of the latest pilot against those of the one before."""
+    m = measured.withColumn("pilot_rel", ctx.relation(F.col("pilot")))
     m = m.where(F.col("pilot_rel").isNotNull()).drop("pilot")
     long = wide_to_long(m, ["pilot_state", "pilot_wk", "denom", "pilot_rel"], KPI_METRICS)
     wide = long_to_wide(long, ["pilot_state", "pilot_wk", "denom", "metric"], "pilot_rel", "value",
@@ -200,7 +212,11 @@ def weekly_funnel(events: DataFrame, ctx: PilotContext, params: Params) -> DataF
     steps = step_frame(spark, params.key_events, params.event_dictionary)
     rel = reached.join(steps, "event").withColumn("pilot_rel", ctx.relation(F.col("pilot"))) \
         .where(F.col("pilot_rel").isNotNull())
-    counts = rel.groupBy("pilot_rel", "pilot_wk", "event_clean", "step_order").agg(F.count("*").alias("n"))
+    return funnel_of_counts(rel.groupBy("pilot_rel", "pilot_wk", "event_clean", "step_order").agg(F.count("*").alias("n")))
+
+
+def funnel_of_counts(counts: DataFrame) -> DataFrame:
+    """C12 from the persons of each pilot (curr, prior), week and step."""
     wide = long_to_wide(counts, ["pilot_wk", "event_clean", "step_order"], "pilot_rel", "n", ["curr", "prior"])
     # Steps only the prior pilot reached sort after the current pilot's steps (Q9).
     w = Window.partitionBy("pilot_wk").orderBy(F.col("curr").isNull(), "step_order")

@@ -23,15 +23,18 @@ from .functions import labels as L
 from .functions.nulls import filter_out
 from .functions.text import initiation_label, normalize_search
 from .operators.lookup import recode
-from .plans import frames, masking, periods, report, runs, weekly
+from .plans import frames, masking, periods, report, rollup, runs, weekly
 from .session import ensure_checkpoint_dir, shared_table_path
-from .sources import extract, landing, tables
+from .sources import extract, landing, publish, tables
 from .sources.export import REPORT_PROPERTIES, WEEKLY_PROPERTIES, normalise, read_export
 from .sources.pilots import pilot_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 MONTH = Params(pilots=C.TEST_PILOTS, report_type="month")
+#: The tables of the two runs.
+PUBLISHED = ("report_period", "report_dropoff", "report_addtl", "report_ban", "report_trend", "report_searches",
+             "wkly_ban", "wkly_device_origin", "wkly_duration", "wkly_dropoff")
 WEEK = Params(pilots=C.TEST_PILOTS, report_type="week")
 
 
@@ -105,10 +108,10 @@ def _source(spark, sf_dir):
     return lines
 
 
-def _extracted(spark, sf_dir, source) -> str:
+def _extracted(spark, sf_dir, source, root: str | None = None) -> str:
     """An extract of all days in three overlapping runs, of which the last finds nothing to do."""
     first, last = tables.day_bounds(_log(spark, sf_dir))
-    root, middle = shared_table_path(spark, "extract"), first + (last - first) * 0.6
+    root, middle = root or shared_table_path(spark, "extract"), first + (last - first) * 0.6
     for a, b in ((first, middle), (first + (last - first) * 0.3, last), (first, last)):
         extract.extract(spark, root, MONTH.agency, a, b, source, buckets=2)
     return root
@@ -125,7 +128,7 @@ def q_extract_once(spark, sf_dir):
 
 def q_late_keys(spark, sf_dir):
     """Property keys chosen when the landed extract is read."""
-    root = landing.extract_root(spark, sf_dir, lambda: _extracted(spark, sf_dir, _source(spark, sf_dir)))
+    root = landing.derived(spark, sf_dir, "extract", lambda path: _extracted(spark, sf_dir, _source(spark, sf_dir), path))
     days = tables.day_bounds(tables.read_table(spark, f"{root}/events"))
     ev = extract.read_extract(spark, root, MONTH.agency, *days, {"link_origin": "origin", "flow": "cbv_flow_id", "never_sent": "provider"})
     return ev.select(F.col("event_id").cast("bigint").alias("event_id"), "event", "link_origin", "flow", "never_sent")
@@ -159,11 +162,22 @@ def q_recode_events(spark, sf_dir):
 
 
 def q_roundtrip_parquet(spark, sf_dir):
-    """Publish one of the run's ten named tables, read it back."""
-    ensure_checkpoint_dir(spark)
-    frames_ = runs.report_tables(_piloted(spark, sf_dir), MONTH)
-    paths = tables.publish(frames_, shared_table_path(spark, "published"), only=["report_dropoff"])
-    return tables.read_table(spark, paths["report_dropoff"])
+    """Publish one of the run's named tables, read it back."""
+    root = shared_table_path(spark, "published")
+    publish.publish(spark, runs.report_tables(_piloted(spark, sf_dir), MONTH), root, only=["report_dropoff"])
+    return publish.read_published(spark, root, "report_dropoff")
+
+
+def _published(name: str) -> Query:
+    """A table of a whole run, six tables of the report and four of the
+    dashboard, published once as one version each."""
+    def read(spark, sf_dir):
+        def build(root: str) -> None:
+            ev, ctx = _ctx(spark, sf_dir)
+            publish.publish(spark, runs.report_tables(_piloted(spark, sf_dir), MONTH), root)
+            publish.publish(spark, runs.dashboard_tables(ev, ctx, MONTH), root)
+        return publish.read_published(spark, landing.derived(spark, sf_dir, "published", build), name)
+    return read
 
 
 # -- filters / periods -----------------------------------------------------------
@@ -349,6 +363,43 @@ def q_submission_share(spark, sf_dir):
     return weekly.submission_share(ev, ctx)
 
 
+def _rollup(spark, sf_dir) -> tuple[str, DataFrame, weekly.PilotContext]:
+    """The pre-aggregate by day, made once in two runs of which the second reads
+    new days only; its rows with pilot and week, and the run's facts."""
+    def build(path: str) -> None:
+        ev = _log(spark, sf_dir)
+        first, last = tables.day_bounds(ev)
+        rollup.refresh(ev, path, MONTH.agency, start=first, end=first + (last - first) * 0.7)
+        rollup.refresh(ev, path, MONTH.agency)
+    root = landing.derived(spark, sf_dir, "rollup", build)
+    days = _with_pilots(spark, rollup.bits(spark, root, MONTH.agency))
+    return root, days, weekly.PilotContext(periods.during_pilots(days, MONTH.pilots), pilot_frame(spark, MONTH.pilots))
+
+
+def _with_pilots(spark, days: DataFrame) -> DataFrame:
+    return periods.add_pilot_week(days, pilot_frame(spark, MONTH.pilots), "event_date", pilot_rows=len(MONTH.pilots))
+
+
+def q_rollup_weekly_kpi(spark, sf_dir):
+    root, days, ctx = _rollup(spark, sf_dir)
+    return rollup.weekly_kpi(days, _with_pilots(spark, rollup.employers(spark, root, MONTH.agency)), ctx)
+
+
+def q_rollup_weekly_funnel(spark, sf_dir):
+    _, days, ctx = _rollup(spark, sf_dir)
+    return rollup.weekly_funnel(days, ctx, MONTH)
+
+
+def q_rollup_trend(spark, sf_dir):
+    root, _, _ = _rollup(spark, sf_dir)
+    return rollup.trend(rollup.bits(spark, root, MONTH.agency), MONTH)
+
+
+def q_rollup_submission_share(spark, sf_dir):
+    _, days, ctx = _rollup(spark, sf_dir)
+    return rollup.submission_share(days, ctx)
+
+
 def q_mask_copies(spark, sf_dir):
     m = masking.mask_copies(_piloted(spark, sf_dir), MONTH)
     return m.select("event_id", "event", "timestamp", "distinct_id", "cbv_flow_id", "pilot", "pilot_wk",
@@ -389,4 +440,4 @@ def q_duration_labels(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
-}
+} | {f"published_{name}": _published(name) for name in PUBLISHED}

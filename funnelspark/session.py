@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a report job wants on any cluster: adaptive execution (coalesces the
 # many small post-aggregation partitions, splits skewed join partitions) and a
@@ -64,6 +66,23 @@ def shared_table_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def written_once(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back, for several uses that
+    are over at the end of the block; the table is removed then."""
+    spark, path = df.sparkSession, shared_table_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_folder(spark, path)
+
+
 def file_stamp(spark: SparkSession, path: str) -> tuple[int, int] | None:
     """(length, modification time) of a file or folder in any store Hadoop
     knows; None if there is none."""

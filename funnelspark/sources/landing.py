@@ -28,7 +28,7 @@ from .driver_events import adapt_driver_events, read_driver_events
 from .export import normalise, to_export_lines
 from .tables import land_events
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()  # what is made may need what was made before
 _MEMO: dict[tuple, str] = {}
 
 
@@ -65,12 +65,9 @@ def export_by_day(spark: SparkSession, sf_dir: str) -> str:
     return _landed(spark, sf_dir, "export-by-day", build)
 
 
-def extract_root(spark: SparkSession, sf_dir: str, build) -> str:
-    """The extract that ``build`` makes, made once."""
-    key = _key(spark, sf_dir, "extract")
-    if key not in _MEMO or file_stamp(spark, _MEMO[key]) is None:
-        _MEMO[key] = build()
-    return _MEMO[key]
+def derived(spark: SparkSession, sf_dir: str, kind: str, build) -> str:
+    """Folder of a table that ``build(path)`` makes from the landed data, made once."""
+    return _landed(spark, sf_dir, kind, build)
 
 
 def event_log_path(spark: SparkSession, sf_dir: str) -> str:

@@ -10,7 +10,7 @@ import pytest
 from logs import make_log
 from funnelspark.queries import QUERIES
 from funnelspark.sources.export import WEEKLY_PROPERTIES, read_export
-from funnelspark.sources.tables import distinct_events, land_events, last_day, publish, range_extract, read_landed
+from funnelspark.sources.tables import distinct_events, land_events, last_day, range_extract, read_landed
 
 
 def test_range_extract_prunes_and_dedupes(spark):
@@ -58,13 +58,6 @@ def test_rows_without_an_id_are_all_kept(spark):
     assert got == [("", 3), ("", 3), ("", 4), ("a1", 1), ("b-2", 2)]
 
 
-def test_published_tables_are_overwritten(spark):
-    root = tempfile.mkdtemp(prefix="funnelspark-pub-")
-    for n in (3, 2):
-        paths = publish({"a": spark.range(n), "b": spark.range(n + 1)}, root)
-        assert {k: spark.read.parquet(p).count() for k, p in paths.items()} == {"a": n, "b": n + 1}
-    assert list(publish({"a": spark.range(1), "b": spark.range(1)}, root, only=["b"])) == ["b"]
-
 
 @pytest.mark.parametrize("name", ["funnel", "period_kpi", "ban_kpi", "trend", "weekly_kpi", "weekly_funnel", "narrative",
                                   "range_extract", "extract_window", "initiations_daily"])
