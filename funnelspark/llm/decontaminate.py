@@ -4,17 +4,23 @@ Texts of documents and benchmark items become templates: lower-case words
 without marks, in which numbers, numbers with a unit, units after a number, and
 names (a capitalised word inside a sentence) are typed placeholders.  Windows
 of ``width`` template words are hashed and hash-joined, so a question whose
-numbers, names or units were replaced still matches.  For each text, item and
-offset the slots of the matched windows are then laid against each other: one
-slot value of the item stands for one value of the text, the most frequent
-there (the first of equals), and windows with another value of it do not count.
-Windows that are equal word for word count whatever the slots say.  A document
-holds an item when windows over at least ``share`` of the item's places match.
-
-DataFrame expressions only: no Python runs on the executors.  The windows of
-the documents are joined where they are made, with the benchmark's windows as a
-broadcast table as long as those are at most ``broadcast_windows`` (counted
-first); beyond that the same join shuffles.  Only matches are aggregated.
+numbers, names or units were replaced still matches; windows of placeholders
+only are hashed by their own words, as any table of numbers has the template of
+any other.  A match is a place for the item in the text (an offset).  There the
+two are laid side by side, word by word: which windows have the same template,
+and what the slots hold.  One slot value of the item stands for one value of
+the text, the most frequent there (the first of equals), and windows with
+another value of it do not count.  Windows that are equal word for word count
+whatever the slots say.  A document holds an item when windows over at least
+``share`` of the item's places match.
+
+DataFrame expressions only: no Python runs on the executors.  What is joined is
+a text's id, hash, place and window hash, no words: with the benchmark's windows
+as a broadcast table as long as those are at most ``broadcast_windows`` (counted
+first), beyond that by shuffle.  Only the texts with a match, found by id and
+hash, are then taken apart again; the matches (a written table) are broadcast to
+them as long as they are of at most ``broadcast_texts`` texts, beyond that the
+join shuffles.  The work is linear in the length of a text.
 
 Defined results: NULL and empty texts have no windows; items of fewer than
 ``width`` words never match (they are no passage); rows with a NULL id on
@@ -28,6 +34,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Units of measure that follow a number or are written onto it.
 UNITS = """mm cm m km inch inches ft feet foot yard yards mile miles mg g kg gram grams kilogram kilograms lb lbs pound
     pounds oz ounce ounces ton tons tonne tonnes ml l liter liters litre litres gallon gallons s sec secs second seconds
@@ -35,7 +43,7 @@ UNITS = """mm cm m km inch inches ft feet foot yard yards mile miles mg g kg gra
     degrees dollar dollars cent cents euro euros usd eur gbp hz khz mhz ghz kb mb gb tb w kw mw v kv a j kj cal kcal n
     k pa kpa bar mol""".split()
 NAME, WIDTH, SHARE = "\u0002", 5, 0.8
-BROADCAST_WINDOWS = 500_000
+BROADCAST_WINDOWS, BROADCAST_TEXTS = 500_000, 200_000
 
 
 def template_words(text: Column | str) -> Column:
@@ -60,14 +68,19 @@ def slot_types(words: str) -> Column:
         else xxhash64(w) end)""")
 
 
-def windows(texts: DataFrame, id_col: str, width: int) -> DataFrame:
-    """id, key (of the text), words, types, place, window (a hash): one row per template window."""
+def templates(texts: DataFrame, id_col: str, width: int) -> DataFrame:
+    """id, key (of the text), words, types of the texts that have a window."""
     t = texts.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64("text").alias("key"), template_words("text").alias("words"))
-    t = t.where(F.size("words") >= width).select("id", "key", "words", slot_types("words").alias("types"))
-    window = ", ".join(f"types[i + {k}]" for k in range(width))
-    made = F.expr(f"transform(sequence(0, size(types) - {width}), i -> xxhash64({window}))")
-    return t.select("id", "key", "words", "types", F.posexplode(made).alias("place", "window"))
+    return t.where(F.size("words") >= width).select("id", "key", "words", slot_types("words").alias("types"))
+
+
+def windows(texts: DataFrame, width: int, *more: str) -> DataFrame:
+    """id, key, place, window (a hash) of each template window, and ``more`` of the columns."""
+    one = lambda of: ", ".join(f"{of}[i + {k}]" for k in range(width))
+    slots = " and ".join(f"types[i + {k}] between 1 and 4" for k in range(width))
+    made = F.expr(f"transform(sequence(0, size(types) - {width}), i -> if({slots}, xxhash64({one('words')}), xxhash64({one('types')})))")
+    return texts.select("id", "key", *more, F.posexplode(made).alias("place", "window"))
 
 
 def _let(value: Column, use) -> Column:
@@ -99,31 +112,54 @@ def _agreeing(wins: str) -> Column:
     return _let(lost, without)
 
 
+def _alike(width: int) -> Column:
+    """The windows that have the same template in an item (``theirs``, ``kinds``)
+    and in the text's words from ``from`` on: place, literal, worded, slots."""
+    # A struct for each word of the item; equal types are equal words or slots of one type.
+    laid = F.expr("""transform(theirs, (w, j) -> struct(j as k, kinds[j] as kind, w as theirs, get(words, j + from) as ours,
+        coalesce(kinds[j] = get(types, j + from), false) as same))""")
+
+    def windows_of(laid_):
+        held = lambda p: F.slice(laid_, p + 1, F.lit(width))
+        whole = F.filter(F.sequence(F.lit(0), F.size(laid_) - width), lambda p: F.forall(held(p), lambda x: x["same"]))
+        return F.transform(whole, lambda p: F.struct(
+            p.alias("place"), F.forall(held(p), lambda x: x["theirs"] == x["ours"]).alias("literal"),
+            F.exists(held(p), lambda x: ~x["kind"].between(1, 4)).alias("worded"),
+            F.transform(F.filter(held(p), lambda x: x["kind"].between(1, 4)), lambda x: F.struct(
+                x["k"].alias("k"), x["kind"].alias("kind"), x["theirs"].alias("theirs"), x["ours"].alias("ours"))).alias("slots")))
+
+    return _let(laid, windows_of)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = SHARE,
-          broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+          broadcast_windows: int = BROADCAST_WINDOWS, broadcast_texts: int = BROADCAST_TEXTS) -> DataFrame:
     """doc_id, item_id, matched (places of the item's windows found), places
     (all of them), reworded (some slot differs)."""
-    items = windows(benchmark, "item_id", width).select(
-        F.col("id").alias("item_id"), F.col("key").alias("item_key"), F.col("place").alias("item_place"), F.col("window"),
-        F.slice("types", F.col("place") + 1, width).alias("item_types"),
-        F.slice("words", F.col("place") + 1, width).alias("item_words"),
-        (F.size("types") - (width - 1)).alias("places"))
-    if items.count() <= broadcast_windows:
-        items = F.broadcast(items)
-    text = ["doc_id", "doc_key", "item_id", "item_key", "places"]
-    found = windows(docs, "doc_id", width).join(items, "window").select(
-        F.col("id").alias("doc_id"), F.col("key").alias("doc_key"), *text[2:], "item_place",
-        (F.col("place") - F.col("item_place")).alias("shift"),
-        F.slice("types", F.col("place") + 1, width).alias("types"), F.slice("words", F.col("place") + 1, width).alias("words"),
-        "item_types", "item_words").where(F.col("types") == F.col("item_types"))  # the windows themselves, not their hashes
-    # (item's place, type, item's value, text's value) of each slot of a window; the list is at most ``width`` long.
-    slots = F.expr("""filter(transform(sequence(0, size(types) - 1), i -> struct(item_place + i as k,
-        types[i] as kind, item_words[i] as theirs, words[i] as ours)), s -> s.kind between 1 and 4)""")
-    # Per offset: as many windows as the item has at most.
-    win = F.struct(F.col("item_place").alias("place"), (F.col("words") == F.col("item_words")).alias("literal"), slots.alias("slots"))
-    offsets = found.groupBy(*text, "shift").agg(F.collect_set(win).alias("wins")).select(*text, _agreeing("wins").alias("wins"))
+    items = templates(benchmark, "item_id", width).dropDuplicates(["id", "key"]).withColumn("item", F.xxhash64("id", "key"))
+    n_windows, longest = items.agg(F.sum(F.size("words") - (width - 1)), F.max(F.size("words"))).first()
+    small = F.broadcast if (n_windows or 0) <= broadcast_windows else lambda df: df
+    seeds = windows(items, width, "item").select("item", F.col("place").alias("item_place"), "window")
+    met = windows(templates(docs, "doc_id", width), width).join(small(seeds), "window")
+    met = met.select("id", "key", "item", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
+    # At most as many offsets for a text as its windows have matches.
+    found = written(met.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(
+        F.collect_set(F.struct("item", "shift")).alias("at")), "decontamination-matches")
+    found = F.broadcast(found) if found.count() <= broadcast_texts else found
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+    texts = texts.join(found, (F.col("doc_id") == F.col("_id")) & (F.col("key") == F.col("_key")))
+    texts = texts.select("doc_id", "key", "at", template_words("text").alias("words"))
+    texts = texts.select("doc_id", "key", "at", "words", slot_types("words").alias("types"))
+    # Each offset takes its own stretch of the text along, as long as the longest item.
+    stretch = F.expr(f"""transform(at, a -> struct(a.item as item, least(a.shift, 0) as from,
+        slice(words, greatest(a.shift, 0) + 1, {longest or 0}) as words, slice(types, greatest(a.shift, 0) + 1, {longest or 0}) as types))""")
+    sides = items.select("item", F.col("id").alias("item_id"), F.col("words").alias("theirs"), F.col("types").alias("kinds"))
+    laid = texts.select("doc_id", "key", F.explode(stretch).alias("a")).select("doc_id", "key", "a.*").join(small(sides), "item")
+    text = ["doc_id", "key", "item", "item_id", "places"]
+    places = (F.size("theirs") - (width - 1)).alias("places")
+    offsets = laid.select(*text[:4], places, _alike(width).alias("wins"))
+    offsets = offsets.where(F.exists("wins", lambda w: w["worded"] | w["literal"])).select(*text, _agreeing("wins").alias("wins"))
     whole = offsets.groupBy(*text).agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("wins.place")))).alias("matched"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("wins.place")))).alias("matched"),
         F.max(F.exists("wins", lambda w: ~w["literal"])).alias("reworded"))
     # Of the texts of an id the one with the most places, the literal one of equals.
     best = (whole.where(F.col("matched") >= F.lit(share) * F.col("places")).groupBy("doc_id", "item_id", "places")

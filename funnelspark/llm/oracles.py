@@ -11,16 +11,16 @@ _UNITS = ", ".join(f"'{u}'" for u in UNITS)
 
 OP4 = rf"""
 with t as (
-    select 0 as side, doc_id as id, text from documents where doc_id is not null
-    union all select 1, item_id, text from benchmark where item_id is not null),
+    select 0 as side, doc_id as id, text, md5(coalesce(text, '')) as key from documents where doc_id is not null
+    union all select 1, item_id, text, md5(coalesce(text, '')) from benchmark where item_id is not null),
 w as (
-    select side, id, string_split(trim(lower(regexp_replace(regexp_replace(regexp_replace(
+    select distinct side, id, key, string_split(trim(lower(regexp_replace(regexp_replace(regexp_replace(
         replace(coalesce(text, ''), chr(2), ' '),
         '([^.!?\t\n\v\f\r ] )(\p{{Lu}}\p{{Ll}})', '\1' || chr(2) || '\2', 'g'),
         '([0-9])[.,]([0-9])', '\1_\2', 'g'),
         '[^\p{{L}}\p{{N}}_' || chr(2) || ']+', ' ', 'g'))), ' ') as w from t),
 k as (
-    select side, id, w, list_transform(range(1, len(w) + 1), lambda i: case
+    select side, id, key, w, list_transform(range(1, len(w) + 1), lambda i: case
         when w[i] >= '0' and w[i] < ':' then case
             when translate(w[i], '0123456789_', '') = '' then chr(1) || '1'
             when translate(w[i], '0123456789_', '') in ({_UNITS}) then chr(1) || '3' else w[i] end
@@ -28,22 +28,33 @@ k as (
         when w[i] in ({_UNITS}) and i > 1 and w[i - 1] >= '0' and w[i - 1] < ':' then chr(1) || '4'
         else w[i] end) as k from w where len(w) >= 5),
 v as (
-    select side, id, place, w[place + 1:place + 5] as w, k[place + 1:place + 5] as k, places
-    from (select side, id, w, k, len(w) - 4 as places, unnest(range(0, len(w) - 4)) as place from k)),
+    select side, id, key, place, w[place + 1:place + 5] as w, k[place + 1:place + 5] as k, places
+    from (select side, id, key, w, k, len(w) - 4 as places, unnest(range(0, len(w) - 4)) as place from k)),
 m as (
-    select d.id as doc_id, b.id as item_id, b.places, b.place as spot, d.place - b.place as shift, b.k, b.w as theirs, d.w as ours
+    select d.id as doc_id, d.key, b.id as item_id, b.key as item_key, b.places, b.place as spot, d.place - b.place as shift,
+           b.k, b.w as theirs, d.w as ours, b.w = d.w as literal
     from v d join v b on d.k = b.k where d.side = 0 and b.side = 1),
+f as (
+    select doc_id, key, item_id, item_key, shift from m group by all
+    having bool_or(literal or len(list_filter(k, lambda x: x[1] <> chr(1))) > 0)),
 s as (
-    select doc_id, item_id, places, spot, shift, k[i] as kind, theirs[i] as theirs, ours[i] as ours
-    from (select *, unnest(range(1, 6)) as i from m)),
-o as (
-    select doc_id, item_id, places, shift, bool_or(theirs <> ours) filter (kind[1] = chr(1)) as reworded
-    from s group by all
-    having count(distinct (kind, theirs, ours)) filter (kind[1] = chr(1)) = count(distinct (kind, theirs)) filter (kind[1] = chr(1))
-       and count(distinct (kind, theirs, ours)) filter (kind[1] = chr(1)) = count(distinct (kind, ours)) filter (kind[1] = chr(1)))
-select doc_id, item_id, count(distinct spot)::int as matched, places::int as places, coalesce(bool_or(reworded), false) as reworded
-from m join o using (doc_id, item_id, places, shift) group by doc_id, item_id, places
-having count(distinct spot) >= 0.8 * places"""
+    select distinct doc_id, key, item_id, item_key, shift, spot + i as pos, k[i] as kind, theirs[i] as theirs, ours[i] as ours
+    from (select *, unnest(range(1, 6)) as i from m semi join f using (doc_id, key, item_id, item_key, shift)) where k[i][1] = chr(1)),
+votes as (select doc_id, key, item_id, item_key, shift, kind, theirs, ours, count(*) as n, min(pos) as first from s group by all),
+lost as (
+    select * from (select *, row_number() over (partition by doc_id, key, item_id, item_key, shift, kind, theirs order by n desc, first) as r
+                   from votes) where r > 1),
+gone as (
+    select distinct doc_id, key, item_id, item_key, shift, spot
+    from (select *, unnest(range(1, 6)) as i from m where not literal) p
+    semi join lost l on p.doc_id = l.doc_id and p.key = l.key and p.item_id = l.item_id and p.item_key = l.item_key
+        and p.shift = l.shift and p.k[p.i] = l.kind and p.theirs[p.i] = l.theirs and p.ours[p.i] = l.ours),
+whole as (
+    select doc_id, item_id, places, key, item_key, count(distinct spot)::int as matched, bool_or(not literal) as reworded
+    from m semi join f using (doc_id, key, item_id, item_key, shift) anti join gone using (doc_id, key, item_id, item_key, shift, spot)
+    group by all having count(distinct spot) >= 0.8 * places)
+select doc_id, item_id, matched, places::int as places, reworded
+from (select *, row_number() over (partition by doc_id, item_id, places order by matched desc, reworded) as r from whole) where r = 1"""
 
 OP9 = """
 with d as (select doc_id, encode(coalesce(text, '')) as b from documents),

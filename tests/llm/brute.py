@@ -75,31 +75,45 @@ def template(text, units):
 
 
 def leaks(docs, items, units, width=5, share=0.8):
+    """Windows with the same template at each offset; of the values of a slot the most frequent one (then the first) counts."""
     key = lambda ws: tuple(w if k == 0 else k for k, w in ws)
     by, places = {}, {}
-    for item, text in items:
+    for n, (item, text) in enumerate(sorted(set(items), key=str)):
         t = template(text, units)
-        if len(t) >= width:
-            places[item] = len(t) - width + 1
+        places[n] = item, len(t) - width + 1
         for p in range(len(t) - width + 1):
-            by.setdefault(key(t[p:p + width]), []).append((item, p, t[p:p + width]))
-    out = set()
-    for doc, text in docs:
+            by.setdefault(key(t[p:p + width]), []).append((n, p, t[p:p + width]))
+    best = {}
+    for doc, text in set(docs):
         t, found = template(text, units), {}
         for p in range(len(t) - width + 1):
             own = t[p:p + width]
             for item, q, theirs in by.get(key(own), ()):
-                at, slots = found.setdefault((item, p - q), (set(), set()))
-                at.add(q)
-                slots.update((a[0], a[1], b[1]) for a, b in zip(theirs, own) if a[0])
+                found.setdefault((item, p - q), []).append((q, theirs, own))
         matched = {}
-        for (item, _), (at, slots) in found.items():
-            if len({x[:2] for x in slots}) == len(slots) == len({(x[0], x[2]) for x in slots}):
-                m = matched.setdefault(item, [set(), False])
-                m[0] |= at
-                m[1] |= any(x[1] != x[2] for x in slots)
-        out |= {(doc, i, len(m[0]), places[i], m[1]) for i, m in matched.items() if len(m[0]) >= share * places[i]}
-    return out
+        for (item, _), wins in found.items():
+            if not any(a == b or any(k == 0 for k, _ in a) for _, a, b in wins):
+                continue  # nothing but placeholders
+            at = {}
+            for q, theirs, own in wins:
+                for j, (a, b) in enumerate(zip(theirs, own)):
+                    if a[0]:
+                        at.setdefault((*a, b[1]), set()).add(q + j)
+            top = {}
+            for (kind, a, b), where in at.items():
+                top.setdefault((kind, a), []).append((-len(where), min(where), b))
+            top = {x: min(v)[2] for x, v in top.items()}
+            for q, theirs, own in wins:
+                if theirs == own or all(not a[0] or top[a] == b[1] for a, b in zip(theirs, own)):
+                    m = matched.setdefault(item, [set(), False])
+                    m[0].add(q)
+                    m[1] |= theirs != own
+        for n, (spots, reworded) in matched.items():
+            item, total = places[n]
+            if len(spots) >= share * total:
+                old = best.get((doc, item, total), (0, False))
+                best[doc, item, total] = max(old, (len(spots), not reworded))
+    return {(doc, item, n, total, not literal) for (doc, item, total), (n, literal) in best.items()}
 
 
 def runs(words):

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from funnelspark.llm import components, decontaminate, simhash, suffixdedup
-from funnelspark.llm.queries import QUERIES
+from funnelspark.llm.queries import ORACLE_SQL, QUERIES
 
 
 def test_simhash_matches_brute_force(spark, documents):
@@ -152,3 +152,42 @@ def test_decontamination_of_odd_rows(odd, empty, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.leaks(odd, none).count() == decontaminate.leaks(empty, items).count() == 0
     assert decontaminate.drop_contaminated(odd, none).count() == odd.count()
+
+
+def test_leaks_of_edited_copies_match_brute_force_and_sql(spark):
+    """Copies of items with words, numbers and names replaced, number tables, negative offsets, repeated ids."""
+    import random
+
+    import duckdb
+
+    r = random.Random(12)
+    words = ["alpha", "beta", "Gamma", "delta", "12", "7", "3.5", "kg", "12kg", "Rome", "and", "of", "the.", "so", "1"]
+    items = [(i, " ".join(r.choice(words) for _ in range(r.choice([4, 5, 9, 30])))) for i in range(25)]
+    items += [(90, " ".join(str(i % 4) for i in range(40))), (91, "1 2 3 4 5 6 7 8 9 sum of them all is what number"), (3, items[5][1])]
+    docs = []
+    for d in range(160):
+        own = r.choice(items)[1].split()
+        for _ in range(r.randrange(5)):
+            own[r.randrange(len(own))] = r.choice(words)
+        cut = r.randrange(3) if len(own) > 8 else 0
+        docs.append((d if d % 10 else d // 20, " ".join([*(r.choice(words) for _ in range(r.randrange(6))), *own[cut:], *(r.choice(words) for _ in range(r.randrange(6)))])))
+    docs += [(500, " ".join(str(i) for i in range(300))), (501, "4 3 2 9 5 6 7 8 1 sum of them all is what number")]
+    expect = brute.leaks(docs, items, set(decontaminate.UNITS))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    assert len(expect) > 30 and {tuple(x) for x in decontaminate.leaks(d, b).collect()} == expect
+    assert {tuple(x) for x in decontaminate.leaks(d, b, broadcast_windows=0, broadcast_texts=0).collect()} == expect
+    con = duckdb.connect()
+    con.register("documents", d.toPandas())
+    con.register("benchmark", b.toPandas())
+    got = con.sql(ORACLE_SQL["op4_benchmark_decontamination"])
+    assert {tuple(x) for x in got.select("doc_id, item_id, matched, places, reworded").fetchall()} == expect
+
+
+def test_windows_carry_no_words(spark):
+    """The rows that the join meets are an id, hashes and a place: linear in a text's length."""
+    made = decontaminate.windows(decontaminate.templates(spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string"), "doc_id", 5), 5)
+    assert dict(made.dtypes) == {"id": "bigint", "key": "bigint", "place": "int", "window": "bigint"} and made.count() == 2
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    generate = next(line for line in plan.splitlines() if "Generate" in line)
+    assert "[2, 3], false, [place" in generate  # of id, key, words and types the last two do not go through
