@@ -13,9 +13,11 @@ order statistics a quantile needs (ranks ``floor(h)+1`` and ``ceil(h)+1`` with
    counted by distinct value, and a running total inside the bin gives the rank.
 
 The wanted bins, at most ``2 * len(probs)`` rows per group, are broadcast to the
-second pass, so values are never joined by shuffle; a run with more than
-``MAX_GROUPS`` groups is refused rather than broadcast.  No job runs while the
-frame is built, and there are no rounds.
+second pass, so values are not joined by shuffle; the broadcast checks that there
+are at most ``MAX_GROUPS`` groups.  For keys that may have more (by person, say)
+``many_groups`` joins the bins by shuffle instead, at any number of groups and
+with the same result; adaptive execution splits a bin that holds a large share.
+No job runs while the frame is built, and there are no rounds.
 
 Interpolation is ``lo + (hi - lo) * (h - floor(h))``.
 """
@@ -44,7 +46,7 @@ def _bin(v: Column) -> Column:
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], *,
-                    with_stats: bool = True) -> DataFrame:
+                    with_stats: bool = True, many_groups: bool = False) -> DataFrame:
     """One row per group of ``keys``: ``n, min, max`` (if ``with_stats``) and
     one column per entry of ``probs``.  NULL/NaN values are ignored; groups with
     no value are absent."""
@@ -63,12 +65,13 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     inside = F.filter(ranks, lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_c")))
     wanted = hist.withColumn("_ranks", inside).where(F.size("_ranks") > 0).select(
         *keys, "_bin", "_before", "_n", "_lo", "_hi", "_ranks")
-    # The bound of the broadcast, checked where it is made (a few rows per group).
-    few = F.col("_rows") <= F.lit(MAX_GROUPS * 2 * len(probs))
-    wanted = wanted.withColumn("_rows", F.count("*").over(Window.partitionBy())).where(
-        F.assert_true(few, "too many groups for exact quantiles").isNull()).drop("_rows")
+    if not many_groups:
+        # The bound of the broadcast, checked where it is made (a few rows per group).
+        few = F.col("_rows") <= F.lit(MAX_GROUPS * 2 * len(probs))
+        wanted = F.broadcast(wanted.withColumn("_rows", F.count("*").over(Window.partitionBy())).where(
+            F.assert_true(few, "too many groups to broadcast: set many_groups").isNull()).drop("_rows"))
 
-    counts = join_null_safe(values, F.broadcast(wanted), [*keys, "_bin"]).groupBy(
+    counts = join_null_safe(values, wanted, [*keys, "_bin"]).groupBy(
         *keys, "_bin", "_before", "_n", "_lo", "_hi", "_ranks", "_v").agg(F.count("*").alias("_c"))
     wv = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = counts.withColumn("_upto", F.sum("_c").over(wv) + F.col("_before"))
@@ -88,12 +91,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], *,
-              approx: bool = False, accuracy: int = 10_000, with_stats: bool = True) -> DataFrame:
+              approx: bool = False, accuracy: int = 10_000, with_stats: bool = True, many_groups: bool = False) -> DataFrame:
     """:func:`exact_quantiles`, or with ``approx`` Spark's ``percentile_approx``
     sketch (one map-side combined aggregate, bounded memory per group; returns
     data values, relative rank error about 1/accuracy)."""
     if not approx:
-        return exact_quantiles(df, keys, value, probs, with_stats=with_stats)
+        return exact_quantiles(df, keys, value, probs, with_stats=with_stats, many_groups=many_groups)
     keys = list(keys)
     v = F.col(value).cast("double")
     values = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))

@@ -57,15 +57,12 @@ def duration_labels(events: DataFrame, ctx: PilotContext, week: int = C.CUMULATI
     "pilot (n = 1,234)" for minutes to complete, "employment type (n = ...)"
     for sync time (rows without employment type left out)."""
     d = duration_stats(events, ctx).where(F.col("pilot_wk") == week)
-    done = d.where(F.col("metric") == "flow_started_minutes_ago").select(
-        "metric", "pilot", "employment_type", "n", "median",
-        F.concat(F.col("pilot"), F.lit(" (n = "), L.comma("n"), F.lit(")")).alias("label"),
-        L.number("median", 1, "m").alias("median_fmt"))
-    sync = filter_out(d.where(F.col("metric") == "sync_duration_seconds"), F.col("employment_type").isNull()).select(
-        "metric", "pilot", "employment_type", "n", "median",
-        F.concat(F.col("employment_type"), F.lit(" (n = "), L.comma("n"), F.lit(")")).alias("label"),
-        L.number("median", 0, "s").alias("median_fmt"))
-    return done.unionByName(sync)
+    done = F.col("metric") == "flow_started_minutes_ago"
+    d = filter_out(d, ~done & F.col("employment_type").isNull())
+    named = F.when(done, F.col("pilot")).otherwise(F.col("employment_type"))
+    return d.select("metric", "pilot", "employment_type", "n", "median",
+                    F.concat(named, F.lit(" (n = "), L.comma("n"), F.lit(")")).alias("label"),
+                    F.when(done, L.number("median", 1, "m")).otherwise(L.number("median", 0, "s")).alias("median_fmt"))
 
 
 def report_funnel_labels(events: DataFrame, params: Params) -> DataFrame:

@@ -4,17 +4,22 @@ of their first shifted date and replace the state name."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Params
 from ..operators.sample import in_sample, sample_cutoff
 from ..sources.tables import DAY
+from .weekly import PilotContext
 
 CLONE_SUFFIX = "-c"
 CLONE_FLOW_OFFSET = 1_000_000
 
 
+def _shifted(params: Params, ts: str) -> Column:
+    return F.col(ts) + F.expr(f"INTERVAL {params.mask_days} DAY") + F.expr(f"INTERVAL {params.mask_years} YEAR")
+
+
 def mask_copies(events: DataFrame, params: Params) -> DataFrame:
     """``events`` must carry ``pilot``/``pilot_wk``.  NULL persons are never
     sampled (they are not one applicant)."""
@@ -26,26 +31,36 @@ def mask_copies(events: DataFrame, params: Params) -> DataFrame:
         "is_copy", F.explode(F.when(sampled, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     copy = F.col("is_copy")
 
-    def shifted(ts: str):
-        return F.col(ts) + F.expr(f"INTERVAL {params.mask_days} DAY") + F.expr(f"INTERVAL {params.mask_years} YEAR")
-
     both = both.withColumns({
         "distinct_id": F.when(copy, F.concat(F.col("distinct_id"), F.lit(CLONE_SUFFIX))).otherwise(F.col("distinct_id")),
         "cbv_flow_id": F.when(copy, F.col("cbv_flow_id") + F.lit(CLONE_FLOW_OFFSET)).otherwise(F.col("cbv_flow_id")),
-        "timestamp": shifted("timestamp")})
-    # One row per pilot value present (bounded by the pilot calendar).  The
-    # shift keeps the order of times, so the first shifted day is that of the first event.
-    first_day = events.where(F.col("pilot").isNotNull()).groupBy("pilot").agg(F.min("timestamp").alias("_first"))
-    first_day = first_day.select("pilot", F.date_format(F.to_date(shifted("_first")), "MMM yyyy").alias("_label"))
+        "timestamp": _shifted(params, "timestamp")})
+    first_day = _by_pilot(events).select("pilot", _masked_day(params, "_first").alias("_label")).withColumn(
+        "_label", F.date_format("_label", "MMM yyyy"))
     out = both.join(F.broadcast(first_day), "pilot", "left")
     return out.withColumn("pilot", F.col("_label")).withColumn("pilot_state", F.lit(params.mask_state)).drop("_label")
 
 
-def masked_calendar(masked: DataFrame, params: Params) -> DataFrame:
-    """Pilot calendar of the masked set: one row per relabelled pilot, starting
-    on its first masked date, so pilots order by first appearance (the demo's
-    "first level is the prior pilot", Q21).  One row per pilot: bounded."""
-    return (masked.where(F.col("pilot").isNotNull()).groupBy("pilot")
-            .agg(F.min(F.to_date("timestamp")).alias("start_date"), F.max(F.to_date("timestamp")).alias("end_date"))
-            .select(F.lit(params.mask_state).alias("state"), F.lit(params.agency).alias("client_agency"),
-                    "pilot", "start_date", "end_date"))
+def _by_pilot(events: DataFrame) -> DataFrame:
+    """First and last time and last week of each pilot present: one row for each
+    (bounded by the pilot calendar).  The shift of the mask keeps the order of
+    times, so these are all that is needed of the masked events."""
+    return events.where(F.col("pilot").isNotNull()).groupBy("pilot").agg(
+        F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last"), F.max("pilot_wk").alias("_week"))
+
+
+def _masked_day(params: Params, ts: str) -> Column:
+    return F.to_date(_shifted(params, ts))
+
+
+def masked_context(events: DataFrame, params: Params) -> PilotContext:
+    """The run facts of the masked set, from the events before masking.  Its
+    calendar has one row per relabelled pilot, starting on its first masked date,
+    so pilots order by first appearance (the demo's "first level is the prior
+    pilot", Q21)."""
+    masked = _by_pilot(events).select(_masked_day(params, "_first").alias("_from"), _masked_day(params, "_last").alias("_to"), "_week")
+    cal = masked.groupBy(F.date_format("_from", "MMM yyyy").alias("pilot")).agg(
+        F.min("_from").alias("start_date"), F.max("_to").alias("end_date"), F.max("_week").alias("week"))
+    cal = cal.withColumns({"state": F.lit(params.mask_state), "client_agency": F.lit(params.agency)})
+    present = cal.select("pilot", F.col("state").alias("pilot_state"), "week")
+    return PilotContext(events, cal.drop("week"), present=present)

@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 from ..config import CUMULATIVE_WEEK, Pilot
 from ..functions.nulls import filter_out
 from ..operators.lookup import DEFAULT_BROADCAST_MAX_ROWS
+from ..sources.pilots import pilot_frame
 from ..sources.tables import DAY, between_days, last_day
 
 _UNITS = {"month": "MONTH", "week": "WEEK"}
 PERIODS = ("curr", "prior")
+#: Pilots of a calendar that becomes an expression (two changes each at most, nine conditions deep).
+SEARCH_MAX = 200
 
 
 def period_interval(report_type: str, n: int) -> Column:
@@ -78,16 +81,69 @@ def pilot_days(pilots: DataFrame) -> DataFrame:
         "_p_state", "_p_day", F.col("_run.pilot").alias("_p_pilot"), F.col("_run.start_date").alias("_p_start"))
 
 
-def add_pilot_week(events: DataFrame, pilots: DataFrame, ts: str = "timestamp", *,
-                   pilot_rows: int | None = None, broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-                   ) -> DataFrame:
-    """Attach ``pilot`` and ``pilot_wk`` (1 = first 7 days of the pilot) by
-    an equi-join of (state, day) to the calendar by day.
-
-    The calendar by day is broadcast when it is within ``broadcast_max_rows``
+def pilot_stretches(pilots: Iterable[Pilot]) -> dict[str, list[tuple[dt.date, Pilot | None]]]:
+    """For each state the days on which the running pilot changes, in order,
+    with the pilot from then on.  Of overlapping runs the one that started last
+    (equal starts: the larger name) has the day, as in :func:`pilot_days`."""
+    out: dict[str, list[tuple[dt.date, Pilot | None]]] = {}
+    by_state: dict[str, list[Pilot]] = {}
+    for p in pilots:
+        by_state.setdefault(p.state, []).append(p)
+    for state, runs in by_state.items():
+        changes: list[tuple[dt.date, Pilot | None]] = []
+        for day in sorted({d for p in runs for d in (p.start_date, p.end_date + dt.timedelta(days=1))}):
+            now = max((p for p in runs if p.start_date <= day <= p.end_date), key=lambda p: (p.start_date, p.pilot), default=None)
+            if not changes or changes[-1][1] != now:
+                changes.append((day, now))
+        out[state] = changes
+    return out
+
+
+def _searched(day: Column, changes: list[tuple[dt.date, Pilot | None]], value) -> Column:
+    """Binary search for the last change on or before ``day``, as nested conditions."""
+    if not changes:
+        return F.lit(None)
+    if len(changes) == 1:
+        return F.when(day >= F.lit(changes[0][0]), value(changes[0][1]))
+    middle = len(changes) // 2
+    return F.when(day >= F.lit(changes[middle][0]), _searched(day, changes[middle:], value)).otherwise(
+        _searched(day, changes[:middle], value))
+
+
+def _pilot_week_by_search(events: DataFrame, pilots: Iterable[Pilot], ts: str) -> DataFrame:
+    day, state = F.to_date(F.col(ts)), F.col("pilot_state")
+
+    def look(value) -> Column:
+        out = F.when(F.lit(False), value(None))
+        for name, changes in pilot_stretches(pilots).items():
+            out = out.when(state == name, _searched(day, changes, value))
+        return out
+
+    pilot = look(lambda p: F.lit(p.pilot if p else None).cast("string"))
+    start = look(lambda p: F.lit(p.start_date if p else None).cast("date"))
+    week = (F.floor(F.datediff(day, start) / F.lit(7)) + 1).cast("int")
+    return events.drop("pilot", "pilot_wk").withColumns({"pilot": pilot, "pilot_wk": week})
+
+
+def add_pilot_week(events: DataFrame, pilots: DataFrame | Iterable[Pilot], ts: str = "timestamp", *,
+                   pilot_rows: int | None = None, broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                   search_max: int = SEARCH_MAX) -> DataFrame:
+    """Attach ``pilot`` and ``pilot_wk`` (1 = first 7 days of the pilot).
+
+    A calendar given as :class:`Pilot` rows, of at most ``search_max``, becomes an
+    expression: a binary search over the days on which a state's pilot changes.
+    There is no join, and the pilot is known inside the scan's stage.
+
+    A calendar in a table, or a longer one, is joined by (state, day) to the
+    calendar by day, which is broadcast when it is within ``broadcast_max_rows``
     (``pilot_rows``: calendar rows if known, else its days are counted), so the
-    event side is never shuffled; a larger one joins by shuffle, where AQE
-    splits a busy day."""
+    event side is never shuffled; a larger one joins by shuffle, where AQE splits
+    a busy day."""
+    if not isinstance(pilots, DataFrame):
+        pilots = list(pilots)
+        if len(pilots) <= search_max:
+            return _pilot_week_by_search(events, pilots, ts)
+        pilots, pilot_rows = pilot_frame(events.sparkSession, pilots), len(pilots)
     p = pilot_days(pilots)
     small = (pilot_rows is not None and pilot_rows * 366 <= broadcast_max_rows) or (
         p.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows)

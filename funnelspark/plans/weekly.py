@@ -40,9 +40,12 @@ class PilotContext:
     events reach, and the pilot before it in its state come from the same scalar
     subquery: a few rows per pilot, joined to the calendar."""
 
-    def __init__(self, events: DataFrame, pilots: DataFrame):
-        present = (events.where(F.col("pilot").isNotNull()).groupBy("pilot", "pilot_state")
-                   .agg(F.max("pilot_wk").alias("week")))
+    def __init__(self, events: DataFrame, pilots: DataFrame, *, present: DataFrame | None = None):
+        """``present``: pilot, pilot_state and the last week of those that have
+        events, if known already."""
+        if present is None:
+            present = (events.where(F.col("pilot").isNotNull()).groupBy("pilot", "pilot_state")
+                       .agg(F.max("pilot_wk").alias("week")))
         w = Window.partitionBy("state").orderBy("start_date", "pilot")
         cal = pilots.select(F.col("state").alias("_c_state"), F.col("pilot").alias("_c_pilot"),
                             "start_date", F.lag("pilot").over(w).alias("prior"))

@@ -43,8 +43,7 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _piloted(spark: SparkSession, sf_dir: str, params: Params = MONTH) -> DataFrame:
-    return periods.add_pilot_week(_log(spark, sf_dir), pilot_frame(spark, params.pilots),
-                                  pilot_rows=len(params.pilots))
+    return periods.add_pilot_week(_log(spark, sf_dir), params.pilots)
 
 
 def _ctx(spark: SparkSession, sf_dir: str, params: Params = MONTH, pilots_only: bool = False
@@ -372,17 +371,17 @@ def _rollup(spark, sf_dir) -> tuple[str, DataFrame, weekly.PilotContext]:
         rollup.refresh(ev, path, MONTH.agency, start=first, end=first + (last - first) * 0.7)
         rollup.refresh(ev, path, MONTH.agency)
     root = landing.derived(spark, sf_dir, "rollup", build)
-    days = _with_pilots(spark, rollup.bits(spark, root, MONTH.agency))
+    days = _with_pilots(rollup.bits(spark, root, MONTH.agency))
     return root, days, weekly.PilotContext(periods.during_pilots(days, MONTH.pilots), pilot_frame(spark, MONTH.pilots))
 
 
-def _with_pilots(spark, days: DataFrame) -> DataFrame:
-    return periods.add_pilot_week(days, pilot_frame(spark, MONTH.pilots), "event_date", pilot_rows=len(MONTH.pilots))
+def _with_pilots(days: DataFrame) -> DataFrame:
+    return periods.add_pilot_week(days, MONTH.pilots, "event_date")
 
 
 def q_rollup_weekly_kpi(spark, sf_dir):
     root, days, ctx = _rollup(spark, sf_dir)
-    return rollup.weekly_kpi(days, _with_pilots(spark, rollup.employers(spark, root, MONTH.agency)), ctx)
+    return rollup.weekly_kpi(days, _with_pilots(rollup.employers(spark, root, MONTH.agency)), ctx)
 
 
 def q_rollup_weekly_funnel(spark, sf_dir):
@@ -409,9 +408,8 @@ def q_mask_copies(spark, sf_dir):
 def q_weekly_kpi_masked(spark, sf_dir):
     """The demo path: weekly KPI table computed on the masked event set, pilots
     ordered by their first masked date."""
-    m = masking.mask_copies(_piloted(spark, sf_dir), MONTH)
-    ctx = weekly.PilotContext(m, masking.masked_calendar(m, MONTH))
-    return weekly.weekly_kpi(m, ctx)
+    ev = _piloted(spark, sf_dir)
+    return weekly.weekly_kpi(masking.mask_copies(ev, MONTH), masking.masked_context(ev, MONTH))
 
 
 def q_report_funnel_labels(spark, sf_dir):

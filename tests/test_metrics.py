@@ -213,3 +213,27 @@ def test_lookback_takes_two_periods():
     assert periods.days_before(dt.date(2024, 3, 31), "month", 1) == dt.date(2024, 2, 29)
     assert periods.extract_bounds(PILOTS, dt.date(2024, 1, 20)) == (dt.date(2024, 1, 1), dt.date(2024, 1, 14))
     assert periods.extract_bounds(PILOTS, dt.date(2023, 1, 1)) is None
+
+
+def test_pilot_search_equals_the_calendar_join(spark):
+    """Overlaps, equal starts, one-day runs, gaps, states without runs: the expression and the join agree on every day."""
+    import random
+
+    r, day = random.Random(4), dt.date(2024, 1, 1)
+    runs = []
+    for i in range(25):
+        start = day + dt.timedelta(days=r.randrange(80))
+        runs.append(Pilot(r.choice("XYZ"), "tst", f"p{i:02d}", start, start + dt.timedelta(days=r.choice([0, 1, 6, 13, 30]))))
+    runs.append(Pilot("X", "tst", "p99", runs[0].start_date, runs[0].end_date))
+    rows = [{"event": VIEW, "timestamp": f"{day + dt.timedelta(days=d)} 23:59:59", "pilot_state": s}
+            for d in range(-3, 125) for s in ("X", "Y", "Z", "none", None)] + [{"event": VIEW, "timestamp": None, "pilot_state": "X"}]
+    ev = make_log(spark, rows)
+    cols = ["event_id", "pilot", "pilot_wk"]
+    found = periods.add_pilot_week(ev, runs)
+    joined = periods.add_pilot_week(ev, pilot_frame(spark, runs))
+    assert found.dtypes == joined.select(found.columns).dtypes
+    assert sorted(map(tuple, found.select(*cols).collect()), key=str) == sorted(map(tuple, joined.select(*cols).collect()), key=str)
+    long = periods.add_pilot_week(ev, runs, search_max=3).select(*cols)
+    assert sorted(map(tuple, long.collect()), key=str) == sorted(map(tuple, found.select(*cols).collect()), key=str)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert periods.add_pilot_week(ev, []).where("pilot is not null or pilot_wk is not null").count() == 0

@@ -188,3 +188,23 @@ def test_hot_split_mixes_paths(spark):
     mixed = lead_within(df, "flow", order, "v", "nxt", chunks=[F.col("pid"), F.date_trunc("minute", "ts")],
                         hot_rows=50, sample_per_mille=1000)
     assert sorted((r["id"], r["nxt"]) for r in plain.collect()) == sorted((r["id"], r["nxt"]) for r in mixed.collect())
+
+
+def test_quantiles_of_many_groups_by_shuffle(spark, monkeypatch):
+    """The exact way beyond the broadcast's bound gives the same rows; the broadcast refuses there."""
+    import random
+
+    import pytest
+
+    from funnelspark.operators import quantiles as Q
+
+    r = random.Random(2)
+    rows = [(r.choice([None, *range(80)]), r.choice([None, 0.0, -1.5, 3.0, r.uniform(-5, 900)])) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "k int, v double").repartition(5)
+    probs = {"q25": 0.25, "median": 0.5}
+    few = sorted(map(tuple, Q.exact_quantiles(df, ["k"], "v", probs).collect()), key=str)
+    monkeypatch.setattr(Q, "MAX_GROUPS", 5)
+    many = Q.exact_quantiles(df, ["k"], "v", probs, many_groups=True)
+    assert sorted(map(tuple, many.collect()), key=str) == few and len(few) == 81
+    with pytest.raises(Exception, match="many_groups"):
+        Q.exact_quantiles(df, ["k"], "v", probs).collect()
