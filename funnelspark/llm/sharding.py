@@ -1,7 +1,8 @@
 """Sharding by histogram sort: byte-balanced shards of a corpus.
 
-Every row gets a sort key, the 62-bit hash of its text followed by the hash of
-its id, so equal texts lie next to each other and new keys spread evenly.  The
+Every row gets a sort key, the 62-bit hash of its text, then the hash of its id,
+then its place in the input (a written number), so equal texts lie next to each
+other, new keys spread evenly and no two rows are equal.  The
 shard borders are found by counting, not by sorting or sampling: in each round
 the exact bytes below a set of candidate borders (probes) are counted over all
 partitions, and each border keeps the one probe interval that holds its target.
@@ -11,7 +12,7 @@ by (shard, key) then puts the rows in place.
 
 Law ``bytes``: a border falls between two groups of equal texts where one lies
 within ``tolerance`` of the target; a group too large for that (a hot group) is
-split inside, by the hash of the id.  A single row is never split, so a shard
+split inside, by the hash of the id, and rows that share id and text by place.  A single row is never split, so a shard
 differs from the mean by at most ``tolerance`` plus its largest row.
 
 Defined results: a NULL or empty text has size 1; NULL ids sort by the hash of
@@ -79,32 +80,42 @@ def shard(docs: DataFrame, n_shards: int = 8, tolerance: float = 0.01, probes: i
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        _key("text").alias("k1"), _key("doc_id").alias("k2")), "shard-keys")
+        _key("text").alias("k1"), _key("doc_id").alias("k2"), F.monotonically_increasing_id().alias("k3")), "shard-keys")
     total = rows.agg(F.sum("size")).first()[0] or 0
     mean = total / n_shards
     targets = sorted({total * k // n_shards for k in range(1, n_shards)})
     at = find_borders(rows, "k1", targets, 0, total, probes, tolerance * mean / 4) if total else {}
 
-    borders: list[tuple[int, int]] = []  # a row at or after (k1, k2) lies beyond the border
-    inside: dict[tuple[int, int, int], list[int]] = {}
-    for t, (lo, hi, a, z) in at.items():
-        if hi - lo > 1 or min(t - a, z - t) <= tolerance * mean:
-            borders.append((lo, 0) if t - a <= z - t else (hi, 0))
-        else:  # one key with more bytes than that: a hot group, cut inside
-            inside.setdefault((lo, a, z), []).append(t)
-    for (k1, below, above), ts in inside.items():
-        found = find_borders(rows.where(F.col("k1") == k1), "k2", ts, below, above - below, probes, 0)
+    borders: list[tuple[int, int, int]] = []  # a row at or after (k1, k2, k3) lies beyond the border
+    far = tolerance * mean
+
+    def close(group: tuple[int, ...], found: dict) -> dict[tuple, list[int]]:
+        """Settle the borders found in a group of keys; the hot keys left, with their targets."""
+        hot: dict[tuple, list[int]] = {}
+        pad = (0,) * (2 - len(group))
         for t, (lo, hi, a, z) in found.items():
-            borders.append((k1, lo) if t - a <= z - t else (k1, hi))
+            if len(group) == 2 or hi - lo > 1 or min(t - a, z - t) <= far:
+                borders.append((*group, lo if t - a <= z - t else hi, *pad))
+            else:  # one key with more bytes than that: a hot group, cut inside
+                hot.setdefault(((*group, lo), a, z), []).append(t)
+        return hot
+
+    hot = close((), at)
+    while hot:
+        (group, below, above), ts = hot.popitem()
+        own = rows.where((F.col("k1") == group[0]) & (F.col("k2") == group[1] if len(group) > 1 else F.lit(True)))
+        # A key of the middle level is cut by place only if it is hot itself.
+        hot |= close(group, find_borders(own, f"k{len(group) + 1}", ts, below, above - below, probes, 0))
 
     shard_no = F.lit(0)
-    for k1, k2 in sorted(borders):
-        shard_no = shard_no + ((F.col("k1") > k1) | ((F.col("k1") == k1) & (F.col("k2") >= k2))).cast("int")
+    for k1, k2, k3 in sorted(borders):
+        beyond = (F.col("k2") > k2) | ((F.col("k2") == k2) & (F.col("k3") >= k3))
+        shard_no = shard_no + ((F.col("k1") > k1) | ((F.col("k1") == k1) & beyond)).cast("int")
     # The one exchange: range partitions of (shard, key), each sorted; an id of
     # (partition, place in it) then numbers the rows without a global sort.
     placed = written(
-        rows.withColumn("shard", shard_no).repartitionByRange("shard", "k1", "k2")
-        .sortWithinPartitions("shard", "k1", "k2")
+        rows.withColumn("shard", shard_no).repartitionByRange("shard", "k1", "k2", "k3")
+        .sortWithinPartitions("shard", "k1", "k2", "k3")
         .select("doc_id", "size", "text_crc32", "shard", F.monotonically_increasing_id().alias("place")),
         "shard-rows").withColumn("part", F.shiftright("place", 33))
     # A few rows per range partition: first place and rows before it in the shard.

@@ -16,7 +16,8 @@ Defined results: vectors that are NULL, or hold a NULL or non-finite component,
 take no part (neither as query nor as candidate), nor do rows whose id is NULL;
 vectors of unequal lengths are compared on their common terms; an empty vector
 scores 0 with everything.  Rows with the query's own id are no candidates.
-Ties go to the smaller id; repeated rows of an id each take a place.
+Ties go to the smaller id; repeated rows of an id each take a place, and query
+rows that share an id are each ranked by themselves.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 SCALE = 1024
 #: Queries in one broadcast block, and score cells held at once in a task.
 QUERY_BLOCK, CELLS = 32_768, 1 << 21
@@ -70,7 +73,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 def _search(queries, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, q_rows = queries.value
+        q_ids, numbers, q_rows = queries.value
         step = max(256, CELLS // max(1, len(q_ids)))
         kept: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(q_ids)
         for batch in batches:
@@ -92,33 +95,29 @@ def _search(queries, k: int):
             some = range(lo, min(lo + 4096, len(q_ids)))
             n = [len(kept[q][0]) for q in some]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(q_ids[lo:lo + 4096], n)),
+                [pa.array(np.repeat(numbers[lo:lo + 4096], n)), pa.array(np.repeat(q_ids[lo:lo + 4096], n)),
                  pa.array(np.concatenate([kept[q][1] for q in some])),
-                 pa.array(np.concatenate([kept[q][0] for q in some]))], ["query_id", "vec_id", "score"])
+                 pa.array(np.concatenate([kept[q][0] for q in some]))], ["n", "query_id", "vec_id", "score"])
     return run
 
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score.  Both inputs: (id, v array<long>)."""
     spark = candidates.sparkSession
-    found, after = None, None
+    # Every query row has a number of its own, written so that it stays.
+    numbered = written(queries.select("id", "v").withColumn("n", F.monotonically_increasing_id()), "queries")
+    found, after = None, -1
     while True:  # one pass over the candidates for each block of queries
-        block = queries if after is None else queries.where(F.col("id") > after)
-        got = block.orderBy("id").limit(QUERY_BLOCK).toArrow()
-        last = got.num_rows < QUERY_BLOCK
+        got = numbered.where(F.col("n") > after).orderBy("n").limit(QUERY_BLOCK).toArrow()
         if got.num_rows or found is None:
-            ids = got.column("id").to_numpy()
-            if not last:  # ids of a block's end may repeat beyond it: leave them to the next block
-                full = ids < ids[-1]
-                if not full.any():
-                    raise ValueError(f"more than {QUERY_BLOCK} query rows with id {ids[-1]}")
-                got, ids, after = got.filter(pa.array(full)), ids[full], int(ids[full][-1])
+            ids, numbers = (got.column(c).to_numpy() for c in ("id", "n"))
             rows = [(np.flatnonzero(v), v[v != 0]) for v in (np.asarray(x, np.int64) for x in got.column("v").to_pylist())]
             one = candidates.select("id", "v").mapInArrow(
-                _search(spark.sparkContext.broadcast((ids, rows)), k), "query_id long, vec_id long, score long")
+                _search(spark.sparkContext.broadcast((ids, numbers, rows)), k), "n long, query_id long, vec_id long, score long")
             found = one if found is None else found.unionByName(one)
-        if last:
+        if got.num_rows < QUERY_BLOCK:
             break
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        after = int(numbers[-1])
+    best = Window.partitionBy("n").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -252,3 +252,25 @@ def test_registry_without_this_part(tmp_path):
     code = "import sys; sys.path.insert(0, '.'); exec(open('__spark_entry__.py').read().replace('os.path.abspath(__file__)', 'os.path.abspath(\"x\")')); print(len(queries()), [q for q in queries() if q.startswith('op') and q[2].isdigit()])"
     out = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=100)
     assert out.returncode == 0 and out.stdout.strip().endswith("[]"), out.stderr[-800:]
+
+
+def test_rows_equal_in_id_and_text_are_split_by_place(spark):
+    docs = spark.range(6000).selectExpr("if(id % 3 < 2, 7L, id) as doc_id", "if(id % 3 < 2, 'the same text', repeat('x', cast(id % 50 as int))) as text")
+    got = sharding.shard(docs, 8).cache()
+    by = got.groupBy("shard").agg({"size": "sum", "slot": "max", "*": "count"}).collect()
+    mean = sum(r["sum(size)"] for r in by) / 8
+    assert len(by) == 8 and all(abs(r["sum(size)"] - mean) <= 0.02 * mean for r in by)
+    assert all(r["max(slot)"] == r["count(1)"] - 1 for r in by) and got.select("shard", "slot").distinct().count() == 6000
+    same = spark.range(1000).selectExpr("1L as doc_id", "'x' as text")
+    assert sorted(r["count"] for r in sharding.shard(same, 3).groupBy("shard").count().collect()) in ([333, 333, 334], [333, 334, 333])
+
+
+def test_query_rows_that_share_an_id_are_ranked_by_themselves(spark, monkeypatch):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [0.5, 2.0]), (2, [3.0, 0.25])],
+                               "vec_id long, embedding array<double>").repartition(3)
+    v = topk.integer_vectors(df, "vec_id", "embedding")
+    m = 1024 * 1024
+    expect = sorted([(0, 1, 2, 3 * m), (0, 2, 1, m // 2)] + 2 * [(0, 1, 1, 2 * m), (0, 2, 2, m // 4)])
+    for block in (32_768, 2, 1):  # also when one id fills more than a block
+        monkeypatch.setattr(topk, "QUERY_BLOCK", block)
+        assert sorted(map(tuple, topk.top_k(v, v.where("id = 0"), 5).collect())) == expect
