@@ -77,21 +77,50 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
     yield batch.slice(lo, n - lo)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int, used: Column) -> list:
-    """A bounded, deterministic sample of labelled rows: for each label value
-    the ``per_class`` smallest ids by hash among the rows where ``used`` holds.
-
-    The choice is made on ids alone (the texts are not moved); the chosen ids,
-    at most ``per_class`` per label value, are then broadcast to the scan of
-    the texts.  Returns (doc_id, text, label) rows sorted by id and text.
-    """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id")
-    chosen = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & used)
-              .select(F.col("doc_id").alias("_id"), F.col(label).alias("_label")).distinct()
-              .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per_class).drop("_rn"))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-            .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "_label")
-            .limit(8 * per_class).collect())
-    return sorted((tuple(r) for r in rows), key=lambda r: (r[0], r[2], r[1]))
+def chosen_ids(labelled: DataFrame, per_class: int) -> list[tuple[int, object]]:
+    """For each class of ``labelled`` (id, class; an id once) the ``per_class``
+    ids that come first by hash.  Classes are counted, ids below a cutoff of the
+    hash that holds a few more than wanted are collected, and the surplus goes
+    here: nothing is ranked by class on the cluster, and the choice is the same
+    under any partitioning.  At most about ``per_class`` ids a class come here."""
+    n = {r[0]: r[1] for r in labelled.groupBy("class").count().collect()}
+    few = 6 * int(per_class**0.5) + 20  # more than chance ever leaves short
+    h, below = F.xxhash64("id"), F.lit(False)
+    for c, count in n.items():
+        edge = min((1 << 63) - 1, int((1 << 64) * min(1.0, (per_class + few) / count)) - (1 << 63))
+        below = below | ((F.col("class") == F.lit(c)) & (h <= F.lit(edge)))
+    out: list[tuple[int, object]] = []
+    rows = sorted((r["class"], r["h"], r["id"]) for r in labelled.where(below).select("class", h.alias("h"), "id").collect())
+    for c in n:
+        out += [(i, k) for k, _, i in [r for r in rows if r[0] == c][:per_class]]
+    return out
+
+
+def texts_of(docs: DataFrame, ids: list[tuple[int, object]]) -> list[tuple]:
+    """(id, text, class) of the ids, sorted; of an id's texts the least."""
+    if not ids:
+        return []
+    spark = docs.sparkSession
+    wanted = spark.createDataFrame([(i,) for i, _ in ids], "_id long")  # as many as were chosen
+    rows = (docs.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("_id"))
+            .groupBy("_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).collect())
+    of = dict(ids)
+    return sorted((r["_id"], r["text"], of[r["_id"]]) for r in rows)
+
+
+def one_class(rows: DataFrame, column: str) -> DataFrame:
+    """id, class of the ids that have one value of ``column``; ids with several
+    (and NULL ids and values) are nothing to learn from."""
+    known = rows.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
+    return (known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min(column).alias("class"), F.max(column).alias("_most"))
+            .where(F.col("class") == F.col("_most")).drop("_most"))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int, used: Column) -> tuple[list, dict[int, int]]:
+    """A bounded, deterministic sample of rows labelled 0 or 1 among the rows
+    where ``used`` holds: (doc_id, text, label) of ``per_class`` ids per label,
+    whole texts; and the number of usable ids of each label.  Other label values
+    are not used."""
+    labelled = one_class(labels.where(used & F.col(label).isin(0, 1)).withColumn(label, F.col(label).cast("int")), label)
+    share = {r[0]: r[1] for r in labelled.groupBy("class").count().collect()}
+    return texts_of(docs, chosen_ids(labelled, per_class)), share

@@ -14,7 +14,10 @@ is one pass over the whole texts without a shuffle.
 
 Defined results: NULL texts and texts without a letter give ``und``, score 0,
 rejected; without training rows every row does; rows with a NULL id or NULL
-lang are predicted like any other but not learned from, as are held-out rows.
+lang are predicted like any other but not learned from, as are held-out rows and
+ids with several languages; of the texts of an id the least is learned from.
+:func:`keep_identified` keeps all rows when there is nothing to learn from, as
+nothing then tells which to reject.
 """
 
 from __future__ import annotations
@@ -24,10 +27,10 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, crc_mod
+from .common import blocks, chosen_ids, crc_mod, one_class, texts_of
 
 CELLS = 4096
 ROWS = 256  # texts vectorised at once
@@ -75,13 +78,8 @@ def _k_means(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 def train(docs: DataFrame, used, per_lang: int = 400, centroids: int = 4) -> dict | None:
     """idf, centroids, their languages and radii; None without training rows."""
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & used)
-              .select("doc_id", "lang").withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= per_lang)
-              .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct())
-    rows = (docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
-            .where(F.col("text").isNotNull()).select("doc_id", "lang", "text").collect())
-    rows = sorted((r.lang, r.doc_id, r.text) for r in rows)
+    labelled = one_class(docs.where(used & F.col("text").isNotNull()), "lang")
+    rows = sorted((lang, i, text) for i, text, lang in texts_of(docs.where(F.col("text").isNotNull()), chosen_ids(labelled, per_lang)))
     parts = [vectors([r[2] for r in rows[i:i + ROWS]]) for i in range(0, len(rows), ROWS)]
     if not parts:
         return None
@@ -154,7 +152,8 @@ def keep_identified(docs: DataFrame, per_lang: int = 400, centroids: int = 4) ->
             for block in blocks(batch, "text"):
                 for at in range(0, block.num_rows, ROWS):
                     part = block.slice(at, ROWS)
-                    if m is None:
+                    if m is None:  # no language is known: nothing to reject by
+                        yield part
                         continue
                     yield part.filter(pa.array(~_nearest(m, part.column(text_at).to_pylist())[2]))
 

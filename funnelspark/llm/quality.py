@@ -11,7 +11,8 @@ balance is undone by the log-odds of all usable labels.  Scoring is one pass
 over the texts without a shuffle.
 
 Defined results: NULL, empty and white-space texts have no features and get the
-score of the bias alone; without usable labels every score is 0.5; NULL ids
+score of the bias alone; without usable labels every score is 0.5; labels other
+than 0 and 1, and ids with both, are not learned from; NULL ids
 keep their row (they count as the empty id); repeated rows are scored alike.
 """
 
@@ -85,12 +86,11 @@ def train_ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int =
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, used, per_class: int = 2500) -> tuple[np.ndarray, float]:
-    sample = training_rows(docs, labels, label, per_class, used)
+    sample, share = training_rows(docs, labels, label, per_class, used)
     if not sample:
         return np.zeros(1 << BITS), 0.0
     hashes = Hashes()
     w, bias = train_ftrl([(*features(t, hashes), int(y)) for _, t, y in sample])
-    share = {int(r[0]): r[1] for r in labels.where(F.col(label).isNotNull() & used).groupBy(label).count().collect()}
     taken = {k: sum(1 for r in sample if int(r[2]) == k) for k in (0, 1)}
     if taken[0] and taken[1]:  # undo the sample's balance
         bias += math.log((share[1] / share[0]) / (taken[1] / taken[0]))

@@ -8,16 +8,16 @@ of its hashed character trigrams, so unknown and altered spellings count too.
 Two gated recurrent units read a window in both directions; an attention layer
 weighs the steps, and a logistic unit scores the weighted sum.
 
-Training is numpy on the driver, over a bounded sample of labelled rows
-(``per_class`` for each label value and ``train_words`` words of each, both
-parameters): a text's label is carried by its highest-scoring window, which is
-chosen anew in each epoch.  Scoring is one pass over the whole texts without a
+Training is numpy on the driver, over all windows of a bounded sample of labelled
+rows (``per_class`` ids for each label value, a parameter): a text's label is
+carried by its highest-scoring window, which is chosen anew in each epoch.  Scoring is one pass over the whole texts without a
 shuffle; the model (under 2 MB) is broadcast.  The gate inputs of a word are
 worked out once per task and remembered up to a bound.
 
 Defined results: NULL, empty and word-free texts are one empty window (the
 bias's score); without labels of both kinds every score is the share of label 1
-(0 if there is none); NULL ids keep their row (they count as the empty id).
+(0 if there is none); labels other than 0 and 1, and ids with both, are not
+learned from; NULL ids keep their row (they count as the empty id).
 """
 
 from __future__ import annotations
@@ -170,9 +170,8 @@ def _laid_out(start: np.ndarray, end: np.ndarray, ids: np.ndarray, blank: int) -
     return np.where(valid, ids[np.minimum(at, max(len(ids) - 1, 0))] if len(ids) else blank, blank), valid
 
 
-def train_net(texts: list[str], labels: list[int], train_words: int = 1500, epochs: int = 14, batch: int = 192,
-              rate: float = 0.02) -> Net:
-    docs = [WORD.findall(t.lower())[:train_words] for t in texts]
+def train_net(texts: list[str], labels: list[int], epochs: int = 14, batch: int = 192, rate: float = 0.02) -> Net:
+    docs = [WORD.findall(t.lower()) for t in texts]
     seen = Counter(w for d in docs for w in set(d))
     # Windows that repeat a word or two of clean texts are clean too; without
     # them a rare word that fills a window is far from all that was seen.
@@ -229,14 +228,13 @@ def train_net(texts: list[str], labels: list[int], train_words: int = 1500, epoc
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, used, per_class: int = 1200, train_words: int = 1500) -> Net | float:
+def train(docs: DataFrame, labels: DataFrame, label: str, used, per_class: int = 1200) -> Net | float:
     """A trained network, or a constant score if there is nothing to learn."""
-    sample = training_rows(docs, labels, label, per_class, used)
+    sample, share = training_rows(docs, labels, label, per_class, used)
     have = Counter(int(r[2]) for r in sample)
     if not have[0] or not have[1]:
         return have[1] / max(1, len(sample))
-    net = train_net([r[1] for r in sample], [int(r[2]) for r in sample], train_words)
-    share = {int(r[0]): r[1] for r in labels.where(F.col(label).isNotNull() & used).groupBy(label).count().collect()}
+    net = train_net([r[1] for r in sample], [int(r[2]) for r in sample])
     net.prior = math.log((share[1] / share[0]) / (have[1] / have[0]))  # undo the sample's balance
     return net
 

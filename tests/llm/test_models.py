@@ -112,3 +112,106 @@ def test_odd_rows(odd, empty, spark):
     assert kept.schema == odd.schema and by_id(kept, "doc_id") == by_id(got.where("not rejected"), "doc_id")
     assert langid.identify(empty).count() == langid.keep_identified(empty).count() == 0
     assert {r.lang_pred for r in langid.predict(odd, None).collect()} == {"und"}
+
+
+# -- plain versions -----------------------------------------------------------------
+def plain_logit(net, words):
+    """The network, a window at a time, step by step, in plain Python numbers."""
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    h = toxicity.HIDDEN
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def x_of(w):
+        cells, _ = toxicity.trigrams([w])
+        return np.concatenate([p["E"][net.vocabulary.get(w, 0)], np.mean([p["C"][c] for c in cells], axis=0)])
+
+    def read(k, seq):
+        s, out = np.zeros(h), []
+        for w in seq:
+            g, u = x_of(w) @ p["W" + k] + p["b" + k], p["U" + k]
+            z, r = (sig(g[i * h:(i + 1) * h] + s @ u[:, i * h:(i + 1) * h]) for i in (0, 1))
+            s = z * s + (1 - z) * np.tanh(g[2 * h:] + r * (s @ u[:, 2 * h:]))
+            out.append(s)
+        return out
+
+    states = np.array([np.concatenate(both) for both in zip(read("f", words), read("b", words[::-1])[::-1])])
+    e = np.exp(states @ p["v"])
+    return float((e / e.sum()) @ states @ p["w"] + p["c"][0])
+
+
+def test_scores_of_the_network_in_plain_form():
+    """The highest of a text's windows, each read step by step."""
+    r = np.random.default_rng(4)
+    net = toxicity.Net({"a": 1, "bc": 2, "nasty": 3})
+    net.prior = 0.3
+    texts = [" ".join(r.choice(["a", "bc", "nasty", "unseen", "x1"], n)) for n in (1, 5, 24, 25, 70)]
+    got = toxicity.Scorer(net).scores(texts)
+    for text, score in zip(texts, got):
+        words = text.split()
+        starts = range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)
+        best = max(plain_logit(net, words[i:i + toxicity.WINDOW]) for i in starts)
+        assert abs(score - 1 / (1 + np.exp(-best - 0.3))) < 1e-4
+
+
+def test_ftrl_in_dictionary_form():
+    """The update rule, a cell at a time."""
+    r = np.random.default_rng(3)
+    rows = [(np.sort(r.choice(40, 5, replace=False)), r.random(5), int(r.integers(2))) for _ in range(60)]
+    w, bias = quality.train_ftrl(rows, epochs=2)
+    alpha, beta, l1, l2, last = 2.0, 1.0, 2e-3, 1e-3, 1 << quality.BITS
+    z, n = {}, {}
+
+    def weight(c):
+        v = z.get(c, 0.0)
+        return 0.0 if abs(v) <= l1 else -(v - np.sign(v) * l1) / ((beta + n.get(c, 0.0)**0.5) / alpha + l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(2):
+        for i in order.permutation(len(rows)):
+            x = {**dict(zip(rows[i][0].tolist(), rows[i][1].tolist())), last: 1.0}
+            own = {c: weight(c) for c in x}
+            p = 1 / (1 + np.exp(-sum(own[c] * v for c, v in x.items())))
+            for c, v in x.items():
+                g = (p - rows[i][2]) * v
+                sigma = ((n.get(c, 0.0) + g * g)**0.5 - n.get(c, 0.0)**0.5) / alpha
+                z[c] = z.get(c, 0.0) + g - sigma * own[c]
+                n[c] = n.get(c, 0.0) + g * g
+    assert abs(bias - weight(last)) < 1e-9
+    assert all(abs(w[c] - weight(c)) < 1e-9 for c in range(40)) and not w[40:].any()
+
+
+def test_nearest_centroid_in_plain_form(mid):
+    """Cosine to every centroid, a text at a time."""
+    docs, _ = mid
+    from pyspark.sql import functions as F
+    m = langid.train(docs, F.lit(True), per_lang=30, centroids=3)
+    texts = [r.text for r in docs.limit(40).collect()] + ["", "12 !", "a", "été"]
+    best, cos, rejected, has = langid._nearest(m, texts)
+    for t, b, c, bad, h in zip(texts, best, cos, rejected, has):
+        x, letters = langid.vectors([t])
+        v = [np.log1p(a) * i for a, i in zip(x[0].tolist(), m["idf"].tolist())]
+        size = sum(a * a for a in v)**0.5
+        near = [sum(a * d for a, d in zip(v, own.tolist())) / max(size, 1e-12) for own in m["centroids"]]
+        assert h == any(ch.isalpha() for ch in t)
+        if h:
+            assert abs(max(near) - c) < 1e-5 and near[b] > max(near) - 1e-5
+            assert bad == (letters[0] >= langid.MIN_LETTERS and 1 - c > m["radius"][b])
+        else:
+            assert bad and c == 0
+
+
+def test_the_sample_is_the_same_under_any_partitioning(spark):
+    """One text an id, whatever its copies; ids with two labels and labels other than 0 and 1 are left out."""
+    from pyspark.sql import functions as F
+    docs = spark.range(4000).selectExpr("id as doc_id", "concat('t', id % 7, ' ', id) as text")
+    hot = spark.range(3000).selectExpr("5L as doc_id", "concat('copy ', id % 3) as text")
+    docs = docs.unionByName(hot)
+    labels = spark.range(4000).selectExpr("id as doc_id", "cast(id % 3 as int) as q").unionByName(
+        spark.createDataFrame([(9, 0), (9, 1), (None, 1)], "doc_id long, q int"))
+    from funnelspark.llm.common import training_rows
+    first, share = training_rows(docs.repartition(1), labels.repartition(1), "q", 50, F.lit(True))
+    again, _ = training_rows(docs.repartition(13, "text"), labels.repartition(7), "q", 50, F.lit(True))
+    assert first == again and len(first) == 100 and share == {0: 1333, 1: 1333}
+    assert len({r[0] for r in first}) == 100 and all(r[0] % 3 == r[2] for r in first) and 9 not in {r[0] for r in first}
+    whole, _ = training_rows(docs, labels, "q", 5000, F.lit(True))
+    assert dict((r[0], r[1]) for r in whole).get(5) is None and len(whole) == 2666  # 5 has label 2
