@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import blocks
 
-#: Pre-tokens, and joined bytes, that a worker remembers; beyond that it starts anew.
-REMEMBERED = 600_000
+#: Pre-tokens, and joined bytes, that a worker remembers, and as many pre-tokens that it met before these.
+REMEMBERED = 400_000
 #: Odd multipliers that mix a hash with a displacement, in 64 bits.
 STEP, MIX, WORD = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
 
@@ -139,8 +139,10 @@ class Joined(dict):
 
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
-        self.v, self.known, self.joined = vocabulary, {}, Joined(vocabulary)
+        self.v, self.known, self.older, self.joined = vocabulary, {}, {}, Joined(vocabulary)
         self.split = regex.compile(vocabulary.pattern).findall
+        self.single = self.whole([bytes([b]) for b in range(256)])
+        self.double = self.whole([bytes([a, b]) for a in range(256) for b in range(256)])
 
     def whole(self, pieces: list[bytes]) -> list[int | None]:
         """Tier one: the id of each piece that is a token."""
@@ -149,38 +151,44 @@ class Encoder:
 
     def merged(self, piece: bytes) -> tuple[int, ...]:
         """Tier two: the ids of a piece that is no token."""
-        n, rank_of = len(piece), self.joined
-        size = n + 1
-        end, before = list(range(1, size)), list(range(-1, n - 1))  # by the start of a part; end[i] starts the next
-        token = [rank_of[piece[i:i + 1]] for i in range(n)]  # None: joined to the part before it
-        # Entries are (rank, start, end) as one number: the least is the lowest rank, the leftmost of equals.
-        heap = [(r * size + i) * size + i + 2 for i in range(n - 1) if (r := rank_of[piece[i:i + 2]]) is not None]
+        n, rank_of, double = len(piece), self.joined, self.double
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # by the start of a part; end[i] starts the next
+        token = [self.single[b] for b in piece]  # None: joined to the part before it
+        # Entries are (rank, start, end) in the bits of one number: the least is the lowest rank, the leftmost of equals.
+        bits = n.bit_length()
+        low, wide = (1 << bits) - 1, 2 * bits
+        heap = [(r << bits | i) << bits | i + 2 for i, (a, b) in enumerate(zip(piece, piece[1:])) if (r := double[a << 8 | b]) is not None]
         heapify(heap)
         while heap:
-            entry, stop = divmod(heappop(heap), size)
-            rank, i = divmod(entry, size)
+            entry = heappop(heap)
+            i, stop = entry >> bits & low, entry & low
             right = end[i]
             if token[i] is None or right >= n or end[right] != stop:
                 continue  # one of the two has been joined meanwhile
-            token[right], token[i], end[i] = None, rank, stop
+            token[right], token[i], end[i] = None, entry >> wide, stop
             if stop < n:
                 before[stop] = i
                 last = end[stop]
                 if (r := rank_of[piece[i:last]]) is not None:
-                    heappush(heap, (r * size + i) * size + last)
+                    heappush(heap, (r << bits | i) << bits | last)
             if i:
                 first = before[i]
                 if (r := rank_of[piece[first:stop]]) is not None:
-                    heappush(heap, (r * size + first) * size + stop)
+                    heappush(heap, (r << bits | first) << bits | stop)
         return tuple([t for t in token if t is not None])
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        known = self.known
         split = [self.split(t) for t in texts]
-        new = [p for p in set().union(*split) if p not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set().union(*split))
+        every = set().union(*split)
+        if len(self.known) + len(every) > REMEMBERED:  # what was met lately is kept
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for p in every:
+            if p not in known:
+                if p in older:
+                    known[p] = older[p]
+                else:
+                    new.append(p)
         raw = [p.encode() for p in new]
         for p, b, i in zip(new, raw, self.whole(raw)):
             known[p] = (i,) if i is not None else self.merged(b)
