@@ -1,19 +1,25 @@
 """Order-dependent operators inside a group: next value (W4) and bidirectional
 fill (W5), safe for groups of any size.
 
-Plain path: one window per group key (one shuffle, one sort; all columns share
-the window specification).
-
-Hot keys: a key holding a large share of the rows would put all of them in one
-task.  Keys whose row count (estimated from a deterministic hash sample of the
-rows, so the split is identical on every re-execution) reaches ``hot_rows`` go
-through a chunked path instead: rows are cut into chunks that follow the
-window order (e.g. person and second of the event), the operator runs inside
-each chunk, and only the rows at chunk borders are completed from a per-chunk
-summary (first / last values), whose size is the number of chunks, not rows.
+Rows are windowed by (key, chunk).  A key of ordinary size is one chunk, so that
+is the plain window of its rows.  A key that holds a large share of the rows is
+cut into chunks of about ``hot_rows`` rows that follow the whole window order:
+the cuts are rows of that key themselves, so even a key with all its rows in one
+second is spread.  The operator runs inside each chunk, a summary of each chunk
+(its first value, or its first and last known ones) is carried along the key's
+chunks, and rows at a border take what is missing from it.
+
+Cuts come from a thin sample of the keys and order columns alone, chosen by hash,
+``PER_CUT`` rows a chunk on average, of which every ``PER_CUT``-th of a key in
+order is a cut.  They are a function of the rows, the same on every
+re-execution, and any set of cuts gives the same result.  There are at most
+``MAX_CUTS`` (evenly thinned beyond that), so the cuts and the summaries, at
+most two rows for each, are broadcast.  No job runs while the frame is built,
+and without a hot key adaptive execution drops the joins as empty.
 
 Rows whose group key is NULL are not a real group for ``lead`` (a NULL flow id
-mixes unrelated people, Q7): they get no next value.
+mixes unrelated people, Q7): they get no next value.  ``order`` lists the order's
+columns, ascending with NULLs last; it should tell all rows of a key apart.
 """
 
 from __future__ import annotations
@@ -25,132 +31,85 @@ from pyspark.sql import functions as F
 
 from .keys import join_null_safe
 
-HOT_ROWS = 2_000_000          # a key with this many rows takes the chunked path
-SAMPLE_PER_MILLE = 10          # rows sampled to estimate key sizes (1%)
-
-
-def _hot_split(df: DataFrame, keys: Sequence[str], hot_rows: int, sample_per_mille: int
-               ) -> tuple[DataFrame, DataFrame | None]:
-    """(cold rows, hot rows or None when no key is hot).  The sample is a hash
-    of the whole row, so it is the same under any partitioning or task retry and
-    does not depend on an id being there.  One small action decides whether the
-    chunked branch is needed at all; without hot keys the plan is the plain
-    single-window plan.  Either way gives the same rows."""
-    keys = list(keys)
-    pick = F.pmod(F.xxhash64(*df.columns), F.lit(1000)) < sample_per_mille
-    est = (df.where(pick).groupBy(*keys).agg(F.count("*").alias("_sampled"))
-           .where(F.col("_sampled") * F.lit(1000.0 / sample_per_mille) >= hot_rows)
-           .select(*keys, F.lit(True).alias("_hot")))
-    if est.limit(1).count() == 0:
-        return df, None
-    # Size bound: a hot key accounts for >= hot_rows * rate sampled rows, so
-    # there are at most (all rows) / hot_rows of them (~5e5 at 1e12 rows).
-    tagged = join_null_safe(df, F.broadcast(est), keys, "left")
-    cold = tagged.where(F.col("_hot").isNull()).drop("_hot")
-    hot = tagged.where(F.col("_hot")).drop("_hot")
-    return cold, hot
+HOT_ROWS = 2_000_000           # rows of a chunk, about
+PER_CUT = 16                   # sampled rows of a chunk
+MAX_CUTS = 100_000
+
+
+def _sorted(order: Sequence[Column]) -> list[Column]:
+    return [c.asc_nulls_last() for c in order]
+
+
+def _at(order: Sequence[Column]) -> Column:
+    """The row's place in the order as one comparable value (NULLs last)."""
+    fields = [f for i, c in enumerate(order) for f in (c.isNull().alias(f"n{i}"), c.alias(f"v{i}"))]
+    return F.struct(*fields)
+
+
+def _cuts(df: DataFrame, keys: list[str], order: Sequence[Column], hot_rows: int, max_cuts: int) -> DataFrame:
+    """keys, _cuts: the sorted cuts of each hot key."""
+    rows = df.select(*keys, _at(order).alias("_at"))
+    sampled = rows.where(F.pmod(F.xxhash64(*keys, "_at"), F.lit(max(1, hot_rows // PER_CUT))) == 0)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_at"))
+    cuts = sampled.withColumn("_nth", nth).where(F.col("_nth") % PER_CUT == 0).drop("_nth")
+    # One row for each ``hot_rows`` rows of the table: thinned to the bound of the broadcast.
+    everywhere = Window.partitionBy()
+    cuts = cuts.withColumns({"_n": F.count("*").over(everywhere), "_r": F.row_number().over(everywhere.orderBy(*keys, "_at"))})
+    cuts = cuts.where(F.col("_r") % F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_cuts))) == 0)
+    return cuts.groupBy(*keys).agg(F.array_sort(F.collect_list("_at")).alias("_cuts"))
+
+
+def _chunked(df: DataFrame, keys: list[str], order: Sequence[Column], hot_rows: int, max_cuts: int = MAX_CUTS) -> DataFrame:
+    """``df`` with _at, _cuts (NULL unless the key is hot) and _chunk: the
+    number of the key's cuts up to the row, by binary search."""
+    tagged = join_null_safe(df.withColumn("_at", _at(order)), F.broadcast(_cuts(df, keys, order, hot_rows, max_cuts)), keys, "left")
+    middle = "cast((s.lo + s.hi) div 2 as int)"
+    search = F.expr(f"""aggregate(sequence(1, {max_cuts.bit_length()}), named_struct('lo', 0, 'hi', size(_cuts)), (s, i) ->
+        if(s.lo < s.hi, if(_cuts[{middle}] <= _at, named_struct('lo', {middle} + 1, 'hi', s.hi), named_struct('lo', s.lo, 'hi', {middle})), s),
+        s -> s.lo)""")
+    return tagged.withColumn("_chunk", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(search))
 
 
 def lead_within(df: DataFrame, key: str, order: Sequence[Column], value: str, out: str,
-                keep: Column | None = None, *, chunks: Sequence[Column] | None = None, hot_rows: int = HOT_ROWS,
-                sample_per_mille: int = SAMPLE_PER_MILLE) -> DataFrame:
+                keep: Column | None = None, *, hot_rows: int = HOT_ROWS, max_cuts: int = MAX_CUTS) -> DataFrame:
     """``out`` = ``value`` of the next row of the same ``key`` in ``order``;
     NULL for the last row and for rows with a NULL key.  ``keep`` filters the
-    rows returned (after the next value is known).
-
-    ``chunks``: expressions, ascending with NULLs last, that are a prefix of
-    ``order`` (their order agrees with it); they enable the hot-key path."""
-    dtype = df.schema[value].dataType
-    with_key = df.where(F.col(key).isNotNull())
-    without = df.where(F.col(key).isNull()).withColumn(out, F.lit(None).cast(dtype))
-    w = Window.partitionBy(key).orderBy(*order)
-    if chunks is None:
-        led = with_key.withColumn(out, F.lead(value).over(w))
-    else:
-        cold, hot = _hot_split(with_key, [key], hot_rows, sample_per_mille)
-        led = cold.withColumn(out, F.lead(value).over(w))
-        if hot is not None:
-            led = led.unionByName(_chunked_lead(hot, key, chunks, order, value, out))
+    rows returned (after the next value is known)."""
+    cols = df.columns
+    rows = _chunked(df.where(F.col(key).isNotNull()), [key], order, hot_rows, max_cuts)
+    w = Window.partitionBy(key, "_chunk").orderBy(*_sorted(order))
+    led = rows.withColumns({"_lead": F.lead(value).over(w), "_last": F.lead(F.lit(1)).over(w).isNull()})
+    # Of each chunk of a hot key its first value, and that of the chunk after it.
+    firsts = rows.where(F.col("_cuts").isNotNull()).groupBy(key, "_chunk").agg(
+        F.min_by(F.struct(F.col(value).alias("v")), "_at").alias("_first"))
+    nexts = firsts.withColumn("_next", F.lead("_first").over(Window.partitionBy(key).orderBy("_chunk"))).drop("_first")
+    led = join_null_safe(led, F.broadcast(nexts), [key, "_chunk"], "left")
+    led = led.withColumn(out, F.when(F.col("_last"), F.col("_next.v")).otherwise(F.col("_lead")))
+    without = df.where(F.col(key).isNull()).withColumn(out, F.lit(None).cast(df.schema[value].dataType))
     if keep is not None:
         led, without = led.where(keep), without.where(keep)
-    return led.unionByName(without)
-
-
-def _with_chunks(df: DataFrame, chunks: Sequence[Column]) -> tuple[DataFrame, list[str], list[Column]]:
-    names = [f"_chunk{i}" for i in range(len(chunks))]
-    return (df.withColumns(dict(zip(names, chunks))), names,
-            [F.col(n).asc_nulls_last() for n in names])
-
-
-def _chunked_lead(hot: DataFrame, key: str, chunks: Sequence[Column], order: Sequence[Column], value: str,
-                  out: str) -> DataFrame:
-    cols = hot.columns
-    h, names, chunk_order = _with_chunks(hot, chunks)
-    ck = [key, *names]
-    wc = Window.partitionBy(*ck).orderBy(*order)
-    h = (h.withColumn("_lead", F.lead(value).over(wc))
-          .withColumn("_has_next", F.lead(F.lit(1)).over(wc).isNotNull())
-          .withColumn("_rn", F.row_number().over(wc)))
-    # One row per chunk: its first value, and the first value of the next chunk.
-    firsts = h.where(F.col("_rn") == 1).select(*ck, F.col(value).alias("_first"))
-    nexts = firsts.withColumn("_next_first", F.lead("_first").over(
-        Window.partitionBy(key).orderBy(*chunk_order))).drop("_first")
-    inner = h.where(F.col("_has_next")).withColumn(out, F.col("_lead"))
-    border = join_null_safe(h.where(~F.col("_has_next")), nexts, ck, "left").withColumn(out, F.col("_next_first"))
-    return inner.select(*cols, out).unionByName(border.select(*cols, out))
+    return led.select(*cols, out).unionByName(without)
 
 
 def fill_updown(df: DataFrame, keys: Sequence[str], order: Sequence[Column], cols: Sequence[str], *,
-                chunks: Sequence[Column] | None = None, hot_rows: int = HOT_ROWS, sample_per_mille: int = SAMPLE_PER_MILLE) -> DataFrame:
+                hot_rows: int = HOT_ROWS, max_cuts: int = MAX_CUTS) -> DataFrame:
     """tidyr ``fill(.direction = "updown")``: a NULL takes the next non-NULL
     value of its group (in ``order``), else the previous one.  NULL keys form a
-    group, as in R's ``group_by``.  ``chunks`` enables the hot-key path (see
-    the module notes)."""
-    keys = list(keys)
-    if chunks is None:
-        return _fill_plain(df, keys, order, cols)
-    cold, hot = _hot_split(df, keys, hot_rows, sample_per_mille)
-    out = _fill_plain(cold, keys, order, cols)
-    return out if hot is None else out.unionByName(_fill_chunked(hot, keys, chunks, order, cols))
-
-
-def _fill_plain(df: DataFrame, keys: list[str], order: Sequence[Column], cols: Sequence[str]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({
-        c: F.coalesce(F.col(c), F.first(c, ignorenulls=True).over(after), F.last(c, ignorenulls=True).over(before))
-        for c in cols
-    })
-
-
-def _fill_chunked(hot: DataFrame, keys: list[str], chunks: Sequence[Column], order: Sequence[Column],
-                  cols: Sequence[str]) -> DataFrame:
-    out_cols = hot.columns
-    h, names, chunk_order = _with_chunks(hot, chunks)
-    ck = [*keys, *names]
-    wc = Window.partitionBy(*ck).orderBy(*order)
-    after = wc.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    before = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = h.withColumns({**{f"_n_{c}": F.first(c, ignorenulls=True).over(after) for c in cols},
-                       **{f"_p_{c}": F.last(c, ignorenulls=True).over(before) for c in cols},
-                       "_rn": F.row_number().over(wc),
-                       "_last": F.lead(F.lit(1)).over(wc).isNull()})
-    # Per chunk: first and last non-NULL value of each column.
-    summary = h.groupBy(*ck).agg(
-        *[F.max(F.when(F.col("_rn") == 1, F.col(f"_n_{c}"))).alias(f"_cf_{c}") for c in cols],
-        *[F.max(F.when(F.col("_last"), F.col(f"_p_{c}"))).alias(f"_cl_{c}") for c in cols])
-    wk = Window.partitionBy(*keys).orderBy(*chunk_order)
-    later = wk.rowsBetween(1, Window.unboundedFollowing)
-    earlier = wk.rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.select(
-        *ck, *[F.first(f"_cf_{c}", ignorenulls=True).over(later).alias(f"_nf_{c}") for c in cols],
-        *[F.last(f"_cl_{c}", ignorenulls=True).over(earlier).alias(f"_pl_{c}") for c in cols])
-    local = {c: F.coalesce(F.col(c), F.col(f"_n_{c}")) for c in cols}
-    needs = None
-    for c in cols:
-        needs = local[c].isNull() if needs is None else (needs | local[c].isNull())
-    done = h.where(~needs).withColumns({c: F.coalesce(local[c], F.col(f"_p_{c}")) for c in cols})
-    fix = join_null_safe(h.where(needs), summary, ck, "left").withColumns({
-        c: F.coalesce(local[c], F.col(f"_nf_{c}"), F.col(f"_p_{c}"), F.col(f"_pl_{c}")) for c in cols})
-    return done.select(*out_cols).unionByName(fix.select(*out_cols))
+    group, as in R's ``group_by``."""
+    keys, names = list(keys), df.columns
+    rows = _chunked(df, keys, order, hot_rows, max_cuts)
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*_sorted(order))
+    after, before = w.rowsBetween(Window.currentRow, Window.unboundedFollowing), w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumns({**{f"_n_{c}": F.first(c, ignorenulls=True).over(after) for c in cols},
+                              **{f"_p_{c}": F.last(c, ignorenulls=True).over(before) for c in cols}})
+    # Of each chunk of a hot key the first and last known values, carried along its chunks both ways.
+    known = {c: F.when(F.col(c).isNotNull(), F.col("_at")) for c in cols}
+    summary = rows.where(F.col("_cuts").isNotNull()).groupBy(*keys, "_chunk").agg(
+        *[F.min_by(c, known[c]).alias(f"_f_{c}") for c in cols], *[F.max_by(c, known[c]).alias(f"_l_{c}") for c in cols])
+    along = Window.partitionBy(*keys).orderBy("_chunk")
+    later, earlier = along.rowsBetween(1, Window.unboundedFollowing), along.rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select(*keys, "_chunk", *[F.first(f"_f_{c}", ignorenulls=True).over(later).alias(f"_nf_{c}") for c in cols],
+                             *[F.last(f"_l_{c}", ignorenulls=True).over(earlier).alias(f"_pl_{c}") for c in cols])
+    filled = join_null_safe(local, F.broadcast(summary), [*keys, "_chunk"], "left").withColumns({
+        c: F.coalesce(c, f"_n_{c}", f"_nf_{c}", f"_p_{c}", f"_pl_{c}") for c in cols})
+    return filled.select(*names)

@@ -243,12 +243,8 @@ def search_lead(events: DataFrame, params: Params) -> DataFrame:
                       F.lit(0))
     prio = F.when(prio == 0, F.lit(len(C.SEARCH_TIE_PRIORITY) + 1)).otherwise(prio)
     ev = ev.withColumn("_prio", prio.cast("int"))
-    order = [F.col("distinct_id").asc_nulls_last(), F.col("timestamp").asc_nulls_last(), F.col("_prio"),
-             F.col("event").asc_nulls_last(), F.col("event_id")]
-    # Hot flows are cut into (person, second) chunks, which follow this order.
-    led = lead_within(ev, "cbv_flow_id", order, "event_clean", "lead_event",
-                      keep=F.col("event") == C.SEARCHED_EMPLOYER,
-                      chunks=[F.col("distinct_id"), F.date_trunc("second", "timestamp")])
+    order = [F.col(c) for c in ("distinct_id", "timestamp", "_prio", "event", "event_id")]
+    led = lead_within(ev, "cbv_flow_id", order, "event_clean", "lead_event", keep=F.col("event") == C.SEARCHED_EMPLOYER)
     return led.select("event_id", "distinct_id", "cbv_flow_id", "timestamp", "query", "lead_event",
                       normalize_search(F.col("query")).alias("query_clean"))
 

@@ -160,9 +160,7 @@ def flow_filled(events: DataFrame) -> DataFrame:
     """Initiation label, then device / origin / initiation filled across each
     (person, flow) in time order (before the cumulative copies are added, Q13)."""
     ev = events.withColumn("initiation", initiation_label(F.col("event")))
-    ev = fill_updown(ev, ["distinct_id", "cbv_flow_id"], [F.col("timestamp").asc_nulls_last(), F.col("event_id")],
-                     ["device_type", "origin", "initiation"],
-                     chunks=[F.date_trunc("second", "timestamp")])
+    ev = fill_updown(ev, ["distinct_id", "cbv_flow_id"], [F.col("timestamp"), F.col("event_id")], ["device_type", "origin", "initiation"])
     ev = ev.withColumns({c: fill_null(c, "unknown") for c in ("device_type", "origin", "initiation")})
     return ev.withColumn("device_type", F.when(F.col("device_type").isin(list(C.DEVICE_KEEP)), F.col("device_type"))
                          .otherwise(F.lit("other")))

@@ -4,8 +4,7 @@ Each takes ``(spark, sf_dir)`` and reads the test data's ``events`` table.  The
 table is landed once per application (:mod:`funnelspark.sources.landing`): as
 export files for the scan queries and as a Parquet event log, partitioned by
 agency and day, for the metrics.  While a frame is built, only the first and last
-day are read, from the table's partitions, and, for the two window operators,
-whether any flow is large enough to be split.  ``roundtrip_parquet`` and
+day are read, from the table's partitions.  ``roundtrip_parquet`` and
 ``stream_ingest`` write a table in the shared folder and read it back, because
 writing is what they show.
 """

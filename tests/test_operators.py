@@ -12,7 +12,7 @@ from funnelspark.operators.quantiles import exact_quantiles
 from funnelspark.operators.reshape import long_to_wide_periods
 from funnelspark.operators.sample import sample_keys
 from funnelspark.operators.topn import top_n_per_group
-from funnelspark.operators.window_ops import _hot_split, fill_updown, lead_within
+from funnelspark.operators.window_ops import fill_updown, lead_within
 
 
 def test_fill_updown_directions(spark):
@@ -147,47 +147,74 @@ def _random_events(spark, seed=3, n=400):
     return spark.createDataFrame(rows, "id long, pid string, flow long, ts timestamp_ntz, v string, w string")
 
 
-def test_chunked_lead_equals_plain(spark):
-    df = _random_events(spark)
-    order = [F.col("pid").asc_nulls_last(), F.col("ts").asc_nulls_last(), F.col("id")]
-    plain = lead_within(df, "flow", order, "v", "nxt")
-    hot = lead_within(df, "flow", order, "v", "nxt", chunks=[F.col("pid"), F.date_trunc("minute", "ts")],
-                      hot_rows=1, sample_per_mille=1000)
-    a = sorted((r["id"], r["nxt"]) for r in plain.collect())
-    b = sorted((r["id"], r["nxt"]) for r in hot.collect())
-    assert a == b and len(a) == 400
-
-
-def test_chunked_fill_equals_plain(spark):
-    df = _random_events(spark, seed=11)
-    order = [F.col("ts").asc_nulls_last(), F.col("id")]
-    plain = fill_updown(df, ["pid", "flow"], order, ["v", "w"])
-    hot = fill_updown(df, ["pid", "flow"], order, ["v", "w"], chunks=[F.date_trunc("minute", "ts")],
-                      hot_rows=1, sample_per_mille=1000)
-    a = sorted((r["id"], r["v"], r["w"]) for r in plain.collect())
-    b = sorted((r["id"], r["v"], r["w"]) for r in hot.collect())
-    assert a == b and len(a) == 400
-
-
-def test_hot_split_without_ids(spark):
-    df = _random_events(spark, seed=9).withColumn("event_id", F.lit(None).cast("string"))
-    order = [F.col("ts").asc_nulls_last(), F.col("id")]
-    cold, hot = _hot_split(df, ["flow"], 50, 1000)
-    assert hot is not None and hot.count() + cold.count() == 400
-    plain = fill_updown(df, ["flow"], order, ["v"])
-    split = fill_updown(df, ["flow"], order, ["v"], chunks=[F.date_trunc("second", "ts")], hot_rows=50, sample_per_mille=1000)
-    assert sorted((r["id"], r["v"]) for r in plain.collect()) == sorted((r["id"], r["v"]) for r in split.collect())
-
-
-def test_hot_split_mixes_paths(spark):
-    # One big flow (hot) and many small ones (cold) in the same call.
-    df = _random_events(spark, seed=5, n=300).withColumn(
-        "flow", F.when(F.col("id") < 200, F.lit(7)).otherwise(F.col("id")))
-    order = [F.col("pid").asc_nulls_last(), F.col("ts").asc_nulls_last(), F.col("id")]
-    plain = lead_within(df, "flow", order, "v", "nxt")
-    mixed = lead_within(df, "flow", order, "v", "nxt", chunks=[F.col("pid"), F.date_trunc("minute", "ts")],
-                        hot_rows=50, sample_per_mille=1000)
-    assert sorted((r["id"], r["nxt"]) for r in plain.collect()) == sorted((r["id"], r["nxt"]) for r in mixed.collect())
+def _in_order(rows, key, *order):
+    """Rows of each key, ascending by ``order`` with NULLs last."""
+    by = {}
+    for r in rows:
+        by.setdefault(tuple(r[k] for k in key), []).append(r)
+    return [sorted(own, key=lambda r: tuple((r[c] is None, r[c]) for c in order)) for own in by.values()]
+
+
+def _cut_finely(monkeypatch, per_cut=2):
+    from funnelspark.operators import window_ops
+    monkeypatch.setattr(window_ops, "PER_CUT", per_cut)
+
+
+def test_lead_over_chunks(spark, monkeypatch):
+    """Cut every 2 or 40 rows of a hot flow, or not at all: the next row's value either way."""
+    df = _random_events(spark).repartition(5)
+    expect = {}
+    for own in _in_order(df.collect(), ["flow"], "pid", "ts", "id"):
+        for r, nxt in zip(own, [*own[1:], None]):
+            expect[r["id"]] = nxt["v"] if nxt and r["flow"] is not None else None
+    order = [F.col(c) for c in ("pid", "ts", "id")]
+    _cut_finely(monkeypatch)
+    for hot_rows, max_cuts in ((2, 100_000), (40, 100_000), (2, 7), (10**9, 100_000)):
+        got = lead_within(df, "flow", order, "v", "nxt", hot_rows=hot_rows, max_cuts=max_cuts)
+        assert {r["id"]: r["nxt"] for r in got.collect()} == expect and got.columns == [*df.columns, "nxt"]
+    kept = lead_within(df, "flow", order, "v", "nxt", keep=F.col("v") == "x", hot_rows=2)
+    assert {r["id"]: r["nxt"] for r in kept.collect()} == {r["id"]: expect[r["id"]] for r in df.collect() if r["v"] == "x"}
+
+
+def test_fill_over_chunks(spark, monkeypatch):
+    df = _random_events(spark, seed=11).withColumn("w", F.when(F.col("id") % 40 == 0, F.col("w"))).repartition(5)  # long stretches of NULLs
+    expect = {}
+    for own in _in_order(df.collect(), ["pid", "flow"], "ts", "id"):
+        for i, r in enumerate(own):
+            pick = lambda c: next((x[c] for x in [*own[i:], *own[:i][::-1]] if x[c] is not None), None)  # noqa: E731,B023
+            expect[r["id"]] = (pick("v"), pick("w"))
+    _cut_finely(monkeypatch)
+    for hot_rows, max_cuts in ((2, 100_000), (40, 100_000), (2, 5), (10**9, 100_000)):
+        got = fill_updown(df, ["pid", "flow"], [F.col("ts"), F.col("id")], ["v", "w"], hot_rows=hot_rows, max_cuts=max_cuts)
+        assert {r["id"]: (r["v"], r["w"]) for r in got.collect()} == expect and got.columns == df.columns
+
+
+def test_one_second_of_one_flow_is_spread(spark):
+    """A flow with all its rows in one second, and a NULL one, are cut evenly; small flows are not; no job runs meanwhile."""
+    import datetime as dt
+
+    from funnelspark.operators import window_ops
+
+    ids = spark.range(6000).repartition(7)
+    df = ids.select("id", F.when(F.col("id") < 4000, F.lit(1)).when(F.col("id") < 5000, F.lit(None)).otherwise(F.col("id")).cast("long").alias("flow"),
+                    F.lit(dt.datetime(2024, 1, 1, 9)).alias("ts"), F.concat(F.lit("v"), "id").alias("v"))
+    order = [F.col("ts"), F.col("id")]
+    chunks = window_ops._chunked(df, ["flow"], order, 160).groupBy("flow", "_chunk").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
+    by = {}
+    for r in chunks.collect():
+        by.setdefault(r["flow"], []).append(r)
+    assert len(by[1]) > 12 and max(r["n"] for r in by[1]) < 1000 and len(by[None]) > 3
+    assert all(len(own) == 1 for f, own in by.items() if f not in (1, None))
+    in_order = sorted(by[1], key=lambda r: r["_chunk"])
+    assert all(x["b"] < y["a"] for x, y in zip(in_order, in_order[1:]))  # chunks follow the order
+    few = window_ops._chunked(df, ["flow"], order, 160, max_cuts=4).select("flow", "_chunk").distinct().where("_chunk > 0").count()
+    assert 0 < few <= 4
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup(None))
+    lead = lead_within(df, "flow", order, "v", "nxt", hot_rows=160)
+    fill = fill_updown(df, ["flow"], order, ["v"], hot_rows=160)
+    assert len(jobs.getJobIdsForGroup(None)) == before
+    assert lead.where("flow = 1 and nxt = concat('v', id + 1)").count() == 3999 and fill.count() == 6000
 
 
 def test_quantiles_of_many_groups_by_shuffle(spark, monkeypatch):
