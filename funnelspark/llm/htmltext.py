@@ -2,21 +2,26 @@
 
 The page is read as a stream of parser events (``html.parser``).  Text between
 two block-level tags is one line; each line counts its characters and the tags
-seen since the line before.  The text-to-tag ratio of the lines, smoothed with
-a Gaussian and as it is, is split into two clusters on a bounded log scale (one
-very long line does not lift the border above ordinary ones); lines in the upper
-cluster of either mark content.  Lines inside page furniture (menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts, styles, by element, role or class)
-are never content.  A region is a run of lines between furniture, or all lines
-of the page's article elements where it has any; furniture inside a container
-does not end a region of lines that lie in that container on both sides.  A
-region with a content line is kept whole, so short paragraphs beside long ones
-stay.
-
-Furniture by class or id, forms and buttons may be marked or closed wrongly:
-an article inside them counts where the page has no other, and where nine
-tenths of the text lie in them, those that hold over half of it are no
-furniture.
+seen since the line before; text inside links does not count.  The text-to-tag
+ratio of the lines, smoothed with a Gaussian and as it is, is split into two
+clusters on a bounded log scale (one very long line does not lift the border
+above ordinary ones); lines in the upper cluster of either mark content.  What an element says is evidence beside that:
+lines inside page furniture (menus, headers, footers, sidebars, notices, adverts,
+forms, comments, scripts, styles, by element, role or class) never mark content.
+
+The lines of a page's article elements are a region each, kept whole if one of
+them marks content.  Where a page has no article the ratio alone decides: kept
+are the lines of a container that holds a marking line itself, those of
+containers inside it, stretches between marking lines unless they are mostly
+links, and headings right before a kept line; so short paragraphs beside long
+ones stay, and link lists and imprints around them go.
+
+A class or id marks furniture when all words of one of its names speak of
+furniture or of layout (``share-buttons``, not ``navigation-by-stars``); names of
+headings, paragraphs and other pieces of text do not.  Furniture by class or id,
+forms and buttons may be marked or closed wrongly: an article inside them counts
+where the page has no other, and where nine tenths of the text lie in them,
+those that hold over half of it are no furniture.
 
 Character references are decoded, white space inside a line becomes one space,
 and lines are joined by a line feed.  One pass over the pages, no shuffle.
@@ -48,16 +53,22 @@ ROLES = frozenset("navigation banner contentinfo complementary search form menu
 #: Not sure to be furniture; end tags of elements around them close them.
 LOOSE = frozenset(("form", "button", "fieldset", "label"))
 SOFT, HARD = 1, 2
-#: A class or id with one of these words speaks of the page, not of its element.
-ABOUT = frozenset(("has", "with", "no", "without"))
 #: Words of a class or id that mark furniture; whole words only, split at marks and case changes.
 MARKS = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar
     navigation menu breadcrumb breadcrumbs sidebar aside widget footer masthead topbar cookie cookies consent gdpr notice
     notices alert popup modal overlay newsletter subscribe subscription signup share sharing social comment comments
     disqus reply replies respond related recommended recommendations pagination pager toolbar login search form""".split())
+#: Words of layout that may stand beside them.
+LAYOUT = frozenset("""area bar block body bottom box button buttons card center col column container content desktop element fixed global
+    group header heading icon icons inline inner item items left line link links list main message mobile module outer page panel post
+    posts article articles primary right row secondary section site slot small static sticky story stories text title top unit wide
+    wrap wrapper zone""".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-#: Elements whose content is one piece of text; a line lies in the nearest open element that is none of them.
-PIECES = BLOCK - {"article", "body", "div", "html", "main"}
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: Pieces of text: a class or id of theirs is the author's, not the page's.
+PIECES = HEADINGS | frozenset("address blockquote dd details dt figcaption figure li p pre summary td th tr".split())
+#: A line lies in the nearest of these that is open.
+CONTAINERS = frozenset("article body div dl html main ol section table ul".split())
 PAGE = frozenset(("", "html", "body"))
 RATIO_CAP = 100.0  # characters a tag from which a line is text without doubt
 #: Elements a start tag closes when they are open and nothing like a container lies between.
@@ -67,9 +78,11 @@ CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "
 
 class _Lines(HTMLParser):
     """Lines of a page: (text, tags before it, SOFT or HARD furniture or 0,
-    article number, below zero inside soft furniture); ``holders`` has the
-    container of each: its number and its element.  Elements of the numbers
-    ``cleared`` are no soft furniture."""
+    article number, below zero inside soft furniture).  ``holders`` has the
+    numbers of the containers around each, below zero for the page itself, the
+    innermost last; ``links`` the characters of each inside links; ``heads``
+    whether it is a heading.  Elements of the numbers ``cleared`` are no soft
+    furniture."""
 
     def __init__(self, cleared: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
@@ -78,7 +91,10 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, int, int]] = []
         self.open: list[tuple[str, int, int]] = []  # element, furniture, article number
         self.held: list[str] = []
-        self.holders: list[tuple[int, str]] = []
+        self.holders: list[tuple[int, ...]] = []
+        self.links: list[int] = []
+        self.heads: list[bool] = []
+        self.linked = 0  # of the line so far
         self.numbers: list[int] = []  # of the open elements
         self.started = 0
         self.tags = 0
@@ -93,15 +109,12 @@ class _Lines(HTMLParser):
                 for n in self.soft.keys() & set(self.numbers):
                     self.soft[n] += len(text)
             self.lines.append((text, self.tags, furniture, article))
-            self.holders.append(self._holder())
+            names = [x[0] for x in self.open]
+            self.holders.append((0, *((-n if x in PAGE else n) for x, n in zip(names, self.numbers) if x in CONTAINERS)))
+            self.links.append(min(self.linked, len(text)))
+            self.heads.append(any(x in HEADINGS for x in names))
             self.tags = 0
-
-    def _holder(self) -> tuple[int, str]:
-        """Of a line its container; of furniture the container around all of it."""
-        for (name, furniture, _), number in zip(reversed(self.open), reversed(self.numbers)):
-            if not furniture and name in BLOCK and name not in PIECES:
-                return number, name
-        return 0, ""
+        self.linked = 0
 
     def _furniture(self, tag: str, attrs, article: int) -> int:
         if tag in FURNITURE and tag not in LOOSE or tag == "header" and not article:
@@ -113,9 +126,9 @@ class _Lines(HTMLParser):
             return HARD
         if tag in LOOSE:
             return SOFT
-        for token in f"{a.get('class') or ''} {a.get('id') or ''}".split():
-            words = {w.lower() for w in WORD.findall(token)}
-            if words & MARKS and not words & ABOUT:
+        for token in [] if tag in PIECES else f"{a.get('class') or ''} {a.get('id') or ''}".split():
+            words = {w.lower() for w in WORD.findall(token) if not w.isdigit()}
+            if words & MARKS and words <= MARKS | LAYOUT:
                 return SOFT
         return 0
 
@@ -176,6 +189,8 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data):
         self.held.append(data)
+        if any(x[0] == "a" for x in self.open):
+            self.linked += len(data.strip())
 
     def unknown_decl(self, data):
         pass
@@ -210,10 +225,21 @@ def _parsed(html: str, cleared: frozenset[int] = frozenset()) -> _Lines:
     return parser
 
 
-def _same_container(before: tuple[int, str], between: list[tuple[int, str]], after: tuple[int, str]) -> bool:
-    if before == after:
-        return True
-    return any(x in (before, after) and x[1] not in PAGE for x in between)
+def _kept(parser: _Lines, own: list[int], content: list[bool]) -> list[int]:
+    """Of the lines ``own`` of a page without articles those to keep."""
+    inner = {i: parser.holders[i][-1] for i in own}
+    good = {inner[i] for i in own if content[i]}
+    first, last = next(i for i in own if content[i]), next(i for i in reversed(own) if content[i])
+    chars: dict[int, list[int]] = {}
+    for i in own:
+        sums = chars.setdefault(inner[i], [0, 0])
+        sums[0] += len(parser.lines[i][0])
+        sums[1] += parser.links[i]
+    keep = [inner[i] in good or any(h > 0 and h in good for h in parser.holders[i])
+            or first < i < last and 2 * chars[inner[i]][1] < chars[inner[i]][0] for i in own]
+    for k in range(len(own) - 2, -1, -1):  # headings of what is kept
+        keep[k] = keep[k] or parser.heads[own[k]] and keep[k + 1]
+    return [i for i, k in zip(own, keep) if k]
 
 
 def main_text(html: str | None, sigma: float = 1.5) -> str:
@@ -229,34 +255,25 @@ def main_text(html: str | None, sigma: float = 1.5) -> str:
         lines = [(text, tags, furniture or (SOFT if article < 0 else 0), article) for text, tags, furniture, article in lines]
     if not lines or all(x[2] for x in lines):
         return ""
-    ratio = np.array([0.0 if x[2] else len(x[0]) / max(1, x[1]) for x in lines])
+    ratio = np.array([0.0 if x[2] else (len(x[0]) - linked) / max(1, x[1]) for x, linked in zip(lines, parser.links)])
     ratio = np.log1p(np.minimum(ratio, RATIO_CAP))
     smooth = _smooth(ratio, sigma)
     # By its surroundings or by itself: beside furniture and at the ends of a page smoothing lowers a line.
-    upper = (smooth >= _threshold(smooth)) | (ratio >= _threshold(ratio))
+    upper = (smooth >= _threshold(smooth)) & (ratio > 0) | (ratio >= _threshold(ratio))
     content = [not x[2] and bool(u) for x, u in zip(lines, upper)]
-    regions, now, key, between = [], [], None, []
-    in_articles = any(x[3] and not x[2] for x in lines)
-    for i, (_, _, furniture, article) in enumerate(lines):
-        if in_articles:  # furniture inside an article does not end its region
-            if furniture or not article:
-                continue
-            k = article
-        else:
-            if furniture:
-                between.append(parser.holders[i])
-                continue
-            # The region goes on when both sides, or furniture and one side, have the same container.
-            if now and between and not _same_container(parser.holders[now[-1]], between, parser.holders[i]):
-                key = None
-            between, k = [], 0
-        if k != key:
-            now = []
-            regions.append(now)
-            key = k
-        now.append(i)
-    picked = [r for r in regions if any(content[i] for i in r)] or ([max(regions, key=lambda r: sum(ratio[i] for i in r))])
-    return "\n".join(lines[i][0] for r in picked for i in r)
+    own = [i for i, x in enumerate(lines) if not x[2]]
+    if not any(content):  # nothing stands out
+        content[max(own, key=lambda i: (ratio[i], -i))] = True
+    articles: dict[int, list[int]] = {}
+    for i in own:
+        if lines[i][3]:
+            articles.setdefault(lines[i][3], []).append(i)
+    if articles:
+        picked = [r for r in articles.values() if any(content[i] for i in r)] or [max(articles.values(), key=lambda r: sum(ratio[i] for i in r))]
+        kept = sorted(i for r in picked for i in r)
+    else:
+        kept = _kept(parser, own, content)
+    return "\n".join(lines[i][0] for i in kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -274,3 +274,34 @@ def test_query_rows_that_share_an_id_are_ranked_by_themselves(spark, monkeypatch
     for block in (32_768, 2, 1):  # also when one id fills more than a block
         monkeypatch.setattr(topk, "QUERY_BLOCK", block)
         assert sorted(map(tuple, topk.top_k(v, v.where("id = 0"), 5).collect())) == expect
+
+
+LONG = "A paragraph of the text itself that goes on for quite a while, with a point to make and another one after it. "
+
+
+def test_names_of_texts_do_not_remove_them():
+    """Listed words in ids of headings, paragraphs and topics are the author's; those of layout are the page's."""
+    page = f"""<body><nav>x</nav><article><h1 id="menu-planning">Menu planning</h1><p class="alert-systems">{LONG}</p>
+    <section id="navigation-by-stars"><h2 id="comments">On comments</h2><p>{LONG}</p></section>
+    <p class="ad">A short one.</p><div class="share-buttons">Share this</div><div class="related-articles">More</div>
+    <section class="comments"><p>{LONG} says a reader</p></section></article></body>"""
+    long = LONG.strip()
+    assert htmltext.main_text(page) == f"Menu planning\n{long}\nOn comments\n{long}\nA short one."
+
+
+def test_pages_without_an_article_are_judged_by_ratio(monkeypatch):
+    """Link lists and imprints in classes that no list names go; short lines of the text stay."""
+    links = "".join(f'<li><a href="/{i}">Topic {i}</a></li>' for i in range(8))
+    page = f"""<body><div class="xq1"><ul>{links}</ul></div><div class="zz"><div class="k"><h2>The heading</h2></div><p>{LONG}</p><p>Short.</p>
+    <div class="v"><p>In a box.</p></div><ul><li>one</li><li>two</li></ul><p>{LONG}</p></div>
+    <div class="xq2"><ul>{links}</ul></div><div class="xq3">(c) 2020 Somebody</div></body>"""
+    long = LONG.strip()
+    expect = f"The heading\n{long}\nShort.\nIn a box.\none\ntwo\n{long}"
+    assert htmltext.main_text(page) == expect
+    flat = f"<div class='a'><p>{LONG}</p></div><div class='b'><p>Between.</p></div><div class='c'>{links}</div><div class='d'><p>{LONG}</p></div>"
+    assert htmltext.main_text(flat) == f"{long}\nBetween.\n{long}"
+    # The border between the clusters decides: with another one other lines are kept.
+    monkeypatch.setattr(htmltext, "_threshold", lambda x: -1.0)
+    assert "Topic 1" in htmltext.main_text(page) and "Somebody" in htmltext.main_text(page)
+    monkeypatch.setattr(htmltext, "_threshold", lambda x: 1e9)
+    assert htmltext.main_text(flat) == long
