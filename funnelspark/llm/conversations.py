@@ -17,7 +17,7 @@ Large conversations are never held in one task.  Rows are reduced to ids, turn,
 role, fault and a 128-bit digest of role and text; equal ones are counted
 together, earlier ones with the same digest are found by an aggregate and a
 join, and the small rows are dealt by range of (conversation, turn) into
-sections.  A conversation that reaches over several sections is solved by
+sections of about ``SECTION_ROWS`` rows, which is what a task holds at once.  A conversation that reaches over several sections is solved by
 pieces: each section gives its costs from state to state, these are chained
 back, each section then gives the state it is left in for each one it is
 entered in, and these are chained forward.  At most one conversation reaches
@@ -56,6 +56,8 @@ LEGAL = ("su", "ua", "au")
 LETTERS = "DIKR"
 CODE = {x: i for i, x in enumerate(LETTERS)}
 FAR = 1 << 50  # no path
+#: Rows of a section, about: what a task holds at once.
+SECTION_ROWS = 50_000
 Row = tuple[str, str]  # initial of the role, fault
 ORDER = ["turn", "role", "digest"]
 
@@ -279,7 +281,8 @@ def edits(rows: DataFrame) -> DataFrame:
     initial of its new role), ``behind`` (inserted behind the last row)."""
     small = written(distinct_rows(rows), "conversation-rows")
     order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "digest"]
-    dealt = written(small.repartitionByRange(*order).withColumn("section", F.spark_partition_id()), "conversation-sections")
+    n_sections = max(1, -(-small.count() // SECTION_ROWS))
+    dealt = written(small.repartitionByRange(n_sections, *order).withColumn("section", F.spark_partition_id()), "conversation-sections")
     # Conversations in several sections: fewer than there are sections, as each reaches over a border of two.
     wide = (dealt.groupBy("conv_id").agg(F.min("section").alias("a"), F.max("section").alias("b"))
             .where("a < b").select(F.col("conv_id").alias("_conv")))

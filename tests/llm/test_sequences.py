@@ -228,18 +228,21 @@ def test_repairs_match_brute_force(spark):
     assert repaired(spark, data) == expected(data, unharmed)
 
 
-def test_one_conversation_over_many_sections(spark):
+def test_one_conversation_over_many_sections(spark, monkeypatch):
     """A conversation that holds most rows is solved by pieces, with the same result."""
     r = random.Random(8)
     data = [(5, r.choice([None, *range(400)]), r.choice(["user", "assistant", "system"]), r.choice(["a.", "b", "", f"{r.random()}!", f"{r.random()}"]))
             for _ in range(900)] + random_conversations(r, 9, 6)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        rows_ = conversations.clean(spark.createDataFrame([(*row, "d", 0.5) for row in data], CONV))
-        assert conversations.edits(rows_).where("conv_id = 5").select(F.spark_partition_id()).distinct().count() > 1
-        assert repaired(spark, data) == expected(data, unharmed)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    monkeypatch.setattr(conversations, "SECTION_ROWS", 60)
+    entered, real = [], conversations._with
+
+    def spy(sections, facts, how="inner"):
+        if "entry" in facts.columns:
+            entered.append(facts.count())
+        return real(sections, facts, how)
+    monkeypatch.setattr(conversations, "_with", spy)
+    assert repaired(spark, data) == expected(data, unharmed)
+    assert entered and entered[0] > 8  # so many sections of one conversation
 
 
 def test_least_audits_of_ties():
