@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .keys import join_null_safe
@@ -46,6 +46,14 @@ def _at(order: Sequence[Column]) -> Column:
     return F.struct(*fields)
 
 
+def _so_far(group: WindowSpec, order: Sequence[Column], upto: int = Window.currentRow) -> tuple[WindowSpec, WindowSpec]:
+    """The rows up to the current one in ``order``, and those up to it in the
+    reverse order.  Both frames only grow, so each row is looked at once; a frame
+    that ends at the last row is built anew for every row."""
+    return tuple(group.orderBy(*by).rowsBetween(Window.unboundedPreceding, upto)
+                 for by in (_sorted(order), [c.desc_nulls_first() for c in order]))
+
+
 def _cuts(df: DataFrame, keys: list[str], order: Sequence[Column], hot_rows: int, max_cuts: int) -> DataFrame:
     """keys, _cuts: the sorted cuts of each hot key."""
     rows = df.select(*keys, _at(order).alias("_at"))
@@ -98,18 +106,19 @@ def fill_updown(df: DataFrame, keys: Sequence[str], order: Sequence[Column], col
     group, as in R's ``group_by``."""
     keys, names = list(keys), df.columns
     rows = _chunked(df, keys, order, hot_rows, max_cuts)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*_sorted(order))
-    after, before = w.rowsBetween(Window.currentRow, Window.unboundedFollowing), w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = rows.withColumns({**{f"_n_{c}": F.first(c, ignorenulls=True).over(after) for c in cols},
-                              **{f"_p_{c}": F.last(c, ignorenulls=True).over(before) for c in cols}})
+    # Rows equal in the order go by their values too, so that both directions see one order.
+    order = [*order, *map(F.col, cols)]
+    before, after = _so_far(Window.partitionBy(*keys, "_chunk"), order)
+    local = rows.withColumns({f"_p_{c}": F.last(c, ignorenulls=True).over(before) for c in cols}) \
+                .withColumns({f"_n_{c}": F.last(c, ignorenulls=True).over(after) for c in cols})
     # Of each chunk of a hot key the first and last known values, carried along its chunks both ways.
-    known = {c: F.when(F.col(c).isNotNull(), F.col("_at")) for c in cols}
+    known = {c: F.when(F.col(c).isNotNull(), _at(order)) for c in cols}
     summary = rows.where(F.col("_cuts").isNotNull()).groupBy(*keys, "_chunk").agg(
         *[F.min_by(c, known[c]).alias(f"_f_{c}") for c in cols], *[F.max_by(c, known[c]).alias(f"_l_{c}") for c in cols])
-    along = Window.partitionBy(*keys).orderBy("_chunk")
-    later, earlier = along.rowsBetween(1, Window.unboundedFollowing), along.rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.select(*keys, "_chunk", *[F.first(f"_f_{c}", ignorenulls=True).over(later).alias(f"_nf_{c}") for c in cols],
-                             *[F.last(f"_l_{c}", ignorenulls=True).over(earlier).alias(f"_pl_{c}") for c in cols])
+    earlier, later = _so_far(Window.partitionBy(*keys), [F.col("_chunk")], upto=-1)
+    summary = summary.withColumns({f"_pl_{c}": F.last(f"_l_{c}", ignorenulls=True).over(earlier) for c in cols}) \
+                     .withColumns({f"_nf_{c}": F.last(f"_f_{c}", ignorenulls=True).over(later) for c in cols})
+    summary = summary.select(*keys, "_chunk", *[f"{p}_{c}" for c in cols for p in ("_pl", "_nf")])
     filled = join_null_safe(local, F.broadcast(summary), [*keys, "_chunk"], "left").withColumns({
         c: F.coalesce(c, f"_n_{c}", f"_nf_{c}", f"_p_{c}", f"_pl_{c}") for c in cols})
     return filled.select(*names)

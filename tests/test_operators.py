@@ -189,6 +189,23 @@ def test_fill_over_chunks(spark, monkeypatch):
         assert {r["id"]: (r["v"], r["w"]) for r in got.collect()} == expect and got.columns == df.columns
 
 
+def test_fill_looks_at_each_row_once(spark):
+    """No frame that is built anew for every row: one long group (the rows without person and flow) is filled in
+    time that grows with its rows.  Rows equal in the order are filled from each other."""
+    n, every = 30_000, 1_000
+    df = spark.range(n).select(F.col("id"), F.lit(None).cast("long").alias("flow"),
+                               F.when((F.col("id") % every == 0) & (F.col("id") > 0), F.col("id")).alias("v"))
+    out = fill_updown(df, ["flow"], [F.col("id")], ["v"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "unboundedfollowing" not in plan.replace("unboundedpreceding$(), unboundedfollowing", "whole")
+    last = (n - 1) // every * every
+    assert [r["v"] for r in out.orderBy("id").collect()] == [min(max(every, -(-i // every) * every), last) for i in range(n)]
+    tied = spark.createDataFrame([(1, None, None), (1, "x", None), (1, None, "y"), (1, None, None)], "t int, v string, w string")
+    for hot_rows in (2, 10**9):
+        got = fill_updown(tied, [], [F.col("t")], ["v", "w"], hot_rows=hot_rows).collect()
+        assert [(r["v"], r["w"]) for r in got] == [("x", "y")] * 4
+
+
 def test_one_second_of_one_flow_is_spread(spark):
     """A flow with all its rows in one second, and a NULL one, are cut evenly; small flows are not; no job runs meanwhile."""
     import datetime as dt
