@@ -20,8 +20,9 @@ ids, and NULL in them, as no token; an id outside the vocabulary is an error.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
-from heapq import heapify, heappop, heappush
+from heapq import heapify, heappop, heappush, heapreplace
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import blocks
 
-#: Pre-tokens, and joined bytes, that a worker remembers, and as many pre-tokens that it met before these.
+#: Pre-tokens that a worker remembers, and as many that it met before these.
 REMEMBERED = 400_000
 #: Odd multipliers that mix a hash with a displacement, in 64 bits.
 STEP, MIX, WORD = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
@@ -111,7 +112,7 @@ class Vocabulary:
         by_slot = dict(zip(self.hash.slots(keys).tolist(), keys))
         self.tokens = [by_slot[s] for s in range(len(keys))]
         self.ids = [ranks[t] for t in self.tokens]
-        self.bytes = {i: t for t, i in ranks.items()}
+        self.ranks, self.bytes = ranks, {i: t for t, i in ranks.items()}
         self._encoder = None
 
     def encoder(self) -> Encoder:
@@ -122,25 +123,11 @@ class Vocabulary:
         return self._encoder
 
 
-class Joined(dict):
-    """Joined bytes -> their rank, or None if they are no token: tier one, one
-    key at a time, remembered."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        self.v = vocabulary
-
-    def __missing__(self, key: bytes) -> int | None:
-        slot = self.v.hash.slot(key)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        rank = self[key] = self.v.ids[slot] if self.v.tokens[slot] == key else None
-        return rank
-
-
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
-        self.v, self.known, self.older, self.joined = vocabulary, {}, {}, Joined(vocabulary)
+        self.v, self.known, self.older = vocabulary, {}, {}
         self.split = regex.compile(vocabulary.pattern).findall
+        self.packed = {i: array("i", (i,)).tobytes() for i in vocabulary.ids}  # known pieces are ids as bytes
         self.single = self.whole([bytes([b]) for b in range(256)])
         self.double = self.whole([bytes([a, b]) for a in range(256) for b in range(256)])
 
@@ -149,59 +136,71 @@ class Encoder:
         tokens, ids = self.v.tokens, self.v.ids
         return [ids[s] if tokens[s] == p else None for s, p in zip(self.v.hash.slots(pieces).tolist(), pieces)]
 
-    def merged(self, piece: bytes) -> tuple[int, ...]:
+    def merged(self, piece: bytes) -> list[int]:
         """Tier two: the ids of a piece that is no token."""
-        n, rank_of, double = len(piece), self.joined, self.double
-        end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # by the start of a part; end[i] starts the next
-        token = [self.single[b] for b in piece]  # None: joined to the part before it
+        n, rank_of, double = len(piece), self.v.ranks.get, self.double
+        # By the start of a part; end[i] starts the next.  A start that was joined to the part before it ends at n, and n at 0.
+        end, before = [*range(1, n + 1), 0], list(range(-1, n))
+        token = [self.single[b] for b in piece]
         # Entries are (rank, start, end) in the bits of one number: the least is the lowest rank, the leftmost of equals.
         bits = n.bit_length()
         low, wide = (1 << bits) - 1, 2 * bits
         heap = [(r << bits | i) << bits | i + 2 for i, (a, b) in enumerate(zip(piece, piece[1:])) if (r := double[a << 8 | b]) is not None]
         heapify(heap)
         while heap:
-            entry = heappop(heap)
+            entry = heap[0]  # its place goes to the first entry that follows from it
             i, stop = entry >> bits & low, entry & low
             right = end[i]
-            if token[i] is None or right >= n or end[right] != stop:
-                continue  # one of the two has been joined meanwhile
-            token[right], token[i], end[i] = None, entry >> wide, stop
+            if end[right] != stop:
+                heappop(heap)  # one of the two has been joined meanwhile
+                continue
+            end[right], token[i], end[i] = n, entry >> wide, stop
+            before[stop], put = i, heapreplace
             if stop < n:
-                before[stop] = i
                 last = end[stop]
-                if (r := rank_of[piece[i:last]]) is not None:
-                    heappush(heap, (r << bits | i) << bits | last)
+                if (r := rank_of(piece[i:last])) is not None:
+                    put(heap, (r << bits | i) << bits | last)
+                    put = heappush
             if i:
                 first = before[i]
-                if (r := rank_of[piece[first:stop]]) is not None:
-                    heappush(heap, (r << bits | first) << bits | stop)
-        return tuple([t for t in token if t is not None])
+                if (r := rank_of(piece[first:stop])) is not None:
+                    put(heap, (r << bits | first) << bits | stop)
+                    continue
+            if put is heapreplace:
+                heappop(heap)
+        out, i = [], 0
+        while i < n:
+            out.append(token[i])
+            i = end[i]
+        return out
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text."""
+        return [ids.tolist() for ids in self.arrays(texts)]
+
+    def arrays(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.split(t) for t in texts]
         every = set().union(*split)
         if len(self.known) + len(every) > REMEMBERED:  # what was met lately is kept
             self.known, self.older = {}, self.known
-        known, older, new = self.known, self.older, []
-        for p in every:
-            if p not in known:
-                if p in older:
-                    known[p] = older[p]
-                else:
-                    new.append(p)
+        known, older = self.known, self.older
+        new = list(every.difference(known))
+        if older:
+            known.update((p, older[p]) for p in new if p in older)
+            new = [p for p in new if p not in known]
         raw = [p.encode() for p in new]
         for p, b, i in zip(new, raw, self.whole(raw)):
-            known[p] = (i,) if i is not None else self.merged(b)
-        return [[i for p in pieces for i in known[p]] for pieces in split]
+            known[p] = self.packed[i] if i is not None else array("i", self.merged(b)).tobytes()
+        of = known.__getitem__
+        return [np.frombuffer(b"".join(map(of, pieces)), np.int32) for pieces in split]
 
-    def decode(self, ids: Iterable[int | None]) -> bytes:
-        table = self.v.bytes
-        return b"".join([table[i] for i in ids if i is not None])
+    def decode(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.v.bytes.__getitem__, ids))
 
 
-def _lists(rows: list[list[int]]) -> tuple[pa.Array, pa.Array]:
+def _lists(rows: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
     counts = np.array([len(r) for r in rows], np.int64)
-    flat = np.fromiter((i for r in rows for i in r), np.int32, int(counts.sum()))
+    flat = np.concatenate(rows)
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(counts)
 
@@ -215,10 +214,10 @@ def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> D
         encoder = held.value.encoder()
         for batch in batches:
             for part in blocks(batch, "text"):
-                rows = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+                rows = encoder.arrays([t or "" for t in part.column(1).to_pylist()])
                 columns = [part.column(0), *_lists(rows)]
                 if decoded:
-                    columns.append(pa.array([encoder.decode(r) for r in rows], pa.binary()))
+                    columns.append(pa.array([encoder.decode(r.tolist()) for r in rows], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_tokens", "decoded"][:len(columns)])
 
     schema = "doc_id long, ids array<int>, n_tokens long" + ", decoded binary" * decoded
@@ -232,7 +231,7 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = held.value.encoder()
         for batch in batches:
-            out = [encoder.decode(r or ()) for r in batch.column(1).to_pylist()]
+            out = [encoder.decode(i for i in r or () if i is not None) for r in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "decoded"])
 
     return tokens.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, decoded binary")

@@ -160,6 +160,15 @@ def test_forgetting_changes_nothing(vocabulary, library, documents, monkeypatch)
     assert [encoder.encode([t])[0] for t in texts] == [library.encode_ordinary(t) for t in texts]
 
 
+def test_ids_are_laid_end_to_end(vocabulary, library):
+    """A known pre-token is its ids as bytes: no id of a text is handled by itself."""
+    texts = ["the the tthhee ereresntha", "", "a 'll ''s  \n x" * 50]
+    encoder = bytebpe.Encoder(vocabulary)
+    got = encoder.arrays(texts)
+    assert all(a.dtype == np.int32 for a in got) and all(type(v) is bytes for v in encoder.known.values())
+    assert [a.tolist() for a in got] == encoder.encode(texts) == [library.encode_ordinary(t) for t in texts]
+
+
 def test_byte_bpe_on_whole_tables(spark, documents, library):
     got = {r.doc_id: r for r in QUERIES["op12_byte_bpe"](spark, SF).collect()}
     docs = documents.collect()
